@@ -1,0 +1,388 @@
+"""The operators against brute force, on the small tables and on odd rows."""
+
+import hashlib
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from plumbline.llm import licences, media, mixing, packing, quality, queries, sharding, simhash, substring, toxicity, urls
+from plumbline.llm.components import components
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+ODD = [
+    (1, "a b c " * 40, "x"), (2, "a b c " * 40, "x"), (2, "a b c " * 40, "x"), (3, None, None), (None, "loose words here", "y"),
+    (5, "", "y"), (6, " \n\t ", "z"), (7, "é" * 3000 + " ü\u2003ñ", None), (8, "long " * 30000, "x"), (9, "One two", "y"), (10, "one TWO", "y"),
+]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    return spark.createDataFrame(ODD, "doc_id long, text string, source string").selectExpr(
+        "doc_id", "text", "source", "'en' as lang", "cast(length(text) as long) as n_chars", "1 as fingerprint", "2 as prefix", "3 as cell"
+    )
+
+
+@pytest.fixture(scope="module")
+def docs(spark, sf):
+    return spark.read.parquet(f"{sf}/documents.parquet")
+
+
+@pytest.fixture(scope="module")
+def none(odd):
+    return odd.where("doc_id = -1")
+
+
+def brute_fingerprint(text):
+    words = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    grams = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+    hs = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hs) > len(hs)) if hs else 0
+
+
+def brute_components(fps):
+    root = {i: i for i in fps}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    ids = sorted(fps)
+    for x, i in enumerate(ids):
+        for j in ids[x + 1 :]:
+            if (fps[i] ^ fps[j]).bit_count() <= 2:
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    return {i: find(i) for i in ids}
+
+
+def test_simhash_matches_brute_force(docs):
+    rows = docs.select("doc_id", "text").collect()
+    fps = {r.doc_id: brute_fingerprint(r.text) for r in rows}
+    want = brute_components(fps)
+    got = {r.doc_id: (r.fingerprint, r.component_id) for r in simhash.near_duplicates(docs).collect()}
+    assert got == {i: (f"{fps[i]:016x}", want[i]) for i in fps}
+
+
+def test_simhash_tiles_of_a_crowded_partition(spark):
+    rng = np.random.default_rng(1)
+    base = int(rng.integers(1 << 62))
+    fps = sorted({base ^ (1 << int(a)) ^ (1 << int(b)) ^ (1 << int(c)) for a, b, c in rng.integers(0, 63, (300, 3))})
+    table = spark.createDataFrame([(f, i) for i, f in enumerate(fps)], "fingerprint long, rep long")
+    want = brute_components(dict(enumerate(fps)))
+    for rows in (8, 100, 8192):
+        got = {r.node: r.component for r in components(simhash.links(table, 2, rows)).collect()}
+        assert {i: got.get(i, i) for i in want} == want
+
+
+def test_simhash_odd_rows(odd, none):
+    got = [(r.doc_id, r.component_id) for r in simhash.near_duplicates(odd).collect()]
+    assert len(got) == len(ODD)
+    by = dict(got)
+    assert by[1] == by[2] == 1 and by[3] == by[5] == by[6] == 3 and by[9] == by[10] == 9 and by[None] is None
+    assert simhash.near_duplicates(none).count() == 0
+    kept = simhash.keep_representatives(odd)
+    assert kept.columns == odd.columns and sorted(r.doc_id for r in kept.where("doc_id is not null").collect()) == [1, 3, 7, 8, 9]
+
+
+def test_components_of_a_chain(spark):
+    links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (101, 100), (7, 7)], "a long, b long")
+    got = {r.node: r.component for r in components(links).collect()}
+    assert got == {i: 0 for i in range(61)} | {100: 100, 101: 100}
+    assert components(links.where("a < 0")).count() == 0
+
+
+def brute_repeats(rows, n=50):
+    words = [(i, WORD.findall(t or "")) for i, t in rows]
+    low = {}
+    for i, w in words:
+        if i is not None:
+            for s in range(len(w) - n + 1):
+                k = tuple(w[s : s + n])
+                low[k] = min(low.get(k, i), i)
+    out = []
+    for i, w in words:
+        gone = set()
+        if i is not None:
+            for s in range(len(w) - n + 1):
+                if low[tuple(w[s : s + n])] < i:
+                    gone.update(range(s, s + n))
+        kept = " ".join(x for k, x in enumerate(w) if k not in gone)
+        out.append((i, len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest()))
+    return Counter(out)
+
+
+def substring_rows(df, **more):
+    return Counter((r.doc_id, r.n_words, r.n_removed, hashlib.sha256(r.kept.encode()).hexdigest()) for r in substring.drop_repeats(df, **more).collect())
+
+
+def test_substring_matches_brute_force(spark, docs):
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    rng = np.random.default_rng(3)
+    passage = [f"p{k}" for k in range(80)]
+    for i in range(60):  # passages of about the window's length, at odd places, also at the edges
+        lo, hi = sorted(rng.integers(0, 81, 2))
+        rows.append((1000 + i, " ".join([f"u{i}{k}" for k in range(rng.integers(0, 30))] + passage[lo:hi] + [f"v{i}{k}" for k in range(rng.integers(0, 30))])))
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    want = brute_repeats(rows)
+    assert sum(n for _, _, n, _ in want) > 1000
+    assert substring_rows(table) == want
+    assert substring_rows(table, group_docs=3) == want  # every shared prefix is lengthened
+
+
+def test_substring_odd_rows(odd, none):
+    assert substring_rows(odd) == brute_repeats([(i, t) for i, t, _ in ODD])
+    assert substring.drop_repeats(none).count() == 0
+    out = substring.strip_repeats(odd)
+    assert out.schema == odd.schema and out.count() == len(ODD)
+    assert sorted(r.text for r in out.where("doc_id = 2").collect()) == ["", ""]
+    assert out.where("doc_id = 6").first().text == " \n\t "
+
+
+def test_sharding_law(docs, odd, none):
+    for df in (docs, odd):
+        rows = sharding.shard(df).collect()
+        assert len(rows) == df.count()
+        by = defaultdict(list)
+        for r in rows:
+            by[r.shard].append(r.slot)
+        counts = [len(by.get(s, [])) for s in range(16)]
+        assert max(counts) - min(counts) <= 1
+        assert all(sorted(x) == list(range(len(x))) for x in by.values())
+        texts = Counter((r.doc_id, len((r.text or "").encode()) + 1, zlib.crc32((r.text or "").encode())) for r in df.collect())
+        assert Counter((r.doc_id, r["size"], r.text_crc32) for r in rows) == texts
+    assert sharding.shard(none).count() == 0
+
+
+def test_sharding_moves_little(spark):
+    df = spark.range(20000).selectExpr("id as doc_id", "cast(id as string) as text")
+    a = {r.doc_id: (r.home, r.shard) for r in sharding.shard(df, 16).collect()}
+    b = {r.doc_id: (r.home, r.shard) for r in sharding.shard(df, 17).collect()}
+    assert all(b[i][0] in (a[i][0], 16) for i in a)  # homes only move to the new shard
+    assert sum(a[i][1] != b[i][1] for i in a) < 0.45 * len(a)
+    assert sum(h == s for h, s in a.values()) > 0.8 * len(a)
+
+
+def test_packing_round_trip(docs, odd):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(queries.tokenizer_path())
+    for df in (docs, odd):
+        want = Counter()
+        for r in df.collect():
+            want[(r.doc_id, tuple([*tokenizer.encode(r.text or "", add_special_tokens=False).ids, 1]))] += 1
+        pieces = packing.pack(df, queries.tokenizer_path(), group_docs=50).collect()
+        sequences, parts = defaultdict(list), defaultdict(list)
+        for p in pieces:
+            ids = np.frombuffer(p.ids, "<u4").tolist()
+            assert len(ids) == p.length and 0 < p.length <= 2048
+            sequences[p.sequence_id].append((p.offset, p.length))
+            parts[(p.doc_id, p.doc_tokens, p.start)].append(ids)
+        for s in sequences.values():
+            at = 0
+            for offset, length in sorted(s):
+                assert offset == at
+                at += length
+            assert at <= 2048
+        assert sum(map(len, (x for p in parts.values() for x in p))) == sum(len(ids) * n for (_, ids), n in want.items())
+        single = {k: v for k, v in want.items() if sum(n for (i, _), n in want.items() if i == k[0]) == 1}
+        for doc, ids in single:
+            got = [x for start in range(0, len(ids), 2048) for x in parts[(doc, len(ids), start)][0]]
+            assert got == list(ids)
+
+
+def test_first_fit_decreasing_is_first_fit():
+    rng = np.random.default_rng(5)
+    lengths = rng.integers(1, 2049, 500)
+    bins, offsets = packing.first_fit_decreasing(lengths, 2048)
+    free = []
+    for i in np.argsort(-lengths, kind="stable"):
+        at = next((k for k, f in enumerate(free) if f >= lengths[i]), len(free))
+        if at == len(free):
+            free.append(2048)
+        assert (bins[i], offsets[i]) == (at, 2048 - free[at])
+        free[at] -= lengths[i]
+
+
+def test_tokens_of_words_are_tokens_of_texts():
+    ids = packing.tokens_of(queries.tokenizer_path())
+    for text in ["It's  a\u00a0test\x1cwith\x85odd \u0301space <|endoftext|> x<|startoftext|>y ÉÀ ΑΣ Σ. don'T 'S 12,5 日本語\u3000text", "e\u0301 a\r\n\tb", "'  s", "x" * 5000]:
+        want = ids.tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(ids.text(text.encode()), "<u4").tolist() == want
+
+
+def reference_adpcm(block):
+    value, index, out = int.from_bytes(block[:2], "little", signed=True), block[2], []
+    out.append(value)
+    for code in (c for b in block[4:] for c in (b & 15, b >> 4)):
+        step = int(media.STEPS[index])
+        change = (step >> 3) + (step if code & 4 else 0) + (step >> 1 if code & 2 else 0) + (step >> 2 if code & 1 else 0)
+        value = max(-32768, min(32767, value - change if code & 8 else value + change))
+        index = max(0, min(88, index + int(media.MOVES[code & 7])))
+        out.append(value)
+    return out
+
+
+def test_media_round_trip(odd, none):
+    stored = media.encode_texts(odd)
+    for r in media.decode(stored).collect():
+        assert r.payload[: r.n_bytes].strip(b" ") == r.payload.strip(b" ") and len(r.payload) % 192 == 0 and len(r.payload) >= 192
+        codec, rate, _, _ = media.read_wav(bytes(r.media))
+        assert codec == r.codec and rate == 8000 and len(r.pcm) % 2 == 0
+    assert media.decode(media.encode_texts(none)).count() == 0
+    got = Counter((r.doc_id, bytes(r.payload)) for r in media.decode(stored).collect())
+    pad = lambda t: t.ljust(max(192, -(-len(t) // 192) * 192))
+    assert got == Counter((i, pad((t or "").encode())) for i, t, _ in ODD)
+
+
+def test_media_decoders():
+    rng = np.random.default_rng(2)
+    blocks = rng.integers(0, 256, (20, 60), dtype=np.uint8)
+    blocks[:, 2] %= 89
+    assert media.decode_blocks(blocks).tolist() == [reference_adpcm(bytes(b)) for b in blocks]
+    assert media.TABLES["mulaw"][[0, 127, 128, 255, 0x8F]].tolist() == [-32124, 0, 32124, 0, 16764]
+    assert media.TABLES["alaw"][[0x55, 0xD5, 0x2A, 0xAA, 0]].tolist() == [-8, 8, -32256, 32256, -5504]
+    assert media.resample(np.array([0, 10, -10], "<i2"), 8000, 16000).tolist() == [0, 5, 10, 0, -10, -10]
+    assert media.resample(np.arange(12, dtype="<i2"), 12000, 8000).tolist() == [0, 1, 3, 4, 6, 7, 9, 10]
+    with pytest.raises(ValueError):
+        media.read_wav(b"nothing")
+
+
+def brute_base(text):
+    text = text or ""
+    words = WORD.findall(text)
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    windows = Counter(tuple(words[i : i + 3]) for i in range(len(words) - 2))
+    covered = {k for i in range(len(words) - 2) if windows[tuple(words[i : i + 3])] > 1 for k in range(i, i + 3)}
+    failed = len(words) < 50 or 100 * len(covered) > 50 * len(words)
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered), failed
+
+
+def test_quality_base_features(spark, sf, docs, odd, none):
+    model = quality.train(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    for df in (docs, odd):
+        got = Counter((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) for r in quality.judge(df, model).collect())
+        assert got == Counter((r.doc_id, *brute_base(r.text)) for r in df.collect())
+    kept = quality.judge(docs, model).where("kept").count()
+    assert quality.keep_good(docs, model).count() == kept and quality.keep_good(odd, model).schema == odd.schema
+    assert quality.judge(none, model).count() == 0
+    nothing = quality.train(odd, spark.createDataFrame([], "doc_id long, quality int, toxic int"))
+    assert quality.judge(odd, nothing).where("kept = base_failed").count() == 0
+
+
+def test_quality_on_labels_not_seen(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    seen = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
+    model = quality.train(docs, labels.where(seen), per_class=300)
+    test = quality.judge(docs, model).join(labels.where(~seen), "doc_id").where("not base_failed")
+    rates = {r.quality: r.kept for r in test.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()}
+    assert rates[1] > 0.95 and rates[0] < 0.4
+
+
+def test_toxicity_on_labels_not_seen(spark, odd, none):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    seen = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
+    model = toxicity.train(docs, labels.where(seen))
+    assert (np.diff(model.thresholds) >= 0).all() and len(model.keys) < 400
+    flags = toxicity.grade(docs, model).withColumnRenamed("toxic", "flag").join(labels.where(~seen), "doc_id")
+    table = {(r.toxic, r.flag): r["count"] for r in flags.groupBy("toxic", "flag").count().collect()}
+    assert table.get((0, True), 0) <= 0.01 * table[(0, False)]
+    assert table[(1, True)] >= 0.6 * (table[(1, True)] + table[(1, False)])  # a third of these labels are noise
+    assert toxicity.grade(odd, model).count() == len(ODD) and toxicity.grade(none, model).count() == 0
+    assert toxicity.grade(odd, toxicity.train(odd, labels.where("doc_id < 0"))).where("toxic").count() == 0
+
+
+def brute_targets(sizes):
+    names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None] * (None in sizes)
+    weights = {s: 1 + k % 3 for k, s in enumerate(names)}
+    left, total, out = set(names), float(sum(sizes.values())), {}
+    while left:
+        share = {s: total * weights[s] / sum(weights[x] for x in left) for s in left}
+        above = {s for s in left if share[s] > 3 * sizes[s]}
+        if not above:
+            return out | share
+        out |= {s: 3.0 * sizes[s] for s in above}
+        total -= sum(3 * sizes[s] for s in above)
+        left -= above
+    return out
+
+
+def test_mixing(spark, docs, odd, none):
+    rng = np.random.default_rng(4)
+    skewed = spark.createDataFrame(
+        [(i, " ".join(["w"] * int(rng.integers(0, 200))), f"s{min(9, int(rng.exponential(2)))}" if i % 11 else None) for i in range(1500)], "doc_id long, text string, source string"
+    )
+    for df in (docs, skewed, odd):
+        rows = mixing.mix(df).collect()
+        sizes = Counter()
+        for r in df.collect():
+            sizes[r.source] += len(WORD.findall(r.text or ""))
+        want = brute_targets(sizes)
+        taken, biggest = Counter(), Counter()
+        assert len(rows) == df.count()
+        for r in rows:
+            assert r.source_size == sizes[r.source] and r.target == pytest.approx(want[r.source])
+            assert r.taken == r.copies * r["size"] and r.copies <= 3
+            taken[r.source] += r.taken
+            biggest[r.source] = max(biggest[r.source], r["size"])
+        if df is not odd:
+            assert all(abs(taken[s] - want[s]) <= biggest[s] for s in sizes)
+        assert Counter(map(tuple, rows)) == Counter(map(tuple, mixing.mix(df.repartition(3)).collect()))
+        mixed = mixing.apply_mix(df)
+        assert mixed.schema == df.schema
+        assert sum(len(WORD.findall(r.text or "")) for r in mixed.collect()) == sum(taken.values())
+    assert mixing.mix(none).count() == 0 and mixing.apply_mix(none).count() == 0
+
+
+def brute_url(url, rules, default):
+    host, path = "", ""
+    if url is not None and "://" in url:
+        rest = url.split("://", 1)[1]
+        host = re.match(r"[^/?#]*", rest)[0]
+        path = re.match(r"[^?#]*", rest[len(host) :])[0]
+        host = re.sub("[A-Z]", lambda m: m[0].lower(), host)
+    fit = [(len(h) + len(p), len(h), h + p, a) for a, h, p in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    best = max(fit, default=(0, 0, None, default))
+    return host, path, best[2], best[3]
+
+
+def test_urls(spark, sf):
+    many = [
+        None, "", "no scheme", "http://", "http://net", "http://net/", "HTTP://A.Example.NET/en/x?y#z", "https://example.netx/en/", "x://notexample.net/en/", "http://example.com/de", "a://b://c.org/fr/",
+        "http://c.org/fr/?q", "http://c.org#/fr/", "http://example.com/de/" + "x" * 20000, "http://ß.Ä.net/é", "http://..net/", "http://a..net/",
+    ]
+    odd = spark.createDataFrame([(i if i % 5 else None, u) for i, u in enumerate(many * 2)], "page_id long, url string").withColumn("key", F.lit(1)).withColumn("host", F.lit("x"))
+    for df in (odd, spark.read.parquet(f"{sf}/pages.parquet")):
+        got = Counter(map(tuple, urls.filter_urls(df).collect()))
+        assert got == Counter((r.page_id, *brute_url(r.url, urls.RULES, "allow")) for r in df.collect())
+    assert urls.filter_urls(odd.where("page_id = -1")).count() == 0
+
+
+def test_cascade_is_exact(spark):
+    universe = spark.range(3000).selectExpr("concat('k', id) as key")
+    for listed in (universe.where("pmod(xxhash64(key), 5) = 0"), universe.where("key = 'k7'"), universe.where("key = ''"), universe):
+        cascade = urls.build(listed, universe)
+        got = {r.key for r in universe.where(cascade.contains()(F.col("key"))).collect()}
+        assert got == {r.key for r in listed.collect()}
+    assert len(urls.build(universe.where("pmod(xxhash64(key), 5) = 0"), universe).levels) > 2
+
+
+def test_licences(spark, docs, none):
+    mit = licences.TEXTS["MIT"]
+    odd = [
+        (1, "Copyright (c) 2020 A. Person\n\n" + mit.replace(". ", ".\n")), (2, mit.upper().replace("SUBLICENSE", "sub-licence")), (3, mit + " more"), (4, None), (5, ""),
+        (6, "text\n  released under the MIT licence\nLicensed under CC BY-NC 4.0.\nReleased under the MIT License"), (7, "Licensed under the Apache License, v2.0"), (None, "© 2001\nSPDX-License-Identifier: MIT"), (8, "word " * 50000),
+    ]
+    df = spark.createDataFrame(odd, "doc_id long, text string").withColumn("digest", F.lit(1))
+    got = {r.doc_id: r for r in licences.scan(df).collect()}
+    assert [got[k].licence for k in (1, 2, 3, 4, 5, 6, None, 8)] == ["MIT", "MIT", None, None, None, None, "MIT", None]
+    assert got[6].notices == ["CC-BY-NC-4.0", "MIT"] and got[6].n_notice_lines == 3 and got[4].digest is None
+    for i, t in odd:
+        assert t is None or got[i].digest == hashlib.sha256(licences.canonical(t).encode()).hexdigest()
+    assert {r.doc_id: r.digest for r in licences.scan(docs).collect()} == {r.doc_id: hashlib.sha256(licences.canonical(r.text).encode()).hexdigest() for r in docs.collect()}
+    assert licences.scan(none).count() == 0
