@@ -8,10 +8,12 @@ first bin with room in a logarithm of their number.
 
 from __future__ import annotations
 
+import array
 import os
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,8 +22,8 @@ from plumbline.llm.textcore import binary
 CAPACITY = 2048
 #: Documents of a group, on average.
 GROUP_DOCS = 1024
-#: Words whose ids a worker remembers.
-REMEMBERED = 400_000
+#: Words, and parts of words, whose ids a worker remembers.
+REMEMBERED = 800_000
 
 
 class Tournament:
@@ -62,11 +64,28 @@ def first_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray
     return bins, offsets
 
 
+#: Characters that need no composition and have a plain lower case: ASCII but controls, and Latin letters.
+_PLAIN = regex.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+#: The vocabulary's split of a word.
+_SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+
+
+def _byte_characters() -> list[str]:
+    """The character that stands for each byte: itself where it prints, else one from 256 on, in order."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in shown]
+    return [chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256)]
+
+
+_CHARACTERS = _byte_characters()
+
+
 class WordIds:
-    """Token ids of whole texts, from ids of their words, of which a worker remembers the short ones.
+    """Token ids of whole texts, from ids of their words, which a worker remembers.
 
     White space neither gives tokens nor joins words in this vocabulary's rules, so a text's ids are
-    its words' ids, one after the other.
+    its words' ids, one after the other. Plain words are lower-cased and split here, and their parts given
+    to the vocabulary's model; all others go through the whole tokenizer.
     """
 
     def __init__(self, path: str) -> None:
@@ -74,30 +93,38 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.known: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+
+    def part(self, part: str) -> bytes:
+        found = self.parts.get(part)
+        if found is None:
+            shown = part if part.isascii() else "".join([_CHARACTERS[b] for b in part.encode()])
+            found = array.array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+            if len(part) <= 64:
+                if len(self.parts) >= REMEMBERED:
+                    self.parts.clear()
+                self.parts[part] = found
+        return found
 
-    def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
-        """Ids of at least these words."""
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = list(words)
-        far: dict[bytes, bytes] = {}
-        for lo in range(0, len(new), 4096):
-            part = new[lo : lo + 4096]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False), strict=True):
-                (self.known if len(w) <= 64 else far)[w] = np.array(e.ids, dtype="<u4").tobytes()
-        return self.known | far if far else self.known
+    def word(self, word: bytes) -> bytes:
+        text = word.decode()
+        if _PLAIN.fullmatch(text) and "<|" not in text:
+            ids = b"".join([self.part(p) for p in _SPLIT.findall(text.lower())])
+        else:
+            ids = array.array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        if len(word) <= 64:
+            if len(self.known) >= REMEMBERED:
+                self.known.clear()
+            self.known[word] = ids
+        return ids
 
     def text(self, text: bytes) -> bytes:
         """The text's ids, little-endian unsigned 32-bit."""
         words = text.split()
         get = self.known.get
-        ids = [get(w) for w in words]
-        if None in ids:
-            known = self.learn(set(words))
-            ids = [known[w] for w in words]
-        return b"".join(ids)
+        return b"".join([get(w) or self.word(w) for w in words])
 
 
 _tokenizers: dict[str, WordIds] = {}
