@@ -109,4 +109,4 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_re
  sha256(coalesce(list_aggregate(CASE WHEN gone IS NULL THEN w ELSE list_filter(w, lambda y, i: NOT list_contains(gone, i)) END, 'string_agg', ' '), '')) AS kept_sha256
 FROM d LEFT JOIN x USING (doc_id)"""
 
-ORACLE_SQL: dict[str, str] = {"op3_licences": _licence_sql(), "op4_urls": _URL_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_licences": _licence_sql(), "op4_urls": _URL_SQL, "op5_substrings": _SUBSTRING_SQL}
