@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.textcore import CHUNK, chunks, word_hashes
+from plumbline.llm.textcore import CHUNK, chunks, mix, pieces, span_hashes, word_spans
 
 #: Labelled rows of each class that the model is fitted to, at most, by the hash of their id.
 PER_CLASS = 3000
@@ -25,6 +25,10 @@ GRADES = 4
 LEAST_ROWS = 3
 #: Words that take part in the fit, by the strength of their association.
 MOST_WORDS = 4096
+#: Bytes of a longer word that are a feature of their own, so that inflected and compound forms count together.
+PREFIXES = (4, 5, 6, 7, 8)
+#: Weight of toxic rows in the fit, and its L1 penalty.
+SHARE, PENALTY = 1 / 3, 3e-3
 #: Smallest P(grade > 0) that is called toxic.
 FLAG = 0.5
 
@@ -40,9 +44,38 @@ class Model:
 
 
 def _pairs(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Position of the text and hash of the word, for all words of the texts."""
-    hashes, counts = word_hashes([t.translate(_FOLD) for t in texts])
-    return np.repeat(np.arange(len(counts)), counts), hashes
+    """Position of the text and hash of the feature, for all features of the texts: words, and the first letters of longer ones."""
+    docs, features = [], []
+    for i, part in _parts(texts):
+        joined = b"\n".join(part).translate(_FOLD)
+        data = np.frombuffer(joined, dtype=np.uint8)
+        starts, ends = word_spans(data)
+        offsets = np.cumsum([0] + [len(t) + 1 for t in part])
+        doc = i + np.searchsorted(offsets, starts, "right") - 1
+        docs.append(doc)
+        features.append(span_hashes(data, starts, ends))
+        for n in PREFIXES:
+            longer = np.flatnonzero(ends - starts > n)
+            docs.append(doc[longer])
+            features.append(mix(span_hashes(data, starts[longer], starts[longer] + n) + np.uint64(n)))
+    none = np.zeros(0, dtype=np.int64)
+    return np.concatenate([none, *docs]), np.concatenate([none.astype(np.uint64), *features])
+
+
+def _parts(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
+    """Runs of whole texts with the position of the first, or pieces of one text that is too long for one run."""
+    lo = size = 0
+    for i, t in enumerate(texts):
+        if size + len(t) > 2 * CHUNK and i > lo:
+            yield lo, texts[lo:i]
+            lo, size = i, 0
+        if len(t) > 2 * CHUNK:
+            yield from ((i, [p]) for p in pieces(t))
+            lo, size = i + 1, 0
+        else:
+            size += len(t)
+    if lo < len(texts):
+        yield lo, texts[lo:]
 
 
 def scores(model: Model, texts: list[bytes]) -> np.ndarray:
@@ -82,8 +115,8 @@ def sample(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> li
     return [seen[k] for k in sorted(seen)]
 
 
-def fit(rows: list, share: float | None = None, grades: int = GRADES, least_rows: int = LEAST_ROWS, most_words: int = MOST_WORDS, penalty: float = 2e-3, steps: int = 400) -> Model:
-    """The model of a sample; share: of toxic rows among all labels. Without rows of both classes nothing can be told: all rows get grade 0."""
+def fit(rows: list, share: float = SHARE, grades: int = GRADES, least_rows: int = LEAST_ROWS, most_words: int = MOST_WORDS, penalty: float = PENALTY, steps: int = 400) -> Model:
+    """The model of a sample; share: the weight of toxic rows among all, so that few of them count enough. Without rows of both classes nothing can be told: all rows get grade 0."""
     y = np.array([r["y"] for r in rows], dtype=np.int64)
     if len(set(y.tolist())) < 2:
         return Model(np.zeros(0, np.uint64), np.zeros(0), np.full(grades - 1, 30.0) + np.arange(grades - 1))
@@ -106,7 +139,6 @@ def fit(rows: list, share: float | None = None, grades: int = GRADES, least_rows
     shown = np.sort(evidence[(y == 1) & (evidence > 0)])
     edges = [shown[len(shown) * k // (grades - 1)] for k in range(1, grades - 1)] if len(shown) else []
     grade = np.where(y == 1, 1 + np.searchsorted(np.array(edges), evidence, "right"), 0)
-    share = float((y == 1).mean()) if share is None else share
     even = np.where(y == 1, share / (y == 1).sum(), (1 - share) / (y == 0).sum())
     w = np.zeros(len(chosen))
     base = np.array([np.log(((even * (grade > k)).sum() + 1e-3) / ((even * (grade <= k)).sum() + 1e-3)) for k in range(grades - 1)])
@@ -129,8 +161,7 @@ def fit(rows: list, share: float | None = None, grades: int = GRADES, least_rows
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:
     """The model from at most per_class labelled rows of each class; labels has doc_id and toxic 0 or 1."""
-    share = labels.where("toxic is not null").agg(F.avg("toxic").alias("share")).first()["share"]
-    return fit(sample(docs, labels, per_class), None if share is None else float(share))
+    return fit(sample(docs, labels, per_class))
 
 
 def grade(docs: DataFrame, model: Model, flag: float = FLAG, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

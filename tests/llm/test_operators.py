@@ -288,11 +288,11 @@ def test_toxicity_on_labels_not_seen(spark, odd, none):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     seen = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
     model = toxicity.train(docs, labels.where(seen))
-    assert (np.diff(model.thresholds) >= 0).all() and len(model.keys) < 400
+    assert (np.diff(model.thresholds) >= 0).all() and len(model.keys) < 1000
     flags = toxicity.grade(docs, model).withColumnRenamed("toxic", "flag").join(labels.where(~seen), "doc_id")
     table = {(r.toxic, r.flag): r["count"] for r in flags.groupBy("toxic", "flag").count().collect()}
     assert table.get((0, True), 0) <= 0.01 * table[(0, False)]
-    assert table[(1, True)] >= 0.6 * (table[(1, True)] + table[(1, False)])  # a third of these labels are noise
+    assert table[(1, True)] >= 0.88 * (table[(1, True)] + table[(1, False)])
     assert toxicity.grade(odd, model).count() == len(ODD) and toxicity.grade(none, model).count() == 0
     assert toxicity.grade(odd, toxicity.train(odd, labels.where("doc_id < 0"))).where("toxic").count() == 0
 
