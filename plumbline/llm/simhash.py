@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from plumbline.llm.common import cut, unsigned
 from plumbline.llm.components import components
-from plumbline.llm.textcore import binary, ragged_sum
+from plumbline.llm.textcore import binary, gram_hashes, ragged_sum, word_hashes
 
 #: Rows of a partition that are compared in one task; larger partitions are dealt out as pairs of tiles.
 PARTITION_ROWS = 8192
@@ -227,12 +227,58 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return marked.join(reps, "fingerprint", "left").select(F.col("id").alias(id_col), unsigned("fingerprint").alias("fingerprint"), F.col("component").alias("component_id"))
 
 
-def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 2, seed: int = 42) -> DataFrame:
-    """The rows of docs whose id is the smallest of their near-duplicate group, all columns kept.
+#: Members of a group that are held against its representative in one task, on average.
+GROUP_ROWS = 1024
 
-    A row with a null id stays only if no row with an id shares its fingerprint. Rows that repeat an id
-    are told apart by nothing, so all rows with the kept id stay.
+
+def _similarity(a: np.ndarray, b: np.ndarray) -> float:
+    """Share of the distinct shingles of both that they have in common; two texts without words are the same."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / (len(a) + len(b) - both) if len(a) or len(b) else 1.0
+
+
+def _shingle_set(text: bytes, shingle: int) -> np.ndarray:
+    words = word_hashes([text.lower()])[0]
+    return np.unique(gram_hashes(words, min(shingle, len(words)))) if len(words) else words
+
+
+def verified(docs: DataFrame, groups: DataFrame, shingle: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
+    """(drop_id): members of groups whose shingles are similar enough to those of the group's representative.
+
+    Texts of group members only are dealt by group, with the representative's first; a large group goes to
+    as many tasks as it needs, each with the representative.
+    """
+    members = cut(groups.where(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias("id"), F.col("component_id").alias("rep")).distinct())
+    sizes = members.groupBy("rep").agg(F.count(F.lit(1)).alias("n")).withColumn("salts", F.ceil(F.col("n") / GROUP_ROWS).cast("int"))
+    roles = members.join(sizes, "rep").select("id", "rep", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("role"))
+    roles = roles.union(sizes.select(F.col("rep").alias("id"), "rep", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("role")))
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(roles, "id")
+
+    def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, first = None, None
+        for batch in batches:
+            out = []
+            reps, salts, roles_, ids = (batch.column(c).to_pylist() for c in ("rep", "salt", "role", "id"))
+            for rep, salt, role, id_, text in zip(reps, salts, roles_, ids, binary(batch.column("text")), strict=True):
+                own = _shingle_set(text or b"", shingle)
+                if role == 0:
+                    key, first = (rep, salt), own
+                elif key == (rep, salt) and _similarity(first, own) >= similarity:
+                    out.append(id_)
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], names=["drop_id"])
+
+    return texts.repartition("rep", "salt").sortWithinPartitions("rep", "salt", "role").mapInArrow(compare, "drop_id long").distinct()
+
+
+def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, radius: int = 2, seed: int = 42, similarity: float = 0.8) -> DataFrame:
+    """The rows of docs without those that are near-duplicates of a kept row, all columns kept.
+
+    Of each group of near_duplicates() the row with the smallest id stays, and so do members whose shingles
+    have a similarity (share of distinct shingles in common) below the given one to it: fingerprints find
+    the candidates, and an exact comparison decides. Rows with a null id all stay. Rows that repeat an id are
+    told apart by nothing: all rows with a kept id stay, and all with a dropped one go.
     """
-    groups = near_duplicates(docs, id_col, text_col, shingle, radius, seed)
-    drop = groups.where(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias("drop_id")).distinct()
+    # Written, so that both joins below see one result.
+    groups = cut(near_duplicates(docs, id_col, text_col, shingle, radius, seed).where(F.col(id_col).isNotNull()))
+    drop = verified(docs, groups, shingle, similarity, id_col, text_col)
     return docs.join(drop, F.col(id_col).cast("long") == F.col("drop_id"), "left_anti")

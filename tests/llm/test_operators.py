@@ -87,7 +87,19 @@ def test_simhash_odd_rows(odd, none):
     assert by[1] == by[2] == 1 and by[3] == by[5] == by[6] == 3 and by[9] == by[10] == 9 and by[None] is None
     assert simhash.near_duplicates(none).count() == 0
     kept = simhash.keep_representatives(odd)
-    assert kept.columns == odd.columns and sorted(r.doc_id for r in kept.where("doc_id is not null").collect()) == [1, 3, 7, 8, 9]
+    assert kept.columns == odd.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 3, 7, 8, 9]
+    assert simhash.keep_representatives(none).count() == 0
+
+
+def test_near_copies_go_and_lookalikes_stay(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "GROUP_ROWS", 2)
+    words = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(words[:-1] + [f"end{i}"])) for i in range(9)] + [(20, "a b c"), (21, "A b  c"), (22, "a b d")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    fps = {i: simhash.fingerprint(t.encode(), 5) for i, t in rows}
+    near = {i for i, c in brute_components(fps).items() if c != i}
+    assert {r.doc_id for r in simhash.keep_representatives(df).collect()} == set(fps) - near and 21 in near
+    assert {r.doc_id for r in simhash.keep_representatives(df, similarity=1.0).collect()} == set(fps) - {21}
 
 
 def test_components_of_a_chain(spark):
