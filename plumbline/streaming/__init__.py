@@ -1 +1,2 @@
-
+"""Nothing here yet: none of the operators in scope is a streaming one. The batch operators that hold no
+state across rows (functions, filters, keywords, triage) apply to streaming DataFrames as they are."""
