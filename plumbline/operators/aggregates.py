@@ -14,10 +14,9 @@ def trimmed_mean(x: Column) -> Column:
     return F.when(n > 2, (total - F.min(x) - F.max(x)) / (n - 2)).when(n > 0, total / n)
 
 
-def upper_median(x: Column) -> Column:
-    """The value in the middle; of two, the larger."""
-    values = F.array_sort(F.collect_list(x))
-    return F.try_element_at(values, (F.floor(F.size(values) / 2) + 1).cast("int"))
+def upper_median(column: str) -> Column:
+    """The value in the middle; of two, the larger. Counts of distinct values are merged, rows are not collected."""
+    return F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{column}` DESC)")
 
 
 def effective_n(weight: Column) -> Column:

@@ -75,7 +75,6 @@ def match(items: DataFrame, records: DataFrame, years: list[int], rejected: Data
         F.count(F.lit(1)).alias("candidate_count"),
         F.count_distinct("rec.key", F.coalesce(F.col("rec.rank").cast("string"), F.lit("-"))).alias("n_keys"),
         F.max_by("rec", "rec.record_id").alias("any"),
-        F.collect_set("rec.name").alias("names"),
         F.count_distinct(F.when(fits, F.struct("rec.key", "rec.duration", "rec.rank"))).alias("n_fit"),
         F.max_by("rec", F.when(fits, F.col("rec.record_id"))).alias("fit"),
         F.count_distinct(F.when(long_fits, F.struct("rec.key", "rec.duration", "rec.rank"))).alias("n_long"),
@@ -100,11 +99,13 @@ def match(items: DataFrame, records: DataFrame, years: list[int], rejected: Data
     logged = judged.where(F.col("bad") & (F.col("level") != "manual_ambiguous") & (F.col("win").isNull() | (F.col("ord") < F.col("win"))))
     early = tagged.where((F.col("level").isin("exact", "base")) & ~F.col("bad")).select("item_id", "year").distinct()
     unsure = facts.where("(chosen is not null and one is null) or (chosen is null and n_keys > 1)").join(early, ["item_id", "year"], "left_anti")
+    # The first ten names of each, by a window that spills, as an item may have very many candidates.
+    named = contained.join(unsure.select("item_id", "year"), ["item_id", "year"], "left_semi").select("item_id", "year", F.col("rec.name").alias("n")).distinct()
+    ten = named.withColumn("i", F.row_number().over(Window.partitionBy("item_id", "year").orderBy("n"))).where("i <= 10")
+    lists = ten.groupBy("item_id", "year").agg(F.array_join(F.array_sort(F.collect_list("n")), "; ").alias("candidates"))
     return Matches(
         winner.where("same").select(*shape),
-        unsure.select(
-            "item_id", "year", "candidate_count", F.array_join(F.slice(F.array_sort("names"), 1, 10), "; ").alias("candidates"), "chosen", F.when(F.col("chosen").isNotNull(), "not_unique").alias("status")
-        ),
+        unsure.join(lists, ["item_id", "year"]).select("item_id", "year", "candidate_count", "candidates", "chosen", F.when(F.col("chosen").isNotNull(), "not_unique").alias("status")),
         winner.where(~F.coalesce("same", F.lit(False))).select(*shape),
         logged.select(*shape),
     )
