@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from plumbline.llm.textcore import CHUNK, chunks, mix, pieces, span_hashes, word_spans
 
 #: Labelled rows of each class that the model is fitted to, at most, by the hash of their id.
-PER_CLASS = 3000
+PER_CLASS = 2000
 #: Grades: 0 for rows not labelled toxic, 1 to GRADES - 1 for toxic rows by the weight of their evidence.
 GRADES = 4
 #: Rows of the sample that a word must occur in.
@@ -26,9 +26,9 @@ LEAST_ROWS = 3
 #: Words that take part in the fit, by the strength of their association.
 MOST_WORDS = 4096
 #: Bytes of a longer word that are a feature of their own, so that inflected and compound forms count together.
-PREFIXES = (4, 5, 6, 7, 8)
-#: Weight of toxic rows in the fit, and its L1 penalty.
-SHARE, PENALTY = 1 / 3, 3e-3
+PREFIXES = (6,)
+#: Weight of toxic rows in the fit, its L1 penalty, and the ridge on the words that it leaves.
+SHARE, PENALTY, RIDGE = 0.2, 2e-3, 1e-3
 #: Smallest P(grade > 0) that is called toxic.
 FLAG = 0.5
 
@@ -115,7 +115,7 @@ def sample(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> li
     return [seen[k] for k in sorted(seen)]
 
 
-def fit(rows: list, share: float = SHARE, grades: int = GRADES, least_rows: int = LEAST_ROWS, most_words: int = MOST_WORDS, penalty: float = PENALTY, steps: int = 400) -> Model:
+def fit(rows: list, share: float = SHARE, grades: int = GRADES, least_rows: int = LEAST_ROWS, most_words: int = MOST_WORDS, penalty: float = PENALTY, ridge: float = RIDGE, steps: int = 400) -> Model:
     """The model of a sample; share: the weight of toxic rows among all, so that few of them count enough. Without rows of both classes nothing can be told: all rows get grade 0."""
     y = np.array([r["y"] for r in rows], dtype=np.int64)
     if len(set(y.tolist())) < 2:
@@ -144,17 +144,21 @@ def fit(rows: list, share: float = SHARE, grades: int = GRADES, least_rows: int
     base = np.array([np.log(((even * (grade > k)).sum() + 1e-3) / ((even * (grade <= k)).sum() + 1e-3)) for k in range(grades - 1)])
     t = np.maximum.accumulate(-base + 1e-3 * np.arange(grades - 1))
     target = grade[:, None] > np.arange(grades - 1)[None, :]
-    squares, t_squares = np.full(len(w), 1e-8), np.full(grades - 1, 1e-8)
-    for _ in range(steps):  # proximal steps, scaled by feature
-        p = above(t, np.bincount(row, w[column] * value, len(rows)))
-        g = (p - target) * even[:, None]
-        slope = np.bincount(column, g.sum(axis=1)[row] * value, len(w))
-        squares += slope**2
-        t_squares += g.sum(axis=0) ** 2
-        pace = 0.2 / np.sqrt(squares)
-        w -= pace * slope
-        w = np.sign(w) * np.maximum(np.abs(w) - pace * penalty, 0)
-        t = np.maximum.accumulate(t + 0.2 * g.sum(axis=0) / np.sqrt(t_squares))
+    open_ = np.ones(len(w), dtype=bool)
+    # First with the L1 penalty, which picks the words; then these alone with a little ridge, which frees their weights.
+    for l1, l2 in ((penalty, 0.0), (0.0, ridge)):
+        squares, t_squares = np.full(len(w), 1e-8), np.full(grades - 1, 1e-8)
+        for _ in range(steps):  # proximal steps, scaled by feature
+            p = above(t, np.bincount(row, w[column] * value, len(rows)))
+            g = (p - target) * even[:, None]
+            slope = (np.bincount(column, g.sum(axis=1)[row] * value, len(w)) + l2 * w) * open_
+            squares += slope**2
+            t_squares += g.sum(axis=0) ** 2
+            pace = 0.2 / np.sqrt(squares)
+            w -= pace * slope
+            w = np.sign(w) * np.maximum(np.abs(w) - pace * l1, 0)
+            t = np.maximum.accumulate(t + 0.2 * g.sum(axis=0) / np.sqrt(t_squares))
+        open_ = w != 0
     used = np.flatnonzero(w)
     return Model(vocabulary[chosen][used], w[used], t)
 
