@@ -136,7 +136,7 @@ def with_missing(choices: DataFrame, model: DataFrame, policy: str = "accept", o
     """choices with the model's columns and found: matched, no_rank, manual or missing.
 
     policy accept leaves out choices without a rank; manual takes ranks from overrides (choice, rank) first;
-    reject fails if any is without one.
+    audit keeps choices that the model does not know; reject fails if any is without a rank.
     """
     out = choices.join(model.withColumn("_known", F.lit(True)), "choice", "left")
     if overrides is not None and policy == "manual":
@@ -147,7 +147,9 @@ def with_missing(choices: DataFrame, model: DataFrame, policy: str = "accept", o
     out = out.withColumn("found", found).withColumn("rank", F.coalesce("rank", "_own")).drop("_known", "_own")
     if policy == "reject" and not out.where("rank is null").isEmpty():
         raise ValueError("choices without a rank")
-    return out if policy == "reject" else out.where("rank is not null or found = 'missing'") if policy == "audit" else out.where("rank is not null")
+    if policy == "audit":
+        return out.where("rank is not null or found = 'missing'")
+    return out.where("rank is not null")
 
 
 def report(result: DataFrame) -> dict[str, DataFrame]:

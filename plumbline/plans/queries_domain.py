@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions import numeric, text
@@ -159,13 +159,7 @@ def _choices(t: Tables, history: int = 3) -> DataFrame:
     """The twelve largest parts as a list of choices."""
     top = t.part.orderBy(F.desc("p_retailprice"), "p_partkey").limit(12)
     by = top.selectExpr("p_partkey as choice", "20000.0 + 2500 * (p_partkey % 17) as rank", "p_type as family", "p_size as plan_count", "p_size % 2 = 0 as region")
-    return by.withColumn("history", F.lit(history)).withColumn("order", F.rank().over(_by("choice")))
-
-
-def _by(column: str):
-    from pyspark.sql import Window
-
-    return Window.orderBy(column)
+    return by.withColumn("history", F.lit(history)).withColumn("order", F.rank().over(Window.orderBy("choice")))
 
 
 _LANDING_SQL = f"""WITH {_SAMPLES_SQL}, c AS (SELECT p_partkey AS choice, 20000.0 + 2500 * (p_partkey % 17) AS r, p_type AS cf, p_size::DOUBLE AS cp, p_size % 2 = 0 AS cr, p_size AS ps FROM part ORDER BY p_retailprice DESC, p_partkey LIMIT 12),
