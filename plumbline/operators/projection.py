@@ -68,3 +68,22 @@ def packets(df: DataFrame, group: str, name: str, fields: Sequence[str]) -> Data
     return df.groupBy(group).agg(
         F.array_sort(F.collect_list(F.struct(*fields))).alias("rows"), F.array_sort(F.collect_set(name)).alias("names"), F.count(F.lit(1)).alias("n_rows"), F.count_distinct(name).alias("n_names")
     )
+
+
+def repair_where(df: DataFrame, known: dict[str, object], set_to: dict[str, Column | object]) -> DataFrame:
+    """df with the given values in rows that have exactly the known ones: a repair of one known fault."""
+    hit = F.lit(True)
+    for c, v in known.items():
+        hit = hit & F.col(c).eqNullSafe(F.lit(v))
+    return df.withColumns({c: F.when(hit, v if isinstance(v, Column) else F.lit(v)).otherwise(F.col(c)) for c, v in set_to.items()})
+
+
+def history_line(year: int, rank: Column, score: Column, admitted: Column, level: Column) -> Column:
+    """A year's record as one line of text; null without a rank and a score."""
+    parts = F.concat_ws(", ", F.concat(F.lit("score "), score.cast("string")), F.concat(F.lit("rank "), rank.cast("string")), F.concat(F.lit("admitted "), admitted.cast("string")), level)
+    return F.when(rank.isNotNull() | score.isNotNull(), F.concat(F.lit(f"{year}: "), parts))
+
+
+def header_counts(df: DataFrame, shown: Column, matched: Column, tagged: Column) -> DataFrame:
+    """One row: all rows, those shown, matched and tagged."""
+    return df.agg(F.count(F.lit(1)).alias("n"), F.count_if(shown).alias("shown"), F.count_if(matched).alias("matched"), F.count_if(tagged).alias("tagged"))

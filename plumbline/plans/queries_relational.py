@@ -240,3 +240,37 @@ def tag_filters(t: Tables) -> DataFrame:
 def manual_drops(t: Tables) -> DataFrame:
     rows = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
     return filters.drop_listed(rows, [("A", "7")], "n_name", "s_name").select("s_suppkey", "n_name")
+
+
+@query("""SELECT label, n::BIGINT AS n, round(n / (SELECT count(*) FROM documents), 8) AS share, high::BIGINT AS high FROM (SELECT label, count(*) AS n, sum((c = 'high')::INT) AS high FROM (SELECT lang AS label, CASE WHEN doc_id % 2 = 0 THEN 'high' ELSE 'low' END AS c FROM documents UNION ALL SELECT source, 'low' FROM documents) GROUP BY label)""")
+def coverage_summary(t: Tables) -> DataFrame:
+    entries = F.array(
+        F.struct(F.col("lang").alias("label"), F.when(F.col("doc_id") % 2 == 0, "high").otherwise("low").alias("confidence")), F.struct(F.col("source").alias("label"), F.lit("low").alias("confidence"))
+    )
+    got = aggregates.coverage(t.documents, entries)
+    return got.select("label", "n", F.round("share", 8).alias("share"), F.coalesce(F.try_element_at("confidences", F.lit("high")), F.lit(0)).cast("long").alias("high"))
+
+
+@query("""SELECT p_brand, p_partkey, CASE WHEN lead(p_partkey) OVER w IS NULL THEN 1.0 ELSE sum(p_size) OVER w / sum(p_size) OVER (PARTITION BY p_brand) END::DOUBLE AS cumulative FROM part WINDOW w AS (PARTITION BY p_brand ORDER BY p_partkey)""")
+def cumulative_weights(t: Tables) -> DataFrame:
+    return ranking.cumulative_share(t.part.select("p_brand", "p_partkey", "p_size"), ["p_brand"], ["p_partkey"], "p_size").select("p_brand", "p_partkey", "cumulative")
+
+
+@query("""SELECT o_orderkey, CASE o_orderstatus WHEN 'P' THEN 0 WHEN 'O' THEN 1 ELSE 2 END::INTEGER AS place, CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '1-URGENT' THEN '2-HIGH' ELSE o_orderpriority END AS priority FROM orders""")
+def enum_order_and_repair(t: Tables) -> DataFrame:
+    rows = projection.repair_where(t.orders, {"o_orderstatus": "P", "o_orderpriority": "1-URGENT"}, {"o_orderpriority": "2-HIGH"})
+    return rows.select("o_orderkey", ranking.in_order(F.col("o_orderstatus"), ["P", "O"]).alias("place"), F.col("o_orderpriority").alias("priority"))
+
+
+@query("""SELECT p_partkey, CASE WHEN p_size % 3 > 0 THEN '1998: ' || concat_ws(', ', 'score ' || CASE WHEN p_size % 2 = 0 THEN p_size END, 'rank ' || p_partkey, p_brand) END AS line FROM part""")
+def history_lines(t: Tables) -> DataFrame:
+    there = F.col("p_size") % 3 > 0
+    line = projection.history_line(1998, F.when(there, F.col("p_partkey")), F.when(there & (F.col("p_size") % 2 == 0), F.col("p_size")), F.lit(None).cast("int"), F.col("p_brand"))
+    return t.part.select("p_partkey", line.alias("line"))
+
+
+@query("""SELECT count(*)::BIGINT AS n, count(*) FILTER (c_acctbal > 0)::BIGINT AS shown, count(*) FILTER (c_nationkey IN (SELECT s_nationkey FROM supplier))::BIGINT AS matched, count(*) FILTER (c_mktsegment = 'BUILDING')::BIGINT AS tagged FROM customer""")
+def header_counts(t: Tables) -> DataFrame:
+    known = t.supplier.select(F.col("s_nationkey").alias("c_nationkey"), F.lit(True).alias("known")).distinct()
+    rows = t.customer.join(known, "c_nationkey", "left")
+    return projection.header_counts(rows, F.col("c_acctbal") > 0, F.col("known"), F.col("c_mktsegment") == "BUILDING")
