@@ -20,7 +20,7 @@ from plumbline.llm.textcore import _SPACE, chunks, gram_hashes, mix, ragged_sum,
 #: Each of the two families of features has 2**BITS weights.
 BITS = 16
 #: Labelled rows of each class that the model is fitted to, at most, by the hash of their id.
-PER_CLASS = 1000
+PER_CLASS = 600
 #: Bytes of the character n-grams.
 CHARS = (3, 4)
 #: Feature values are shares of a text, so they are scaled for the fit.
@@ -96,42 +96,44 @@ def sample_features(docs: DataFrame, labels: DataFrame, label: str, per_class: i
 
 
 def fit(rows: list, share: float, steps: int = 80) -> Model:
-    """The model of a sample in which the classes are evened out; share: of class 1 among all labels."""
+    """The model of a sample in which the classes are evened out; share: of class 1 among all labels. Empties rows, to save memory."""
     y = np.array([r["y"] for r in rows], dtype=np.float64)
     size = 1 << BITS
     if len(set(y.tolist())) < 2:  # nothing to tell apart: keep or drop all alike
         bias = 0.0 if not len(y) else 20.0 * (2 * y[0] - 1)
         return Model(np.zeros(size, np.float32), np.zeros(size, np.float32), bias if len(y) else 20.0, 1.0, 0.0)
-    held = np.arange(len(y)) % 4 == 3
-    columns, values, counts = [], [], []
-    for r in rows:
-        own = []
-        for k, (at, n) in enumerate((("w", "wn"), ("c", "cn"))):
-            times = np.frombuffer(r[n], "<i4").astype(np.float32)
-            own.append((np.frombuffer(r[at], "<i4") + k * size, SCALE * times / max(1.0, float(times.sum()))))
-        columns += [o[0] for o in own]
-        values += [o[1] for o in own]
-        counts.append(sum(len(o[0]) for o in own))
-    column, value = np.concatenate(columns), np.concatenate(values)
-    row = np.repeat(np.arange(len(rows)), counts)
-    fitted = ~held[row]
-    column_fit, value_fit, row_fit = column[fitted], value[fitted], row[fitted]
-    even = np.where(y == 1, 0.5 / max(1, y[~held].sum()), 0.5 / max(1, (1 - y[~held]).sum()))
-    w, bias = np.zeros(2 * size), 0.0
+    # The rows that calibrate come last, so that those that fit are the front of every array.
+    order = np.argsort(np.arange(len(y)) % 4 == 3, kind="stable")
+    y, front = y[order], int((np.arange(len(y)) % 4 != 3).sum())
+    counts = [len(rows[i]["w"]) // 4 + len(rows[i]["c"]) // 4 for i in order]
+    column, value = np.empty(sum(counts), dtype=np.int32), np.empty(sum(counts), dtype=np.float32)
+    at = 0
+    for i in order:
+        for k, (where, n) in enumerate((("w", "wn"), ("c", "cn"))):
+            times = np.frombuffer(rows[i][n], "<i4").astype(np.float32)
+            column[at : at + len(times)] = np.frombuffer(rows[i][where], "<i4") + k * size
+            value[at : at + len(times)] = SCALE * times / max(1.0, float(times.sum()))
+            at += len(times)
+    row = np.repeat(np.arange(len(y), dtype=np.int32), counts)
+    rows.clear()
+    fitted = slice(0, sum(counts[:front]))
+    y_fit = y[:front]
+    even = np.where(y_fit == 1, 0.5 / max(1, y_fit.sum()), 0.5 / max(1, (1 - y_fit).sum()))
+    w, bias = np.zeros(2 * size, dtype=np.float32), 0.0
     squares, bias_squares = np.full(2 * size, 1e-6), 1e-6
     for _ in range(steps):  # full batches with steps scaled by feature
-        z = np.bincount(row_fit, w[column_fit] * value_fit, len(rows)) + bias
-        g = np.where(held, 0, (1 / (1 + np.exp(-np.clip(z, -500, 500))) - y) * even)
-        slope = np.bincount(column_fit, g[row_fit] * value_fit, 2 * size) + 1e-5 * w
+        z = np.bincount(row[fitted], w[column[fitted]] * value[fitted], front) + bias
+        g = ((1 / (1 + np.exp(-np.clip(z, -500, 500))) - y_fit) * even).astype(np.float32)
+        slope = np.bincount(column[fitted], g[row[fitted]] * value[fitted], 2 * size) + 1e-5 * w
         squares += slope**2
-        bias_squares += g.sum() ** 2
-        w -= 0.3 * slope / np.sqrt(squares)
-        bias -= 0.3 * g.sum() / np.sqrt(bias_squares)
-    z = np.bincount(row, w[column] * value, len(rows)) + bias
-    on = held if len(set(y[held].tolist())) == 2 else np.ones(len(y), dtype=bool)
+        bias_squares += float(g.sum()) ** 2
+        w -= (0.3 * slope / np.sqrt(squares)).astype(np.float32)
+        bias -= 0.3 * float(g.sum()) / np.sqrt(bias_squares)
+    z = np.bincount(row, w[column] * value, len(y)) + bias
+    on = np.arange(len(y)) >= front if len(set(y[front:].tolist())) == 2 else np.ones(len(y), dtype=bool)
     weight = np.where(y == 1, share / max(1, y[on].sum()), (1 - share) / max(1, (1 - y[on]).sum())) * on
     a, b = calibrate(z, y, weight)
-    return Model(w[:size].astype(np.float32), w[size:].astype(np.float32), float(bias), a, b)
+    return Model(w[:size].copy(), w[size:].copy(), float(bias), a, b)
 
 
 def calibrate(z: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int = 50) -> tuple[float, float]:
