@@ -17,6 +17,8 @@ from plumbline.llm.common import cut, word_count
 BITS = 12
 #: Levels of the histogram. Five cover 60 bits: rows that still share a bucket are taken or left together.
 LEVELS = 5
+#: Sources whose plan is broadcast, and salts of a longer plan.
+BROADCAST_ROWS, SALTS = 10_000, 64
 #: Largest multiple of its tokens that a source's target reaches.
 CAP = 3.0
 #: Weights by the rank of the source, repeating.
@@ -47,8 +49,16 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float =
     )
 
 
-def _same(a: Column, b: Column) -> Column:
-    return a.eqNullSafe(b)
+def _by_source(rows: DataFrame, plan: DataFrame, source: str, salt: Column) -> DataFrame:
+    """rows as r joined to plan, one row for each source, as q.
+
+    A plan of at most BROADCAST_ROWS rows is broadcast; a longer one is repeated for SALTS salts, so that
+    a source with a large part of all rows meets its plan in as many tasks.
+    """
+    if plan.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return rows.alias("r").join(F.broadcast(plan).alias("q"), F.col(source).eqNullSafe(F.col("q.source")))
+    spread = plan.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.alias("r").join(spread.alias("q"), F.col(source).eqNullSafe(F.col("q.source")) & (F.pmod(salt, F.lit(SALTS)) == F.col("q._salt")))
 
 
 def thresholds(rows: DataFrame, budgets: DataFrame, bits: int = BITS, levels: int = LEVELS) -> DataFrame:
@@ -56,14 +66,12 @@ def thresholds(rows: DataFrame, budgets: DataFrame, bits: int = BITS, levels: in
 
     rows: (source, size, u); budgets: (source, budget). Each level reads only the rows of the boundary buckets.
     """
-    now = budgets.select("source", "budget", F.lit(0).cast("long").alias("lo"), F.lit(0).cast("double").alias("had"))
+    now = cut(budgets.select("source", "budget", F.lit(0).cast("long").alias("lo"), F.lit(0).cast("double").alias("had")))
     for level in range(levels):
         width = 1 << (bits * (levels - 1 - level))
-        inside = rows.alias("r").join(now.alias("b"), _same(F.col("r.source"), F.col("b.source"))).where(
-            (F.col("u") >= F.col("lo")) & (F.col("u") < F.col("lo") + F.lit(width << bits))
-        )
+        inside = _by_source(rows, now, "r.source", F.col("u")).where((F.col("u") >= F.col("lo")) & (F.col("u") < F.col("lo") + F.lit(width << bits)))
         hist = inside.groupBy("r.source", F.shiftright(F.col("u") - F.col("lo"), bits * (levels - 1 - level)).alias("k")).agg(
-            F.sum("size").alias("tokens"), F.first("b.budget").alias("budget"), F.first("b.lo").alias("lo"), F.first("b.had").alias("had")
+            F.sum("size").alias("tokens"), F.first("q.budget").alias("budget"), F.first("q.lo").alias("lo"), F.first("q.had").alias("had")
         )
         running = Window.partitionBy("source").orderBy("k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         sums = hist.withColumn("upto", F.col("had") + F.sum("tokens").over(running))
@@ -103,7 +111,8 @@ def _plan(rows: DataFrame, weights: tuple[float, ...], cap: float) -> DataFrame:
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     planned = wanted.withColumn("whole", whole.cast("int")).withColumn("budget", F.col("target") - F.col("whole") * F.col("source_size"))
     below = thresholds(rows.where("size > 0"), planned.where("budget > 0").select("source", "budget"))
-    return planned.alias("p").join(below.alias("t"), _same(F.col("p.source"), F.col("t.source")), "left").select("p.source", "source_size", "target", "whole", "below")
+    joined = planned.alias("p").join(below.alias("t"), F.col("p.source").eqNullSafe(F.col("t.source")), "left")
+    return cut(joined.select("p.source", "source_size", "target", "whole", "below"))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS, cap: float = CAP, seed: int = 0) -> DataFrame:
@@ -117,7 +126,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """
     rows = cut(_rows(docs, id_col, text_col, source_col, seed))
     copies = F.col("whole") + F.when(F.col("u") < F.col("below"), 1).otherwise(0)
-    return rows.alias("r").join(_plan(rows, weights, cap).alias("q"), _same(F.col("r.source"), F.col("q.source"))).select(
+    return _by_source(rows, _plan(rows, weights, cap), "r.source", F.col("u")).select(
         F.col("id").alias(id_col), F.col("r.source").alias("source"), "size", "source_size", "target", copies.cast("int").alias("copies"), (copies * F.col("size")).cast("long").alias("taken")
     )
 
@@ -128,9 +137,12 @@ def apply_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     A row without words, which counts toward no target, stays once. Decisions are made from the same
     expressions as in mix(), on the row itself, so only the plan by source is joined.
     """
-    plan = cut(_plan(cut(_rows(docs, id_col, text_col, source_col, seed).drop("id")), weights, cap))
-    size, u = word_count(F.col(f"d.`{text_col}`")), _u(F.col(f"d.`{id_col}`"), F.col(f"d.`{text_col}`"), seed)
+    plan = _plan(cut(_rows(docs, id_col, text_col, source_col, seed).drop("id")), weights, cap)
+    # Names of the rows' own columns cannot clash with those of the plan.
+    own = docs.select(*[F.col(f"`{c}`").alias(f"d{i}") for i, c in enumerate(docs.columns)])
+    id_, text, source = (f"r.d{docs.columns.index(c)}" for c in (id_col, text_col, source_col))
+    size, u = word_count(F.col(text)), _u(F.col(id_), F.col(text), seed)
     copies = F.when(size == 0, 1).otherwise(F.col("q.whole") + F.when(u < F.col("q.below"), 1).otherwise(0))
-    joined = docs.alias("d").join(plan.alias("q"), _same(F.col(f"d.`{source_col}`").cast("string"), F.col("q.source")))
+    joined = _by_source(own.withColumn("source", F.col(source.removeprefix("r.")).cast("string")), plan, "r.source", u)
     repeats = F.filter(F.sequence(F.lit(1), F.greatest(copies, F.lit(1))), lambda k: k <= copies)
-    return joined.select(*[F.col(f"d.`{c}`") for c in docs.columns], F.explode(repeats).alias("_copy")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return joined.select(*[f"r.d{i}" for i in range(len(docs.columns))], F.explode(repeats)).select(*[F.col(f"d{i}").alias(c) for i, c in enumerate(docs.columns)])
