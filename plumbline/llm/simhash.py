@@ -10,13 +10,13 @@ of every pair of blocks finds every link.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import cut, unsigned
@@ -227,14 +227,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return marked.join(reps, "fingerprint", "left").select(F.col("id").alias(id_col), unsigned("fingerprint").alias("fingerprint"), F.col("component").alias("component_id"))
 
 
-#: Members of a group that are held against its representative in one task, on average.
+#: Members of a group that are held against those that stay in one task, on average.
 GROUP_ROWS = 1024
-
-
-def _similarity(a: np.ndarray, b: np.ndarray) -> float:
-    """Share of the distinct shingles of both that they have in common; two texts without words are the same."""
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return both / (len(a) + len(b) - both) if len(a) or len(b) else 1.0
+#: Members of a group that are compared among themselves in one task.
+BLOCK_ROWS = 256
 
 
 def _shingle_set(text: bytes, shingle: int) -> np.ndarray:
@@ -242,40 +238,128 @@ def _shingle_set(text: bytes, shingle: int) -> np.ndarray:
     return np.unique(gram_hashes(words, min(shingle, len(words)))) if len(words) else words
 
 
-def verified(docs: DataFrame, groups: DataFrame, shingle: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
-    """(drop_id): members of groups whose shingles are similar enough to those of the group's representative.
+class _Sets:
+    """Sets of shingles, indexed by shingle."""
+
+    def __init__(self, sets: list[np.ndarray]) -> None:
+        self.sizes = np.array([len(s) for s in sets], dtype=np.int64)
+        values = np.concatenate([np.zeros(0, dtype=np.uint64), *sets])
+        by = np.argsort(values, kind="stable")
+        self.values, self.owner = values[by], np.repeat(np.arange(len(sets)), self.sizes)[by]
+
+    def similarity(self, own: np.ndarray) -> np.ndarray:
+        """For each set, the share of the distinct shingles of both that it has in common with own; two texts without words are the same."""
+        lo, hi = np.searchsorted(self.values, own, "left"), np.searchsorted(self.values, own, "right")
+        n = hi - lo
+        at = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
+        both = np.bincount(self.owner[at], minlength=len(self.sizes))
+        union = self.sizes + len(own) - both
+        return np.where(union > 0, both / np.maximum(union, 1), 1.0)
+
 
-    Texts of group members only are dealt by group, with the representative's first; a large group goes to
-    as many tasks as it needs, each with the representative.
+_LEFT = "id long, rep long, shingles binary"
+
+
+def _left(found: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+    ids, reps, sets = zip(*found, strict=True) if found else ((), (), ())
+    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(reps, pa.int64()), pa.array(sets, pa.binary())], names=["id", "rep", "shingles"])
+
+
+def _held(roles: DataFrame, similarity: float, read: Callable[[bytes], np.ndarray]) -> DataFrame:
+    """(id, rep, shingles) of the rows of role 1 that are similar to none of role 0 with the same rep and salt.
+
+    roles: id, rep, salt, role, cell; read gives the shingles of a cell. Rows that repeat an id go if one of them does.
     """
-    members = cut(groups.where(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias("id"), F.col("component_id").alias("rep")).distinct())
-    sizes = members.groupBy("rep").agg(F.count(F.lit(1)).alias("n")).withColumn("salts", F.ceil(F.col("n") / GROUP_ROWS).cast("int"))
-    roles = members.join(sizes, "rep").select("id", "rep", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("role"))
-    roles = roles.union(sizes.select(F.col("rep").alias("id"), "rep", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("role")))
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(roles, "id")
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, first = None, None
+        key, kept, index, last = None, [], None, None  # last: id, rep and shingles of the member at hand; no shingles if it goes
         for batch in batches:
             out = []
             reps, salts, roles_, ids = (batch.column(c).to_pylist() for c in ("rep", "salt", "role", "id"))
-            for rep, salt, role, id_, text in zip(reps, salts, roles_, ids, binary(batch.column("text")), strict=True):
-                own = _shingle_set(text or b"", shingle)
+            for rep, salt, role, id_, cell in zip(reps, salts, roles_, ids, binary(batch.column("cell")), strict=True):
+                own = read(cell or b"")
+                if key != (rep, salt):
+                    key, kept, index = (rep, salt), [], None
                 if role == 0:
-                    key, first = (rep, salt), own
-                elif key == (rep, salt) and _similarity(first, own) >= similarity:
-                    out.append(id_)
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], names=["drop_id"])
+                    kept.append(own)
+                    continue
+                index = index or _Sets(kept)
+                left = own.tobytes() if (index.similarity(own) < similarity).all() else None
+                if last and last[:2] == (id_, rep):
+                    left = None if left is None or last[2] is None else min(left, last[2])
+                elif last and last[2] is not None:
+                    out.append(last)
+                    if len(out) >= BLOCK_ROWS:
+                        yield _left(out)
+                        out = []
+                last = (id_, rep, left)
+            yield _left(out)
+        if last and last[2] is not None:
+            yield _left([last])
+
+    return roles.repartition("rep", "salt").sortWithinPartitions("rep", "salt", "role", "id").mapInArrow(compare, _LEFT)
+
+
+def _first_of_each(block: DataFrame, similarity: float) -> DataFrame:
+    """The rows (id, rep, shingles) of block that are similar to none with the same rep and a smaller id that stays."""
 
-    return texts.repartition("rep", "salt").sortWithinPartitions("rep", "salt", "role").mapInArrow(compare, "drop_id long").distinct()
+    def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, ["rep"], BLOCK_ROWS):
+            ids, reps = table.column("id").to_pylist(), table.column("rep").to_numpy()
+            sets = [np.frombuffer(c or b"", np.uint64) for c in binary(table.column("shingles").combine_chunks())]
+            edges = np.flatnonzero(np.concatenate(([True], reps[1:] != reps[:-1], [True])))
+            out = []
+            for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                index, stays = _Sets(sets[lo:hi]), np.ones(hi - lo, dtype=bool)
+                for i in range(hi - lo):
+                    if stays[i]:
+                        out.append((ids[lo + i], int(reps[lo]), sets[lo + i].tobytes()))
+                        stays[i + 1 :] &= (index.similarity(sets[lo + i]) < similarity)[i + 1 :]
+            yield _left(out)
+
+    return block.repartition("rep").sortWithinPartitions("rep", "id").mapInArrow(compare, _LEFT)
+
+
+def _dealt(members: DataFrame, leaders: DataFrame) -> DataFrame:
+    """members (id, rep, ...) as role 1, a large group under as many salts as it needs, and leaders (id, rep, ...) as role 0 under each salt."""
+    cells = members.columns[2:]
+    sizes = members.groupBy("rep").agg(F.count(F.lit(1)).alias("n")).select("rep", F.ceil(F.col("n") / GROUP_ROWS).cast("int").alias("salts"))
+    roles = members.join(sizes, "rep").select("id", "rep", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("role"), *cells)
+    each = leaders.join(sizes, "rep").select("id", "rep", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("role"), *cells)
+    return roles.union(each)
+
+
+def verified(docs: DataFrame, groups: DataFrame, shingle: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
+    """(drop_id): members of groups whose shingles are similar enough to those of a member with a smaller id that stays.
+
+    All are held against the group's smallest id first, texts of group members only. Of those left, equal sets of
+    shingles become one; then, round by round, the first BLOCK_ROWS of each group are compared among themselves and
+    the rest with those of them that stay, until none is left. A large group goes to as many tasks as it needs.
+    """
+    members = cut(groups.where(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias("id"), F.col("component_id").alias("rep")).distinct())
+    roles = _dealt(members, members.select(F.col("rep").alias("id"), "rep").distinct())
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("cell")).join(roles, "id")
+    left = cut(_held(texts, similarity, lambda text: _shingle_set(text, shingle)))
+    rest = cut(left.groupBy("rep", F.sha2("shingles", 256).alias("digest")).agg(F.min("id").alias("id"), F.any_value("shingles").alias("shingles")).select("id", "rep", "shingles"))
+    stay = members.select("id", "rep").limit(0)
+    while not rest.isEmpty():
+        place = F.row_number().over(Window.partitionBy("rep").orderBy("id"))
+        # Of ids alone, and no more than BLOCK_ROWS of a group from each task.
+        block = cut(rest.select("id", "rep").withColumn("place", place).where(F.col("place") <= BLOCK_ROWS).select("id", "rep"))
+        first = cut(_first_of_each(rest.join(block, ["id", "rep"]), similarity))
+        stay = stay.union(first.select("id", "rep"))
+        later = cut(rest.join(block, ["id", "rep"], "left_anti"))
+        cells = [x.withColumnRenamed("shingles", "cell") for x in (later, first)]
+        rest = later if later.isEmpty() else cut(_held(_dealt(*cells), similarity, lambda cell: np.frombuffer(cell, np.uint64)))
+    return members.join(stay, ["id", "rep"], "left_anti").select(F.col("id").alias("drop_id")).distinct()
 
 
 def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, radius: int = 2, seed: int = 42, similarity: float = 0.8) -> DataFrame:
     """The rows of docs without those that are near-duplicates of a kept row, all columns kept.
 
-    Of each group of near_duplicates() the row with the smallest id stays, and so do members whose shingles
-    have a similarity (share of distinct shingles in common) below the given one to it: fingerprints find
-    the candidates, and an exact comparison decides. Rows with a null id all stay. Rows that repeat an id are
+    Of each group of near_duplicates() the row with the smallest id stays, and so do, in order of id, members
+    whose shingles have a similarity (share of distinct shingles in common) below the given one to every member
+    that stays before them: fingerprints find the candidates, and an exact comparison decides. Rows with a null id all stay. Rows that repeat an id are
     told apart by nothing: all rows with a kept id stay, and all with a dropped one go.
     """
     # Written, so that both joins below see one result.

@@ -102,6 +102,33 @@ def test_near_copies_go_and_lookalikes_stay(spark, monkeypatch):
     assert {r.doc_id for r in simhash.keep_representatives(df, similarity=1.0).collect()} == set(fps) - {21}
 
 
+def test_no_two_of_a_group_that_stay_are_near_copies(spark, monkeypatch):
+    """Copies that drifted from the smallest id through chained links, and are alike or the same among themselves."""
+    monkeypatch.setattr(simhash, "GROUP_ROWS", 16)
+    monkeypatch.setattr(simhash, "BLOCK_ROWS", 40)
+    rng = np.random.default_rng(5)
+    base = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(400):
+        words = list(base)
+        for at in rng.integers(0, 200, rng.integers(0, 8)):
+            words[at] = f"x{rng.integers(0, 3)}"
+        rows.append((i, " ".join(words)))
+    rows += [(1000 + i, t) for i, t in rows[::4]]
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(196)} for i, t in rows}
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    group = {r.doc_id: r.component_id for r in simhash.near_duplicates(df, shingle=5, radius=4).collect()}
+    alike = lambda i, j: len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])
+    stay = {}
+    for i in sorted(group):
+        if not any(alike(i, j) for j in stay.setdefault(group[i], [])):
+            stay[group[i]].append(i)
+    want = {i for ids in stay.values() for i in ids}
+    assert {r.doc_id for r in simhash.keep_representatives(df, radius=4).collect()} == want
+    only_first = {i for i, c in group.items() if c == i or not alike(i, c)}
+    assert len(only_first) > len(want) and max(map(len, stay.values())) > 80  # more than two rounds
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (101, 100), (7, 7)], "a long, b long")
     got = {r.node: r.component for r in components(links).collect()}
