@@ -240,7 +240,7 @@ def profile_tiers(t: Tables) -> DataFrame:
 
 @query()
 def score_factors(t: Tables) -> DataFrame:
-    rows = t.documents.select("doc_id", F.concat(F.when(F.col("doc_id") % 3 == 0, "本科导师；未见金融课程；").otherwise("四人间；强制早操；金融工程；"), F.substring("text", 1, 20)).alias("e"), F.when(F.col("doc_id") % 4 == 0, "机器人方向").otherwise("").alias("r"), F.when(F.col("doc_id") % 5 == 0, "数学类(中外合作)").otherwise("").alias("m"))
+    rows = t.documents.select("doc_id", F.concat(F.when(F.col("doc_id") % 3 == 0, "本科导师；未见金融课程；").otherwise("四人间；强制早操；金融工程；"), F.col("text")).alias("e"), F.when(F.col("doc_id") % 4 == 0, "机器人方向").otherwise("").alias("r"), F.when(F.col("doc_id") % 5 == 0, "数学类(中外合作)").otherwise("").alias("m"))
     tags = t.documents.select("doc_id", F.lit("双一流").alias("label"), F.when(F.col("lang") == "en", "high").otherwise("low").alias("confidence"))
     return scoring.score_factors(rows, tags, "doc_id", "e", "r", "m")
 
@@ -263,7 +263,7 @@ def triage_domain(t: Tables) -> DataFrame:
         "doc_id", F.when(F.col("source") == "src1", "双一流大学").otherwise("某学院").alias("college_name"), F.when(F.col("lang") == "en", "core_cs_ai").otherwise("target_class").alias("major_category"),
         F.when(F.col("doc_id") % 5 == 0, "A").when(F.col("doc_id") % 5 == 1, "C").otherwise("B").alias("prescreen_priority"), F.lit("100").alias("prescreen_score"), F.when(F.col("doc_id") % 7 == 0, "远保底").otherwise("稳").alias("rank_band"),
         F.when(F.col("n_chars") < 100, "not_found").otherwise("ok").alias("crawl_status"), F.when(F.col("toxic") == 1, "off_target_courses;small_plan").otherwise("").alias("risk_tags"), F.when(F.col("quality") == 0, "").otherwise("s1;s2").alias("source_ids"),
-        F.when(F.col("doc_id") % 11 == 0, "6万/年").otherwise("").alias("tuition_raw"), F.lit("5000").alias("tuition"), F.substring("text", 1, 80).alias("research_resources_notes"),
+        F.when(F.col("doc_id") % 11 == 0, "6万/年").otherwise("").alias("tuition_raw"), F.lit("5000").alias("tuition"), F.col("text").alias("research_resources_notes"),
     )
     got = triage.triage_items(rows)
     return got.select("doc_id", "triage_bucket", "drop_reasons", "borderline_reasons", "audit_notes", "ceiling_level", "core_missing_count", "tuition_rmb_estimate")

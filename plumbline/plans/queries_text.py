@@ -78,9 +78,14 @@ def row_haystack(t: Tables) -> DataFrame:
     return t.conversations.select("conv_id", "turn", text.haystack(F.col("role"), F.substring("text", 1, 20)).alias("hay"))
 
 
+@query("""SELECT conv_id, turn, lower(concat_ws(' ', nullif(role, ''), nullif(text, ''))) AS hay FROM conversations""")
+def row_haystack_whole(t: Tables) -> DataFrame:
+    return t.conversations.select("conv_id", "turn", text.haystack(F.col("role"), F.col("text")).alias("hay"))
+
+
 @query()
 def negation_window(t: Tables) -> DataFrame:
-    x = F.concat(F.lit("未见"), F.substring("text", 1, 30), F.lit("导师。有导师"), F.substring("text", 31, 30))
+    x = F.concat(F.lit("未见"), F.col("text"), F.lit("导师"))
     return t.documents.select("doc_id", udfs.contains_unnegated(x, ["导师"]).alias("asserted"), udfs.contains_unnegated(F.col("text"), ["the", "der"]).alias("the"))
 
 
@@ -94,7 +99,7 @@ def line_scan(t: Tables) -> DataFrame:
 def line_parser(t: Tables) -> DataFrame:
     """Conversations as printed pages: first turns are headers, later ones rows with numbers at the end."""
     line = F.when(F.col("turn") == 0, F.concat(F.lpad(F.pmod("conv_id", F.lit(9000)).cast("string"), 4, "0"), F.lit("name"), F.col("conv_id"), F.lit("(浙江·杭州)"))).otherwise(
-        F.concat(F.substring_index("text", " ", 2), F.lit(" "), F.length("text"), F.lit(" 4 600 590 12345"))
+        F.concat(text.squeeze(F.col("text")), F.lit(" "), F.length("text"), F.lit(" 4 600 590 12345"))
     )
     pages = t.conversations.select("conv_id", "turn", F.regexp_replace(line, r"[()\r\n](?=.*\d$)", " ").alias("line"))
     got = readers.parse_records(readers.kept_lines(pages), ["浙江", "北京"], "conv_id", ["turn"])
