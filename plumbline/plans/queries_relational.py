@@ -60,6 +60,12 @@ def unique_key_lookup(t: Tables) -> DataFrame:
     return joins.lookup_unique(t.lineitem.where("l_linenumber = 1"), dim.drop("p_name"), ["l_partkey"]).select("l_orderkey", "l_linenumber", "p_brand")
 
 
+@query("""SELECT l_orderkey, l_linenumber, p_brand FROM lineitem LEFT JOIN (SELECT p_name, any_value(p_brand) AS p_brand, any_value(p_partkey) AS k FROM part GROUP BY p_name HAVING count(*) = 1) ON k = l_partkey""")
+def unique_key_lookup_all(t: Tables) -> DataFrame:
+    dim = joins.unique_rows(t.part.select("p_name", "p_brand", F.col("p_partkey").alias("l_partkey")), ["p_name"])
+    return joins.lookup_unique(t.lineitem, dim.drop("p_name"), ["l_partkey"]).select("l_orderkey", "l_linenumber", "p_brand")
+
+
 @query("""SELECT o_custkey, arg_max(o_orderkey, o_orderkey) AS last_order, arg_min(o_orderkey, o_orderkey) AS first_order FROM orders GROUP BY o_custkey""")
 def first_last_wins(t: Tables) -> DataFrame:
     rows = t.orders.select("o_custkey", "o_orderkey")
