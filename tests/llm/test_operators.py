@@ -411,6 +411,14 @@ def test_cascade_is_exact(spark):
     assert len(urls.build(universe.where("pmod(xxhash64(key), 5) = 0"), universe).levels) > 2
 
 
+def test_the_whole_unlicense(spark):
+    whole = licences.TEXTS["Unlicense"]
+    start = whole[: whole.index(" In jurisdictions")]
+    df = spark.createDataFrame([(1, whole.replace(". ", ".\n\n")), (2, start)], "doc_id long, text string")
+    assert "IN NO EVENT SHALL" in whole and whole.endswith("<https://unlicense.org/>")
+    assert {r.doc_id: r.licence for r in licences.scan(df).collect()} == {1: "Unlicense", 2: None}
+
+
 def test_licences(spark, docs, none):
     mit = licences.TEXTS["MIT"]
     odd = [
