@@ -87,6 +87,14 @@ def outer_diff(t: Tables) -> DataFrame:
     return joins.outer_difference(left, right, "doc_id", ["flag"]).select("doc_id", "side", F.array_join("changed", ",").alias("changed"))
 
 
+@query("""SELECT coalesce(d.doc_id, l.doc_id) AS doc_id, CASE WHEN l.doc_id IS NULL THEN 'missing' WHEN d.doc_id IS NULL THEN 'extra' ELSE 'both' END AS side, CASE WHEN d.doc_id IS NOT NULL AND l.doc_id IS NOT NULL THEN 'flag' ELSE '' END AS changed
+FROM (SELECT doc_id, CASE WHEN n_chars > 500 THEN 1 ELSE 0 END AS flag FROM documents) d FULL JOIN (SELECT doc_id, quality AS flag FROM labels) l USING (doc_id) WHERE d.doc_id IS NULL OR l.doc_id IS NULL OR d.flag IS DISTINCT FROM l.flag""")
+def outer_diff_all(t: Tables) -> DataFrame:
+    left = t.documents.select("doc_id", (F.col("n_chars") > 500).cast("int").alias("flag"))
+    right = t.labels.select("doc_id", F.col("quality").cast("int").alias("flag"))
+    return joins.outer_difference(left, right, "doc_id", ["flag"]).select("doc_id", "side", F.array_join("changed", ",").alias("changed"))
+
+
 @query("""SELECT p_partkey, ref FROM (SELECT p_partkey, unnest([p_partkey % 120, p_size]) AS ref FROM part) WHERE ref NOT IN (SELECT s_suppkey FROM supplier)""")
 def ref_integrity(t: Tables) -> DataFrame:
     ids = F.array((F.col("p_partkey") % 120).cast("long"), F.col("p_size").cast("long"))

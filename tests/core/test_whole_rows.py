@@ -6,3 +6,18 @@ from plumbline.plans import registry
 def test_lookup_has_every_line(spark, sf):
     got = registry.QUERIES["unique_key_lookup_all"](spark, sf)
     assert got.count() == spark.read.parquet(f"{sf}/lineitem.parquet").count() > got.where("l_linenumber = 1").count()
+
+
+def test_difference_compares_every_document(spark, sf):
+    docs = {r.doc_id: int(r.n_chars > 500) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    want = {i: "missing" if i not in labels else "extra" if i not in docs else "both" for i in docs.keys() | labels.keys() if docs.get(i) != labels.get(i)}
+    assert {r.doc_id: r.side for r in registry.QUERIES["outer_diff_all"](spark, sf).collect()} == want and any(i % 3 == 0 for i in want)
+
+
+def test_validation_expects_every_document(spark, tmp_path):
+    docs = [(60, "a", "en", "s", 1)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(60, 1, 0)], "doc_id long, quality long, toxic long").write.parquet(f"{tmp_path}/labels.parquet")
+    codes = {r.code for r in registry.QUERIES["validation_issues"](spark, str(tmp_path)).collect()}
+    assert "extra_row" not in codes and any("lang" in c or "mismatch" in c or "changed" in c for c in codes), codes
