@@ -189,6 +189,13 @@ def landing_closed_form(t: Tables) -> DataFrame:
     return got.select("choice", F.round("chance", 6).alias("chance"), F.round("reach", 6).alias("reach"), F.round("admit", 6).alias("admit"))
 
 
+@query()
+def landing_all_choices(t: Tables) -> DataFrame:
+    """Small plans too, with their extra spread and their place in the running product."""
+    got = landing.landing(_choices(t), _samples(t), 45_000.0)
+    return got.select("choice", F.round("chance", 6).alias("chance"), F.round("reach", 6).alias("reach"), F.round("admit", 6).alias("admit"))
+
+
 @query()
 def landing_with_spread(t: Tables) -> DataFrame:
     got = landing.landing(_choices(t, 1), _samples(t), 45_000.0)

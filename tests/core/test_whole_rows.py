@@ -1,6 +1,10 @@
 """Queries that leave no rows of their tables out."""
 
-from plumbline.plans import registry
+import math
+
+import pytest
+
+from plumbline.plans import landing, queries_domain, registry
 
 
 def test_lookup_has_every_line(spark, sf):
@@ -21,3 +25,22 @@ def test_validation_expects_every_document(spark, tmp_path):
     spark.createDataFrame([(60, 1, 0)], "doc_id long, quality long, toxic long").write.parquet(f"{tmp_path}/labels.parquet")
     codes = {r.code for r in registry.QUERIES["validation_issues"](spark, str(tmp_path)).collect()}
     assert "extra_row" not in codes and any("lang" in c or "mismatch" in c or "changed" in c for c in codes), codes
+
+
+def test_landing_has_small_plans(spark, sf):
+    """All twelve choices against a plain sum over their pools."""
+    t = registry.Tables(spark, sf)
+    choices = queries_domain._choices(t).orderBy("order").collect()
+    pool = landing.similarity_pool(queries_domain._choices(t), queries_domain._samples(t)).select("choice", "delta", "weight").collect()
+    z = lambda r: math.log(r / 400_000 / (1 - r / 400_000))
+    want, reach = {}, 1.0
+    for c in choices:
+        chance = 0.0
+        for p in pool:
+            if p.choice == c.choice:
+                gap = z(float(c.rank)) + p.delta / math.sqrt(2) - z(45_000)
+                chance += p.weight * (0.5 * math.erfc(-gap / 0.02 / math.sqrt(2)) if c.plan_count <= 3 else gap >= 0)
+        want[c.choice] = (min(1.0, chance), reach, reach * min(1.0, chance))
+        reach *= 1 - min(1.0, chance)
+    got = {r.choice: (r.chance, r.reach, r.admit) for r in registry.QUERIES["landing_all_choices"](spark, sf).collect()}
+    assert len(got) == 12 == len(want) and all(got[k] == pytest.approx(want[k], abs=2e-6) for k in want)
