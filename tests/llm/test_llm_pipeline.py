@@ -8,7 +8,7 @@ from pathlib import Path
 
 import numpy as np
 import pytest
-from test_operators import ODD, brute_components, brute_repeats, brute_targets
+from llm_brute import ODD, brute_components, brute_repeats, brute_targets
 
 import corpus_pipeline
 from plumbline.llm import quality, simhash, substring
