@@ -1,27 +1,17 @@
-"""What the operators of this package share: reading tables, cutting lineage, reserved names."""
+"""What the operators of this package share: reading tables, cutting lineage, words and digits."""
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.sources.storage import settle as cut
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
+__all__ = ["cut", "table", "unsigned", "word_count"]
 
-def cut(df: DataFrame) -> DataFrame:
-    """df, written to the shared checkpoint folder and read from there, so lost executors cost nothing.
 
-    The folder is the one in spark.checkpoint.dir; only where that is unset, as in tests, one of our own is set.
-    """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or os.path.join(tempfile.gettempdir(), "plumbline-checkpoints"))
-    return df.checkpoint(eager=True)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def word_count(text: Column) -> Column:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.textcore import _SPACE, chunks, gram_hashes, mix, ragged_sum, word_hashes
+from plumbline.llm.textcore import _SPACE, byte_grams, chunks, mix, ragged_sum, word_hashes
 
 #: Each of the two families of features has 2**BITS weights.
 BITS = 16
@@ -52,9 +52,9 @@ def _features(texts: list[bytes]) -> tuple[tuple[np.ndarray, np.ndarray], tuple[
     n_words = counts + np.maximum(counts - 1, 0)
     parts, n_chars = [], np.zeros(len(texts), dtype=np.int64)
     for i, t in enumerate(texts):
-        data = np.frombuffer(t, dtype=np.uint8).astype(np.uint64) + np.uint64(1)
+        data = np.frombuffer(t, dtype=np.uint8)
         for n in CHARS:
-            got = (gram_hashes(data, n) >> np.uint64(64 - BITS)).astype(np.int32)
+            got = byte_grams(data, n, BITS)
             parts.append(got)
             n_chars[i] += len(got)
     return (words, n_words), (np.concatenate(parts) if parts else np.zeros(0, np.int32), n_chars)

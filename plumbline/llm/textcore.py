@@ -11,6 +11,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text handled at once.
@@ -18,23 +19,6 @@ CHUNK = 1 << 20
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_powers: dict[int, np.ndarray] = {}
-
-
-def powers(n: int, base: int = _BASE) -> np.ndarray:
-    """base**0 .. base**(n - 1) modulo 2**64; kept per worker, doubled on demand."""
-    have = _powers.get(base)
-    if have is None or len(have) < n:
-        size = max(1 << 12, 1 << (max(n, 1) - 1).bit_length())
-        have = np.ones(size, dtype=np.uint64)
-        have[1:] = np.uint64(base)
-        np.multiply.accumulate(have, out=have)
-        _powers[base] = have
-    return have[:n]
-
-
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijective finaliser on unsigned 64-bit values."""
     h = h ^ (h >> np.uint64(30))
@@ -55,28 +39,73 @@ def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at[0::2], at[1::2]
 
 
+#: The low bytes of a lane of eight, by their number.
+_LOW = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
+_ODD, _STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the bytes of each span; equal bytes have equal hashes wherever they stand."""
-    n = len(data)
-    sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(n), out=sums[1:])
-    raw = (sums[ends] - sums[starts]) * powers(n, _INVERSE)[starts]
-    return mix(raw + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    """A 64-bit hash of the bytes of each span; equal bytes have equal hashes wherever they stand.
+
+    Spans are read in lanes of eight bytes, each mixed into what the ones before gave; those of over 64
+    bytes are given to XXH64. Spans of one length of up to eight bytes never share a hash.
+    """
+    size = ends - starts
+    lanes = np.ndarray((len(data) + 1,), "<u8", np.concatenate((data, np.zeros(8, dtype=np.uint8))), strides=(1,))
+    out = mix((lanes[starts] & _LOW[np.minimum(size, 8)]) ^ (size.astype(np.uint64) * _STEP))
+    more, at = np.flatnonzero((size > 8) & (size <= 64)), 8
+    while len(more):
+        out[more] = mix(out[more] * _ODD + (lanes[starts[more] + at] & _LOW[np.minimum(size[more] - at, 8)]))
+        at += 8
+        more = more[size[more] > at]
+    for i in np.flatnonzero(size > 64).tolist():
+        out[i] = xxhash.xxh64_intdigest(data[starts[i] : ends[i]].tobytes())
+    return out
+
+
+def _join(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return mix(a * _ODD + b)
 
 
 def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
-    """A 64-bit hash of every run of n consecutive entries of an array of word hashes."""
+    """A 64-bit hash of every run of n consecutive entries of an array of word hashes.
+
+    Runs of 1, 2, 4, ... are mixed from two of half the length, and a run of n from those that make it up.
+    """
     count = len(words) - n + 1
     if count <= 0:
         return np.zeros(0, dtype=np.uint64)
-    # Restarting the powers from block to block keeps the tables small for very long arrays.
-    block, out = 1 << 16, np.empty(count, dtype=np.uint64)
+    out, block = np.empty(count, dtype=np.uint64), 1 << 16  # blocks keep the temporaries small
     for lo in range(0, count, block):
         part = words[lo : min(lo + block, count) + n - 1]
-        sums = np.zeros(len(part) + 1, dtype=np.uint64)
-        np.cumsum(part * powers(len(part)), out=sums[1:])
-        got = (sums[n:] - sums[:-n]) * powers(len(part) + 1 - n, _INVERSE)
-        out[lo : lo + len(got)] = mix(got)
+        size, width, at, have, got = len(part) - n + 1, 1, 0, part, None
+        while True:
+            if n & width:
+                own = have[at : at + size]
+                got = own if got is None else _join(got, own)
+                at += width
+            if at == n:
+                break
+            have = _join(have[:-width], have[width:])
+            width *= 2
+        out[lo : lo + size] = got
+    return out
+
+
+def byte_grams(data: np.ndarray, n: int, bits: int) -> np.ndarray:
+    """A number of the given bits for every run of n bytes, n at most 7, by multiplying and shifting."""
+    count = len(data) - n + 1
+    if count <= 0:
+        return np.zeros(0, dtype=np.int32)
+    out, block = np.empty(count, dtype=np.int32), 1 << 15
+    for lo in range(0, count, block):
+        wide = data[lo : min(lo + block, count) + n - 1].astype(np.uint64)
+        packed = np.full(len(wide) - n + 1, n, dtype=np.uint64)
+        for k in range(n):
+            packed <<= np.uint64(8)
+            packed |= wide[k : k + len(packed)]
+        packed *= _ODD
+        out[lo : lo + len(packed)] = packed >> np.uint64(64 - bits)
     return out
 
 

@@ -119,7 +119,7 @@ def test_substring_matches_brute_force(spark, docs):
     want = brute_repeats(rows)
     assert sum(n for _, _, n, _ in want) > 1000
     assert substring_rows(table) == want
-    assert substring_rows(table, group_docs=3) == want  # every shared prefix is lengthened
+    assert substring_rows(table, group_bytes=3) == want  # every shared prefix is lengthened
 
 
 def test_substring_odd_rows(odd, none):
