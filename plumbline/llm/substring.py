@@ -163,8 +163,9 @@ _ALL = b""  # which: all of a row's suffixes
 def _candidates(batch: pa.RecordBatch, texts: list[bytes], window: int, gram: int) -> pa.RecordBatch:
     """The suffixes of the texts whose prefix is shared, ready to be dealt.
 
-    A row is a run of neighbours with its words; or one suffix of a lengthened prefix with its node. What is
-    settled here, as a document of this chunk with a smaller id has the same, goes on as rows with neither.
+    A row is a run of neighbours with its words; or a suffix of a lengthened prefix with its node, and the text's
+    places of it for words. What is settled here, as a document of this chunk with a smaller id has the same, goes
+    on as rows with neither.
     """
     found = _Suffixes(texts, window, gram)
     ids, hashes = batch.column("_key").to_pylist(), batch.column("_hash").to_pylist()
@@ -201,12 +202,16 @@ def _candidates(batch: pa.RecordBatch, texts: list[bytes], window: int, gram: in
     for r, words in runs:
         head = (ids[doc[r]], hashes[doc[r]], start[r], n[r], _ALL)
         out.append((prefix[r], b"", *head, words) if low[words] == head[0] else (head[0] ^ head[1], b"", *head, b""))
+    places: dict[tuple[int, bytes], list[int]] = {}
     for r, nodes in suffixes:
-        id_, hash_ = ids[doc[r]], hashes[doc[r]]
+        id_ = ids[doc[r]]
         settled = np.array([low[node] < id_ for node in nodes])
         if settled.any():
-            out.append((id_ ^ hash_, b"", id_, hash_, start[r], n[r], np.packbits(settled).tobytes(), b""))
-        out += [(int.from_bytes(nodes[k][:8], "little", signed=True), nodes[k], id_, hash_, start[r] + k, 1, _ALL, b"") for k in np.flatnonzero(~settled).tolist()]
+            out.append((id_ ^ hashes[doc[r]], b"", id_, hashes[doc[r]], start[r], n[r], np.packbits(settled).tobytes(), b""))
+        for k in np.flatnonzero(~settled).tolist():
+            places.setdefault((doc[r], nodes[k]), []).append(start[r] + k)
+    for (i, node), starts in places.items():  # once for each text, however often it has the suffix
+        out.append((int.from_bytes(node[:8], "little", signed=True), node, ids[i], hashes[i], starts[0], 1, _ALL, np.array(starts, dtype="<i4").tobytes()))
     columns = list(zip(*out, strict=True)) or [[]] * len(_SENT)
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, (_, k) in zip(columns, _SENT, strict=True)], names=[k for k, _ in _SENT])
 
@@ -246,8 +251,10 @@ def _subtrees(batches: Iterable[pa.RecordBatch], window: int) -> Iterator[pa.Rec
             if nodes[i] != node:
                 node, least = nodes[i], ids[i]
             settled[i] = ids[i] > least
-        if settled.any():
-            yield _all_bits(batch.filter(pa.array(settled)).select(_FOUND))
+        if (settled & bare).any():
+            yield _all_bits(batch.filter(pa.array(settled & bare)).select(_FOUND))
+        if (settled & alone).any():
+            yield _each_place(batch.filter(pa.array(settled & alone)))
         runs = batch.filter(pa.array(~alone & ~bare))
         if runs.num_rows:
             held.append(runs)
@@ -269,6 +276,14 @@ def _all_bits(found: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*found.columns[:4], pa.array(which, pa.binary())], names=_FOUND)
 
 
+def _each_place(found: pa.RecordBatch) -> pa.RecordBatch:
+    places = binary(found.column("words"))
+    row = pa.array(np.repeat(np.arange(len(places)), [len(p) // 4 for p in places]))
+    starts = np.frombuffer(b"".join(places), dtype="<i4")
+    columns = [found.column("id").take(row), found.column("text_hash").take(row), pa.array(starts), pa.array(np.ones(len(starts), dtype=np.int32)), pa.array([b"\x80"] * len(starts), pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, names=_FOUND)
+
+
 def _subtree(table: pa.Table, window: int) -> pa.RecordBatch:
     """The suffixes of whole groups in order: those of one rank to the depth of the window hang below one node."""
     ids, n = table.column("id").to_numpy(), table.column("n").to_numpy()
