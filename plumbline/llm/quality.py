@@ -15,12 +15,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.textcore import _SPACE, byte_grams, chunks, mix, ragged_sum, word_hashes
+from plumbline.llm.textcore import _SPACE, CHUNK, byte_grams, chunks, mix, pieces, ragged_sum, word_hashes
 
 #: Each of the two families of features has 2**BITS weights.
 BITS = 16
 #: Labelled rows of each class that the model is fitted to, at most, by the hash of their id.
 PER_CLASS = 600
+#: Features of each family that a text of the sample gives to the fit, at most; scoring takes all.
+TEXT_FEATURES = 1 << 14
 #: Bytes of the character n-grams.
 CHARS = (3, 4)
 #: Feature values are shares of a text, so they are scaled for the fit.
@@ -60,9 +62,32 @@ def _features(texts: list[bytes]) -> tuple[tuple[np.ndarray, np.ndarray], tuple[
     return (words, n_words), (np.concatenate(parts) if parts else np.zeros(0, np.int32), n_chars)
 
 
+def _blocks(text: bytes) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The feature numbers of one text, words and characters, in blocks of bounded size; together they are those of _features()."""
+    last = np.zeros(0, dtype=np.uint64)
+    for part in pieces(text):
+        own = np.concatenate((last, word_hashes([part])[0]))
+        pairs = mix(own[:-1] * np.uint64(3) + own[1:]) if len(own) else own
+        yield (np.concatenate((own[len(last) :], pairs)) >> np.uint64(64 - BITS)).astype(np.int32), np.zeros(0, dtype=np.int32)
+        last = own[-1:]
+    data = np.frombuffer(text, dtype=np.uint8)
+    for n in CHARS:
+        for lo in range(0, len(data) - n + 1, CHUNK):
+            yield np.zeros(0, dtype=np.int32), byte_grams(data[lo : lo + CHUNK + n - 1], n, BITS)
+
+
 def raw_scores(model: Model, texts: list[bytes]) -> np.ndarray:
     """The model's score before calibration; a text without features scores the bias."""
     out = np.full(len(texts), model.bias)
+    if sum(map(len, texts)) > 2 * CHUNK:
+        for i, t in enumerate(texts):
+            sums, counts = np.zeros(2), np.zeros(2)
+            for block in _blocks(t):
+                for k, (weights, at) in enumerate(zip((model.words, model.chars), block, strict=True)):
+                    sums[k] += weights[at].sum(dtype=np.float64)
+                    counts[k] += len(at)
+            out[i] += SCALE * (sums / np.maximum(counts, 1)).sum()
+        return out
     for weights, (at, counts) in zip((model.words, model.chars), _features(texts), strict=True):
         out += SCALE * ragged_sum(weights[at], counts) / np.maximum(counts, 1)
     return out
@@ -77,22 +102,34 @@ def sample_features(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
     place = F.xxhash64(F.lit("sample"), "doc_id")
     picked = known.where("y = 0").orderBy(place).limit(per_class).union(known.where("y = 1").orderBy(place).limit(per_class))
-    # At most 2 * per_class rows of two numbers, whatever the input.
-    rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+    # At most 2 * per_class rows of two numbers are broadcast, and as many texts come back: of rows that repeat an id, one.
+    rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(F.max("y").alias("y"), F.min("text").alias("text"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in chunks(batches, "text"):
             columns = [[], [], [], []]
             for t in texts:
-                for k, (at, _) in enumerate(_features([t])):
-                    numbers, times = np.unique(at, return_counts=True)
+                every = np.zeros((2, 1 << BITS), dtype=np.int64)
+                for block in _blocks(t):
+                    for k, at in enumerate(block):
+                        every[k] += np.bincount(at, minlength=1 << BITS)
+                for k in (0, 1):
+                    numbers = _most(every[k])
+                    times = every[k][numbers]
                     columns[2 * k].append(numbers.astype("<i4").tobytes())
                     columns[2 * k + 1].append(times.astype("<i4").tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), *(pa.array(c, pa.binary()) for c in columns)], names=["doc_id", "y", "w", "wn", "c", "cn"])
 
     got = rows.mapInArrow(run, "doc_id long, y int, w binary, wn binary, c binary, cn binary").collect()
-    seen = {r["doc_id"]: r for r in got}  # repeated ids count once, and the order does not depend on the partitions
-    return [seen[k] for k in sorted(seen)]
+    return sorted(got, key=lambda r: r["doc_id"])
+
+
+def _most(times: np.ndarray) -> np.ndarray:
+    """The numbers that occur, at most TEXT_FEATURES of them: the most frequent, smaller numbers first among equals."""
+    numbers = np.flatnonzero(times)
+    if len(numbers) > TEXT_FEATURES:
+        numbers = np.sort(numbers[np.argsort(-times[numbers], kind="stable")[:TEXT_FEATURES]])
+    return numbers
 
 
 def fit(rows: list, share: float, steps: int = 80) -> Model:
@@ -159,28 +196,45 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class:
 
 def base_features(texts: list[bytes]) -> dict[str, np.ndarray]:
     """Counts of each text: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words."""
-    hashes, counts = word_hashes(texts)
-    chars = np.zeros(len(texts), dtype=np.int64)
-    symbols, lines = chars.copy(), chars.copy()
+    n = len(texts)
+    known: dict[bytes, int] = {}
+    give = known.setdefault
+    ids, counts = [np.zeros(0, dtype=np.int64)], np.zeros(n, dtype=np.int64)
+    chars, symbols, lines = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
     for i, t in enumerate(texts):
-        data = np.frombuffer(t, dtype=np.uint8)
-        chars[i] = np.count_nonzero(~_SPACE[data] & ((data & 0xC0) != 0x80))
-        symbols[i] = np.count_nonzero(_SYMBOL[data])
+        for part in pieces(t):
+            data = np.frombuffer(part, dtype=np.uint8)
+            chars[i] += np.count_nonzero(~_SPACE[data] & ((data & 0xC0) != 0x80))
+            symbols[i] += np.count_nonzero(_SYMBOL[data])
+            words = part.split()
+            counts[i] += len(words)
+            ids.append(np.fromiter([give(w, len(known)) for w in words], np.int64, len(words)))
         own = [x for x in t.split(b"\n") if x.strip()]
         lines[i] = len(own) - len(set(own))
-    # Three-word windows of one text that are found twice: all windows are sorted by text and hash at once.
-    grams = gram_hashes(hashes, 3)
-    doc = np.repeat(np.arange(len(counts)), counts)
+    # Words are known by numbers of their own, so windows are equal only if their words are.
+    words, doc = np.concatenate(ids), np.repeat(np.arange(n), counts)
     at = np.flatnonzero(doc[2:] == doc[:-2]) if len(doc) > 2 else np.zeros(0, dtype=np.int64)
-    by = at[np.lexsort((grams[at], doc[at]))]
-    same = (grams[by][1:] == grams[by][:-1]) & (doc[by][1:] == doc[by][:-1])
+    window = _numbered([(doc[at], n), *((words[at + k], len(known)) for k in range(3))])
+    by = np.argsort(window, kind="stable")
+    same = window[by][1:] == window[by][:-1]
     twice = np.zeros(len(by), dtype=bool)
     twice[1:] |= same
     twice[:-1] |= same
-    covered = np.zeros(len(hashes), dtype=bool)
+    covered = np.zeros(len(words), dtype=bool)
     for k in range(3):
-        covered[by[twice] + k] = True
-    return {"n_words": counts.astype(np.int64), "word_chars": chars, "n_symbols": symbols, "n_dup_lines": lines, "n_repeat_words": ragged_sum(covered.astype(np.int64), counts)}
+        covered[at[by[twice]] + k] = True
+    return {"n_words": counts, "word_chars": chars, "n_symbols": symbols, "n_dup_lines": lines, "n_repeat_words": ragged_sum(covered.astype(np.int64), counts)}
+
+
+def _numbered(columns: list[tuple[np.ndarray, int]]) -> np.ndarray:
+    """One number for each row of the columns, the same for the same values; with each column the bound of its values."""
+    out, most = columns[0]
+    for values, bound in columns[1:]:
+        if most * bound >= 1 << 62:
+            out = np.unique(out, return_inverse=True)[1]
+            most = len(out)
+        out, most = out * bound + values, most * max(1, bound)
+    return out
 
 
 def judge(docs: DataFrame, model: Model, keep: float = KEEP, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
