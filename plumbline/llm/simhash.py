@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from plumbline.llm.common import cut, unsigned
 from plumbline.llm.components import components
-from plumbline.llm.textcore import binary, gram_hashes, ragged_sum, word_hashes
+from plumbline.llm.textcore import CHUNK, binary, chunks, gram_hashes, mix, pieces, ragged_sum, word_hashes
 
 #: Rows of a partition that are compared in one task; larger partitions are dealt out as pairs of tiles.
 PARTITION_ROWS = 8192
@@ -47,17 +47,43 @@ def _shingle_hashes(text: bytes, shingle: int, seed: int) -> list[int]:
 def _fingerprints(texts: list[bytes], shingle: int, seed: int) -> np.ndarray:
     out, group, size = [], [], 0
     for i, text in enumerate(texts):
+        if len(text) > CHUNK:
+            out += [_majority(group), _long_fingerprint(text, shingle, seed)]
+            group, size = [], 0
+            continue
         group.append(_shingle_hashes(text, shingle, seed))
         size += len(group[-1])
-        if size > 100_000 or i == len(texts) - 1:
+        if size > 100_000:
             out.append(_majority(group))
             group, size = [], 0
-    return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
+    out.append(_majority(group))
+    return np.concatenate(out)
+
+
+def _long_fingerprint(text: bytes, shingle: int, seed: int) -> np.ndarray:
+    """The fingerprint of one text, read in blocks."""
+    total, ones, carried = 0, np.zeros((1, 64), dtype=np.int64), b""
+    for part in pieces(text):
+        words = (carried + b" " + part).split()
+        if len(words) >= shingle:
+            hashes = _shingle_hashes(b" ".join(words), shingle, seed)
+            total += len(hashes)
+            ones += _ones([hashes], np.array([len(hashes)]))
+            words = words[len(words) - shingle + 1 :]
+        carried = b" ".join(words)
+    if not total:
+        return _majority([_shingle_hashes(carried, shingle, seed)])
+    return np.packbits(ones * 2 > total, axis=1, bitorder="little").view("<u8").ravel()
 
 
 def _majority(group: list[list[int]]) -> np.ndarray:
     """Bits that are set in over half of the hashes of each list; 0 for an empty list."""
     counts = np.array([len(g) for g in group], dtype=np.int64)
+    return np.packbits(_ones(group, counts) * 2 > counts[:, None], axis=1, bitorder="little").view("<u8").ravel()
+
+
+def _ones(group: list[list[int]], counts: np.ndarray) -> np.ndarray:
+    """How many hashes of each list have each bit."""
     ones = np.zeros((len(group), 64), dtype=np.int64)
     rows = np.array([h for g in group for h in g], dtype="<u8")
     block = 1 << 17  # hashes whose bits are unpacked at once
@@ -66,7 +92,7 @@ def _majority(group: list[list[int]]) -> np.ndarray:
         ends = np.cumsum(counts)
         own = np.clip(ends, lo, lo + len(part)) - np.clip(ends - counts, lo, lo + len(part))
         ones += ragged_sum(np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"), own)
-    return np.packbits(ones * 2 > counts[:, None], axis=1, bitorder="little").view("<u8").ravel()
+    return ones
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, seed: int = 42) -> DataFrame:
@@ -95,9 +121,8 @@ def _block_masks(radius: int) -> list[int]:
     return [int(np.uint64(a | b).astype(np.int64)) for a, b in combinations(blocks, 2)]
 
 
-def near(fps: np.ndarray, group: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions (i, j) of all fingerprints of one group that are within the radius; rows come sorted by group, then population count."""
-    left, right = [], []
+def near(fps: np.ndarray, group: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions (i, j) of all fingerprints of one group that are within the radius, tile by tile; rows come sorted by group, then population count."""
     edges = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1], [True]))) if len(group) else np.zeros(1, dtype=np.int64)
     sizes = np.diff(edges)
     small = np.repeat(sizes <= 32, sizes)
@@ -106,8 +131,7 @@ def near(fps: np.ndarray, group: np.ndarray, radius: int) -> tuple[np.ndarray, n
         if not len(a):
             break
         hit = a[np.bitwise_count(fps[a] ^ fps[a + step]) <= radius]
-        left.append(hit)
-        right.append(hit + step)
+        yield hit, hit + step
     for lo, hi in zip(edges[:-1][sizes > 32].tolist(), edges[1:][sizes > 32].tolist(), strict=True):
         pop = np.bitwise_count(fps[lo:hi]).astype(np.int16)
         for i in range(lo, hi, TILE):
@@ -118,24 +142,22 @@ def near(fps: np.ndarray, group: np.ndarray, radius: int) -> tuple[np.ndarray, n
                 b = fps[j : min(j + TILE, hi)]
                 x, y = np.nonzero(np.bitwise_count(a[:, None] ^ b[None, :]) <= radius)
                 keep = x + i < y + j
-                left.append(x[keep] + i)
-                right.append(y[keep] + j)
-    none = np.zeros(0, dtype=np.int64)
-    return np.concatenate([none, *left]), np.concatenate([none, *right])
+                yield x[keep] + i, y[keep] + j
 
 
-def forest(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """The smallest position that each of n positions reaches by the links."""
+def forest(n: int, links: Iterable[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """The smallest position that each of n positions reaches by the links, which come in parts."""
     root = np.arange(n)
-    while True:
-        low = np.minimum(root[left], root[right])
-        before = root.copy()
-        np.minimum.at(root, left, low)
-        np.minimum.at(root, right, low)
-        np.minimum.at(root, before, root.copy())
-        root = root[root]
-        if np.array_equal(root, before):
-            return root
+    for left, right in links:
+        while len(left):
+            a, b = root[left], root[right]
+            open_ = a != b
+            left, right, low = left[open_], right[open_], np.minimum(a, b)[open_]
+            np.minimum.at(root, a[open_], low)
+            np.minimum.at(root, b[open_], low)
+            while not np.array_equal(root, root[root]):
+                root = root[root]
+    return root
 
 
 def links(fps: DataFrame, radius: int = 2, partition_rows: int = PARTITION_ROWS) -> DataFrame:
@@ -148,6 +170,15 @@ def links(fps: DataFrame, radius: int = 2, partition_rows: int = PARTITION_ROWS)
     rows = fps.select(
         "fingerprint", "rep", F.posexplode(F.transform(masks, lambda m: F.col("fingerprint").bitwiseAND(m))).alias("which", "part")
     )
+    return compared(rows, radius, partition_rows)
+
+
+def compared(rows: DataFrame, radius: int, partition_rows: int = PARTITION_ROWS) -> DataFrame:
+    """Links (a, b) that join the fingerprints of each partition that are within the radius.
+
+    rows: (which, part, fingerprint, rep), where which and part name a partition; different ones each time.
+    """
+    # A partition of one row holds no pair. The count meets its rows in as many tasks as the optimizer makes of a large one.
     sizes = rows.groupBy("which", "part").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
     rows = rows.join(sizes, ["which", "part"])
     # A tile is a population count and a salt; tile pairs within the radius get a task of their own.
@@ -179,9 +210,8 @@ def links(fps: DataFrame, radius: int = 2, partition_rows: int = PARTITION_ROWS)
             group = np.cumsum(change)
             by = np.lexsort((np.bitwise_count(fp), group))
             fp, rep, group = fp[by], rep[by], group[by]
-            i, j = near(fp, group, radius)
             nodes, at = np.unique(rep, return_inverse=True)
-            root = forest(len(nodes), at[i], at[j])
+            root = forest(len(nodes), ((at[i], at[j]) for i, j in near(fp, group, radius)))
             linked = np.flatnonzero(root != np.arange(len(nodes)))
             yield pa.RecordBatch.from_arrays([pa.array(nodes[linked]), pa.array(nodes[root[linked]])], names=["a", "b"])
 
@@ -227,10 +257,81 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return marked.join(reps, "fingerprint", "left").select(F.col("id").alias(id_col), unsigned("fingerprint").alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+#: Partitions of the candidate search that a text belongs to, and smallest shingles that name each.
+BANDS, BAND_SHINGLES = 8, 4
+#: Bits in which the fingerprints of two candidates differ at most.
+CANDIDATE_RADIUS = 20
+_SEEDS = np.array([2 * xxhash.xxh64_intdigest(str(i), 5) + 1 & 0xFFFFFFFFFFFFFFFF for i in range(BANDS * BAND_SHINGLES)], dtype=np.uint64)
+
+
+def _smallest(grams: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The smallest of each run of grams under each permutation; runs begin at starts."""
+    return np.stack([np.minimum.reduceat(grams * seed, starts) for seed in _SEEDS], axis=1)
+
+
+def _band_keys(texts: list[bytes], shingle: int) -> list[np.ndarray]:
+    """The names of the partitions of each text: each from the shingles that are smallest under some permutations; none for a text without words."""
+    least = np.full((len(texts), len(_SEEDS)), np.iinfo(np.uint64).max, dtype=np.uint64)
+    counts = np.zeros(len(texts), dtype=np.int64)
+    if sum(map(len, texts)) <= 2 * CHUNK:
+        words, counts = word_hashes([t.lower() for t in texts])
+        first, n = np.cumsum(counts) - counts, counts - shingle + 1
+        full = np.flatnonzero(n > 0)
+        if len(full):
+            at = np.repeat(first[full] - (np.cumsum(n[full]) - n[full]), n[full]) + np.arange(n[full].sum())
+            least[full] = _smallest(gram_hashes(words, shingle)[at], np.cumsum(n[full]) - n[full])
+        for i in np.flatnonzero((counts > 0) & (n <= 0)).tolist():  # fewer words than a shingle
+            least[i] = gram_hashes(words[first[i] : first[i] + counts[i]], int(counts[i])) * _SEEDS
+    else:
+        for i, text in enumerate(texts):
+            last = np.zeros(0, dtype=np.uint64)
+            for part in pieces(text.lower()):
+                own = word_hashes([part])[0]
+                counts[i] += len(own)
+                own = np.concatenate((last, own))
+                if len(own) >= shingle:
+                    least[i] = np.minimum(least[i], _smallest(gram_hashes(own, shingle), np.zeros(1, dtype=np.int64))[0])
+                    own = own[len(own) - shingle + 1 :]
+                last = own
+            if 0 < counts[i] < shingle:
+                least[i] = gram_hashes(last, len(last)) * _SEEDS
+    bands = least.reshape(len(texts), BANDS, BAND_SHINGLES)
+    keys = np.broadcast_to(mix(np.arange(BANDS, dtype=np.uint64)), (len(texts), BANDS))
+    for k in range(BAND_SHINGLES):
+        keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + bands[:, :, k])
+    return [k if n else k[:0] for k, n in zip(keys, counts.tolist(), strict=True)]
+
+
+def candidate_groups(docs: DataFrame, id_col: str, text_col: str, shingle: int, radius: int, seed: int) -> DataFrame:
+    """(id, rep) of the rows with an id: rep is the smallest id of the group of candidates.
+
+    Fingerprints within the radius are linked if they meet in a partition. Partitions are named by sets of
+    smallest shingles, which texts with a similarity of s have in common with probability s**BAND_SHINGLES for
+    each of BANDS partitions; equal fingerprints are always linked.
+    """
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in chunks(batches, "text"):
+            prints = _fingerprints(texts, shingle, seed).view(np.int64)
+            keys = _band_keys(texts, shingle)
+            offsets = np.concatenate(([0], np.cumsum([len(k) for k in keys]))).astype(np.int32)
+            bands = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(prints), bands], names=["id", "fingerprint", "bands"])
+
+    marked = cut(rows.mapInArrow(run, "id long, fingerprint long, bands array<long>"))
+    distinct = cut(marked.groupBy("fingerprint").agg(F.min("id").alias("rep")))
+    # Copies have partitions and fingerprint in common: they are one row before anything is dealt.
+    parts = marked.select("fingerprint", F.posexplode("bands").alias("which", "part")).distinct()
+    found = components(compared(parts.join(distinct, "fingerprint").select("which", "part", "fingerprint", "rep"), radius))
+    reps = distinct.join(found, distinct["rep"] == found["node"], "left").select("fingerprint", F.coalesce("component", "rep").alias("rep"))
+    return marked.select("id", "fingerprint").join(reps, "fingerprint").select("id", "rep")
+
+
 #: Members of a group that are held against those that stay in one task, on average.
 GROUP_ROWS = 1024
-#: Members of a group that are compared among themselves in one task.
-BLOCK_ROWS = 256
+#: Members of a group that are compared among themselves in one task, and bytes of their shingles.
+BLOCK_ROWS, BLOCK_BYTES = 2048, 4 << 20
 
 
 def _shingle_set(text: bytes, shingle: int) -> np.ndarray:
@@ -330,13 +431,14 @@ def _dealt(members: DataFrame, leaders: DataFrame) -> DataFrame:
 
 
 def verified(docs: DataFrame, groups: DataFrame, shingle: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
-    """(drop_id): members of groups whose shingles are similar enough to those of a member with a smaller id that stays.
+    """(drop_id): members of groups (id, rep) whose shingles are similar enough to those of a member with a smaller id that stays.
 
     All are held against the group's smallest id first, texts of group members only. Of those left, equal sets of
-    shingles become one; then, round by round, the first BLOCK_ROWS of each group are compared among themselves and
-    the rest with those of them that stay, until none is left. A large group goes to as many tasks as it needs.
+    shingles become one; then, round by round, the first of each group, up to BLOCK_ROWS and BLOCK_BYTES, are compared
+    among themselves and the rest with those of them that stay, until none is left. A large group goes to as many
+    tasks as it needs.
     """
-    members = cut(groups.where(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias("id"), F.col("component_id").alias("rep")).distinct())
+    members = cut(groups.where("rep <> id").distinct())
     roles = _dealt(members, members.select(F.col("rep").alias("id"), "rep").distinct())
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("cell")).join(roles, "id")
     left = cut(_held(texts, similarity, lambda text: _shingle_set(text, shingle)))
@@ -344,8 +446,10 @@ def verified(docs: DataFrame, groups: DataFrame, shingle: int, similarity: float
     stay = members.select("id", "rep").limit(0)
     while not rest.isEmpty():
         place = F.row_number().over(Window.partitionBy("rep").orderBy("id"))
+        before = F.sum("bytes").over(Window.partitionBy("rep").orderBy("id").rowsBetween(Window.unboundedPreceding, -1))
         # Of ids alone, and no more than BLOCK_ROWS of a group from each task.
-        block = cut(rest.select("id", "rep").withColumn("place", place).where(F.col("place") <= BLOCK_ROWS).select("id", "rep"))
+        first_ids = rest.select("id", "rep", F.octet_length("shingles").alias("bytes")).withColumn("place", place).where(F.col("place") <= BLOCK_ROWS)
+        block = cut(first_ids.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < BLOCK_BYTES).select("id", "rep"))
         first = cut(_first_of_each(rest.join(block, ["id", "rep"]), similarity))
         stay = stay.union(first.select("id", "rep"))
         later = cut(rest.join(block, ["id", "rep"], "left_anti"))
@@ -354,15 +458,16 @@ def verified(docs: DataFrame, groups: DataFrame, shingle: int, similarity: float
     return members.join(stay, ["id", "rep"], "left_anti").select(F.col("id").alias("drop_id")).distinct()
 
 
-def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, radius: int = 2, seed: int = 42, similarity: float = 0.8) -> DataFrame:
+def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, radius: int = CANDIDATE_RADIUS, seed: int = 42, similarity: float = 0.8) -> DataFrame:
     """The rows of docs without those that are near-duplicates of a kept row, all columns kept.
 
-    Of each group of near_duplicates() the row with the smallest id stays, and so do, in order of id, members
-    whose shingles have a similarity (share of distinct shingles in common) below the given one to every member
-    that stays before them: fingerprints find the candidates, and an exact comparison decides. Rows with a null id all stay. Rows that repeat an id are
-    told apart by nothing: all rows with a kept id stay, and all with a dropped one go.
+    Of each group of candidates the row with the smallest id stays, and so do, in order of id, members whose
+    shingles have a similarity (share of distinct shingles in common) below the given one to every member
+    that stays before them: fingerprints find the candidates, and an exact comparison decides. Rows with a
+    null id all stay. Rows that repeat an id are told apart by nothing: all rows with a kept id stay, and all
+    with a dropped one go.
     """
     # Written, so that both joins below see one result.
-    groups = cut(near_duplicates(docs, id_col, text_col, shingle, radius, seed).where(F.col(id_col).isNotNull()))
+    groups = cut(candidate_groups(docs, id_col, text_col, shingle, radius, seed))
     drop = verified(docs, groups, shingle, similarity, id_col, text_col)
     return docs.join(drop, F.col(id_col).cast("long") == F.col("drop_id"), "left_anti")

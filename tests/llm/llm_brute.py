@@ -92,3 +92,18 @@ def brute_url(url, rules, default):
     fit = [(len(h) + len(p), len(h), h + p, a) for a, h, p in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
     best = max(fit, default=(0, 0, None, default))
     return host, path, best[2], best[3]
+
+
+def shingles(text, n=5):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[i : i + n]) for i in range(max(1, len(words) - n + 1))} if words else set()
+
+
+def brute_kept(rows, similarity=0.8):
+    """Ids that stay, in order of id: those that are not similar to one that stays before them."""
+    stay = []
+    for i, t in sorted(rows, key=lambda r: r[0]):
+        own = shingles(t)
+        if not any(len(own & s) >= similarity * len(own | s) for _, s in stay):
+            stay.append((i, own))
+    return {i for i, _ in stay}

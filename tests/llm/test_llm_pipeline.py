@@ -8,10 +8,10 @@ from pathlib import Path
 
 import numpy as np
 import pytest
-from llm_brute import ODD, brute_components, brute_repeats, brute_targets
+from llm_brute import ODD, brute_kept, brute_repeats, brute_targets
 
 import corpus_pipeline
-from plumbline.llm import quality, simhash, substring
+from plumbline.llm import quality, substring
 
 ROOT = Path(corpus_pipeline.__file__).parent
 
@@ -38,21 +38,10 @@ def test_quality_stage(spark, sf, docs, stages):
     assert {r.doc_id for r in stages["quality_rules"](spark, docs, sf).collect()} == want
 
 
-def shingles(text, n=5):
-    words = text.encode().lower().split()
-    return {tuple(words[i : i + n]) for i in range(max(1, len(words) - n + 1))} if words else set()
-
-
 def test_near_duplicate_stage(spark, sf, docs, stages):
-    texts = {r.doc_id: r.text for r in docs.collect()}
-    group = brute_components({i: simhash.fingerprint(t.encode(), 5) for i, t in texts.items()})
-
-    def alike(i, j):
-        a, b = shingles(texts[i]), shingles(texts[j])
-        return len(a & b) >= 0.8 * len(a | b)
-
-    want = {i for i, c in group.items() if c == i or not alike(i, c)}
-    assert {r.doc_id for r in stages["near_duplicates"](spark, docs, sf).collect()} == want and len(want) < len(texts)
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    want = brute_kept(rows)
+    assert {r.doc_id for r in stages["near_duplicates"](spark, docs, sf).collect()} == want and len(want) < len(rows)
 
 
 def test_passage_stage(spark, sf, docs, stages):
