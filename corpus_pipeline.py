@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.llm import mixing, packing, quality, simhash, substring
-from plumbline.llm.common import cut, table
+from plumbline.llm.common import table
 from plumbline.llm.queries import tokenizer_path
+from plumbline.sources.storage import forget, shared_folder
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,7 +25,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the smallest id, of each near-duplicate group."""
+    """Documents that share less than 0.8 of their five-word shingles with every document of a smaller id that stays.
+
+    So of documents that are all alike the one with the smallest id stays.
+    """
     return simhash.keep_representatives(docs)
 
 
@@ -56,18 +60,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages applied to documents, each written as Parquet to the shared folder and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """The stages applied to documents, each written as Parquet to the shared folder and read again.
+
+    What a stage wrote goes when the next one has been written; the last table goes with the session.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        folder = f"{_shared(docs)}/pipeline-{uuid.uuid4().hex}-{name}"
+        folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}-{name}"
         stage(spark, docs, sf_dir).write.parquet(folder)
-        docs = spark.read.parquet(folder)
+        if before:
+            forget(spark, before)
+        docs, before = spark.read.parquet(folder), folder
     return STAGES[-1][1](spark, docs, sf_dir)
-
-
-def _shared(df: DataFrame) -> str:
-    """The checkpoint folder that the cluster names, or the one that cut() sets."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        cut(df.limit(0))
-    return context.getCheckpointDir()
