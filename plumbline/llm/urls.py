@@ -19,15 +19,15 @@ from plumbline.llm.common import cut
 
 #: (action, host, path) of the default rules.
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
-#: Most bits of one level, and so of what a plan carries; a longer list is refused.
-MOST_BITS = 1 << 25
+#: Bits of a level (32 MB, of some 9 million keys) up to which a list is a cascade; a longer one is joined.
+MOST_BITS = 1 << 28
 
 
 @dataclass(frozen=True)
 class Level:
     bits: int
     hashes: int
-    words: str  # the filter's 64-bit words, by commas
+    words: DataFrame  # one row, words array<long>: at most MOST_BITS, and read by every task as one value
 
 
 @dataclass(frozen=True)
@@ -36,14 +36,18 @@ class Cascade:
 
     levels: tuple[Level, ...]
 
-    def contains(self) -> Callable[[Column], Column]:
-        """A function from a key column to a boolean column; a null key is in no list."""
+    def columns(self, name: str) -> list[Column]:
+        """The levels as columns, scalar subqueries that the optimizer puts where contains() reads them: each in one place."""
+        return [level.words.scalar().alias(f"{name}{i}") for i, level in enumerate(self.levels)]
+
+    def contains(self, name: str) -> Callable[[Column], Column]:
+        """A function from a key column to a boolean column, of rows with columns(name); a null key is in no list."""
 
         def ask(key: Column) -> Column:
             # Odd levels hold listed keys, even levels the others: the first level without the key decides.
             answer = F.lit(len(self.levels) % 2 == 1)
             for i in range(len(self.levels) - 1, -1, -1):
-                answer = F.when(_maybe(self.levels[i], i, key), answer).otherwise(F.lit(i % 2 == 1))
+                answer = F.when(_maybe(self.levels[i], i, key, F.col(f"{name}{i}")), answer).otherwise(F.lit(i % 2 == 1))
             return F.coalesce(F.when(key.isNotNull(), answer), F.lit(False))
 
         return ask
@@ -53,31 +57,33 @@ def _places(level: int, bits: int, hashes: int, key: Column) -> list[Column]:
     return [F.pmod(F.xxhash64(F.lit(level * 64 + j), key), F.lit(bits)) for j in range(hashes)]
 
 
-def _maybe(level: Level, number: int, key: Column) -> Column:
-    words = F.split(F.lit(level.words), ",").cast("array<bigint>")  # folded to a constant by the optimizer
-    tests = [F.getbit(F.element_at(words, (F.shiftright(p, 6) + 1).cast("int")), F.pmod(p, F.lit(64)).cast("int")) == 1 for p in _places(number, level.bits, level.hashes, key)]
-    out = tests[0]
-    for t in tests[1:]:
-        out = out & t
-    return out
+def _maybe(level: Level, number: int, key: Column, words: Column) -> Column:
+    return F.forall(
+        F.array(*_places(number, level.bits, level.hashes, key)), lambda p: F.getbit(F.element_at(words, (F.shiftright(p, 6) + 1).cast("int")), F.pmod(p, F.lit(64)).cast("int")) == 1
+    )
+
+
+def _bits(n: int, rate: float) -> int:
+    return max(64, -(-math.ceil(n * -math.log(rate) / math.log(2) ** 2) // 64) * 64)
 
 
 def _level(keys: DataFrame, number: int, n: int, rate: float) -> Level:
     """A Bloom filter of n keys with about this rate of false positives."""
-    bits = max(64, -(-math.ceil(n * -math.log(rate) / math.log(2) ** 2) // 64) * 64)
-    if bits > MOST_BITS:
-        raise ValueError(f"a level of {n} keys needs {bits} bits; the most is {MOST_BITS}")
-    hashes = max(1, round(-math.log2(rate)))
+    bits, hashes = _bits(n, rate), max(1, round(-math.log2(rate)))
     places = keys.select(F.explode(F.array(*_places(number, bits, hashes, F.col("key")))).alias("p"))
     got = places.groupBy(F.shiftright("p", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(pmod(p, 64) as int))")).alias("set"))
-    words = [0] * (bits // 64)
-    for row in got.collect():  # at most MOST_BITS / 64 rows, whatever the input
-        words[row["word"]] = row["set"]
-    return Level(bits, hashes, ",".join(map(str, words)))
+    every = keys.sparkSession.range(bits // 64).join(got, F.col("id") == F.col("word"), "left").select("id", F.coalesce("set", F.lit(0).cast("long")).alias("set"))
+    # One row by design: the filter, of at most MOST_BITS whatever the input.
+    ordered = every.agg(F.array_sort(F.collect_list(F.struct("id", "set"))).alias("all"))
+    return Level(bits, hashes, cut(ordered.select(F.transform("all", lambda x: x["set"]).alias("words"))))
 
 
-def build(listed: DataFrame, universe: DataFrame) -> Cascade:
-    """The cascade of the listed keys over the universe, each a DataFrame with a string column key.
+def _rate(n: int, rest: int) -> float:
+    return min(0.5, max(1e-6, math.sqrt(2) * n / max(1, rest)))
+
+
+def build(listed: DataFrame, universe: DataFrame) -> Cascade | None:
+    """The cascade of the listed keys over the universe, each a DataFrame with a string column key; None if a level would exceed MOST_BITS.
 
     Keys may repeat; nulls are passed over. Listed keys need not occur in the universe. A level's rate is
     such that about as many keys of the other side pass as the level holds, so levels shrink with the list.
@@ -85,12 +91,13 @@ def build(listed: DataFrame, universe: DataFrame) -> Cascade:
     inside = cut(listed.where("key is not null").distinct())
     outside = cut(universe.where("key is not null").distinct().join(inside, "key", "left_anti"))
     n, rest = inside.count(), outside.count()
+    if n and _bits(n, _rate(n, rest)) > MOST_BITS:
+        return None
     levels: list[Level] = []
     while n:
-        rate = min(0.5, max(1e-6, math.sqrt(2) * n / max(1, rest))) if not levels else 0.25
-        level = _level(inside, len(levels), n, rate)
+        level = _level(inside, len(levels), n, 0.25 if levels else _rate(n, rest))
         levels.append(level)
-        passed = cut(outside.where(_maybe(level, len(levels) - 1, F.col("key"))))
+        passed = cut(outside.select("key", level.words.scalar().alias("words")).where(_maybe(level, len(levels) - 1, F.col("key"), F.col("words"))).select("key"))
         # The keys that a level takes falsely are what the next one holds; its own keys are the next one's outside.
         inside, outside = passed, inside
         n = inside.count()
@@ -112,44 +119,58 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def candidates(host: Column, path: Column, lengths: list[int]) -> Column:
-    """Keys that a rule for this URL may have, longest first: each suffix of the host with the path's first characters.
+def _labels(host: Column) -> Column:
+    return F.length(host) - F.length(F.replace(host, F.lit("."), F.lit(""))) + 1
+
 
-    lengths: those of the rules' paths. A key is host, a space, and the path's start.
+def candidates(host: Column, path: Column, shapes: list[tuple[int, int]]) -> Column:
+    """Keys that a rule for this URL may have, longest first: the host's last labels with the path's first characters.
+
+    shapes: (labels of the host, characters of the path) that rules have, so a host of however many labels gives
+    only so many keys. A key is host, a space, and the path's start.
     """
-    labels = F.split(host, r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.concat_ws(".", F.slice(labels, i, F.size(labels))))
-    starts = F.filter(F.array(*[F.when(F.length(path) >= n, F.substring(path, 1, n)) for n in lengths]), lambda s: s.isNotNull())
-    keys = F.flatten(F.transform(suffixes, lambda h: F.transform(starts, lambda p: F.concat(h, F.lit(" "), p))))
-    ordered = F.sort_array(F.transform(keys, lambda k: F.struct(F.length(k).alias("n"), F.instr(k, F.lit(" ")).alias("host"), k.alias("key"))), asc=False)
+    keys = F.array(*[
+        F.when((_labels(host) >= n) & (F.length(path) >= m), F.concat(F.substring_index(host, ".", -n), F.lit(" "), F.substring(path, 1, m))) for n, m in shapes
+    ]) if shapes else F.array().cast("array<string>")
+    found = F.filter(keys, lambda k: k.isNotNull())
+    ordered = F.sort_array(F.transform(found, lambda k: F.struct(F.length(k).alias("n"), F.instr(k, F.lit(" ")).alias("host"), k.alias("key"))), asc=False)
     return F.transform(ordered, lambda s: s["key"])
 
 
-def filter_urls(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES, default: str = "allow", id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+def filter_urls(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] | DataFrame = RULES, default: str = "allow", id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """(id_col, host, path, rule, verdict) for every row of pages.
 
-    rules: (allow or block, host, path). A rule fits its host and all subdomains if the URL's path starts
-    with the rule's; the longest that fits decides, the longer host among equals. rule is the host and the path
-    of it; without one it is null and the verdict is default. Both lists are cascades over all keys that
-    any URL of pages could match by. A null URL or one without :// has an empty host and path, which no rule
-    with a host fits. Repeated rows and null ids stay; other columns are not read.
+    rules: (allow or block, host, path), or a DataFrame of action, host and path. A rule fits its host and all
+    subdomains if the URL's path starts with the rule's; the longest that fits decides, the longer host among
+    equals. rule is the host and the path of it; without one it is null and the verdict is default. Both lists are
+    cascades over all keys that any URL of pages could match by; lists too long for that are joined by key. A null
+    URL or one without :// has an empty host and path, which no rule with a host fits. Repeated rows and null ids
+    stay; other columns are not read.
     """
-    actions = {f"{h} {p}": a for a, h, p in rules}
-    if len(actions) < len({(a, h, p) for a, h, p in rules}):
-        raise ValueError("a rule both allows and blocks")
     spark: SparkSession = pages.sparkSession
-    lengths = sorted({len(p) for _, _, p in rules})
+    table = rules if isinstance(rules, DataFrame) else spark.createDataFrame([tuple(r) for r in rules], "action string, host string, path string")
+    listed = cut(table.select("action", F.concat("host", F.lit(" "), "path").alias("key"), _labels(F.col("host")).alias("n"), F.length("path").alias("m")).where("key is not null").distinct())
+    if not listed.groupBy("key").count().where("count > 1").isEmpty():
+        raise ValueError("a rule both allows and blocks")
+    # As many as there are different lengths of hosts and paths in the rules, not as there are rules.
+    shapes = sorted((r["n"], r["m"]) for r in listed.select("n", "m").distinct().collect())
     url = F.col(url_col)
     rows = pages.select(F.col(id_col), host_of(url).alias("host"), path_of(url).alias("path"))
-    ends = F.substring("path", 1, max(lengths, default=0))
-    seen = rows.select("host", ends.alias("path")).distinct()
-    universe = cut(seen.select(F.explode(candidates(F.col("host"), F.col("path"), lengths)).alias("key")).distinct())
-    ask = {}
-    for action in ("allow", "block"):
-        keys = [(k,) for k, a in actions.items() if a == action]
-        ask[action] = build(spark.createDataFrame(keys, "key string"), universe).contains()
-    keys = candidates(F.col("host"), F.col("path"), lengths)
-    hits = F.filter(F.transform(keys, lambda k: F.struct(k.alias("key"), ask["allow"](k).alias("allow"), ask["block"](k).alias("block"))), lambda s: s["allow"] | s["block"])
-    judged = rows.withColumn("_hit", F.try_element_at(hits, F.lit(1)))
+    keys = candidates(F.col("host"), F.col("path"), shapes)
+    universe = cut(rows.select(F.explode(keys).alias("key")).distinct())
+    cascades = [build(listed.where(F.col("action") == action).select("key"), universe) for action in ("allow", "block")]
+    if None in cascades:
+        judged = _by_join(rows, keys, listed)
+    else:
+        allow, block = (c.contains(f"_{name}") for c, name in zip(cascades, ("allow", "block"), strict=True))
+        hits = F.filter(F.transform(keys, lambda k: F.struct(k.alias("key"), allow(k).alias("allow"), block(k).alias("block"))), lambda s: s["allow"] | s["block"])
+        judged = rows.select("*", *cascades[0].columns("_allow"), *cascades[1].columns("_block")).select(id_col, "host", "path", F.try_element_at(hits, F.lit(1)).alias("_hit"))
     verdict = F.when(F.col("_hit").isNull(), F.lit(default)).when(F.col("_hit.allow"), F.lit("allow")).otherwise(F.lit("block"))
     return judged.select(id_col, "host", "path", F.replace(F.col("_hit.key"), F.lit(" "), F.lit("")).alias("rule"), verdict.alias("verdict"))
+
+
+def _by_join(rows: DataFrame, keys: Column, listed: DataFrame) -> DataFrame:
+    """rows with _hit, the first of their keys that is listed, by joining each different host and path once."""
+    seen = rows.select("host", "path").distinct().select("host", "path", F.posexplode(keys).alias("place", "key"))
+    found = seen.join(listed.select("key", "action"), "key").groupBy("host", "path").agg(F.min_by(F.struct("key", (F.col("action") == "allow").alias("allow")), "place").alias("_hit"))
+    return rows.join(found, ["host", "path"], "left")
