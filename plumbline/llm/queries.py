@@ -80,7 +80,7 @@ def _licence_sql() -> str:
     for old in licences._ORDER:
         low = f"regexp_replace({low}, '\\b{old}\\b', '{licences.SPELLINGS[old]}', 'g')"
     squeeze = "sha256(trim(regexp_replace({}, '[ \\n]+', ' ', 'g'), ' '))"
-    whole = licences.known_digests({t: n for n, t in licences.TEXTS.items()} | licences.NOTICES)
+    whole = licences.whole_digests()
     lines = licences.known_digests(licences.NOTICES)
     listed = lambda known: ", ".join(f"('{d}', '{n}')" for d, n in known.items())
     return f"""WITH c AS (SELECT row_number() OVER () AS r, doc_id, {low} AS t FROM documents),

@@ -3,6 +3,7 @@
 import hashlib
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -353,15 +354,22 @@ def test_mixing(spark, docs, odd, none):
     assert mixing.mix(none).count() == 0 and mixing.apply_mix(none).count() == 0
 
 
-def test_urls(spark, sf):
+def test_urls(spark, sf, monkeypatch):
     many = [
         None, "", "no scheme", "http://", "http://net", "http://net/", "HTTP://A.Example.NET/en/x?y#z", "https://example.netx/en/", "x://notexample.net/en/", "http://example.com/de", "a://b://c.org/fr/",
         "http://c.org/fr/?q", "http://c.org#/fr/", "http://example.com/de/" + "x" * 20000, "http://ß.Ä.net/é", "http://..net/", "http://a..net/",
     ]
     odd = spark.createDataFrame([(i if i % 5 else None, u) for i, u in enumerate(many * 2)], "page_id long, url string").withColumn("key", F.lit(1)).withColumn("host", F.lit("x"))
-    for df in (odd, spark.read.parquet(f"{sf}/pages.parquet")):
-        got = Counter(map(tuple, urls.filter_urls(df).collect()))
-        assert got == Counter((r.page_id, *brute_url(r.url, urls.RULES, "allow")) for r in df.collect())
+    dots = spark.createDataFrame([(1, "http://" + "a." * 50000 + "example.net/en/"), (2, "http://" + "." * 20000 + "org/fr/"), (3, "http://net" + "." * 20000)], "page_id long, url string")
+    for df in (odd, dots, spark.read.parquet(f"{sf}/pages.parquet")):
+        want = Counter((r.page_id, *brute_url(r.url, urls.RULES, "allow")) for r in df.collect())
+        for bits in (urls.MOST_BITS, 0):  # by cascades, and by key as lists that are too long for them
+            monkeypatch.setattr(urls, "MOST_BITS", bits)
+            assert Counter(map(tuple, urls.filter_urls(df).collect())) == want
+        monkeypatch.undo()
+    with pytest.raises(ValueError):
+        urls.filter_urls(odd, (("allow", "net", "/"), ("block", "net", "/")))
+    assert urls.filter_urls(odd, ()).where("verdict <> 'allow' or rule is not null").count() == 0
     assert urls.filter_urls(odd.where("page_id = -1")).count() == 0
 
 
@@ -369,11 +377,19 @@ def test_cascade_is_exact(spark):
     universe = spark.range(3000).selectExpr("concat('k', id) as key")
     for listed in (universe.where("pmod(xxhash64(key), 5) = 0"), universe.where("key = 'k7'"), universe.where("key = ''"), universe):
         cascade = urls.build(listed, universe)
-        got = {r.key for r in universe.where(cascade.contains()(F.col("key"))).collect()}
+        got = {r.key for r in universe.select("key", *cascade.columns("w")).where(cascade.contains("w")(F.col("key"))).collect()}
         assert got == {r.key for r in listed.collect()}
     assert len(urls.build(universe.where("pmod(xxhash64(key), 5) = 0"), universe).levels) > 2
 
 
+def test_a_long_list(spark):
+    """Each of 100,000 listed keys and no other is found, of whatever table the rules come from."""
+    listed = spark.range(100_000).selectExpr("'block' as action", "concat('h', id, '.net') as host", "'/' as path")
+    pages = spark.range(0, 200_000, 7).selectExpr("id as page_id", "concat('http://www.h', id, '.net/x') as url")
+    got = urls.filter_urls(pages, listed).agg(F.sum(F.expr("cast((verdict = 'block') <> (page_id < 100000) as int)")).alias("wrong"), F.count("rule").alias("rules")).first()
+    assert got.wrong == 0 and got.rules == len(range(0, 100_000, 7))
+
+
 def test_the_whole_unlicense(spark):
     whole = licences.TEXTS["Unlicense"]
     start = whole[: whole.index(" In jurisdictions")]
@@ -382,6 +398,24 @@ def test_the_whole_unlicense(spark):
     assert {r.doc_id: r.licence for r in licences.scan(df).collect()} == {1: "Unlicense", 2: None}
 
 
+#: Where a system has them, the texts that the digests are of.
+COMMON = Path("/usr/share/common-licenses")
+
+
+@pytest.mark.skipif(not COMMON.is_dir(), reason="no licence texts here")
+def test_whole_licences(spark):
+    names = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0-only", "GPL-3": "GPL-3.0-only", "LGPL-2.1": "LGPL-2.1-only", "LGPL-3": "LGPL-3.0-only", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}
+    texts = {f: (COMMON / f).read_text() for f in names if (COMMON / f).is_file()}
+    rows = [(f"{f} {way}", t) for f, whole in texts.items() for way, t in (("plain", whole), ("loud", whole.upper()), ("spread", whole.replace("\n", " \n\n\t")), ("more", whole + " with a word"), ("less", whole[: len(whole) // 2]))]
+    rows += [("MIT titled", "The MIT License (MIT)\n\nCopyright (c) 2021 Someone\n\n" + licences.TEXTS["MIT"]), ("BSD-3", "BSD 3-Clause License\n(c) 2019 X\nAll rights reserved.\n" + licences.TEXTS["BSD-3-Clause"])]
+    rows += rows[:2]  # repeated rows
+    got = Counter((r.doc_id, r.licence) for r in licences.scan(spark.createDataFrame(rows, "doc_id string, text string")).collect())
+    want = Counter((f"{f} {way}", names[f] if way in ("plain", "loud", "spread") else None) for f in texts for way in ("plain", "loud", "spread", "more", "less"))
+    want += Counter({("MIT titled", "MIT"): 1, ("BSD-3", "BSD-3-Clause"): 1})
+    want += Counter((k, names[k.split(" ")[0]]) for k, _ in rows[:2])
+    assert got == want
+
+
 def test_licences(spark, docs, none):
     mit = licences.TEXTS["MIT"]
     odd = [
