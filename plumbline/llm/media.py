@@ -6,6 +6,7 @@ blocks, one step of all blocks at a time; PCM is resampled by linear interpolati
 
 from __future__ import annotations
 
+import itertools
 import math
 import struct
 import zlib
@@ -22,6 +23,8 @@ from plumbline.llm.textcore import chunks
 RATE = 8000
 #: Bytes of ADPCM codes in a block, after its header of 4 bytes; payloads are padded to whole blocks.
 BLOCK = 192
+#: Bytes of media that are decoded at once.
+AT_ONCE = 1 << 20
 FORMATS = {"alaw": 6, "mulaw": 7, "ima_adpcm": 17}
 
 # IMA ADPCM step sizes and index changes.
@@ -101,22 +104,52 @@ def read_wav(media: bytes) -> tuple[str, int, int, bytes]:
 
 def resample(pcm: np.ndarray, rate: int, to: int) -> np.ndarray:
     """Linear interpolation; the last sample is held. Whole numbers throughout, so results are the same everywhere."""
-    if rate == to or not len(pcm):
-        return pcm.astype("<i2")
-    step = math.gcd(rate, to)
-    up, down = to // step, rate // step
-    place = np.arange(len(pcm) * up // down, dtype=np.int64) * down
-    at, part = place // up, place % up
-    held = np.append(pcm, pcm[-1]).astype(np.int64)
-    return ((held[at] * (up - part) + held[at + 1] * part) // up).astype("<i2")
+    return np.concatenate([np.zeros(0, "<i2"), *resampled([pcm], rate, to)])
 
 
-def summary(codec: str, rate: int, pcm: np.ndarray) -> str:
-    """Peak, root mean square, zero crossings and CRC-32 of PCM, as text."""
-    wide = pcm.astype(np.int64)
-    rms = math.isqrt(int((wide * wide).sum()) // max(1, len(wide)))
-    crossings = int(np.count_nonzero((wide[1:] < 0) != (wide[:-1] < 0)))
-    return f"{codec};rate={rate};samples={len(pcm)};peak={int(np.abs(wide).max(initial=0))};rms={rms};crossings={crossings};crc={zlib.crc32(pcm.tobytes()):08x}"
+def resampled(parts: Iterable[np.ndarray], rate: int, to: int) -> Iterator[np.ndarray]:
+    """resample() of the parts' samples, one after the other, part by part."""
+    step = math.gcd(rate, to)
+    up, down = to // step, rate // step
+    held, before, put = np.zeros(0, dtype=np.int64), 0, 0  # samples at hand, the number of those before them, and of samples given
+    for part in itertools.chain(parts, [None]):
+        last = part is None
+        held = np.append(held, held[-1:]) if last else np.append(held, part)
+        # A sample needs the one after it, so the last at hand waits for more.
+        end = -(-(before + max(0, len(held) - 1)) * up // down)
+        if last:
+            end = (before + max(0, len(held) - 1)) * up // down
+        place = np.arange(put, max(put, end), dtype=np.int64) * down
+        at, share = place // up - before, place % up
+        yield ((held[at] * (up - share) + held[np.minimum(at + 1, len(held) - 1)] * share) // up).astype("<i2")
+        put = max(put, end)
+        drop = max(0, len(held) - 1)
+        held, before = held[drop:], before + drop
+
+
+class Summary:
+    """Peak, root mean square, zero crossings and CRC-32 of PCM that comes in parts."""
+
+    def __init__(self, codec: str, rate: int) -> None:
+        self.codec, self.rate = codec, rate
+        self.samples = self.peak = self.squares = self.crossings = self.crc = 0
+        self.last: bool | None = None
+
+    def add(self, pcm: np.ndarray) -> None:
+        if not len(pcm):
+            return
+        wide = pcm.astype(np.int64)
+        below = wide < 0
+        self.samples += len(pcm)
+        self.peak = max(self.peak, int(np.abs(wide).max()))
+        self.squares += int((wide * wide).sum())
+        self.crossings += int(np.count_nonzero(below[1:] != below[:-1])) + (self.last is not None and self.last != bool(below[0]))
+        self.last = bool(below[-1])
+        self.crc = zlib.crc32(pcm.tobytes(), self.crc)
+
+    def __str__(self) -> str:
+        rms = math.isqrt(self.squares // max(1, self.samples))
+        return f"{self.codec};rate={self.rate};samples={self.samples};peak={self.peak};rms={rms};crossings={self.crossings};crc={self.crc:08x}"
 
 
 def encode_texts(docs: DataFrame, codec: str = "auto", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -157,7 +190,7 @@ def decode(media: DataFrame, media_col: str = "media", to_rate: int = 16000, kee
             lo = 0
             while lo < batch.num_rows:  # parts of bounded size, as PCM takes several times the media's bytes
                 hi, size = lo, 0
-                while hi < batch.num_rows and (hi == lo or size < 1 << 20):
+                while hi < batch.num_rows and (hi == lo or size < AT_ONCE):
                     size += len(column[hi].as_buffer() or b"") if column[hi].is_valid else 0
                     hi += 1
                 got = _decode(column.slice(lo, hi - lo).to_pylist(), to_rate, keep_pcm)
@@ -169,6 +202,26 @@ def decode(media: DataFrame, media_col: str = "media", to_rate: int = 16000, kee
     return media.mapInArrow(run, schema)
 
 
+def _blocks_of(data: bytes, align: int) -> np.ndarray:
+    """The whole ADPCM blocks of the data, a row each."""
+    if align <= 4:
+        raise ValueError(f"ADPCM blocks of {align} bytes have no samples")
+    codes = np.frombuffer(data, dtype=np.uint8)
+    return codes[: len(codes) // align * align].reshape(-1, align)
+
+
+def _samples(codec: str, align: int, data: bytes) -> Iterator[np.ndarray]:
+    """The samples of one file, by AT_ONCE bytes of it."""
+    if codec == "ima_adpcm":
+        blocks = _blocks_of(data, align)
+        step = max(1, AT_ONCE // align)
+        for lo in range(0, len(blocks), step):
+            yield decode_blocks(blocks[lo : lo + step]).ravel()
+    else:
+        for lo in range(0, len(data), AT_ONCE):
+            yield TABLES[codec][np.frombuffer(data[lo : lo + AT_ONCE], dtype=np.uint8)]
+
+
 def _decode(files: list[bytes | None], to_rate: int, keep_pcm: bool) -> list[list]:
     n = len(files)
     codec, payload, feature, pcm = [None] * n, [None] * n, [None] * n, [None] * n
@@ -178,23 +231,25 @@ def _decode(files: list[bytes | None], to_rate: int, keep_pcm: bool) -> list[lis
         if media is None:
             continue
         codec[i], rates[i], align, data = read_wav(media)
-        codes = np.frombuffer(data, dtype=np.uint8)
-        if codec[i] == "ima_adpcm":
-            own = codes[: len(codes) // align * align].reshape(-1, align)
-            blocks.setdefault(align, []).append((i, own))
-            payload[i] = own[:, 4:].tobytes()
+        payload[i] = _blocks_of(data, align)[:, 4:].tobytes() if codec[i] == "ima_adpcm" else data
+        if len(data) > AT_ONCE:
+            samples[i] = _samples(codec[i], align, data)
+        elif codec[i] == "ima_adpcm":
+            blocks.setdefault(align, []).append((i, _blocks_of(data, align)))
         else:
-            payload[i] = data
-            samples[i] = TABLES[codec[i]][codes]
-    for own in blocks.values():
+            samples[i] = [TABLES[codec[i]][np.frombuffer(data, dtype=np.uint8)]]
+    for own in blocks.values():  # the blocks of all short files of one size at a time
         decoded = decode_blocks(np.concatenate([b for _, b in own]))
         at = 0
         for i, b in own:
-            samples[i] = decoded[at : at + len(b)].ravel()
+            samples[i] = [decoded[at : at + len(b)].ravel()]
             at += len(b)
-    for i, raw in samples.items():
-        sound = resample(raw, rates[i], to_rate)
-        feature[i] = summary(codec[i], to_rate, sound)
-        if keep_pcm:
-            pcm[i] = sound.tobytes()
+    for i, parts in samples.items():
+        seen, kept = Summary(codec[i], to_rate), bytearray()
+        for sound in resampled(parts, rates[i], to_rate):
+            seen.add(sound)
+            if keep_pcm:
+                kept += sound.tobytes()
+        feature[i] = str(seen)
+        pcm[i] = bytes(kept)
     return [codec, payload, feature, *([pcm] if keep_pcm else [])]

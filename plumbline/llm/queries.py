@@ -52,11 +52,12 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = media.encode_texts(table(spark, sf_dir, "documents"))
-    got = media.decode(stored, keep_pcm=False)
+    got = media.decode(stored)
     tail = F.substring("payload", -16, 16)
     return got.select(
         "doc_id", "n_bytes", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_sha256"), F.crc32(tail).alias("tail_crc32"),
         F.octet_length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"), "feature",
+        F.octet_length("pcm").cast("long").alias("pcm_bytes"), F.crc32("pcm").alias("pcm_crc32"),
     )
 
 

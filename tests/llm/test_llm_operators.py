@@ -280,6 +280,58 @@ def test_media_round_trip(odd, none):
     assert got == Counter((i, pad((t or "").encode())) for i, t, _ in ODD)
 
 
+def brute_sound(codec, media):
+    """PCM at 16000 from a WAV file at 8000, sample by sample, and its feature."""
+    data = media[media.index(b"data") + 8 :]
+    if codec == "ima_adpcm":
+        pcm = [x for lo in range(0, len(data), media_block) for x in reference_adpcm(data[lo : lo + media_block])]
+    else:
+        pcm = [int(media_tables[codec][c]) for c in data]
+    double = [x for a, b in zip(pcm, [*pcm[1:], pcm[-1]], strict=True) for x in (a, (a + b) // 2)]
+    raw = np.array(double, "<i2").tobytes()
+    crossings = sum((a < 0) != (b < 0) for a, b in zip(double, double[1:], strict=False))
+    rms = int((sum(x * x for x in double) // len(double)) ** 0.5)
+    return raw, f"{codec};rate=16000;samples={len(double)};peak={max(map(abs, double))};rms={rms};crossings={crossings};crc={zlib.crc32(raw):08x}"
+
+
+media_block, media_tables = media.BLOCK + 4, media.TABLES
+
+
+def test_media_query_against_brute_force(spark, sf, docs, monkeypatch):
+    texts = {r.doc_id: (r.text or "").encode() for r in docs.collect()}
+    rows = {r.doc_id: r for r in queries.op8_media(spark, sf).collect()}
+    files = {r.doc_id: bytes(r.media) for r in media.encode_texts(docs).collect()}
+    assert rows.keys() == texts.keys()
+    for i, t in texts.items():
+        payload = t.ljust(max(192, -(-len(t) // 192) * 192))
+        r, codec = rows[i], media.read_wav(files[i])[0]
+        assert (r.n_bytes, r.payload_bytes, r.media_bytes) == (len(t), len(payload), len(files[i]))
+        assert (r.payload_sha256, r.media_sha256, r.tail_crc32) == (hashlib.sha256(payload).hexdigest(), hashlib.sha256(files[i]).hexdigest(), zlib.crc32(payload[-16:]))
+        if len(t) < 3000:
+            raw, feature = brute_sound(codec, files[i])
+            assert (r.pcm_bytes, r.pcm_crc32, r.feature) == (len(raw), zlib.crc32(raw), feature)
+    some = sorted(files)[:40]
+    whole = media._decode([files[i] for i in some], 16000, True)
+    monkeypatch.setattr(media, "AT_ONCE", 500)  # every longer file in parts
+    assert media._decode([files[i] for i in some], 16000, True) == whole
+    rng = np.random.default_rng(6)
+    sound = rng.integers(-32768, 32767, 1000).astype("<i2")
+    for rate, to in ((8000, 16000), (8000, 8000), (11025, 16000), (16000, 8000), (8000, 44100)):
+        want = [(int(sound[k * rate // to]) * (to - k * rate % to) + int(sound[min(999, k * rate // to + 1)]) * (k * rate % to)) // to for k in range(1000 * to // rate)]
+        assert media.resample(sound, rate, to).tolist() == want
+        for cuts in ([1], [3, 500], [999]):
+            assert np.concatenate(list(media.resampled(np.split(sound, cuts), rate, to))).tolist() == want
+    with pytest.raises(ValueError, match="blocks of 0 bytes"):
+        media._decode([files_without_blocks()], 16000, True)
+
+
+def files_without_blocks():
+    whole = bytearray(media.wav("ima_adpcm", b" " * 192))
+    at = whole.index(b"fmt ") + 8 + 12
+    whole[at : at + 2] = b"\0\0"
+    return bytes(whole)
+
+
 def test_media_decoders():
     rng = np.random.default_rng(2)
     blocks = rng.integers(0, 256, (20, 60), dtype=np.uint8)
