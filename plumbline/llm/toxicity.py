@@ -3,6 +3,9 @@
 P(grade > k) = logistic(score - threshold_k): all thresholds share the weights of the score, so every
 graded row informs all grades. Features are words, known by 64-bit hashes of their own instead of by
 hash buckets, so a clean word never takes the weight of another; an L1 penalty leaves few of them.
+
+Labels say toxic or not. Toxic rows are graded by the evidence in them, as words tell it that were weighed
+on other rows: the sample is dealt into folds, and a row's evidence never comes from its own fold.
 """
 
 from __future__ import annotations
@@ -29,6 +32,10 @@ MOST_WORDS = 4096
 PREFIXES = (6,)
 #: Weight of toxic rows in the fit, its L1 penalty, and the ridge on the words that it leaves.
 SHARE, PENALTY, RIDGE = 0.2, 2e-3, 1e-3
+#: Features that a text of the sample gives to the fit, at most; scoring takes all.
+TEXT_FEATURES = 1 << 14
+#: Folds by which the sample is graded, and the log-odds from which a word tells.
+FOLDS, TELLING = 5, 2.0
 #: Smallest P(grade > 0) that is called toxic.
 FLAG = 0.5
 
@@ -104,15 +111,44 @@ def sample(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> li
         for batch, texts in chunks(batches, "text", CHUNK):
             words, times = [], []
             for t in texts:
-                got, n = np.unique(_pairs([t])[1], return_counts=True)
+                got, n = _counted(t)
                 words.append(got.tobytes())
                 times.append(n.astype("<i4").tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), pa.array(words, pa.binary()), pa.array(times, pa.binary())], names=["doc_id", "y", "words", "times"])
 
-    # At most 2 * per_class rows of two numbers are broadcast, whatever the input.
-    got = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").mapInArrow(run, "doc_id long, y int, words binary, times binary").collect()
-    seen = {r["doc_id"]: r for r in got}
-    return [seen[k] for k in sorted(seen)]
+    # At most 2 * per_class rows of two numbers are broadcast, and as many texts come back: of rows that repeat an id, one.
+    texts = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(F.max("y").alias("y"), F.min("text").alias("text"))
+    got = texts.mapInArrow(run, "doc_id long, y int, words binary, times binary").collect()
+    return sorted(got, key=lambda r: r["doc_id"])
+
+
+def _counted(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The features of a text with their counts, at most TEXT_FEATURES: the most frequent, smaller hashes first among equals."""
+    got, n = np.unique(_pairs([text])[1], return_counts=True)
+    if len(got) > TEXT_FEATURES:
+        keep = np.sort(np.argsort(-n, kind="stable")[:TEXT_FEATURES])
+        got, n = got[keep], n[keep]
+    return got, n
+
+
+def _odds(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int) -> np.ndarray:
+    """By how much more often, as a logarithm, toxic rows have a feature."""
+    return np.log((toxic + 0.5) / (n_toxic + 1)) - np.log((clean + 0.5) / (n_clean + 1))
+
+
+def grades_of(y: np.ndarray, row: np.ndarray, column: np.ndarray, value: np.ndarray, size: int, grades: int) -> np.ndarray:
+    """Grade 0 for rows with y 0; 1 to grades - 1, in even shares, for the others by the weight of telling features of other folds."""
+    fold = np.arange(len(y)) % FOLDS
+    evidence = np.zeros(len(y))
+    for k in range(FOLDS):
+        other, own = fold[row] != k, fold[row] == k
+        toxic = np.bincount(column[other], y[row[other]], size)
+        clean = np.bincount(column[other], 1 - y[row[other]], size)
+        telling = _odds(toxic, clean, int(y[fold != k].sum()), int((1 - y[fold != k]).sum())) > TELLING
+        evidence += np.bincount(row[own], telling[column[own]] * value[own], len(y))
+    shown = np.sort(evidence[(y == 1) & (evidence > 0)])
+    edges = [shown[len(shown) * k // (grades - 1)] for k in range(1, grades - 1)] if len(shown) else []
+    return np.where(y == 1, 1 + np.searchsorted(np.array(edges), evidence, "right"), 0)
 
 
 def fit(rows: list, share: float = SHARE, grades: int = GRADES, least_rows: int = LEAST_ROWS, most_words: int = MOST_WORDS, penalty: float = PENALTY, ridge: float = RIDGE, steps: int = 400) -> Model:
@@ -126,19 +162,14 @@ def fit(rows: list, share: float = SHARE, grades: int = GRADES, least_rows: int
     vocabulary, column = np.unique(np.concatenate(words), return_inverse=True)
     toxic = np.bincount(column, y[row], len(vocabulary))
     clean = np.bincount(column, 1 - y[row], len(vocabulary))
-    odds = np.log((toxic + 0.5) / (y.sum() + 1)) - np.log((clean + 0.5) / ((1 - y).sum() + 1))
+    odds = _odds(toxic, clean, int(y.sum()), int((1 - y).sum()))
     strength = np.where(toxic + clean >= least_rows, np.abs(odds) * np.sqrt(toxic + clean), 0)
     chosen = np.sort(np.argsort(-strength, kind="stable")[: min(most_words, int((strength > 0).sum()))])
     number = np.full(len(vocabulary), -1)
     number[chosen] = np.arange(len(chosen))
     inside = number[column] >= 0
     row, column, value = row[inside], number[column[inside]], value[inside]
-    # Labels say toxic or not; among toxic rows the weight of evidence grades them, by even shares.
-    telling = odds[chosen] > 2
-    evidence = np.bincount(row, telling[column] * value, len(rows))
-    shown = np.sort(evidence[(y == 1) & (evidence > 0)])
-    edges = [shown[len(shown) * k // (grades - 1)] for k in range(1, grades - 1)] if len(shown) else []
-    grade = np.where(y == 1, 1 + np.searchsorted(np.array(edges), evidence, "right"), 0)
+    grade = grades_of(y, row, column, value, len(chosen), grades)
     even = np.where(y == 1, share / (y == 1).sum(), (1 - share) / (y == 0).sum())
     w = np.zeros(len(chosen))
     base = np.array([np.log(((even * (grade > k)).sum() + 1e-3) / ((even * (grade <= k)).sum() + 1e-3)) for k in range(grades - 1)])
