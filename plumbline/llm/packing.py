@@ -9,6 +9,7 @@ first bin with room in a logarithm of their number.
 from __future__ import annotations
 
 import array
+import json
 import os
 
 import numpy as np
@@ -17,11 +18,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.llm.common import cut
 from plumbline.llm.textcore import binary
 
 CAPACITY = 2048
-#: Documents of a group, on average.
-GROUP_DOCS = 1024
+#: Documents of a group, and bytes of their texts, on average.
+GROUP_DOCS, GROUP_BYTES = 1024, 8 << 20
+#: Rows equal in id and text from which they are dealt apart.
+REPEATED = 1024
 #: Words, and parts of words, whose ids a worker remembers.
 REMEMBERED = 800_000
 
@@ -80,12 +84,26 @@ def _byte_characters() -> list[str]:
 _CHARACTERS = _byte_characters()
 
 
+# The rules of a tokenizer file under which words can be taken one by one.
+RULES = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": _SPLIT.pattern}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+
+
 class WordIds:
     """Token ids of whole texts, from ids of their words, which a worker remembers.
 
-    White space neither gives tokens nor joins words in this vocabulary's rules, so a text's ids are
-    its words' ids, one after the other. Plain words are lower-cased and split here, and their parts given
-    to the vocabulary's model; all others go through the whole tokenizer.
+    White space neither gives tokens nor joins words in the vocabulary's rules that RULES states, so a text's
+    ids are its words' ids, one after the other. Plain words are lower-cased and split here, and their parts
+    given to the vocabulary's model; all others go through the whole tokenizer, and so do whole texts where
+    the file has other rules.
     """
 
     def __init__(self, path: str) -> None:
@@ -94,6 +112,9 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        with open(path, encoding="utf-8") as file:
+            rules = json.load(file)
+        self.by_word = {k: rules.get(k) for k in RULES} == RULES and rules["model"]["type"] == "BPE" and not rules["model"].get("dropout")
         self.known: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
@@ -122,6 +143,8 @@ class WordIds:
 
     def text(self, text: bytes) -> bytes:
         """The text's ids, little-endian unsigned 32-bit."""
+        if not self.by_word:
+            return array.array("I", self.tokenizer.encode(text.decode(), add_special_tokens=False).ids).tobytes()
         words = text.split()
         get = self.known.get
         return b"".join([get(w) or self.word(w) for w in words])
@@ -142,18 +165,31 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = CAPAC
     A document's ids are those of its text, then end_id, so a null or empty text is one piece of one id.
     start counts its document's ids before the piece; sequence_id is unique over all groups, and offset is
     the place in the sequence, without gaps from 0. Groups are dealt by a hash of id, text and seed; rows
-    equal in both are packed one by one like any others. Ids may be null or repeated; other columns are
-    not read; no rows give no pieces.
+    equal in both are packed one by one like any others, and if many, in as many groups as they need. Ids may
+    be null or repeated; other columns are not read; no rows give no pieces.
     """
-    groups = max(1, -(-docs.count() // group_docs))
     kind = dict(docs.dtypes)[id_col]
-    rows = docs.select(F.pmod(F.xxhash64(F.lit(seed), id_col, text_col), F.lit(groups)).alias("g"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(F.lit(seed), id_col, text_col).alias("place"))
+    size = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    groups = max(1, -(-size["n"] // group_docs), -(-(size["bytes"] or 0) // GROUP_BYTES))
     schema = f"`{id_col}` {kind}, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
     def run(table: pa.Table) -> pa.Table:
         return _pack_group(table, tokenizer, end_id, capacity, id_col)
 
-    return rows.groupBy("g").applyInArrow(run, schema)
+    return _dealt_apart(rows).select(F.pmod("place", F.lit(groups)).alias("g"), "id", "text").groupBy("g").applyInArrow(run, schema)
+
+
+def _dealt_apart(rows: DataFrame) -> DataFrame:
+    """rows (id, text, place), with places of their own for every REPEATED of those that are equal in id and text."""
+    many = cut(rows.groupBy("place").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > REPEATED).select("place"))
+    if many.isEmpty():
+        return rows
+    # Equal rows are counted where they lie, so few come together; each count gives its rows back in parts.
+    counted = rows.join(many, "place", "left_semi").groupBy("id", "text", "place").agg(F.count(F.lit(1)).alias("n"))
+    parts = counted.select("id", "text", "place", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(REPEATED))).alias("lo"), "n")
+    apart = parts.select("id", "text", F.xxhash64("place", "lo").alias("place"), F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(REPEATED).cast("long"), F.col("n") - F.col("lo")))))
+    return rows.join(many, "place", "left_anti").select("id", "text", "place").union(apart.select("id", "text", "place"))
 
 
 def _pack_group(table: pa.Table, path: str, end_id: int, capacity: int, id_col: str) -> pa.Table:
