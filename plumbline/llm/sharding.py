@@ -83,21 +83,25 @@ def shard(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: s
     """
     spark: SparkSession = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
-    rows = cut(
+    rows = (
         docs.select(
             F.col(id_col).alias("id"), (F.octet_length(F.coalesce(F.col(text_col), F.lit(""))) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
             F.xxhash64(F.lit("ring"), id_col, text_col).alias("place"),
         ).withColumn("cell", F.pmod("place", F.lit(cells)).cast("int"))
     )
     counts = np.zeros(cells, dtype=np.int64)
-    for cell, n in rows.groupBy("cell").count().collect():  # at most `cells` rows, whatever the input
+    # Rows equal in all of this are one row with their number, before they meet in their cell.
+    same = cut(rows.groupBy("id", "size", "text_crc32", "place", "cell").agg(F.count(F.lit(1)).alias("n")))
+    for cell, n in same.groupBy("cell").agg(F.sum("n")).collect():  # at most `cells` rows, whatever the input
         counts[cell] = n
     owner = ring(shards, nodes, cells)
     plan = assign(counts, owner, shards)
     table = spark.createDataFrame([(c, lo, hi, s, at) for c, lo, hi, s, at in plan] or [(-1, 0, 0, 0, 0)], "cell int, lo long, hi long, shard int, first long")
     homes = spark.createDataFrame([(i, int(s)) for i, s in enumerate(owner)], "cell int, home int")
     parts = table.groupBy("cell").agg(F.collect_list(F.struct("lo", "hi", "shard", "first")).alias("parts")).join(homes, "cell")
-    ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy("cell").orderBy("place", "id", "text_crc32", "size")) - 1)
+    before = Window.partitionBy("cell").orderBy("place", "id", "text_crc32", "size").rowsBetween(Window.unboundedPreceding, -1)
+    first = same.withColumn("rank", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    ranked = first.withColumn("rank", F.explode(F.sequence(F.col("rank"), F.col("rank") + F.col("n") - 1)))
     # One row for each cell: its size is bounded by the ring, not by the input.
     placed = ranked.join(F.broadcast(parts), "cell").withColumn("part", F.filter("parts", lambda p: (F.col("rank") >= p["lo"]) & (F.col("rank") < p["hi"]))[0])
     return placed.select(
