@@ -30,23 +30,31 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float =
 
     Sources by code point, null last, weigh the weights in turn and share the total of all sizes by
     weight. No target exceeds cap times its source's size: the excess is shared again by weight until
-    none is above, which is the water level found here from sources ordered by size over weight. One
-    row for each source, not for each document, passes through the window.
+    none is above, which is the water level found here from sources ordered by size over weight. Both
+    orders are ranges of sources, with one row for each range where their sums meet.
     """
-    order = Window.orderBy(F.col("source").asc_nulls_last())
-    fill = Window.orderBy("ratio", F.col("source").asc_nulls_last())
-    before = fill.rowsBetween(Window.unboundedPreceding, -1)
-    after = fill.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    weighed = sizes.withColumn(
-        "w", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.pmod(F.row_number().over(order) - 1, F.lit(len(weights))) + 1).cast("int"))
-    ).withColumn("ratio", F.col("source_size") / F.col("w"))
-    level = (F.sum("source_size").over(Window.partitionBy()) - F.coalesce(F.lit(cap) * F.sum("source_size").over(before), F.lit(0.0))) / F.sum("w").over(after)
-    open_ = weighed.withColumn("level", level).withColumn("fits", F.col("level") * F.col("w") <= F.lit(cap) * F.col("source_size"))
+    places = _running(sizes, [F.col("source").asc_nulls_last()], {"place": F.lit(1)})
+    turn = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.pmod(F.col("place"), F.lit(len(weights))) + 1).cast("int"))
+    weighed = places.select("source", "source_size", turn.alias("w")).withColumn("ratio", F.col("source_size") / F.col("w"))
+    sums = _running(weighed, [F.col("ratio"), F.col("source").asc_nulls_last()], {"size_before": F.col("source_size"), "w_before": F.col("w")})
+    whole = weighed.agg(F.sum("source_size").alias("total"), F.sum("w").alias("w")).first()
+    total, w = whole["total"] or 0, whole["w"] or 0.0
+    level = (F.lit(float(total)) - F.lit(cap) * F.col("size_before")) / (F.lit(w) - F.col("w_before"))
+    fits = F.when(level * F.col("w") <= F.lit(cap) * F.col("source_size"), F.struct("ratio", F.col("source").isNull().alias("no_source"), "source", level.alias("level")))
     # The first source, from the tightest on, that stays within its cap sets the level of all from there on.
-    level = F.first(F.when(F.col("fits"), F.col("level")), ignorenulls=True).over(fill.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    return open_.withColumn("level", level).select(
-        "source", "source_size", F.least(F.lit(cap) * F.col("source_size"), F.coalesce(F.col("level") * F.col("w"), F.lit(cap) * F.col("source_size"))).alias("target")
-    )
+    first = sums.agg(F.min(fits).alias("first")).first()["first"]
+    share = F.lit(cap) * F.col("source_size") if first is None else F.least(F.lit(cap) * F.col("source_size"), F.lit(first["level"]) * F.col("w"))
+    return sums.select("source", "source_size", share.alias("target"))
+
+
+def _running(df: DataFrame, order: list[Column], sums: dict[str, Column]) -> DataFrame:
+    """df with the sums over all rows before each by the order, which must be total: inside ranges, and of ranges."""
+    parts = cut(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
+    inside = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    # One row for each range.
+    ranges = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    of_ranges = parts.groupBy("_part").agg(*[F.sum(c).alias(n) for n, c in sums.items()]).select("_part", *[F.coalesce(F.sum(n).over(ranges), F.lit(0)).alias(f"_{n}") for n in sums])
+    return parts.join(F.broadcast(of_ranges), "_part").select(*df.columns, *[(F.coalesce(F.sum(c).over(inside), F.lit(0)) + F.col(f"_{n}")).alias(n) for n, c in sums.items()])
 
 
 def _by_source(rows: DataFrame, plan: DataFrame, source: str, salt: Column) -> DataFrame:
@@ -64,26 +72,26 @@ def _by_source(rows: DataFrame, plan: DataFrame, source: str, salt: Column) -> D
 def thresholds(rows: DataFrame, budgets: DataFrame, bits: int = BITS, levels: int = LEVELS) -> DataFrame:
     """(source, below): rows of a source with u < below, u in [0, 2**(bits * levels)), sum up as close to the budget as may be.
 
-    rows: (source, size, u); budgets: (source, budget). Each level reads only the rows of the boundary buckets.
+    rows: (source, size, u); budgets: (source, budget). The first level reads all rows; what falls into the
+    boundary buckets, a small share, is written and alone read by the levels after it.
     """
-    now = cut(budgets.select("source", "budget", F.lit(0).cast("long").alias("lo"), F.lit(0).cast("double").alias("had")))
+    now = budgets.select("source", "budget", F.lit(0).cast("long").alias("lo"), F.lit(0).cast("double").alias("had"))
+    inside = rows.select("source", "size", "u")
     for level in range(levels):
         width = 1 << (bits * (levels - 1 - level))
-        inside = _by_source(rows, now, "r.source", F.col("u")).where((F.col("u") >= F.col("lo")) & (F.col("u") < F.col("lo") + F.lit(width << bits)))
-        hist = inside.groupBy("r.source", F.shiftright(F.col("u") - F.col("lo"), bits * (levels - 1 - level)).alias("k")).agg(
-            F.sum("size").alias("tokens"), F.first("q.budget").alias("budget"), F.first("q.lo").alias("lo"), F.first("q.had").alias("had")
-        )
+        hist = inside.groupBy("source", F.shiftright("u", bits * (levels - 1 - level)).alias("k")).agg(F.sum("size").alias("tokens"))
+        # Buckets of a source, at most 2**bits of them, meet its budget.
+        known = hist.alias("h").join(now.alias("q"), F.col("h.source").eqNullSafe(F.col("q.source"))).select("h.source", "k", "tokens", "budget", "lo", "had")
         running = Window.partitionBy("source").orderBy("k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        sums = hist.withColumn("upto", F.col("had") + F.sum("tokens").over(running))
+        sums = known.withColumn("upto", F.col("had") + F.sum("tokens").over(running))
         # The boundary bucket is the first that reaches the budget; without one the whole range is taken.
         edge = sums.groupBy("source").agg(
             F.first("budget").alias("budget"), F.first("lo").alias("lo"), F.first("had").alias("had"),
             F.min_by(F.struct("k", (F.col("upto") - F.col("tokens")).alias("had"), "tokens"), F.when(F.col("upto") >= F.col("budget"), F.col("k"))).alias("edge"),
             F.max("upto").alias("all"),
         )
-        last = level == levels - 1
-        at = F.col("lo") + F.col("edge.k") * F.lit(width)
-        if last:  # rows that still share the bucket go in if that comes closer to the budget
+        at = F.col("edge.k") * F.lit(width)
+        if level == levels - 1:  # rows that still share the bucket go in if that comes closer to the budget
             at = at + F.when(F.col("budget") - F.col("edge.had") > F.col("edge.had") + F.col("edge.tokens") - F.col("budget"), F.lit(width)).otherwise(F.lit(0))
         now = cut(
             edge.select(
@@ -92,6 +100,9 @@ def thresholds(rows: DataFrame, budgets: DataFrame, bits: int = BITS, levels: in
                 F.when(F.col("edge").isNull(), F.col("all")).otherwise(F.col("edge.had")).alias("had"),
             )
         )
+        if level < levels - 1:
+            found = _by_source(inside, now, "r.source", F.col("u")).where((F.col("u") >= F.col("lo")) & (F.col("u") < F.col("lo") + F.lit(width)))
+            inside = cut(found.select("r.source", "size", "u"))
     return now.select("source", F.col("lo").alias("below"))
 
 

@@ -7,6 +7,7 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+import xxhash
 from llm_brute import ODD, WORD, brute_base, brute_components, brute_fingerprint, brute_kept, brute_repeats, brute_targets, brute_url
 from pyspark.sql import functions as F
 
@@ -204,10 +205,43 @@ def test_sharding_moves_little(spark):
     a = {r.doc_id: (r.home, r.shard) for r in sharding.shard(df, 16).collect()}
     b = {r.doc_id: (r.home, r.shard) for r in sharding.shard(df, 17).collect()}
     assert all(b[i][0] in (a[i][0], 16) for i in a)  # homes only move to the new shard
-    assert sum(a[i][1] != b[i][1] for i in a) < 0.45 * len(a)
+    assert sum(a[i][1] != b[i][1] for i in a) < 0.12 * len(a)  # at best 1 in 17 moves
     assert sum(h == s for h, s in a.values()) > 0.8 * len(a)
 
 
+def test_sharding_walks_the_ring(spark):
+    """Rows by their rank in the cell: the home admits what it has room for, the rest goes on clockwise."""
+    df = spark.createDataFrame([(i % 400, f"t{i % 400}") for i in range(1200)] + [(None, None)] * 300, "doc_id long, text string").withColumn("cell", F.lit("x"))
+    rows = sharding.shard(df, 4, nodes=3, cells=64).collect()
+    owner = sharding.ring(4, 3, 64).tolist()
+    assert len(rows) == 1500 and all(r.home == owner[r.cell] for r in rows)
+    for cell in range(64):  # of the first virtual node at or after the cell
+        nodes = {xxhash.xxh64_intdigest(f"{s}/{k}", 17) % 64 for s in range(4) for k in range(3)}
+        assert owner[cell] == owner[min(nodes, key=lambda n: (n - cell) % 64)]
+    bound = 1500 // 4
+    room = [bound + (s < 1500 % 4) for s in range(4)]
+    cells = Counter(r.cell for r in rows)
+    load = [Counter(), Counter()]
+    over = []
+    for cell in sorted(cells):
+        own = min(cells[cell], room[owner[cell]])
+        room[owner[cell]] -= own
+        load[0][cell, owner[cell]] += own
+        over.append((cell, cells[cell] - own))
+    for cell, left in over:
+        at = cell
+        while left:
+            at = (at + 1) % 64
+            if owner[at] == owner[at - 1]:  # one stretch of a shard counts once
+                continue
+            took = min(left, room[owner[at]])
+            room[owner[at]] -= took
+            left -= took
+            load[1][cell, owner[at]] += took
+    assert Counter((r.cell, r.shard) for r in rows) == +(load[0] + load[1])
+    for s in range(4):
+        assert sorted(r.slot for r in rows if r.shard == s) == list(range(bound + (s < 1500 % 4)))
+
 def test_packing_round_trip(docs, odd):
     from tokenizers import Tokenizer
 
@@ -236,6 +270,26 @@ def test_packing_round_trip(docs, odd):
             assert got == list(ids)
 
 
+def test_packing_of_repeated_rows_and_other_tokenizers(spark, docs, none, monkeypatch):
+    monkeypatch.setattr(packing, "REPEATED", 20)
+    df = spark.createDataFrame([(1, "same words")] * 105 + [(None, None)] * 50 + [(2, "other")], "doc_id long, text string").withColumn("g", F.lit(1)).withColumn("length", F.lit("x"))
+    rows = packing.pack(df, queries.tokenizer_path(), group_docs=10).collect()
+    assert Counter(r.doc_id for r in rows) == {1: 105, None: 50, 2: 1}
+    groups = Counter((r.doc_id, r.sequence_id >> 32) for r in rows)
+    assert max(groups.values()) <= 60 and len({g for i, g in groups if i == 1}) > 2
+    assert packing.pack(none, queries.tokenizer_path()).count() == 0
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_path().replace("word_bpe_49k", "byte_bpe_50k")
+    tokenizer = Tokenizer.from_file(path)
+    few = docs.where("doc_id < 20")
+    got = defaultdict(dict)
+    for r in packing.pack(few, path, end_id=0).collect():
+        got[r.doc_id][r.start] = np.frombuffer(r.ids, "<u4").tolist()
+    for r in few.collect():
+        assert [x for _, ids in sorted(got[r.doc_id].items()) for x in ids] == [*tokenizer.encode(r.text or "", add_special_tokens=False).ids, 0]
+
+
 def test_first_fit_decreasing_is_first_fit():
     rng = np.random.default_rng(5)
     lengths = rng.integers(1, 2049, 500)
@@ -379,6 +433,44 @@ def test_toxicity_on_labels_not_seen(spark, odd, none):
     assert toxicity.grade(odd, toxicity.train(odd, labels.where("doc_id < 0"))).where("toxic").count() == 0
 
 
+def test_toxicity_scores_and_severity(spark):
+    """Grades follow how much is toxic, though labels do not say it; scores are held against a sum by hand."""
+    rng = np.random.default_rng(11)
+    bad = [f"vile{i}" for i in range(30)]
+    rows, planted, labels = [], {}, []
+    for i in range(900):
+        words = [f"word{x}" for x in rng.integers(0, 300, 60)]
+        planted[i] = (0, 0, 2, 8, 25)[i % 5]
+        for at in rng.choice(60, planted[i], replace=False):
+            words[at] = bad[rng.integers(30)]
+        rows.append((i, " ".join(words)))
+        if i < 600:
+            labels.append((i, int(planted[i] > 0)))
+    rows += rows[:50] + [(5, "another text of a labelled id")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("y", F.lit("clash")).withColumn("toxic", F.lit(1))
+    marked = spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.train(df, marked)
+    again = toxicity.train(df.repartition(7), marked.repartition(2))
+    assert (again.keys == model.keys).all() and (again.weights == model.weights).all()
+    got = {r.doc_id: r for r in toxicity.grade(df.where("doc_id >= 600"), model).collect()}
+    mean = {n: np.mean([r.expected_severity for i, r in got.items() if planted[i] == n]) for n in (0, 2, 8, 25)}
+    assert mean[0] < 0.2 and all(mean[b] > mean[a] + 0.2 for a, b in ((0, 2), (2, 8), (8, 25)))
+    weights = dict(zip(model.keys.tolist(), model.weights.tolist(), strict=True))
+    for i, r in got.items():
+        text = dict(rows)[i].encode()
+        times = Counter()
+        for w in text.split():
+            word = textcore.word_hashes([w])[0]
+            times[int(word[0])] += 1
+            if len(w) > 6:
+                times[int(textcore.mix(textcore.word_hashes([w[:6]])[0] + np.uint64(6))[0])] += 1
+        score = sum(weights.get(k, 0) * np.log(1 + n) for k, n in times.items())
+        above = [1 / (1 + np.exp(t - score)) for t in model.thresholds]
+        each = [a - b for a, b in zip([1, *above], [*above, 0], strict=True)]
+        assert r.expected_severity == pytest.approx(sum(k * p for k, p in enumerate(each)), abs=1e-5)
+        assert r.p_toxic == pytest.approx(above[0], abs=1e-5) and r.toxic == (above[0] >= 0.5) and each[r.severity] == pytest.approx(max(each))
+
+
 def test_mixing(spark, docs, odd, none):
     rng = np.random.default_rng(4)
     skewed = spark.createDataFrame(
