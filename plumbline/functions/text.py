@@ -233,3 +233,30 @@ def percent(x: Column, places: int = 2) -> Column:
 
 def _literal(term: str) -> str:
     return "".join(c if c.isalnum() else "\\" + c for c in term)
+
+
+# The home region, and marks in a school's name that raise its standing.
+HOME_REGION = "浙江"
+SCHOOL_MARKS = ("双一流", "985", "211")
+
+
+def in_home_region(province: Column, home: str = HOME_REGION) -> Column:
+    return F.trim(F.coalesce(province, F.lit(""))) == home
+
+
+def marked_school(college: Column, marks: Sequence[str] = SCHOOL_MARKS) -> Column:
+    return has_any(F.trim(F.coalesce(college, F.lit(""))), marks)
+
+
+def price_detail(price: Column, raw: Column) -> Column:
+    """A price by year as shown, with the original cell where that says more than the number."""
+    shown = F.when(price.isNull(), F.lit("-")).otherwise(F.concat(F.regexp_replace(F.format_number(price, 0), r"\.$", ""), F.lit(" 元/年")))
+    cell = F.trim(F.coalesce(raw, F.lit("")))
+    plain = (cell == "") | F.rlike(F.replace(cell, F.lit(","), F.lit("")), F.lit(r"^\d+(\.0+)?$"))
+    return F.when(plain, shown).when(price.isNull(), F.concat(F.lit("原表："), cell)).otherwise(F.concat(shown, F.lit("（原表："), cell, F.lit("）")))
+
+
+def history_badge(latest: Column, years: Column) -> Column:
+    """How many years of history a row has, as a badge says it."""
+    n = F.coalesce(years, F.lit(0))
+    return F.when(latest.isNull(), "无历史").when(n >= 3, "3年").when(n == 2, "2年").otherwise("1年")

@@ -67,3 +67,10 @@ def drop_listed(df: DataFrame, rules: Sequence[tuple[str, str]], first: str, sec
 
 def exclude_unless(df: DataFrame, excluded: Column, exception: Column) -> DataFrame:
     return df.where(~F.coalesce(excluded, F.lit(False)) | F.coalesce(exception, F.lit(False)))
+
+
+def active_labels(values: dict[str, object], ranges: dict[str, tuple[object, object]]) -> list[str]:
+    """The filters that are set, as labels: name: value, and name: low-high with - for an open end."""
+    out = [f"{name}: {value}" for name, value in values.items() if value not in (None, "")]
+    shown = lambda x: "-" if x in (None, "") else str(x)
+    return out + [f"{name}: {shown(low)}-{shown(high)}" for name, (low, high) in ranges.items() if (low, high) not in ((None, None), ("", ""), (None, ""), ("", None))]

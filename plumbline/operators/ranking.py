@@ -42,6 +42,13 @@ def carry_forward(df: DataFrame, by: Sequence[str], order: Sequence[str], column
     return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in columns})
 
 
+def sort_key(x: Column, descending: bool = False, missing: float | None = None) -> Column:
+    """Order of a sort that a user picks: ascending with nulls last, its mirror with nulls first, or descending with nulls as a number."""
+    if missing is not None:
+        return F.coalesce(x, F.lit(missing)).desc()
+    return x.desc_nulls_first() if descending else x.asc_nulls_last()
+
+
 def top_n(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
@@ -83,7 +90,9 @@ def quota_top(df: DataFrame, band: str, quotas: dict[str, int], order: Sequence[
     """The first rows of each band, as many as its quota; bands without one have none."""
     w = Window.partitionBy(band).orderBy(*order)
     table = F.create_map(*[F.lit(v) for pair in quotas.items() for v in pair])
-    return df.where(F.col(band).isin(*quotas)).withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= F.coalesce(F.try_element_at(table, band), F.lit(0))).drop("_rn")
+    # The largest quota as a literal, so that each task keeps no more rows of a band than that.
+    first = df.where(F.col(band).isin(*quotas)).withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= max(quotas.values(), default=0))
+    return first.where(F.col("_rn") <= F.coalesce(F.try_element_at(table, band), F.lit(0))).drop("_rn")
 
 
 def fill_to(selected: DataFrame, pool: DataFrame, key: str, n: int, order: Sequence[Column]) -> DataFrame:
@@ -111,13 +120,14 @@ def with_floor(selected: DataFrame, pool: DataFrame, key: str, member: Column, l
 
 def select_by_quota(pool: DataFrame, key: str, band: str, quotas: dict[str, int], n: int, member: Column, least: int, order: Sequence[Column]) -> DataFrame:
     """Quotas by band, the remainder from the pool, a floor for members, numbered by the order as final_rank."""
+    pool = settle(pool)  # counted and read several times below
     taken = fill_to(quota_top(pool, band, quotas, order), pool, key, n, order)
     return numbered(with_floor(taken, pool, key, member, least, order, n), order, "final_rank")
 
 
 def select_two_parts(pool: DataFrame, key: str, parts: Sequence[tuple[Column, int]], n: int, member: Column, least: int, order: Sequence[Column], worst: Sequence[Column]) -> DataFrame:
     """So many rows of each part, the remainder from the pool; members short of the floor replace the worst others."""
-    taken = None
+    pool, taken = settle(pool), None
     for condition, size in parts:
         part = pool.where(condition).orderBy(*order).limit(size)
         taken = part if taken is None else taken.unionByName(part.join(taken.select(key), key, "left_anti").select(*part.columns))
@@ -144,18 +154,45 @@ def halves(df: DataFrame, by: str, order: Sequence[Column], name: str = "half")
 def balance(df: DataFrame, group: str, shards: int, name: str = "shard") -> DataFrame:
     """Whole groups dealt largest first to the shard with the fewest rows, the first of equals.
 
-    For groups whose sizes fit the driver by far (schools of a list): more than a million are refused.
+    The loads decide one after the other, so groups are taken in order; groups of one size come as their
+    number, whatever that is: sizes differ in few ways, and equal ones fill the shards level by level.
     """
-    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), group).limit(1_000_001).collect()
-    if len(sizes) > 1_000_000:
-        raise ValueError("too many groups to balance on the driver")
+    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
+    ranked = numbered(sizes, [F.desc("n"), F.asc(group)], "_at")
     load, dealt = [0] * shards, []
-    for row in sizes:
+    # A row for each different size: at most as many as the square root of twice the rows.
+    for row in sizes.groupBy("n").agg(F.count(F.lit(1)).alias("k")).orderBy(F.desc("n")).toLocalIterator():
+        dealt.append((row["n"], *_levels(load, row["n"], row["k"])))
+    plan = df.sparkSession.createDataFrame(dealt, "n long, _order array<int>, _cycle array<int>")
+    within = F.row_number().over(Window.partitionBy("n").orderBy("_at")) - 1
+    placed = ranked.withColumn("_k", within).join(plan, "n")
+    head = F.size("_order")
+    shard = F.when(F.col("_k") < head, F.element_at("_order", F.col("_k") + 1)).otherwise(F.element_at("_cycle", F.pmod(F.col("_k") - head, F.lit(shards)) + 1))
+    return df.join(placed.select(group, shard.cast("int").alias(name)), group, "left")
+
+
+def _levels(load: list[int], size: int, count: int) -> tuple[list[int], list[int]]:
+    """Where count groups of one size go, each to the first of the least loaded: the first ones, and the cycle that all later ones follow.
+
+    Loads that differ by less than one size stay so, and then the shards take turns in one order. load is updated.
+    """
+    order: list[int] = []
+    while len(order) < count and max(load) - min(load) >= size:
         at = load.index(min(load))
-        load[at] += row["n"]
-        dealt.append((row[group], at))
-    table = df.sparkSession.createDataFrame(dealt, f"`{group}` {dict(df.dtypes)[group]}, `{name}` int")
-    return df.join(table, group, "left")
+        load[at] += size
+        order.append(at)
+    rest = count - len(order)
+    cycle: list[int] = []
+    if rest:
+        turns, part = divmod(rest, len(load))
+        now = list(load)
+        for _ in load:
+            at = now.index(min(now))
+            now[at] += size
+            cycle.append(at)
+        for i, at in enumerate(cycle):
+            load[at] += size * (turns + (i < part))
+    return order, cycle
 
 
 def in_order(x: Column, names: Sequence[str]) -> Column:

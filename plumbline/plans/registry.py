@@ -32,4 +32,4 @@ def query(sql: str | None = None) -> Callable:
     return add
 
 
-from plumbline.plans import queries_domain, queries_relational, queries_text  # noqa: E402, F401
+from plumbline.plans import queries_cells, queries_domain, queries_relational, queries_text  # noqa: E402, F401

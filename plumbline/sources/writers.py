@@ -22,7 +22,7 @@ def write_tables(tables: dict[str, DataFrame], path: str, sort: dict[str, Sequen
 
 def write_by(df: DataFrame, path: str, column: str, format: str = "csv") -> None:
     """One folder for each value of the column; rows of a value meet in one task first, split by adaptive execution if large."""
-    df.hint("rebalance", column).write.mode("overwrite").partitionBy(column).option("header", True).format(format).save(path)
+    df.hint("rebalance", column).write.mode("overwrite").partitionBy(column).options(header=True, escape='"', emptyValue="").format(format).save(path)
 
 
 def payload(df: DataFrame) -> DataFrame:
@@ -41,7 +41,7 @@ def text_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def cell(x: Column, kind: str) -> Column:
     """A value as reports show it: share, number with two decimals, whole number, or text; null is empty."""
-    shown = {"share": F.format_string("%.4f%%", F.bround(x * 100, 4)), "number": F.format_string("%.2f", x), "whole": F.bround(x).cast("long").cast("string")}.get(kind, x.cast("string"))
+    shown = {"share": F.format_string("%.4f%%", F.bround(x * 100, 4)), "number": F.format_string("%.2f", F.bround(x, 2)), "whole": F.bround(x).cast("long").cast("string")}.get(kind, x.cast("string"))
     return F.when(x.isNull(), F.lit("")).otherwise(shown)
 
 
