@@ -9,7 +9,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StringType
+from pyspark.sql.types import ArrayType, BooleanType, StringType
 
 # Words that deny what follows, and words that weaken what they follow.
 NEGATORS = ("未见", "未发现", "未检索到", "未看到", "未能确认", "没有", "无", "不含", "非", "暂无", "未找到", "没找到")
@@ -26,8 +26,8 @@ def occurs_unnegated(text: str, tokens: Sequence[str], negators: Sequence[str] =
     """Whether some token occurs with no negator in its sentence's last 40 characters before it, and no weakener in it or 8 after."""
     for token in filter(None, tokens):
         for m in re.finditer(re.escape(token), text):
-            sentence = _END.split(text[: m.start()])[-1]
-            if not any(n in sentence[-before:] for n in negators) and not any(w in text[m.start() : m.end() + after] for w in weakeners):
+            head = _END.split(text[max(0, m.start() - before) : m.start()])[-1]
+            if not any(n in head for n in negators) and not any(w in text[m.start() : m.end() + after] for w in weakeners):
                 return True
     return False
 
@@ -43,6 +43,17 @@ def contains_unnegated(x: Column, tokens: Sequence[str]) -> Column:
     return test(x)
 
 
+def contains_each(x: Column, lists: Sequence[Sequence[str]]) -> Column:
+    """array<boolean>: occurs_unnegated() of a text for each list of tokens, in one pass over Arrow; null is false."""
+    listed = [list(tokens) for tokens in lists]
+
+    @F.pandas_udf(ArrayType(BooleanType()))
+    def test(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: [bool(t) and occurs_unnegated(t, tokens) for tokens in listed])
+
+    return test(x)
+
+
 def occurs_asserted(text: str, phrases: Sequence[str], tokens: Sequence[str], markers: Sequence[str], near: int = 50) -> bool:
     """A phrase that is not negated, or a token with a marker shortly before it and no negator before it in the sentence."""
     if occurs_unnegated(text, phrases):

@@ -130,6 +130,7 @@ def final_score(df: DataFrame, profile: str = "balanced") -> DataFrame:
     return df.withColumn("final_score", score)
 
 
+# Rows to select of each band.
 QUOTAS = {"超冲": 35, "冲": 40, "贴合": 60, "稳": 65, "保": 60, "低优先保底": 30, "远保底": 10}
 
 

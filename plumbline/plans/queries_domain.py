@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions import numeric, text
@@ -42,7 +42,7 @@ g AS (SELECT item_id, count(*) AS n, count(DISTINCT (key, coalesce(rank, -1))) A
 f AS (SELECT item_id, arg_min(level, o) AS level, arg_min(record_id, o) AS record_id FROM m GROUP BY item_id UNION ALL SELECT item_id, 'contains_unique', record_id FROM g WHERE kinds = 1)"""
 
 
-def _matches(t: Tables, rejected: DataFrame | None = None, choices: DataFrame | None = None) -> matching.Matches:
+def _matches(t: Tables, rejected: DataFrame | None = None, choices: DataFrame | None = None, group_of: Column | None = None) -> matching.Matches:
     word = F.coalesce(F.try_element_at(F.split("p_name", " "), F.lit(2)), F.lit(""))
     rows = t.part.select(
         F.col("p_partkey"), F.lit("").alias("group_code"), F.concat_ws("/", "p_brand", "p_type").alias("group_key"), "p_name", word.alias("base_key"), F.col("p_size").alias("rank"), F.lit(4).alias("duration"), F.lit(2024).alias("year")
@@ -50,7 +50,7 @@ def _matches(t: Tables, rejected: DataFrame | None = None, choices: DataFrame |
     items = rows.where("p_partkey % 2 = 0").select(F.col("p_partkey").alias("item_id"), F.col("group_key").alias("group_code"), "group_key", F.col("p_name").alias("name"), F.col("p_name").alias("key"), "base_key", "duration")
     name = F.when(F.floor(F.col("p_partkey") / 2) % 3 == 0, F.col("base_key")).otherwise(F.col("p_name"))
     records = rows.where("p_partkey % 2 = 1").select(F.col("p_partkey").alias("record_id"), "year", "group_code", "group_key", name.alias("name"), name.alias("key"), "base_key", "rank", "duration")
-    return matching.match(items, records, [2024], rejected, choices)
+    return matching.match(items, records, [2024], rejected, choices, group_of)
 
 
 @query(f"WITH {_MATCH_SQL} SELECT item_id, level, record_id FROM f")
@@ -63,6 +63,25 @@ def ambiguous_audit(t: Tables) -> DataFrame:
     return _matches(t).ambiguous.select("item_id", "candidate_count", "candidates")
 
 
+@query(f"""WITH {_MATCH_SQL}, pick AS (SELECT item_id, min(name) AS chosen FROM c GROUP BY item_id HAVING count(DISTINCT (key, coalesce(rank, -1))) > 1),
+fit AS (SELECT item_id, count(DISTINCT (c.key, c.rank)) AS n, max(record_id) AS record_id FROM c JOIN pick USING (item_id) WHERE c.name = chosen GROUP BY item_id)
+SELECT item_id, 'manual_ambiguous' AS level, record_id FROM fit WHERE n = 1 UNION ALL SELECT item_id, 'not_unique', NULL FROM fit WHERE n > 1 UNION ALL SELECT item_id, level, record_id FROM f""")
+def curated_choices(t: Tables) -> DataFrame:
+    """Of several contained candidates the chosen one is taken, if it is one; else the audit says so."""
+    unsure = _matches(t).ambiguous
+    picks = unsure.select("item_id", "year", F.substring_index("candidates", "; ", 1).alias("chosen"))
+    got = _matches(t, choices=picks)
+    return got.matched.select("item_id", "level", "record_id").unionByName(got.ambiguous.select("item_id", F.col("status").alias("level"), F.lit(None).cast("long").alias("record_id")))
+
+
+@query(f"""WITH {_MATCH_SQL}, g2 AS (SELECT p_partkey, p_brand FROM part) SELECT item_id, level, record_id, g.p_brand <> 'Brand#11' AND b.p_brand <> 'Brand#11' AS matched FROM f JOIN g2 g ON g.p_partkey = item_id JOIN g2 b ON b.p_partkey = record_id""")
+def identity_guard(t: Tables) -> DataFrame:
+    """Matches whose group has no canonical form, or another one, are logged and not taken, and nothing else is tried."""
+    own = F.when(F.startswith(F.col("g"), F.lit("Brand#11")), F.lit("")).otherwise(F.col("g"))
+    got = _matches(t, group_of=own)
+    return got.matched.select("item_id", "level", "record_id", F.lit(True).alias("matched")).unionByName(got.mismatched.select("item_id", "level", "record_id", F.lit(False).alias("matched")))
+
+
 def _ledger(t: Tables) -> DataFrame:
     word = F.coalesce(F.try_element_at(F.split("p_name", " "), F.lit(2)), F.lit(""))
     names = t.part.where("p_partkey % 2 = 0 and p_partkey % 5 = 0").select(F.concat_ws("/", "p_brand", "p_type").alias("group_code"), F.col("p_name").alias("name"), word.alias("record_name")).distinct()
@@ -123,18 +142,80 @@ def _pool(t: Tables) -> DataFrame:
     )
 
 
-@query()
+_POOL_SQL = f"""yv AS (SELECT o_custkey, year(o_orderdate) % 3 AS y, min(o_totalprice) AS v FROM orders GROUP BY ALL),
+yw AS (SELECT o_custkey, max(CASE y WHEN 0 THEN v END) AS r1, max(CASE y WHEN 1 THEN v END) AS r2, max(CASE y WHEN 2 THEN v END) AS r3 FROM yv GROUP BY o_custkey),
+it AS (SELECT c_custkey::VARCHAR AS item_id, c_nationkey::VARCHAR AS college, (['数学与应用数学', '计算机科学与技术', '计算机类', '软件工程', '理科试验班', '金融学'])[c_custkey % 6 + 1] AS major, CASE WHEN c_custkey % 12 = 4 THEN '含统计学' ELSE '' END AS remark,
+ c_custkey % 13 AS plan, r1, r2, r3 FROM customer LEFT JOIN yw ON o_custkey = c_custkey WHERE c_custkey % 7 <> 0),
+cl AS (SELECT *, CASE major WHEN '数学与应用数学' THEN 'core_math_stat' WHEN '计算机科学与技术' THEN 'core_cs_ai' WHEN '计算机类' THEN 'target_class' WHEN '理科试验班' THEN CASE WHEN remark <> '' THEN 'trial_class' ELSE 'not_target' END ELSE 'none' END AS category FROM it WHERE major <> '软件工程'),
+ft AS (SELECT *, CASE category WHEN 'core_math_stat' THEN 100 WHEN 'core_cs_ai' THEN 96 WHEN 'target_class' THEN 74 ELSE 66 END AS fit, (r1 IS NOT NULL)::INT + (r2 IS NOT NULL)::INT + (r3 IS NOT NULL)::INT AS years,
+ (coalesce(r1 * 0.2, 0) + coalesce(r2 * 0.3, 0) + coalesce(r3 * 0.5, 0)) / nullif(CASE WHEN r1 IS NULL THEN 0 ELSE 0.2 END + CASE WHEN r2 IS NULL THEN 0 ELSE 0.3 END + CASE WHEN r3 IS NULL THEN 0 ELSE 0.5 END, 0)::DOUBLE AS center FROM cl WHERE category NOT IN ('not_target', 'none')),
+rk AS (SELECT *, list_sort(list_filter([CASE WHEN category IN ('target_class', 'trial_class') THEN 'class_diversion' END, CASE WHEN category = 'trial_class' THEN 'trial_or_experimental_class' END, CASE WHEN years = 0 THEN 'new_no_history' END,
+ CASE WHEN years >= 2 AND greatest(r1, r2, r3) - least(r1, r2, r3) >= 30000 THEN 'high_rank_volatility' END, CASE WHEN plan <= 2 THEN 'small_plan' END], lambda x: x IS NOT NULL)) AS risks FROM ft),
+md AS (SELECT *, median(center) OVER (PARTITION BY college) AS near, median(center) OVER (PARTITION BY category) AS wide, median(center) OVER () AS overall FROM rk),
+im AS (SELECT *, coalesce(center, 0.65 * near + 0.35 * wide, near, wide, overall) AS predicted, CASE WHEN center IS NOT NULL THEN 'history' WHEN near IS NOT NULL AND wide IS NOT NULL THEN 'school_category_proxy' WHEN near IS NOT NULL THEN 'school_proxy' WHEN wide IS NOT NULL THEN 'category_proxy' ELSE 'global_proxy' END AS certainty FROM md),
+bd AS (SELECT *, CASE WHEN predicted IS NULL THEN '无历史' WHEN predicted <= 18000 THEN '超冲' WHEN predicted <= 32000 THEN '冲' WHEN predicted <= 46000 THEN '贴合' WHEN predicted <= 65000 THEN '稳' WHEN predicted <= 90000 THEN '保' WHEN predicted <= 120000 THEN '低优先保底' ELSE '远保底' END AS band,
+ list_sum(list_transform(risks, lambda x: CASE x WHEN 'class_diversion' THEN 18 WHEN 'trial_or_experimental_class' THEN 8 WHEN 'new_no_history' THEN 9 WHEN 'small_plan' THEN 8 WHEN 'high_rank_volatility' THEN 7 ELSE 0 END)) AS pen FROM im),
+sc AS (SELECT *, (fit + CASE band WHEN '超冲' THEN 8 WHEN '冲' THEN 24 WHEN '贴合' THEN 35 WHEN '稳' THEN 32 WHEN '保' THEN 22 WHEN '低优先保底' THEN 8 WHEN '远保底' THEN -12 ELSE 14 END - coalesce(pen, 0)
+ + CASE WHEN years >= 3 THEN 5 WHEN years = 2 THEN 3 ELSE 0 END + CASE WHEN plan >= 10 THEN 4 WHEN plan >= 5 THEN 2 ELSE 0 END + CASE WHEN plan - 4 >= 5 THEN 3 WHEN plan - 4 <= -3 THEN -4 ELSE 0 END)::DOUBLE AS score FROM bd),
+pr AS (SELECT *, CASE WHEN score >= 100 THEN 'A' WHEN score >= 84 THEN 'B' WHEN score >= 68 THEN 'C' WHEN score >= 52 THEN 'D' ELSE 'E' END AS priority, row_number() OVER (ORDER BY score DESC, fit DESC, predicted ASC NULLS FIRST, plan DESC, item_id) AS pool_rank FROM sc)"""
+
+
+@query(f"WITH {_POOL_SQL} SELECT pool_rank, item_id, category, fit, coalesce(array_to_string(risks, ';'), '') AS risks, round(predicted, 4) AS predicted, certainty, band, score, priority FROM pr")
 def prescreen_pipeline(t: Tables) -> DataFrame:
     got = prescreen.prescreen(_pool(t), ["物理", "化学", "生物"])
     return got.select("pool_rank", "item_id", "category", "fit", F.array_join("risks", ";").alias("risks"), F.round("predicted", 4).alias("predicted"), "certainty", "band", "score", "priority")
 
 
-@query()
+_LABEL_SQL = f"""{_POOL_SQL}, l0 AS (SELECT *, category IN ('target_class', 'trial_class') AS loose FROM pr),
+l1 AS (SELECT *, CASE WHEN loose THEN 'high' WHEN list_contains(risks, 'new_no_history') THEN 'medium' ELSE 'low' END AS label_risk FROM l0),
+l2 AS (SELECT *, CASE WHEN NOT loose THEN CASE WHEN fit >= 96 AND label_risk = 'low' THEN 5 ELSE 4 END ELSE 2 END AS keep0 FROM l1),
+l3 AS (SELECT *, (CASE WHEN band = '远保底' THEN least(keep0, 3) ELSE keep0 END)::DOUBLE AS label_priority FROM l2)"""
+
+_SELECT_SQL = """f AS (SELECT *, score * 0.62 + fit * 0.28 + label_priority * 6 - CASE label_risk WHEN 'low' THEN 0 WHEN 'medium' THEN 5 ELSE 13 END + {more} AS final_score FROM l3),
+o AS (SELECT *, row_number() OVER (ORDER BY final_score DESC, label_priority DESC, fit DESC, predicted ASC NULLS FIRST, item_id) AS pos FROM f)"""
+
+
+@query("""WITH """ + _LABEL_SQL + """, """ + _SELECT_SQL.format(more="0") + """,
+q AS (SELECT *, row_number() OVER (PARTITION BY band ORDER BY pos) <= CASE band WHEN '超冲' THEN 35 WHEN '冲' THEN 40 WHEN '贴合' THEN 60 WHEN '稳' THEN 65 WHEN '保' THEN 60 WHEN '低优先保底' THEN 30 WHEN '远保底' THEN 10 ELSE 0 END AS first FROM o),
+t AS (SELECT *, first OR row_number() OVER (PARTITION BY first ORDER BY pos) <= greatest(0, 120 - (SELECT count(*) FROM q WHERE first)) AS taken FROM q),
+m AS (SELECT *, taken OR (years = 0 AND row_number() OVER (PARTITION BY taken, years = 0 ORDER BY pos) <= greatest(0, 10 - (SELECT count(*) FROM t WHERE taken AND years = 0))) AS put FROM t),
+k AS (SELECT *, row_number() OVER (PARTITION BY years = 0 ORDER BY pos) AS own FROM m WHERE put),
+r AS (SELECT *, years = 0 AND own <= 10 AS sure FROM k),
+z AS (SELECT *, (SELECT count(*) FROM k) <= 120 OR sure OR row_number() OVER (PARTITION BY sure ORDER BY pos) <= greatest(0, 120 - (SELECT count(*) FROM r WHERE sure)) AS stays FROM r)
+SELECT row_number() OVER (ORDER BY pos) AS final_rank, item_id, round(final_score, 4) AS final_score, band FROM z WHERE stays""")
 def quota_selection(t: Tables) -> DataFrame:
     pool = prescreen.final_score(prescreen.normalize_labels(prescreen.fallback_labels(prescreen.prescreen(_pool(t), ["物理", "化学", "生物"]))))
     return prescreen.select(pool, n=120, least=10).select("final_rank", "item_id", F.round("final_score", 4).alias("final_score"), "band")
 
 
+@query("""WITH """ + _LABEL_SQL + """, """ + _SELECT_SQL.format(more="CASE WHEN category = 'core_math_stat' THEN 9 WHEN category = 'core_cs_ai' AND band IN ('保', '低优先保底', '远保底') THEN -12 WHEN category = 'core_cs_ai' THEN -6 ELSE 0 END") + """,
+a AS (SELECT *, category = 'core_math_stat' AND row_number() OVER (PARTITION BY category ORDER BY pos) <= 60 OR category = 'core_cs_ai' AND row_number() OVER (PARTITION BY category ORDER BY pos) <= 30 AS first FROM o),
+t AS (SELECT *, first OR row_number() OVER (PARTITION BY first ORDER BY pos) <= greatest(0, 90 - (SELECT count(*) FROM a WHERE first)) AS taken FROM a),
+m AS (SELECT *, NOT taken AND years = 0 AND row_number() OVER (PARTITION BY taken, years = 0 ORDER BY pos) <= greatest(0, 10 - (SELECT count(*) FROM t WHERE taken AND years = 0)) AS more FROM t),
+w AS (SELECT *, taken AND years > 0 AND row_number() OVER (PARTITION BY taken, years > 0 ORDER BY final_score, item_id) <= (SELECT count(*) FROM m WHERE more) AS out FROM m)
+SELECT row_number() OVER (ORDER BY pos) AS final_rank, item_id, round(final_score, 4) AS final_score, band FROM w WHERE more OR taken AND NOT out ORDER BY pos LIMIT 90""")
+def mathematics_first(t: Tables) -> DataFrame:
+    pool = prescreen.final_score(prescreen.normalize_labels(prescreen.fallback_labels(prescreen.prescreen(_pool(t), ["物理", "化学", "生物"]))), "math_first")
+    return prescreen.select(pool, "math_first", n=90, least=10).select("final_rank", "item_id", F.round("final_score", 4).alias("final_score"), "band")
+
+
+@query(f"""WITH {_LABEL_SQL} SELECT item_id, label_risk, label_priority, 'no' AS label_exclude, fit::DOUBLE AS label_fit FROM l3""")
+def fallback_labels(t: Tables) -> DataFrame:
+    pool = prescreen.fallback_labels(prescreen.prescreen(_pool(t), ["物理", "化学", "生物"]))
+    return pool.select("item_id", "label_risk", "label_priority", "label_exclude", "label_fit")
+
+
+@query("""SELECT c_custkey, least(greatest(coalesce(try_cast(f AS DOUBLE), 0), 0), 100) AS label_fit, least(greatest(coalesce(try_cast(p AS DOUBLE), 0), 1), 5) AS label_priority, CASE lower(r) WHEN '中' THEN 'medium' WHEN '高' THEN 'high' WHEN 'low' THEN 'low' ELSE 'medium' END AS label_risk,
+ CASE WHEN lower(e) IN ('是', 'true', 'yes') THEN 'yes' ELSE 'no' END AS label_exclude FROM (SELECT c_custkey, (['120', '-3', 'x', '55.5', ''])[c_custkey % 5 + 1] AS f, (['9', '0', '3', ''])[c_custkey % 4 + 1] AS p, (['中', '高', 'LOW', '?', ''])[c_nationkey % 5 + 1] AS r, (['是', 'TRUE', '否', 'maybe', 'yes'])[c_custkey % 5 + 1] AS e FROM customer)""")
+def label_bounds(t: Tables) -> DataFrame:
+    pick = lambda k, *cells: F.element_at(F.array(*map(F.lit, cells)), (F.col(k) % len(cells) + 1).cast("int"))
+    rows = t.customer.select(
+        "c_custkey", pick("c_custkey", "120", "-3", "x", "55.5", "").alias("label_fit"), pick("c_custkey", "9", "0", "3", "").alias("label_priority"), pick("c_nationkey", "中", "高", "LOW", "?", "").alias("label_risk"),
+        pick("c_custkey", "是", "TRUE", "否", "maybe", "yes").alias("label_exclude"),
+    )
+    return prescreen.normalize_labels(rows)
+
+
 _SAMPLES_SQL = """yy AS (SELECT l_partkey, year(l_shipdate) AS y, max(l_extendedprice) AS v FROM lineitem WHERE year(l_shipdate) BETWEEN 1996 AND 1998 GROUP BY ALL),
 ww AS (SELECT p_type AS family, p_size AS plan_count, p_size % 2 = 0 AS region, max(CASE WHEN y = 1996 THEN v END) AS a, max(CASE WHEN y = 1997 THEN v END) AS b, max(CASE WHEN y = 1998 THEN v END) AS c FROM part JOIN yy ON l_partkey = p_partkey GROUP BY p_partkey, p_type, p_size),
 pp AS (SELECT family, plan_count, region, a AS old, b AS new FROM ww WHERE a > 0 AND b > 0 UNION ALL SELECT family, plan_count, region, b, c FROM ww WHERE b > 0 AND c > 0),
@@ -179,24 +260,26 @@ def similarity_pool(t: Tables) -> DataFrame:
     return pool.groupBy("choice").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("weight"), 6).alias("total"), F.round(F.first("effective_n"), 4).alias("effective_n"))
 
 
-@query(f"""{_LANDING_SQL}, q AS (SELECT choice, rank() OVER (ORDER BY choice) AS ord, least(1.0, sum(weight * (ln(r / 400000 / (1 - r / 400000)) + delta / sqrt(2) - ln(45000 / 400000.0 / (1 - 45000 / 400000.0)) >= 0)::INT)) AS chance FROM b JOIN c2 USING (choice) WHERE ps > 3 GROUP BY choice),
-z AS (SELECT *, coalesce(product(1 - chance) OVER (ORDER BY choice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 1.0) AS reach FROM q)
-SELECT choice, round(chance, 6) AS chance, round(reach, 6) AS reach, round(reach * chance, 6) AS admit FROM z""")
-def landing_closed_form(t: Tables) -> DataFrame:
-    """Without extra spread: three years of history and no small plans, as no engine here has the normal distribution."""
-    choices = _choices(t).where("plan_count > 3")
-    got = landing.landing(choices, _samples(t), 45_000.0)
-    return got.select("choice", F.round("chance", 6).alias("chance"), F.round("reach", 6).alias("reach"), F.round("admit", 6).alias("admit"))
+def _spread_sql(history: int) -> str:
+    """Chances with extra spread by history and plan; the distribution by the same rational approximation."""
+    sigma = {0: 0.055, 1: 0.035}.get(history, 0.0)
+    return f"""{_LANDING_SQL}, e AS (SELECT choice, weight, ln(r / 400000 / (1 - r / 400000)) + delta / sqrt(2) - ln(45000 / 400000.0 / (1 - 45000 / 400000.0)) AS gap, {sigma} + CASE WHEN ps <= 3 THEN 0.02 ELSE 0 END AS sigma FROM b JOIN c2 USING (choice)),
+g AS (SELECT *, gap / nullif(sigma, 0) AS x, 1 / (1 + 0.2316419 * abs(gap / nullif(sigma, 0))) AS u FROM e),
+h AS (SELECT *, exp(-x * x / 2) / sqrt(2 * pi()) * (u * (0.319381530 + u * (-0.356563782 + u * (1.781477937 + u * (-1.821255978 + u * 1.330274429))))) AS tail FROM g),
+q AS (SELECT choice, least(1.0, sum(weight * CASE WHEN sigma > 0 THEN CASE WHEN x >= 0 THEN 1 - tail ELSE tail END ELSE (gap >= 0)::INT END)) AS chance, count(*) AS n, 1 / sum(weight * weight) AS eff FROM h GROUP BY choice),
+z AS (SELECT *, coalesce(product(1 - chance) OVER (ORDER BY choice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 1.0) AS reach FROM q)"""
 
 
-@query()
-def landing_all_choices(t: Tables) -> DataFrame:
-    """Small plans too, with their extra spread and their place in the running product."""
+@query(f"{_spread_sql(3)} SELECT choice, round(chance, 6) AS chance, round(reach, 6) AS reach, round(reach * chance, 6) AS admit FROM z")
+def landing_closed_form(t: Tables) -> DataFrame:
     got = landing.landing(_choices(t), _samples(t), 45_000.0)
     return got.select("choice", F.round("chance", 6).alias("chance"), F.round("reach", 6).alias("reach"), F.round("admit", 6).alias("admit"))
 
 
-@query()
+@query(f"""{_spread_sql(1)} SELECT choice, round(chance, 6) AS chance, round(reach * chance, 6) AS admit, round(sum(reach * chance) OVER (ORDER BY choice), 6) AS total,
+ (['rank+family+plan+region', 'rank+family+plan', 'rank+family', 'rankbin+family', 'near_rank', 'rankbin', 'near_rank_fallback', 'near_rank_fallback'])[tier + 1] || CASE WHEN k < 40 THEN '+rankbin_shrink' ELSE '' END AS tier,
+ '1年历史' || CASE WHEN ps <= 3 THEN ';小计划' ELSE '' END || ';' || (['rank+family+plan+region', 'rank+family+plan', 'rank+family', 'rankbin+family', 'near_rank', 'rankbin', 'near_rank_fallback', 'near_rank_fallback'])[tier + 1] || CASE WHEN k < 40 THEN '+rankbin_shrink' ELSE '' END || ';eff_n=' || printf('%.0f', eff) AS note
+FROM z JOIN n USING (choice) JOIN f USING (choice) JOIN c2 USING (choice)""")
 def landing_with_spread(t: Tables) -> DataFrame:
     got = landing.landing(_choices(t, 1), _samples(t), 45_000.0)
     return got.select("choice", F.round("chance", 6).alias("chance"), F.round("admit", 6).alias("admit"), F.round("total", 6).alias("total"), "tier", "note")
@@ -245,14 +328,40 @@ def profile_tiers(t: Tables) -> DataFrame:
     return scoring.tiers(scores, "c_custkey", "c_nationkey").select("c_custkey", "quality_rank", "tier")
 
 
-@query()
+_NEGATED = "(未见|未发现|未检索到|未看到|未能确认|没有|无|不含|非|暂无|未找到|没找到)[^。；;]{0,40}?"
+
+
+@query("""WITH r AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '本科导师；未见金融课程；' ELSE '四人间；强制早操；金融工程；' END AS e, doc_id % 4 = 0 AS robots, doc_id % 5 = 0 AS joint, doc_id % 7 = 0 AS grouped, lang FROM documents),
+f AS (SELECT doc_id, 'tutor_system' AS factor, 'medium' AS confidence, '证据中出现本科导师或导师制信号。' AS shown, 'evidence_text' AS source FROM r WHERE contains(e, '本科导师')
+UNION ALL SELECT doc_id, 'good_dorm_signal', 'medium', '弱证据中出现住宿正面信号。', 'weak_evidence' FROM r WHERE contains(e, '四人间')
+UNION ALL SELECT doc_id, 'time_tax_risk', 'medium', '弱证据中出现时间税或管理负担风险。', 'weak_evidence' FROM r WHERE contains(e, '强制早操')
+UNION ALL SELECT doc_id, 'finance_business_load', 'high', '培养方向或课程证据中出现金融/证券/投资/经济应用负担。', 'evidence_text' FROM r WHERE contains(e, '金融') AND NOT regexp_matches(e, '""" + _NEGATED + """金融')
+UNION ALL SELECT doc_id, 'robotics_control_lockin', 'medium', '证据中出现机器人/控制绑定风险。', 'evidence_text' FROM r WHERE robots
+UNION ALL SELECT doc_id, 'sino_foreign_risk', 'high', '专业名称显示中外合作或中澳项目。', 'major_name' FROM r WHERE joint
+UNION ALL SELECT doc_id, 'math_path_bias', 'high', '数学/统计/信计路径符合数学优先策略。', 'major_group' FROM r WHERE joint OR grouped
+UNION ALL SELECT doc_id, 'double_first_class', CASE WHEN lang = 'en' THEN 'high' ELSE 'low' END, 'from ' || lang, 'tags' FROM r
+UNION ALL SELECT doc_id, 'project101_confirmed', 'low', 'label ' || quality, 'labels' FROM (SELECT doc_id, min(quality) AS quality FROM labels WHERE toxic = 0 AND doc_id IN (SELECT doc_id FROM documents) GROUP BY doc_id))
+SELECT doc_id, factor, confidence, shown AS evidence, source AS sources FROM f""")
 def score_factors(t: Tables) -> DataFrame:
-    rows = t.documents.select("doc_id", F.concat(F.when(F.col("doc_id") % 3 == 0, "本科导师；未见金融课程；").otherwise("四人间；强制早操；金融工程；"), F.col("text")).alias("e"), F.when(F.col("doc_id") % 4 == 0, "机器人方向").otherwise("").alias("r"), F.when(F.col("doc_id") % 5 == 0, "数学类(中外合作)").otherwise("").alias("m"))
-    tags = t.documents.select("doc_id", F.lit("双一流").alias("label"), F.when(F.col("lang") == "en", "high").otherwise("low").alias("confidence"))
-    return scoring.score_factors(rows, tags, "doc_id", "e", "r", "m")
+    rows = t.documents.select(
+        "doc_id", F.concat(F.when(F.col("doc_id") % 3 == 0, "本科导师；未见金融课程；").otherwise("四人间；强制早操；金融工程；"), F.col("text")).alias("e"), F.when(F.col("doc_id") % 4 == 0, "机器人方向").otherwise("").alias("r"),
+        F.when(F.col("doc_id") % 5 == 0, "数学类(中外合作)").otherwise("").alias("m"), F.when(F.col("doc_id") % 7 == 0, "math_stat_info").otherwise("other").alias("g"),
+    )
+    tags = t.documents.select("doc_id", F.lit("双一流").alias("label"), F.when(F.col("lang") == "en", "high").otherwise("low").alias("confidence"), F.concat(F.lit("from "), F.col("lang")).alias("evidence"), F.lit("tags").alias("source"))
+    labels = t.labels.join(t.documents.select("doc_id"), "doc_id", "left_semi").groupBy("doc_id", "toxic").agg(F.min("quality").alias("quality"))
+    panels = labels.select(
+        "doc_id", F.lit("project101").alias("kind"), F.when(F.col("toxic") == 0, "confirmed_participant").otherwise("unclear").alias("status"), F.lit("low").alias("confidence"), F.concat(F.lit("label "), F.col("quality")).alias("summary"), F.lit("labels").alias("source_file")
+    )
+    got = scoring.score_factors(rows, tags, "doc_id", "e", "r", "m", "g", panels)
+    return got.withColumns({"evidence": F.array_join("evidence", "|"), "sources": F.array_join("sources", "|")})
 
 
-@query()
+@query("""WITH p AS (SELECT conv_id AS k, turn, (['hard', 'weak', 'project101', 'hard_rescue'])[turn % 4 + 1] AS kind, CASE WHEN turn % 8 = 0 THEN 'course_grid' ELSE 'not_found' END AS ts, CASE WHEN turn > 3 THEN 'high' ELSE 'low' END AS conf FROM conversations),
+g AS (SELECT k, count(*) FILTER (kind IN ('hard', 'hard_rescue')) AS nh, arg_max(ts, (CASE ts WHEN 'course_grid' THEN 4 ELSE 1 END, -turn)) FILTER (kind IN ('hard', 'hard_rescue')) AS ts, arg_max(conf, (CASE ts WHEN 'course_grid' THEN 4 ELSE 1 END, -turn)) FILTER (kind IN ('hard', 'hard_rescue')) AS hc,
+ count(*) FILTER (kind = 'weak') AS nw, max(conf = 'high') FILTER (kind = 'weak') AS wh, count(*) FILTER (kind = 'project101') AS np FROM p GROUP BY k),
+s AS (SELECT *, CASE WHEN nh > 0 THEN ts ELSE 'no_hard_panel' END AS training_status FROM g)
+SELECT k, training_status, CASE training_status WHEN 'course_grid' THEN 0.96 WHEN 'not_found' THEN 0.65 ELSE 0.82 END::DOUBLE AS cap, coalesce(hc, '') AS hard_confidence, CASE WHEN nw = 0 THEN '' WHEN wh THEN 'high' ELSE 'low' END AS weak_confidence, CASE WHEN np > 0 THEN 'unclear' ELSE '' END AS project101,
+ array_to_string(list_filter([CASE WHEN training_status <> 'course_grid' THEN 'training_plan' END, 'project101', CASE WHEN nw = 0 THEN 'no_weak_evidence' WHEN NOT wh THEN 'weak_confidence' END, 'category_rules'], lambda x: x IS NOT NULL), ';') AS gaps FROM s""")
 def evidence_quality(t: Tables) -> DataFrame:
     c = t.conversations
     panels = c.select(
@@ -263,7 +372,70 @@ def evidence_quality(t: Tables) -> DataFrame:
     return scoring.evidence_quality(rows, panels, "k", "major").withColumn("gaps", F.array_join("gaps", ";"))
 
 
-@query()
+def _any(cell: str, terms: tuple[str, ...]) -> str:
+    return "(" + " OR ".join(f"contains({cell}, '{x}')" for x in terms) + ")"
+
+
+def _triage_sql(source: str, key: str) -> str:
+    """The domain's triage in SQL, of a query that gives the key and all columns of triage.COLUMNS as texts."""
+    t = triage
+    listed = lambda names: ", ".join(f"'{n}'" for n in names)
+    split = lambda c: f"list_filter(regexp_split_to_array({c}, '[;,；\\s]+'), lambda x: x <> '')"
+    has = lambda n: f"list_contains(tags, '{n}')"
+    flag = lambda n: f"list_contains(flags, '{n}')"
+    yes = lambda c: f"lower({c}) IN ('true', '1', 'yes', 'y')"
+    evidence = "lower(concat_ws(' ', core_courses_summary, ai_path_fit_notes, math_foundation_notes, cs_ai_foundation_notes, research_resources_notes, next_deep_questions))"
+    poor = "lower(concat_ws(' ', research_resources_notes, recommendation_policy_notes, learning_freedom_notes, dorm_campus_notes, next_deep_questions))"
+    reason = lambda rules: "array_to_string(list_sort(list_distinct(list_filter([" + ", ".join(f"CASE WHEN {c} THEN '{r}' END" for c, r in rules) + "], lambda x: x IS NOT NULL))), ';')"
+    drops = [
+        ("price > 50000", "tuition_over_50000_rmb"), ("cost = 'required_or_unpriced'", "required_or_unpriced_foreign_phase_cost"), ("off AND NOT manual", "off_target_courses_with_weak_context"),
+        ("(off OR drift) AND ceiling IN ('low', 'medium') AND (missing >= 3 OR low_band OR p IN ('B', 'C')) AND NOT (p = 'A' AND NOT low_band AND missing < 3)", "training_direction_low_alignment"),
+        ("name_drift AND drift AND ceiling <> 'high'", "domain_drift_with_limited_upside"), ("unsafe", "unsafe_major_diversion"), ("(structural OR mixed) AND NOT free AND ceiling <> 'high'", "uncontrolled_diversion_risk"),
+        ("barred AND mixed AND NOT free AND ceiling <> 'high'", "excluded_major_mix_without_selection_guarantee"), ("managed_out", "management_heavy_or_training_burden_signal"), ("remote_out", "weak_resource_signal_with_low_evidence"),
+        ("remote AND weak_notes AND ceiling IN ('low', 'medium') AND missing >= 2", "campus_resource_obviously_weak"), ("moved AND weak_notes AND ceiling = 'low'", "campus_resource_obviously_weak"), ("lost_out", "not_found_and_low_prescreen_priority"),
+        ("hopeless OR missing >= 3 AND missing < 5 AND ceiling = 'low' AND p <> 'A' AND NOT strong", "multiple_core_info_missing_low_ceiling"),
+    ]
+    unsure = [
+        ("cost = 'possible_optional'", "possible_optional"), ("cost = 'possible_unclear'", "possible_unclear"), ("abs(price - 50000) < 1e-6", "tuition_at_limit_check_strictness"), ("off AND manual", "off_target_courses_need_manual_confirmation"),
+        ("name_drift OR drift", "possible_training_direction_drift"), (f"NOT unsafe AND (diverted OR {has('major_diversion_risk')})", "major_diversion_or_department_unclear"), (f"structural OR {has('major_diversion_risk')} OR barred OR mixed", "diversion_risk_needs_manual_check"),
+        ("managed AND NOT managed_out", "management_heavy_signal"), ("remote AND NOT remote_out", "remote_or_weak_resource_signal"), ("remote OR moved OR weak_notes OR sparse", "campus_or_resource_weak_signal"), (has("dorm_negative_signal"), "dorm_negative_signal"),
+        ("NOT core", "non_core_major_category"), ("lost AND NOT lost_out", "crawl_not_found"), ("NOT lost AND low", "low_information_light_crawl"), ("grade = 'needs_rerun'", "shard_quality_needs_rerun"), ("grade = 'low_coverage'", "shard_quality_low_coverage"),
+        ("NOT sourced", "no_referenced_source"), ("missing >= 5 AND NOT hopeless", "multiple_core_info_missing"),
+    ]
+    notes = [(f"{flag(n)} OR {has(n)}", n) for n in ("small_plan", "new_no_history")] + [(flag("high_rank_volatility"), "high_rank_volatility"), (f"{flag('sino_foreign')} OR {has('sino_foreign')}", "sino_foreign_not_negative_by_itself")]
+    return f"""WITH x AS ({source}),
+a AS (SELECT *, {split("risk_tags")} AS tags, {split("risk_flags")} AS flags, len(list_filter({split("source_ids")}, lambda x: lower(x) NOT IN ('not_found', 'none', 'nan', 'na', 'n/a', '-'))) AS listed, prescreen_priority AS p, rank_band AS band, quality_grade AS grade, crawl_status = 'not_found' AS lost,
+ {_any("college_name", t.STRONG_SCHOOLS)} AS strong, major_category IN ({listed(t.CORE)}) AS core, coalesce(try_cast(replace(prescreen_score, ',', '') AS DOUBLE), 0) AS score, rank_band IN ({listed(t.LOW_BANDS)}) AS low_band, regexp_replace(tuition_raw, '\\s+', '', 'g') AS raw,
+ {_any("concat_ws(' ', college_name, major_name, remark, risk_flags, risk_tags)", t.JOINT)} AS joint, try_cast(replace(tuition, ',', '') AS DOUBLE) AS n, concat_ws(' ', remark, risk_tags, next_deep_questions) AS said FROM x),
+b AS (SELECT *, coalesce(try_cast(replace(source_ref_count, ',', '') AS DOUBLE)::INTEGER, listed) AS refs, CASE WHEN low_information <> '' THEN {yes("low_information")} ELSE lost OR listed = 0 END AS low, CASE WHEN has_source <> '' THEN {yes("has_source")} ELSE listed > 0 END AS sourced,
+ CASE WHEN regexp_matches(raw, '[0-9]+(?:\\.[0-9]+)?万') THEN regexp_extract(raw, '([0-9]+(?:\\.[0-9]+)?)万', 1)::DOUBLE * 10000 WHEN regexp_matches(raw, '[0-9]') THEN regexp_extract(replace(raw, ',', ''), '([0-9]+(?:\\.[0-9]+)?)', 1)::DOUBLE
+ WHEN joint AND n > 0 AND n <= 20 THEN n * 10000 WHEN joint AND n > 20 AND n < 300 THEN n * 1000 ELSE n END AS price,
+ CASE WHEN NOT {_any("said", t.EXTERNAL_COST)} THEN 'none' WHEN {_any("said", t.OPTIONAL_COST)} THEN 'possible_optional' WHEN {_any("said", t.MANDATORY_COST)} OR {has("mandatory_abroad")} THEN 'required_or_unpriced' ELSE 'possible_unclear' END AS cost,
+ {has("off_target_courses")} AS off, {has("remote_or_weak_resource")} AS remote, {has("campus_move")} AS moved, {has("management_heavy_signal")} AS managed, {flag("contains_excluded_major_in_remark")} AS barred,
+ major_category IN ({listed(t.LOOSE)}) OR {flag("class_diversion")} OR {flag("target_only_in_remark")} AS structural, {_any(poor, t.WEAK_RESOURCES)} AS weak_notes, {_any("concat_ws(' ', college_name, major_name, remark)", t.DRIFT_NAMES)} AS name_drift, {_any(evidence, t.DRIFT_EVIDENCE)} AS drift,
+ {_any("remark", t.TARGETS)} AND NOT {_any("remark", t.UNRELATED)} OR {_any("concat_ws(' ', remark, core_courses_summary, ai_path_fit_notes, next_deep_questions)", t.GUARANTEES)} AS free FROM a),
+c AS (SELECT *, lost::INT * 2 + low::INT + (refs = 0)::INT + CASE grade WHEN 'needs_rerun' THEN 2 WHEN 'low_coverage' THEN 1 ELSE 0 END + {" + ".join(f"({c} <> '' AND NOT {yes(c)})::INT" for c in ("has_training_plan_url", "has_recommendation_source", "has_dorm_source"))} AS missing,
+ CASE WHEN strong AND core AND p IN ('A', 'B') THEN 'high' WHEN band = '远保底' OR p = 'C' OR score < 88 THEN 'low' WHEN {_any("college_name", t.WEAK_SCHOOLS)} AND low_band THEN 'low' WHEN {flag("very_high_tuition")} AND p IN ('B', 'C') THEN 'low'
+ WHEN band = '低优先保底' AND (p = 'B' OR remote) THEN 'low' WHEN NOT strong AND NOT core AND p <> 'A' THEN 'low' WHEN strong OR band IN ('超冲', '冲', '贴合') OR score >= 115 THEN 'high' ELSE 'medium' END AS ceiling,
+ (structural OR barred) AND {_any("concat_ws(' ', major_name, remark)", t.UNRELATED)} AS mixed, refs <= 1 AND NOT {yes("has_recommendation_source")} AS sparse, structural AS diverted,
+ p = 'A' AND band IN ({listed(t.STRONG_BANDS)}) AND refs >= 2 AS manual, structural AND ({has("major_diversion_risk")} OR barred) AS unsafe, low OR grade IN ('needs_rerun', 'low_coverage') OR agent_confidence = 'low' AS thin FROM b),
+d AS (SELECT *, managed AND (p IN ('B', 'C') OR low_band OR remote) AS managed_out, remote AND thin AND (p IN ('B', 'C') OR low_band) AS remote_out, lost AND (p = 'C' OR low_band) AS lost_out, missing >= 5 AND ceiling = 'low' AND NOT strong AS hopeless FROM c),
+r AS (SELECT *, {reason(drops)} AS drop_reasons, {reason(unsure)} AS borderline_reasons, {reason(notes)} AS audit_notes FROM d)
+SELECT {key}, CASE WHEN drop_reasons <> '' THEN 'drop_by_light_crawl' WHEN borderline_reasons <> '' THEN 'borderline_review' ELSE 'keep_for_deep_crawl' END AS triage_bucket, drop_reasons, borderline_reasons, audit_notes, ceiling AS ceiling_level, missing AS core_missing_count, round_even(price, 2) AS tuition_rmb_estimate FROM r"""
+
+
+def _blank(*given: str) -> str:
+    return ", ".join(f"'' AS {c}" for c in triage.COLUMNS if c not in given)
+
+
+_SHOWN = ("triage_bucket", "drop_reasons", "borderline_reasons", "audit_notes", "ceiling_level", "core_missing_count", "tuition_rmb_estimate")
+
+_FROM_DOCUMENTS = """SELECT doc_id, CASE WHEN source = 'src1' THEN '双一流大学' ELSE '某学院' END AS college_name, CASE WHEN lang = 'en' THEN 'core_cs_ai' ELSE 'target_class' END AS major_category, CASE doc_id % 5 WHEN 0 THEN 'A' WHEN 1 THEN 'C' ELSE 'B' END AS prescreen_priority, '100' AS prescreen_score,
+ CASE WHEN doc_id % 7 = 0 THEN '远保底' ELSE '稳' END AS rank_band, CASE WHEN n_chars < 100 THEN 'not_found' ELSE 'ok' END AS crawl_status, CASE WHEN toxic = 1 THEN 'off_target_courses;small_plan' ELSE '' END AS risk_tags, CASE WHEN quality = 0 THEN '' ELSE 's1;s2' END AS source_ids,
+ CASE WHEN doc_id % 11 = 0 THEN '6万/年' ELSE '' END AS tuition_raw, '5000' AS tuition, trim(text, ' ') AS research_resources_notes, """ + _blank("college_name", "major_category", "prescreen_priority", "prescreen_score", "rank_band", "crawl_status", "risk_tags", "source_ids", "tuition_raw", "tuition", "research_resources_notes") + " FROM documents LEFT JOIN labels USING (doc_id)"
+
+
+@query(_triage_sql(_FROM_DOCUMENTS, "doc_id"))
 def triage_domain(t: Tables) -> DataFrame:
     d = t.documents.join(t.labels, "doc_id", "left")
     rows = d.select(
@@ -272,11 +444,35 @@ def triage_domain(t: Tables) -> DataFrame:
         F.when(F.col("n_chars") < 100, "not_found").otherwise("ok").alias("crawl_status"), F.when(F.col("toxic") == 1, "off_target_courses;small_plan").otherwise("").alias("risk_tags"), F.when(F.col("quality") == 0, "").otherwise("s1;s2").alias("source_ids"),
         F.when(F.col("doc_id") % 11 == 0, "6万/年").otherwise("").alias("tuition_raw"), F.lit("5000").alias("tuition"), F.col("text").alias("research_resources_notes"),
     )
-    got = triage.triage_items(rows)
-    return got.select("doc_id", "triage_bucket", "drop_reasons", "borderline_reasons", "audit_notes", "ceiling_level", "core_missing_count", "tuition_rmb_estimate")
-
-
-@query()
+    return triage.triage_items(rows).select("doc_id", *_SHOWN)
+
+
+#: Cells of each column of the triage, one of which an order takes by its key and a prime of the column's own.
+_CELLS = {
+    "college_name": ("某大学", "省重点建设高校", "某学院", "财经大学"), "major_name": ("数学类", "软件工程", "金融学"), "major_category": ("core_math_stat", "core_cs_ai", "target_class", "trial_class"), "remark": ("", "可任选", "含数学与应用数学", "须赴英国，外方学费另计", "可选择赴英期间学费", "国外学习阶段", "含物联网"),
+    "risk_flags": ("", "class_diversion", "contains_excluded_major_in_remark", "very_high_tuition;high_rank_volatility", "sino_foreign", "new_no_history"), "risk_tags": ("", "off_target_courses", "remote_or_weak_resource", "major_diversion_risk, campus_move", "management_heavy_signal", "dorm_negative_signal;small_plan", "mandatory_abroad"),
+    "prescreen_priority": ("A", "B", "C", "A", "B"), "prescreen_score": ("80", "100", "120", "", "1,00"), "rank_band": ("超冲", "贴合", "稳", "低优先保底", "远保底"), "crawl_status": ("ok", "ok", "not_found"), "agent_confidence": ("high", "low"), "quality_grade": ("usable", "needs_rerun", "low_coverage", ""),
+    "source_ids": ("", "s1", "s1; s2 none", "-", "a b c"), "source_ref_count": ("", "0", "2", "", "1"), "has_source": ("", "true", "no"), "low_information": ("", "Yes", "0"), "has_training_plan_url": ("", "1", "0"), "has_recommendation_source": ("", "true", "false"), "has_dorm_source": ("", "n", "y"),
+    "tuition": ("5000", "", "6", "50", "50,000", "88000"), "tuition_raw": ("", "", "5万", "7.5 万/年", "4,800元", "见简章"), "core_courses_summary": ("", "finance and law", "analysis"), "ai_path_fit_notes": ("", "自选专业"), "research_resources_notes": ("", "weak signal", "labs"), "dorm_campus_notes": ("", "Not found", "good"),
+}
+_PRIMES = (7, 11, 13, 17, 19, 23, 29, 31, 37, 41, 43, 47, 53, 59, 61, 67, 71, 73, 79, 83, 89, 97, 101, 103, 107)
+_FROM_ORDERS = "SELECT o_orderkey, " + ", ".join(f"([{', '.join(repr(v) for v in cells)}])[(o_orderkey // {prime} + o_custkey * {prime}) % {len(cells)} + 1] AS {c}" for (c, cells), prime in zip(_CELLS.items(), _PRIMES, strict=True)) + ", " + _blank(*_CELLS) + " FROM orders"
+
+
+@query(_triage_sql(_FROM_ORDERS, "o_orderkey"))
+def triage_rules(t: Tables) -> DataFrame:
+    """All rules of the domain, on rows whose cells are dealt so that every rule meets many of them."""
+    place = lambda prime, n: (F.pmod(F.floor(F.col("o_orderkey") / prime) + F.col("o_custkey") * prime, F.lit(n)) + 1).cast("int")
+    cells = [F.element_at(F.array(*map(F.lit, values)), place(prime, len(values))).alias(c) for (c, values), prime in zip(_CELLS.items(), _PRIMES, strict=True)]
+    return triage.triage_items(t.orders.select("o_orderkey", *cells)).select("o_orderkey", *_SHOWN)
+
+
+@query("""WITH i AS (SELECT 'error' AS severity, 'identity_changed' AS code, count(*) AS n FROM documents WHERE doc_id % 6 = 0 AND lang <> 'xx'
+UNION ALL SELECT 'error', 'duplicate_row', count(*) FROM (SELECT doc_id FROM documents GROUP BY doc_id HAVING count(*) > 1) UNION ALL SELECT 'error', 'duplicate_source', count(*) FROM (SELECT doc_id FROM labels GROUP BY doc_id HAVING count(*) > 1)
+UNION ALL SELECT 'error', 'invalid_lang', count(*) FROM documents WHERE lang NOT IN ('en', 'de', 'fr') UNION ALL SELECT 'warning', 'unknown_tags', count(*) FROM documents WHERE doc_id % 9 = 0
+UNION ALL SELECT 'error', 'missing_row', count(*) FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents)
+UNION ALL SELECT 'error', 'dangling_refs', count(*) FROM documents WHERE CASE WHEN doc_id % 10 = 0 THEN 9999999 ELSE 1 END NOT IN (SELECT doc_id FROM labels))
+SELECT severity, code, n::BIGINT AS n FROM i WHERE n > 0""")
 def validation_issues(t: Tables) -> DataFrame:
     rows = t.documents.select("doc_id", "lang", "source", F.when(F.col("doc_id") % 9 == 0, "a,zz").otherwise("a").alias("tags"), F.when(F.col("doc_id") % 10 == 0, "9999999;none").otherwise("1").alias("refs"), F.lit("s1").alias("shard_id"))
     contract = quality.Contract(["doc_id", "lang", "source", "tags", "refs"], "doc_id", ["lang"], {"lang": ["en", "de", "fr"]}, {"tags": ["a", "b"]}, ["refs"])

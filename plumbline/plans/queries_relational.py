@@ -54,14 +54,8 @@ def nulls_last_order(t: Tables) -> DataFrame:
     return ranking.numbered(rows, [F.asc_nulls_last("v"), F.asc("c_custkey")]).select("c_custkey", "position")
 
 
-@query("""SELECT l_orderkey, l_linenumber, p_brand FROM lineitem LEFT JOIN (SELECT p_name, any_value(p_brand) AS p_brand, any_value(p_partkey) AS k FROM part GROUP BY p_name HAVING count(*) = 1) ON k = l_partkey WHERE l_linenumber = 1""")
-def unique_key_lookup(t: Tables) -> DataFrame:
-    dim = joins.unique_rows(t.part.select("p_name", "p_brand", F.col("p_partkey").alias("l_partkey")), ["p_name"])
-    return joins.lookup_unique(t.lineitem.where("l_linenumber = 1"), dim.drop("p_name"), ["l_partkey"]).select("l_orderkey", "l_linenumber", "p_brand")
-
-
 @query("""SELECT l_orderkey, l_linenumber, p_brand FROM lineitem LEFT JOIN (SELECT p_name, any_value(p_brand) AS p_brand, any_value(p_partkey) AS k FROM part GROUP BY p_name HAVING count(*) = 1) ON k = l_partkey""")
-def unique_key_lookup_all(t: Tables) -> DataFrame:
+def unique_key_lookup(t: Tables) -> DataFrame:
     dim = joins.unique_rows(t.part.select("p_name", "p_brand", F.col("p_partkey").alias("l_partkey")), ["p_name"])
     return joins.lookup_unique(t.lineitem, dim.drop("p_name"), ["l_partkey"]).select("l_orderkey", "l_linenumber", "p_brand")
 
@@ -79,17 +73,9 @@ def carry_forward(t: Tables) -> DataFrame:
     return ranking.carry_forward(rows, ["conv_id"], ["turn"], ["head"])
 
 
-@query("""SELECT coalesce(d.doc_id, l.doc_id) AS doc_id, CASE WHEN l.doc_id IS NULL THEN 'missing' WHEN d.doc_id IS NULL THEN 'extra' ELSE 'both' END AS side, CASE WHEN d.doc_id IS NOT NULL AND l.doc_id IS NOT NULL THEN 'flag' ELSE '' END AS changed
-FROM (SELECT doc_id, CASE WHEN n_chars > 500 THEN 1 ELSE 0 END AS flag FROM documents WHERE doc_id % 3 > 0) d FULL JOIN (SELECT doc_id, quality AS flag FROM labels) l USING (doc_id) WHERE d.doc_id IS NULL OR l.doc_id IS NULL OR d.flag IS DISTINCT FROM l.flag""")
-def outer_diff(t: Tables) -> DataFrame:
-    left = t.documents.where("doc_id % 3 > 0").select("doc_id", (F.col("n_chars") > 500).cast("int").alias("flag"))
-    right = t.labels.select("doc_id", F.col("quality").cast("int").alias("flag"))
-    return joins.outer_difference(left, right, "doc_id", ["flag"]).select("doc_id", "side", F.array_join("changed", ",").alias("changed"))
-
-
 @query("""SELECT coalesce(d.doc_id, l.doc_id) AS doc_id, CASE WHEN l.doc_id IS NULL THEN 'missing' WHEN d.doc_id IS NULL THEN 'extra' ELSE 'both' END AS side, CASE WHEN d.doc_id IS NOT NULL AND l.doc_id IS NOT NULL THEN 'flag' ELSE '' END AS changed
 FROM (SELECT doc_id, CASE WHEN n_chars > 500 THEN 1 ELSE 0 END AS flag FROM documents) d FULL JOIN (SELECT doc_id, quality AS flag FROM labels) l USING (doc_id) WHERE d.doc_id IS NULL OR l.doc_id IS NULL OR d.flag IS DISTINCT FROM l.flag""")
-def outer_diff_all(t: Tables) -> DataFrame:
+def outer_diff(t: Tables) -> DataFrame:
     left = t.documents.select("doc_id", (F.col("n_chars") > 500).cast("int").alias("flag"))
     right = t.labels.select("doc_id", F.col("quality").cast("int").alias("flag"))
     return joins.outer_difference(left, right, "doc_id", ["flag"]).select("doc_id", "side", F.array_join("changed", ",").alias("changed"))
@@ -205,7 +191,9 @@ def midpoint_split(t: Tables) -> DataFrame:
     return ranking.halves(t.customer, "c_mktsegment", [F.asc("c_custkey")]).select("c_custkey", "half")
 
 
-@query()
+@query("""WITH RECURSIVE g AS (SELECT c_nationkey, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, c_nationkey) AS i FROM customer GROUP BY c_nationkey),
+r(i, loads, s, n) AS (SELECT 0::BIGINT, [0, 0, 0, 0]::BIGINT[], 0::BIGINT, 0::BIGINT UNION ALL SELECT g.i, list_transform(loads, lambda x, k: CASE WHEN k = list_position(loads, list_min(loads)) THEN x + g.n ELSE x END), list_position(loads, list_min(loads))::BIGINT, g.n FROM r JOIN g ON g.i = r.i + 1)
+SELECT (s - 1)::INTEGER AS shard, sum(n)::BIGINT AS n, count(*)::BIGINT AS groups FROM r WHERE i > 0 GROUP BY s""")
 def lpt_shards(t: Tables) -> DataFrame:
     return ranking.balance(t.customer, "c_nationkey", 4).groupBy("shard").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("c_nationkey").alias("groups"))
 

@@ -18,7 +18,7 @@ def text_normalize(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", text.squeeze(x).alias("squeezed_head"), F.length(text.compact(x, compose=False)).cast("long").alias("n_compact"))
 
 
-@query()
+@query(r"""SELECT doc_id, md5(trim(regexp_replace(translate(nfc_normalize(translate(text, '　（），：；！？', ' (),:;!?')), '（），、﹣－', '(),,--'), '[\s\x{A0}]+', ' ', 'g'), ' ')) AS digest FROM documents""")
 def text_normalize_nfkc(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", F.md5(text.normalize_text(F.col("text")).cast("binary")).alias("digest"))
 
@@ -73,20 +73,33 @@ def keyword_broken_query(t: Tables) -> DataFrame:
     return keywords.search(t.documents, "the AND (of", text.haystack(F.col("text"))).select("doc_id")
 
 
-@query("""SELECT conv_id, turn, lower(concat_ws(' ', nullif(role, ''), nullif(left(text, 20), ''))) AS hay FROM conversations""")
+@query("""SELECT conv_id, turn, lower(concat_ws(' ', nullif(role, ''), nullif(text, ''))) AS hay FROM conversations""")
 def row_haystack(t: Tables) -> DataFrame:
-    return t.conversations.select("conv_id", "turn", text.haystack(F.col("role"), F.substring("text", 1, 20)).alias("hay"))
+    return t.conversations.select("conv_id", "turn", text.haystack(F.col("role"), F.col("text")).alias("hay"))
 
 
-@query("""SELECT conv_id, turn, lower(concat_ws(' ', nullif(role, ''), nullif(text, ''))) AS hay FROM conversations""")
-def row_haystack_whole(t: Tables) -> DataFrame:
-    return t.conversations.select("conv_id", "turn", text.haystack(F.col("role"), F.col("text")).alias("hay"))
+def _unnegated_sql(cell: str, token: str) -> str:
+    """Whether some occurrence has no negator before it, in its sentence and 40 characters, and no weakener in it or 8 characters after."""
+    denied = " OR ".join(f"contains(h, '{n}')" for n in udfs.NEGATORS)
+    weak = " OR ".join(f"contains(t, '{n}')" for n in udfs.WEAKENERS)
+    parts = f"string_split({cell}, '{token}')"
+    head = f"regexp_extract(right(array_to_string(parts[1:i], '{token}'), 40), '[^。；;\\n\\r]*$')"
+    tail = f"'{token}' || left(array_to_string(parts[i + 1:], '{token}'), 8)"
+    return f"(SELECT coalesce(bool_or(NOT ({denied}) AND NOT ({weak})), false) FROM (SELECT {head} AS h, {tail} AS t FROM (SELECT {parts} AS parts) AS a, unnest(range(1, len(parts))) AS u(i)))"
 
 
-@query()
+@query(f"""SELECT doc_id, {_unnegated_sql("'未见' || text || '导师'", "导师")} AS asserted, {_unnegated_sql("text", "License")} OR {_unnegated_sql("text", "idiot")} AS word FROM documents""")
 def negation_window(t: Tables) -> DataFrame:
     x = F.concat(F.lit("未见"), F.col("text"), F.lit("导师"))
-    return t.documents.select("doc_id", udfs.contains_unnegated(x, ["导师"]).alias("asserted"), udfs.contains_unnegated(F.col("text"), ["the", "der"]).alias("the"))
+    return t.documents.select("doc_id", udfs.contains_unnegated(x, ["导师"]).alias("asserted"), udfs.contains_unnegated(F.col("text"), ["License", "idiot"]).alias("word"))
+
+
+@query(f"""SELECT o_orderkey, {_unnegated_sql("cell", "宿舍")} AS one FROM (SELECT o_orderkey, o_clerk, (['未见宿舍。宿舍新', '没有说明宿舍', '无。宿舍好', '宿舍较少', '宿舍旁的条件不足', '非常好的宿舍', '宿舍很好', '宿舍离校一二三四五六七不足', ''])[o_orderkey % 9 + 1] || (['', '；宿舍', '暂无
+宿舍'])[o_custkey % 3 + 1] AS cell FROM (SELECT *, '' AS o_clerk FROM orders))""")
+def negated_cells(t: Tables) -> DataFrame:
+    pick = lambda k, *cells: F.element_at(F.array(*map(F.lit, cells)), (F.col(k) % len(cells) + 1).cast("int"))
+    cell = F.concat(pick("o_orderkey", "未见宿舍。宿舍新", "没有说明宿舍", "无。宿舍好", "宿舍较少", "宿舍旁的条件不足", "非常好的宿舍", "宿舍很好", "宿舍离校一二三四五六七不足", ""), pick("o_custkey", "", "；宿舍", "暂无\n宿舍"))
+    return t.orders.select("o_orderkey", udfs.contains_unnegated(cell, ["宿舍"]).alias("one"))
 
 
 @query(r"""SELECT doc_id, count(*)::BIGINT AS n_lines, sum(CASE WHEN trim(line) <> '' THEN 1 ELSE 0 END)::BIGINT AS n_full FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents) GROUP BY doc_id""")
@@ -95,7 +108,11 @@ def line_scan(t: Tables) -> DataFrame:
     return rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_lines"), F.count_if(F.trim("line") != "").alias("n_full"))
 
 
-@query()
+@query(r"""WITH l AS (SELECT conv_id, turn, regexp_replace(regexp_replace(trim(regexp_replace(text, '\s+', ' ', 'g')) || ' ' || length(text) || ' 4 600 590 12345', '[()]', ' ', 'g'), '[\r\n]', ' ', 'g') AS line FROM conversations WHERE turn > 0),
+t AS (SELECT conv_id, turn, trim(regexp_extract(line, '^(.*?)((?:\s\d+)*)$', 1)) AS name, list_transform(list_filter(regexp_split_to_array(trim(regexp_extract(line, '^(.*?)((?:\s\d+)*)$', 2)), '\s+'), lambda x: x <> ''), lambda x: x::INTEGER) AS a FROM l)
+SELECT conv_id, turn, CASE WHEN conv_id IN (SELECT conv_id FROM conversations WHERE turn = 0) THEN 'name' || conv_id END AS college, name, a[1] AS admitted, CASE WHEN a[2] BETWEEN 1 AND 8 THEN a[2] END AS duration, CASE WHEN a[3] BETWEEN 100 AND 750 THEN a[3] END AS average,
+ CASE WHEN len(a) >= 7 THEN a[4] WHEN len(a) = 5 AND a[4] >= 492 THEN a[4] END AS score1, CASE WHEN len(a) >= 7 THEN a[5] WHEN len(a) = 5 AND a[4] >= 492 THEN a[5] END AS rank1, CASE WHEN len(a) >= 7 THEN a[6] END AS score2, CASE WHEN len(a) >= 7 THEN a[7] END AS rank2,
+ CASE WHEN len(a) >= 7 THEN a[6] WHEN len(a) = 5 THEN a[4] END AS lowest_score, CASE WHEN len(a) >= 7 THEN a[7] WHEN len(a) = 5 THEN a[5] END AS lowest_rank, CASE WHEN len(a) >= 7 THEN '2' WHEN len(a) = 5 THEN '1' END AS segment FROM t""")
 def line_parser(t: Tables) -> DataFrame:
     """Conversations as printed pages: first turns are headers, later ones rows with numbers at the end."""
     line = F.when(F.col("turn") == 0, F.concat(F.lpad(F.pmod("conv_id", F.lit(9000)).cast("string"), 4, "0"), F.lit("name"), F.col("conv_id"), F.lit("(浙江·杭州)"))).otherwise(

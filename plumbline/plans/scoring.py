@@ -29,12 +29,13 @@ FACTORS = {
     "energy_transport_lockin": ("能源/交通方向绑定", "alignment", -10), "industry_direction_offtarget": ("行业方向偏离", "alignment", -8), "campus_resource_risk": ("校区资源风险", "freedom", -5),
     "time_tax_risk": ("时间税/管理负担风险", "freedom", -5), "dorm_risk": ("住宿风险", "life", -3),
 }
+# Orders, caps, and words that speak of time taken.
 CONFIDENCE_ORDER = {"low": 1, "derived": 1, "mixed": 2, "medium": 2, "high": 3, "user": 4}
 STATUS_ORDER = {"not_found": 1, "source_mismatch_fixed": 2, "major_intro_only": 3, "course_grid": 4, "full_plan": 5}
 STATUS_CAP = {"full_plan": 1.0, "course_grid": 0.96, "major_intro_only": 0.88, "source_mismatch_fixed": 0.74, "not_found": 0.65, "no_hard_panel": 0.82}
 PREFERENCES = {"top": 1000, "like": 18, "unsure": -25, "ban": -10000}
 TIME_TAX = (("强制晚自习", "强制早操", "强制查寝", "强制打卡", "强制跑操", "早打卡", "晚归登记", "就寝时间", "日常管理较细", "时间税信号", "高时间税"), ("早操", "晚自习", "早晚自习", "查寝"), ("开展", "要求", "规定", "必须"))
-#: Factors that words of the evidence, or of its risks, give unless negated: factor, confidence, words.
+# Fixed values. Factors that words of the evidence, or of its risks, give unless negated: factor, confidence, words.
 EVIDENCE_WORDS = (
     ("good_dorm_signal", "medium", ("上床下桌", "四人间", "四人寝", "独立卫浴", "独卫", "空调")), ("dorm_risk", "medium", ("宿舍紧张", "六人间", "八人间", "无独卫", "无空调")),
     ("finance_business_load", "high", ("金融", "证券", "期货", "投资", "保险", "经济预测", "金融量化")),
@@ -84,21 +85,48 @@ def evidence_quality(rows: DataFrame, panels: DataFrame, key: str, major: str) -
     return out.select(key, status.alias("training_status"), numeric.scored(status, STATUS_CAP, 0.82).alias("cap"), F.coalesce("h.confidence", F.lit("")).alias("hard_confidence"), F.coalesce("weak_confidence", F.lit("")).alias("weak_confidence"), F.coalesce("project101", F.lit("")).alias("project101"), gaps.alias("gaps"))
 
 
-def score_factors(rows: DataFrame, tags: DataFrame, key: str, evidence: str, risk: str, major: str) -> DataFrame:
-    """(key, factor, confidence): of tags whose label is a factor's, and of what the texts say. The best confidence counts.
+# Fixed values. What the texts say for a factor: the evidence shown and its source.
+SAID = {
+    "math_path_bias": ("数学/统计/信计路径符合数学优先策略。", "major_group"), "tutor_system": ("证据中出现本科导师或导师制信号。", "evidence_text"), "good_dorm_signal": ("弱证据中出现住宿正面信号。", "weak_evidence"),
+    "low_time_tax_signal": ("弱证据中出现自由度正面信号。", "weak_evidence"), "time_tax_risk": ("弱证据中出现时间税或管理负担风险。", "weak_evidence"), "dorm_risk": ("弱证据中出现住宿风险。", "weak_evidence"),
+    "finance_business_load": ("培养方向或课程证据中出现金融/证券/投资/经济应用负担。", "evidence_text"), "robotics_control_lockin": ("证据中出现机器人/控制绑定风险。", "evidence_text"),
+    "industry_direction_offtarget": ("证据中出现行业方向绑定。", "evidence_text"), "agri_med_bio_lockin": ("证据中出现农医生命方向绑定。", "evidence_text"), "sino_foreign_risk": ("专业名称显示中外合作或中澳项目。", "major_name"),
+}
+MATH_GROUP, MATH_WORDS = "math_stat_info", ("数学", "信息与计算科学", "统计")
+
 
-    rows: key, the evidence, risk and major texts. tags: key, label, confidence.
+def score_factors(rows: DataFrame, tags: DataFrame, key: str, evidence: str, risk: str, major: str, group: str | None = None, panels: DataFrame | None = None) -> DataFrame:
+    """(key, factor, confidence, evidence, sources): of tags whose label is a factor's, of panels, and of what the texts say.
+
+    rows: key, the evidence, risk and major texts, and the code of the major's group. tags: key, label,
+    confidence, and evidence and source where there are any. panels: key, kind, status, confidence, summary,
+    source_file; those of kind project101 count if the participant is confirmed. The best confidence counts, the
+    first of equals; at most three evidences, in order: the group, tags, panels, texts.
     """
     by_label = {label: k for k, (label, _, _) in FACTORS.items()} | {"国家一流本科专业": "national_first_class_major"}
-    named = tags.select(key, text.lookup(F.col("label"), by_label).alias("factor"), "confidence").where(F.col("factor").isin(*FACTORS))
+    cell = lambda c: F.col(c) if c in tags.columns else F.lit("")
+    named = tags.select(key, text.lookup(F.col("label"), by_label).alias("factor"), F.lit(1).alias("pos"), F.coalesce("confidence", F.lit("medium")).alias("confidence"), cell("evidence").alias("shown"), cell("source").alias("source")).where(F.col("factor").isin(*FACTORS))
     e, r, m = F.col(evidence), F.col(risk), F.col(major)
-    said = [(udfs.contains_unnegated(e, words), k, c) for k, c, words in EVIDENCE_WORDS] + [(udfs.contains_unnegated(r, words), k, c) for k, c, words in RISK_WORDS]
+    # One pass of Python for each of the two texts.
+    words = [*EVIDENCE_WORDS, ("low_time_tax_signal", "low", ("自由", "自主", "选课空间", "宽松"))]
+    seen = rows.withColumns({"_e": udfs.contains_each(e, [w for _, _, w in words]), "_r": udfs.contains_each(r, [w for _, _, w in RISK_WORDS]), "_t": udfs.contains_asserted(e, *TIME_TAX)})
+    bound = ~text.has_any(e, ("不自由", "不宽松", "自由度不足"))
+    said = [(F.col("_e")[i] & (bound if k == "low_time_tax_signal" else F.lit(True)), k, c) for i, (k, c, _) in enumerate(words)] + [(F.col("_r")[i], k, c) for i, (k, c, _) in enumerate(RISK_WORDS)]
+    grouped = (F.col(group) == MATH_GROUP) if group else F.lit(False)
     said += [
-        (text.has_any(e, ("本科导师", "导师制")), "tutor_system", "medium"), (udfs.contains_unnegated(e, ("自由", "自主", "选课空间", "宽松")) & ~text.has_any(e, ("不自由", "不宽松", "自由度不足")), "low_time_tax_signal", "low"),
-        (udfs.contains_asserted(e, *TIME_TAX), "time_tax_risk", "medium"), (text.has_any(m, ("中外合作", "中澳")), "sino_foreign_risk", "high"), (text.has_any(m, ("数学", "信息与计算科学", "统计")), "math_path_bias", "high"),
+        (text.has_any(e, ("本科导师", "导师制")), "tutor_system", "medium"), (F.col("_t"), "time_tax_risk", "medium"), (text.has_any(m, ("中外合作", "中澳")), "sino_foreign_risk", "high"),
+        (F.coalesce(grouped, F.lit(False)) | text.has_any(m, MATH_WORDS), "math_path_bias", "high"),
     ]
-    flags = rows.select(key, F.explode(F.array_compact(F.array(*[F.when(c, F.struct(F.lit(k).alias("factor"), F.lit(conf).alias("confidence"))) for c, k, conf in said]))).alias("f")).select(key, "f.*")
-    return named.unionByName(flags).groupBy(key, "factor").agg(F.max_by("confidence", F.struct(order_of(F.col("confidence"), CONFIDENCE_ORDER), "confidence")).alias("confidence"))
+    entry = lambda k, c: F.struct(F.lit(k).alias("factor"), F.lit(0 if k == "math_path_bias" else 3).alias("pos"), F.lit(c).alias("confidence"), F.lit(SAID[k][0]).alias("shown"), F.lit(SAID[k][1]).alias("source"))
+    found = named.unionByName(seen.select(key, F.explode(F.array_compact(F.array(*[F.when(c, entry(k, conf)) for c, k, conf in said]))).alias("f")).select(key, "f.*"))
+    if panels is not None:
+        confirmed = panels.where("kind = 'project101' and status = 'confirmed_participant'")
+        found = found.unionByName(confirmed.select(key, F.lit("project101_confirmed").alias("factor"), F.lit(2).alias("pos"), F.coalesce("confidence", F.lit("medium")).alias("confidence"), F.col("summary").alias("shown"), F.col("source_file").alias("source")))
+    shown = F.array_distinct(F.transform(F.array_sort(F.collect_set(F.when(F.col("shown") != "", F.struct("pos", "shown")))), lambda x: x["shown"]))
+    return found.groupBy(key, "factor").agg(
+        F.max_by("confidence", F.struct(order_of(F.col("confidence"), CONFIDENCE_ORDER), -F.col("pos"), "confidence")).alias("confidence"), F.slice(shown, 1, 3).alias("evidence"),
+        F.array_sort(F.collect_set(text.blank_to_null(F.col("source")))).alias("sources"),
+    )
 
 
 def profile_scores(rows: DataFrame, factors: DataFrame, key: str, weights: dict[str, float], components: dict[str, str], most: dict[str, float] | None = None) -> DataFrame:

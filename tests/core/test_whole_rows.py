@@ -8,7 +8,7 @@ from plumbline.plans import landing, queries_domain, registry
 
 
 def test_lookup_has_every_line(spark, sf):
-    got = registry.QUERIES["unique_key_lookup_all"](spark, sf)
+    got = registry.QUERIES["unique_key_lookup"](spark, sf)
     assert got.count() == spark.read.parquet(f"{sf}/lineitem.parquet").count() > got.where("l_linenumber = 1").count()
 
 
@@ -16,7 +16,7 @@ def test_difference_compares_every_document(spark, sf):
     docs = {r.doc_id: int(r.n_chars > 500) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
     want = {i: "missing" if i not in labels else "extra" if i not in docs else "both" for i in docs.keys() | labels.keys() if docs.get(i) != labels.get(i)}
-    assert {r.doc_id: r.side for r in registry.QUERIES["outer_diff_all"](spark, sf).collect()} == want and any(i % 3 == 0 for i in want)
+    assert {r.doc_id: r.side for r in registry.QUERIES["outer_diff"](spark, sf).collect()} == want and any(i % 3 == 0 for i in want)
 
 
 def test_validation_expects_every_document(spark, tmp_path):
@@ -42,5 +42,5 @@ def test_landing_has_small_plans(spark, sf):
                 chance += p.weight * (0.5 * math.erfc(-gap / 0.02 / math.sqrt(2)) if c.plan_count <= 3 else gap >= 0)
         want[c.choice] = (min(1.0, chance), reach, reach * min(1.0, chance))
         reach *= 1 - min(1.0, chance)
-    got = {r.choice: (r.chance, r.reach, r.admit) for r in registry.QUERIES["landing_all_choices"](spark, sf).collect()}
+    got = {r.choice: (r.chance, r.reach, r.admit) for r in registry.QUERIES["landing_closed_form"](spark, sf).collect()}
     assert len(got) == 12 == len(want) and all(got[k] == pytest.approx(want[k], abs=2e-6) for k in want)

@@ -47,4 +47,4 @@ def test_negation_over_the_whole_text(spark, folder):
 
 def test_lines_and_haystacks_have_the_whole_turn(spark, folder):
     assert [r.name for r in rows(spark, folder, "line_parser")] == ["one two three four LAST"]
-    assert {r.hay for r in rows(spark, folder, "row_haystack_whole")} == {"user hello", "assistant one two three\nfour last"}
+    assert {r.hay for r in rows(spark, folder, "row_haystack")} == {"user hello", "assistant one two three\nfour last"}
