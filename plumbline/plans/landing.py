@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import numeric
 from plumbline.operators import projection, ranking
+from plumbline.sources.storage import settle
 
 POPULATION = 400_000
 #: Samples that a tier of likeness needs, and below which the pool is blended with the rank bucket's.
@@ -41,48 +42,72 @@ def transition_samples(model: DataFrame, years: list[str], trend: str = "rankbin
     raise ValueError(f"unknown trend {trend!r}")
 
 
+#: Ranks count as near from NEAR[0] to NEAR[1] times a choice's, so logarithms by this width put them into two or three buckets.
+NEAR = (0.65, 1.45)
+_WIDTH = math.log(NEAR[1] / NEAR[0])
+
+
+def _pairs(choices: DataFrame, samples: DataFrame) -> DataFrame:
+    """Samples with the choices that they are near or in one rank bucket with, once each, and the tests of the tiers as t.
+
+    Both sides meet by bucket, so nothing is compared with everything.
+    """
+    low, high = F.greatest(F.lit(1.0), F.col("c_rank") * NEAR[0]), F.least(F.lit(399_999.0), F.col("c_rank") * NEAR[1])
+    near = F.coalesce(F.col("rank_mid").between(low, high), F.lit(False))
+    bucket = lambda x: F.floor(F.ln(x) / F.lit(_WIDTH)).cast("int")
+    reach = choices.where(low <= high).withColumn("_bucket", F.explode(F.sequence(bucket(low), bucket(high))))
+    close = samples.where("rank_mid >= 1").withColumn("_bucket", bucket(F.col("rank_mid"))).join(reach, "_bucket").where(near).drop("_bucket").withColumn("near", F.lit(True))
+    rest = samples.join(choices, F.col("rank_bin") == F.col("c_bin")).where(~near).withColumn("near", F.lit(False))
+    family, plan = F.col("family").eqNullSafe(F.col("c_family")), F.col("plan_bin").eqNullSafe(F.col("c_plan_bin"))
+    region, same_bin = F.col("region").eqNullSafe(F.col("c_region")), F.coalesce(F.col("rank_bin") == F.col("c_bin"), F.lit(False))
+    n = F.col("near")
+    tests = [n & family & plan & region, n & family & plan, n & family, same_bin & family, n, same_bin]
+    return close.unionByName(rest).select(*[c for c in (*choices.columns, "rank_mid", "family", "plan_count", "region", "model_delta_z") if c not in ("c_bin", "c_plan_bin")], F.array(*tests).alias("t"))
+
+
 def similarity_pool(choices: DataFrame, samples: DataFrame, population: float = POPULATION) -> DataFrame:
     """(choice, delta, weight, tier, n, effective_n): the samples of each choice's best tier, weights adding up to 1.
 
-    choices: choice, rank, family, plan_count, region; a list of some dozens, so it is broadcast. Tiers are
-    tried in order for enough samples near the choice's rank; without one the near ones, and without any all.
-    Fewer than SHRINK_ROWS are blended with those of the rank's bucket. A choice without a plan counts as 3,
-    a sample without one as the choice's.
+    choices: choice, rank, family, plan_count, region. Tiers are tried in order for enough samples near the
+    choice's rank; without one the near ones, and without any all. Fewer than SHRINK_ROWS are blended with
+    those of the rank's bucket, or with all if it has none. A choice without a plan counts as 3, a sample without
+    one as the choice's.
     """
-    count = choices.limit(10_001).count()
-    if count > 10_000:
-        raise ValueError("a list of choices has at most 10,000 rows")
-    c = choices.select(
+    c = settle(choices.select(
         "choice", F.col("rank").cast("double").alias("c_rank"), F.col("family").alias("c_family"), F.col("plan_count").cast("double").alias("c_plan"), F.col("region").alias("c_region"),
         numeric.rank_bin(F.col("rank")).alias("c_bin"), numeric.plan_bin(F.col("plan_count")).alias("c_plan_bin"),
-    )
-    near = F.col("rank_mid").between(F.greatest(F.lit(1.0), F.col("c_rank") * 0.65), F.least(F.lit(399_999.0), F.col("c_rank") * 1.45))
-    family, plan = F.col("family").eqNullSafe(F.col("c_family")), F.col("plan_bin").eqNullSafe(F.col("c_plan_bin"))
-    region, same_bin = F.col("region").eqNullSafe(F.col("c_region")), F.col("rank_bin") == F.col("c_bin")
-    tests = [near & family & plan & region, near & family & plan, near & family, same_bin & family, near, same_bin]
-    pairs = samples.join(F.broadcast(c))  # a stated list of choices against all samples
-    flags = pairs.select("choice", "c_rank", "c_family", "c_plan", "c_region", "rank_mid", "family", "plan_count", "region", "model_delta_z", F.array(*tests).alias("t"))
-    counts = flags.groupBy("choice").agg(*[F.count_if(F.col("t")[i]).alias(f"n{i}") for i in range(6)])
+    ))
+    pairs = settle(_pairs(c, samples))
+    counted = pairs.groupBy("choice").agg(*[F.count_if(F.col("t")[i]).alias(f"n{i}") for i in range(6)])
+    counts = c.select("choice").join(counted, "choice", "left").na.fill(0)
     tier = F.coalesce(*[F.when(F.col(f"n{i}") >= TIER_ROWS, F.lit(i)) for i in range(6)], F.when(F.col("n4") > 0, F.lit(6)), F.lit(7))
-    chosen = counts.select("choice", tier.alias("tier"))
-    inside = F.when(F.col("tier") < 6, F.element_at("t", F.col("tier") + 1)).when(F.col("tier") == 6, F.col("t")[4]).otherwise(True)
+    chosen = counts.select("choice", tier.alias("tier"), "n5")
     plan_value = F.coalesce("c_plan", F.lit(3.0))
     z = F.abs(numeric.logit_rank(F.col("rank_mid"), population) - numeric.logit_rank(F.col("c_rank"), population))
     p = F.abs(F.log1p(F.coalesce(F.col("plan_count").cast("double"), plan_value)) - F.log1p(F.greatest(F.lit(0.0), plan_value)))
     weight = numeric.kernel(z, p, F.col("family").eqNullSafe(F.col("c_family")), F.col("region").eqNullSafe(F.col("c_region")))
-    joined = flags.join(F.broadcast(chosen), "choice")
-    own = joined.where(inside).select("choice", "tier", F.col("model_delta_z").alias("delta"), weight.alias("w")).where("w > 0")
+    # Choices that nothing is near to take all samples: none, where there are samples of all ranks.
+    far = chosen.where("tier = 7").select("choice")
+    everything = lambda keys: samples.join(c.join(keys, "choice", "left_semi"))
+    inside = F.when(F.col("tier") < 6, F.element_at("t", F.col("tier") + 1)).otherwise(F.col("t")[4])
+    own = pairs.join(chosen.where("tier < 7"), "choice").where(inside).select("choice", F.col("model_delta_z").alias("delta"), weight.alias("w"))
+    if not far.isEmpty():
+        own = own.unionByName(everything(far).select("choice", F.col("model_delta_z").alias("delta"), weight.alias("w")))
+    own = own.where("w > 0")
     sums = own.groupBy("choice").agg(F.count(F.lit(1)).alias("k"), F.sum("w").alias("total"))
-    facts = chosen.join(sums, "choice", "left").na.fill(0, ["k"]).withColumn("shrunk", F.col("k") < SHRINK_ROWS).withColumn("share", F.when(~F.col("shrunk"), 1.0).when(F.col("k") == 0, 0.0).when(F.col("k") >= THIN_ROWS, 0.55).otherwise(0.35))
-    main = own.join(F.broadcast(facts.drop("tier")), "choice").select("choice", "delta", (F.col("w") / F.col("total") * F.col("share")).alias("weight"))
-    fall = joined.join(F.broadcast(facts.where("shrunk").select("choice", "share")), "choice").join(F.broadcast(counts.select("choice", "n5")), "choice").where(F.col("t")[5] | (F.col("n5") == 0))
+    facts = settle(chosen.join(sums, "choice", "left").na.fill(0, ["k"]).withColumn("shrunk", F.col("k") < SHRINK_ROWS).withColumn("share", F.when(~F.col("shrunk"), 1.0).when(F.col("k") == 0, 0.0).when(F.col("k") >= THIN_ROWS, 0.55).otherwise(0.35)))
+    main = own.join(facts.drop("tier"), "choice").select("choice", "delta", (F.col("w") / F.col("total") * F.col("share")).alias("weight"))
+    fall = pairs.where(F.col("t")[5]).join(facts.where("shrunk and n5 > 0").select("choice", "share"), "choice").select("choice", "share", F.col("model_delta_z").alias("delta"))
+    bare = facts.where("shrunk and n5 = 0").select("choice", "share")
+    if not bare.isEmpty():
+        fall = fall.unionByName(everything(bare.select("choice")).join(bare, "choice").select("choice", "share", F.col("model_delta_z").alias("delta")))
     sizes = fall.groupBy("choice").agg(F.count(F.lit(1)).alias("m"))
-    rest = fall.join(F.broadcast(sizes), "choice").select("choice", F.col("model_delta_z").alias("delta"), ((1 - F.col("share")) / F.col("m")).alias("weight"))
+    rest = fall.join(sizes, "choice").select("choice", "delta", ((1 - F.col("share")) / F.col("m")).alias("weight"))
     pool = main.unionByName(rest)
     totals = pool.groupBy("choice").agg(F.count(F.lit(1)).alias("n"), (F.sum("weight") * F.sum("weight") / F.sum(F.col("weight") * F.col("weight"))).alias("effective_n"))
     names = F.element_at(F.array(*[F.lit(t) for t in (*TIERS, "near_rank_fallback", "near_rank_fallback")]), F.col("tier") + 1)
     info = facts.select("choice", F.concat(names, F.when(F.col("shrunk"), F.lit("+rankbin_shrink")).otherwise(F.lit(""))).alias("tier"))
-    return pool.join(F.broadcast(totals.join(info, "choice")), "choice")
+    return pool.join(totals.join(info, "choice"), "choice")
 
 
 def extra_sigma(history: Column, plan: Column) -> Column:
