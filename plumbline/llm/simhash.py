@@ -470,4 +470,7 @@ def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str
     # Written, so that both joins below see one result.
     groups = cut(candidate_groups(docs, id_col, text_col, shingle, radius, seed))
     drop = verified(docs, groups, shingle, similarity, id_col, text_col)
-    return docs.join(drop, F.col(id_col).cast("long") == F.col("drop_id"), "left_anti")
+    # Names of the rows' own columns cannot clash with drop_id.
+    own = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])
+    kept = own.join(drop, F.col(f"c{docs.columns.index(id_col)}").cast("long") == F.col("drop_id"), "left_anti")
+    return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
