@@ -44,13 +44,12 @@ def read_manifest(spark: SparkSession, path: str) -> list[dict]:
 
 def read_shards(spark: SparkSession, manifest: str, root: str, field: str = "rows") -> DataFrame:
     """The union of the shards that a manifest lists, with shard_id."""
-    out = None
-    for entry in read_manifest(spark, manifest):
-        part = read_strings(spark, f"{root}/{entry[field]}").withColumn("shard_id", F.lit(str(entry["shard_id"])))
-        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    if out is None:
+    parts = [read_strings(spark, f"{root}/{entry[field]}").withColumn("shard_id", F.lit(str(entry["shard_id"]))) for entry in read_manifest(spark, manifest)]
+    if not parts:
         raise ValueError(f"{manifest} lists no shards")
-    return out
+    while len(parts) > 1:  # pairs of pairs, so that the plan of many shards is no deeper than their logarithm
+        parts = [a.unionByName(b[0], allowMissingColumns=True) if b else a for a, b in ((parts[i], parts[i + 1 : i + 2]) for i in range(0, len(parts), 2))]
+    return parts[0]
 
 
 def table_with_header(df: DataFrame, names: Sequence[str], required: Sequence[str]) -> DataFrame:
@@ -72,8 +71,11 @@ def read_choices(spark: SparkSession, path: str, synonyms: dict[str, str], names
     known = [synonyms.get(h) for h in head]
     place = F.monotonically_increasing_id()
     rows = raw.withColumn("_at", place)
-    if any(known):
-        rows = rows.where(F.col("_at") > 0)
+    if any(known):  # each file of several has the header
+        same = F.lit(True)
+        for c, v in zip(raw.columns, first[0], strict=True):
+            same = same & F.col(c).eqNullSafe(F.lit(v))
+        rows = rows.where(~same)
     at = {n: known.index(n) if n in known else (i if not any(known) and i < len(raw.columns) else None) for i, n in enumerate(names)}
     columns = [F.trim(F.coalesce(F.col(raw.columns[at[n]]), F.lit(""))).alias(n) if at[n] is not None else F.lit("").alias(n) for n in names]
     kept = rows.select("_at", *columns).where(F.concat_ws("", *[n for n in names if n != "order"]) != "")
