@@ -128,3 +128,24 @@ def extraction_score(blocks: DataFrame, key: str) -> DataFrame:
     return blocks.groupBy(key).agg(
         F.count(F.lit(1)).alias("n_blocks"), F.count("kind").alias("n_known"), F.coalesce(F.sum(F.when(F.col("is_last"), F.col("n_rows"))), F.lit(0)).alias("n_rows")
     )
+
+
+def file_issues(files: DataFrame, shards: DataFrame, required: Sequence[str], pairs: Sequence[tuple[str, str]] = (), shard: str = "shard_id") -> DataFrame:
+    """(shard, severity, code, detail): required files that a shard lacks or that are empty, and pairs of which it has one only.
+
+    files: shard, file, size, one row for each; shards: those that must have them.
+    """
+    have = files.groupBy(shard).agg(F.map_from_entries(F.collect_list(F.struct("file", "size"))).alias("_files"))  # a shard has a handful of files
+    own = shards.select(shard).distinct().join(have, shard, "left").withColumn("_files", F.coalesce("_files", F.create_map().cast("map<string,bigint>")))
+    size = lambda f: F.try_element_at("_files", F.lit(f))
+    found = [F.when(size(f).isNull(), F.struct(F.lit("error").alias("severity"), F.lit("missing_file").alias("code"), F.lit(f).alias("detail"))) for f in required]
+    found += [F.when(size(f) == 0, F.struct(F.lit("error").alias("severity"), F.lit("empty_file").alias("code"), F.lit(f).alias("detail"))) for f in required]
+    found += [F.when(size(a).isNull() != size(b).isNull(), F.struct(F.lit("warning").alias("severity"), F.lit("file_pair_incomplete").alias("code"), F.lit(f"{a},{b}").alias("detail"))) for a, b in pairs]
+    return own.select(F.col(shard).cast("string").alias("shard"), F.explode(F.array_compact(F.array(*found))).alias("i")).select("shard", "i.*")
+
+
+def count_issues(counts: DataFrame, expected: DataFrame, code: str, severity: str = "error", shard: str = "shard_id") -> DataFrame:
+    """(shard, severity, code, detail): shards whose number of rows is not the expected one; both tables have the shard and n."""
+    both = expected.select(shard, F.col("n").alias("_want")).join(counts.select(shard, F.col("n").alias("_got")), shard, "left")
+    odd = both.where(F.col("_want") != F.coalesce("_got", F.lit(0)))
+    return issue(odd, code, severity, F.concat(F.lit("expected_"), F.col("_want"), F.lit(":got_"), F.coalesce("_got", F.lit(0))), F.col(shard))

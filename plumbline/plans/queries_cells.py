@@ -206,7 +206,7 @@ def labelled_sections(t: Tables) -> DataFrame:
     return got.select("s_suppkey", shown.alias("shown"), F.size("flat").alias("n_flat"))
 
 
-@query("""SELECT 'a' AS name, '关键词: x|省份: 3|位次: --9|分数: 5--' AS shown UNION ALL SELECT 'b', '' UNION ALL SELECT 'c', '{"a":{"x":1,"y":3},"b":[2]}' UNION ALL SELECT 'd', 'the OR a AND NOT "or"'""")
+@query("""SELECT 'a' AS name, '关键词: x|省份: 3|位次: --9|分数: 5--' AS shown UNION ALL SELECT 'b', '' UNION ALL SELECT 'c', '{"a":{"x":1,"y":3},"b":[2]}' UNION ALL SELECT 'd', 'the OR a AND NOT "or"' UNION ALL SELECT 'e', '## T/| a | b |/| --- | --- |/| 1 |  |'""")
 def labels_and_settings(t: Tables) -> DataFrame:
     """Labels of the filters that are set; settings in layers, exported and imported again; a query shown again."""
     import json
@@ -216,7 +216,7 @@ def labels_and_settings(t: Tables) -> DataFrame:
     labels = filters.active_labels({"关键词": "x", "院校": "", "省份": 3}, {"位次": ("", 9), "分数": (5, None), "计划": (None, "")})
     config = writers.merged_config({"a": {"x": 1, "y": 2}, "b": [1]}, None, {"a": {"y": 3}, "b": [2]})
     again = writers.import_config(writers.export_config(config, 4), 4)
-    rows = [("a", "|".join(labels)), ("b", "|".join(filters.active_labels({}, {}))), ("c", json.dumps(again, separators=(",", ":"), sort_keys=True)), ("d", keywords.show(keywords.parse('the or (a and not "or")')))]
+    rows = [("a", "|".join(labels)), ("b", "|".join(filters.active_labels({}, {}))), ("c", json.dumps(again, separators=(",", ":"), sort_keys=True)), ("d", keywords.show(keywords.parse('the or (a and not "or")'))), ("e", "/".join(x for x in writers.render("T", [{"a": 1}], ["a", "b"]).split("\n") if x))]
     return t.spark.createDataFrame(rows, "name string, shown string")
 
 
@@ -326,3 +326,48 @@ FROM (SELECT c_custkey % 5 AS history, c_nationkey AS plan, c_mktsegment AS tier
 def model_notes(t: Tables) -> DataFrame:
     note = landing.note(F.col("c_custkey") % 5, F.col("c_nationkey"), F.col("c_mktsegment"), (F.col("c_custkey") % 40).cast("double"))
     return t.customer.groupBy(note.alias("note")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""WITH f AS (SELECT c_nationkey::VARCHAR AS s, (['result.json', 'sources.csv', 'log.csv', 'annex.md'])[c_custkey % 4 + 1] AS file, max(greatest(0, floor(c_acctbal / 4000)))::BIGINT AS size FROM customer WHERE c_custkey % 3 <> 0 GROUP BY ALL),
+n AS (SELECT n_nationkey::VARCHAR AS s, n_nationkey % 5 AS k, n_regionkey FROM nation), q AS (SELECT s, k, file AS want FROM n, (VALUES ('result.json'), ('sources.csv'), ('log.csv')) AS r(file))
+SELECT s AS shard, 'error' AS severity, 'missing_file' AS code, want AS detail FROM q WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.s = q.s AND file = want) UNION ALL SELECT f.s, 'error', 'empty_file', file FROM f JOIN n USING (s) WHERE size = 0 AND file <> 'annex.md'
+UNION ALL SELECT s, 'warning', 'file_pair_incomplete', 'log.csv,annex.md' FROM n WHERE (SELECT count(*) FROM f WHERE f.s = n.s AND file IN ('log.csv', 'annex.md')) = 1
+UNION ALL SELECT s, 'error', 'row_count_mismatch', 'expected_2:got_' || c FROM (SELECT s, CASE k WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 4 THEN 1 ELSE 0 END AS c FROM n) WHERE c <> 2
+UNION ALL SELECT s, 'error', 'invalid_json', s FROM n WHERE k = 2 UNION ALL SELECT s, 'error', 'missing_key', 'status' FROM n WHERE k = 1 UNION ALL SELECT s, 'error', 'missing_item_field', 'id' FROM n WHERE k IN (1, 4) UNION ALL SELECT s, 'error', 'invalid_level', 'odd' FROM n WHERE k = 1""")
+def deep_results(t: Tables) -> DataFrame:
+    """Results of shards as JSON documents and files: what is missing, empty, broken, not listed or not as many as expected."""
+    files = t.customer.where("c_custkey % 3 <> 0").groupBy(F.col("c_nationkey").cast("string").alias("shard_id"), F.element_at(F.array(*map(F.lit, ("result.json", "sources.csv", "log.csv", "annex.md"))), (F.col("c_custkey") % 4 + 1).cast("int")).alias("file")).agg(
+        F.max(F.greatest(F.lit(0), F.floor(F.col("c_acctbal") / 4000))).cast("long").alias("size")
+    )
+    shards = t.nation.select(F.col("n_nationkey").cast("string").alias("shard_id"))
+    cells = ('{"status":"ok","items":[{"id":"a","level":"high"}]}', '{"items":[{"id":"","level":"low"},{"id":"b","level":"odd"}]}', "{broken", '{"status":"ok","items":[]}', '{"status":"ok","items":[{"level":"medium"}]}')
+    parsed = readers.json_documents(t.nation.select(F.col("n_nationkey").cast("string").alias("shard_id"), _pick("n_nationkey", cells).alias("body")), "body", "status string, items array<struct<id:string,level:string>>")
+    issues = quality.file_issues(files, shards, ["result.json", "sources.csv", "log.csv"], [("log.csv", "annex.md")])
+    issues = issues.unionByName(quality.document_issues(parsed, "shard_id", "doc", "broken", ["status"], "items", ["id"], {"level": ["high", "medium", "low"]}))
+    counts = parsed.where("not broken").select("shard_id", F.size("doc.items").alias("n"))
+    return issues.unionByName(quality.count_issues(counts, shards.withColumn("n", F.lit(2)), "row_count_mismatch"))
+
+
+@query("""SELECT doc_id, (doc_id % 4 + (doc_id % 3 = 0)::INT)::BIGINT AS n_blocks, (doc_id % 4 + (doc_id % 3 = 0)::INT)::BIGINT AS n_known, ((doc_id % 4 > 0)::INT + (doc_id % 3 = 0)::INT * 2)::BIGINT AS n_rows FROM documents WHERE doc_id % 4 + (doc_id % 3 = 0)::INT > 0""")
+def extraction_scorecard(t: Tables) -> DataFrame:
+    """Blocks of two kinds, as many as the document's id says, before the document's text."""
+    rows = F.repeat(F.lit("```csv\npool_id,source_ids\n1,a\n```\n"), (F.col("doc_id") % 4).cast("int"))
+    sources = F.when(F.col("doc_id") % 3 == 0, "```\nsource_id,url\nx,y\nz,w\n```\n").otherwise("")
+    blocks = readers.fenced_blocks(t.documents.select("doc_id", F.concat(rows, sources, F.replace("text", F.lit("`"), F.lit(""))).alias("body")), "doc_id", "body", {"rows": ["pool_id", "source_ids"], "sources": ["source_id", "url"]})
+    return quality.extraction_score(blocks, "doc_id").withColumn("n_rows", F.col("n_rows").cast("long"))
+
+
+@query("""SELECT s_suppkey, s_name, n_name AS school_key FROM supplier JOIN (SELECT n_nationkey, n_name FROM nation WHERE n_regionkey < 3) ON n_nationkey = s_nationkey""")
+def annex_rows(t: Tables) -> DataFrame:
+    """The rows of known keys, with a column of the lookup."""
+    known = t.nation.where("n_regionkey < 3").select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("school_key"))
+    return joins.lookup_unique(t.supplier.select("s_suppkey", "s_name", "s_nationkey"), known, ["s_nationkey"]).where("school_key is not null").drop("s_nationkey")
+
+
+@query("""SELECT n_name, r_name, n_nationkey FROM nation JOIN region ON r_regionkey = n_regionkey""")
+def tables_round_trip(t: Tables) -> DataFrame:
+    """Two tables written by the columns that lookups use, and read again."""
+    folder = _folder(t)
+    writers.write_tables({"nation": t.nation, "region": t.region}, folder, {"nation": ["n_regionkey", "absent"], "region": ["r_regionkey"]})
+    nation, region = (t.spark.read.parquet(f"{folder}/{n}") for n in ("nation", "region"))
+    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_name", "r_name", "n_nationkey")
