@@ -163,8 +163,10 @@ def filter_urls(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] | Data
         judged = _by_join(rows, keys, listed)
     else:
         allow, block = (c.contains(f"_{name}") for c, name in zip(cascades, ("allow", "block"), strict=True))
-        hits = F.filter(F.transform(keys, lambda k: F.struct(k.alias("key"), allow(k).alias("allow"), block(k).alias("block"))), lambda s: s["allow"] | s["block"])
-        judged = rows.select("*", *cascades[0].columns("_allow"), *cascades[1].columns("_block")).select(id_col, "host", "path", F.try_element_at(hits, F.lit(1)).alias("_hit"))
+        hits = F.filter(F.transform("_keys", lambda k: F.struct(k.alias("key"), allow(k).alias("allow"), block(k).alias("block"))), lambda s: s["allow"] | s["block"])
+        # Each column is read in one place from here on, so that the projections become one and no row ever holds a filter.
+        asked = rows.select(id_col, "host", "path", keys.alias("_keys")).select("*", *cascades[0].columns("_allow"), *cascades[1].columns("_block"))
+        judged = asked.select(id_col, "host", "path", F.try_element_at(hits, F.lit(1)).alias("_hit"))
     verdict = F.when(F.col("_hit").isNull(), F.lit(default)).when(F.col("_hit.allow"), F.lit("allow")).otherwise(F.lit("block"))
     return judged.select(id_col, "host", "path", F.replace(F.col("_hit.key"), F.lit(" "), F.lit("")).alias("rule"), verdict.alias("verdict"))
 
