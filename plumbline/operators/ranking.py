@@ -25,6 +25,25 @@ def numbered(df: DataFrame, order: Sequence[Column], name: str = "position") ->
     return parts.join(F.broadcast(offsets), "_part").withColumn(name, (F.col("_at") + F.col("_before") + 1).cast("long")).select(*df.columns, name)
 
 
+def placed(df: DataFrame, by: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """df with _place from 1 and _size of its group: a large group is sorted in as many ranges as it needs. Nulls are a group."""
+    keys = [F.col(b) for b in by]
+    rows = numbered(df, [*(k.asc_nulls_first() for k in keys), *order], "_place")
+    groups = rows.groupBy(*[k.alias(f"_by{i}") for i, k in enumerate(keys)]).agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_size"))
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & k.eqNullSafe(F.col(f"_by{i}"))
+    joined = rows.join(groups, same) if by else rows.join(F.broadcast(groups))  # without groups one row
+    return joined.withColumn("_place", F.col("_place") - F.col("_first") + 1).select(*df.columns, "_place", "_size")
+
+
+def medians(df: DataFrame, by: Sequence[str], value: str, name: str) -> DataFrame:
+    """(by, name): the exact median of each group's values that are there; without groups one row."""
+    rows = placed(df.where(F.col(value).isNotNull()).select(*by, F.col(value).alias("_v")), by, [F.asc("_v")])
+    middle = rows.where((F.col("_place") >= F.floor((F.col("_size") + 1) / 2)) & (F.col("_place") <= F.floor((F.col("_size") + 2) / 2)))
+    return middle.groupBy(*by).agg(F.avg("_v").alias(name))
+
+
 def first_of(df: DataFrame, keys: Sequence[str], order: Column) -> DataFrame:
     """The first row of each key by the order; an aggregation with partial results, so a hot key does not gather."""
     rest = [c for c in df.columns if c not in keys]
@@ -146,9 +165,7 @@ def round_robin(df: DataFrame, order: Sequence[Column], shards: int, name: str =
 
 def halves(df: DataFrame, by: str, order: Sequence[Column], name: str = "half") -> DataFrame:
     """1 for the first half of each group, the middle row included, 2 for the rest."""
-    rn = F.row_number().over(Window.partitionBy(by).orderBy(*order))
-    n = F.count(F.lit(1)).over(Window.partitionBy(by))
-    return df.withColumn(name, F.when(rn <= F.floor((n + 1) / 2), 1).otherwise(2))
+    return placed(df, [by], order).withColumn(name, F.when(F.col("_place") <= F.floor((F.col("_size") + 1) / 2), 1).otherwise(2)).drop("_place", "_size")
 
 
 def balance(df: DataFrame, group: str, shards: int, name: str = "shard") -> DataFrame:

@@ -34,10 +34,10 @@ def transition_samples(model: DataFrame, years: list[str], trend: str = "rankbin
     if trend == "raw":
         return out.withColumn("model_delta_z", F.col("delta_z"))
     if trend == "global_centered":
-        center = out.agg(F.median("delta_z").alias("center"))
+        center = ranking.medians(out, [], "delta_z", "center")
         return out.join(F.broadcast(center)).withColumn("model_delta_z", F.col("delta_z") - F.col("center")).drop("center")  # one row
     if trend == "rankbin_centered":
-        centers = out.groupBy("rank_bin").agg(F.median("delta_z").alias("center"))
+        centers = ranking.medians(out, ["rank_bin"], "delta_z", "center")
         return out.join(F.broadcast(centers), "rank_bin").withColumn("model_delta_z", F.col("delta_z") - F.col("center")).drop("center")  # a dozen buckets
     raise ValueError(f"unknown trend {trend!r}")
 

@@ -51,10 +51,7 @@ def classify(name: Column, remark: Column) -> Column:
 
 def impute(df: DataFrame, value: str, near: str, wide: str, share: float = 0.65) -> DataFrame:
     """df with predicted and certainty: the value, else medians of both groups mixed, of one of them, or of all rows."""
-    known = df.where(F.col(value).isNotNull())
-    by_near = known.groupBy(near).agg(F.median(value).alias("_near"))
-    by_wide = known.groupBy(wide).agg(F.median(value).alias("_wide"))
-    overall = known.agg(F.median(value).alias("_all"))
+    by_near, by_wide, overall = (ranking.medians(df, by, value, name) for by, name in (([near], "_near"), ([wide], "_wide"), ([], "_all")))
     joined = df.join(by_near, near, "left").join(by_wide, wide, "left").join(F.broadcast(overall))  # one row
     both = F.col("_near").isNotNull() & F.col("_wide").isNotNull()
     predicted = F.coalesce(value, F.when(both, share * F.col("_near") + (1 - share) * F.col("_wide")), "_near", "_wide", "_all")

@@ -224,11 +224,11 @@ s1 AS (SELECT *, CASE WHEN rank_mid <= 20000 THEN '0_20k' WHEN rank_mid <= 30000
 s2 AS (SELECT *, delta_z - median(delta_z) OVER (PARTITION BY rank_bin) AS model_delta_z FROM s1)"""
 
 
-def _samples(t: Tables) -> DataFrame:
+def _samples(t: Tables, trend: str = "rankbin_centered") -> DataFrame:
     by_year = t.lineitem.where("year(l_shipdate) between 1996 and 1998").groupBy("l_partkey", F.year("l_shipdate").alias("y")).agg(F.max("l_extendedprice").alias("v"))
     wide = projection.widen(by_year, "l_partkey", "y", [1996, 1997, 1998], ["v"]).toDF("l_partkey", "r1", "r2", "r3")
     model = t.part.join(wide, F.col("p_partkey") == F.col("l_partkey")).select(F.col("p_type").alias("family"), F.col("p_size").alias("plan_count"), (F.col("p_size") % 2 == 0).alias("region"), "r1", "r2", "r3")
-    return landing.transition_samples(model, ["r1", "r2", "r3"])
+    return landing.transition_samples(model, ["r1", "r2", "r3"], trend)
 
 
 @query(f"WITH {_SAMPLES_SQL} SELECT rank_bin, count(*)::BIGINT AS n, round(sum(delta_z), 5) AS total, round(sum(model_delta_z), 5) AS centred FROM s2 GROUP BY ALL")
@@ -236,6 +236,16 @@ def transition_samples(t: Tables) -> DataFrame:
     return _samples(t).groupBy("rank_bin").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("delta_z"), 5).alias("total"), F.round(F.sum("model_delta_z"), 5).alias("centred"))
 
 
+@query(f"""WITH {_SAMPLES_SQL}, m AS (SELECT rank_bin, delta_z, delta_z - median(delta_z) OVER () AS centred FROM s1)
+SELECT 'raw' AS trend, rank_bin, round(sum(delta_z), 5) AS total FROM m GROUP BY ALL UNION ALL SELECT 'global_centered', rank_bin, round(sum(centred), 5) FROM m GROUP BY ALL""")
+def transition_trends(t: Tables) -> DataFrame:
+    """The samples as they are, and less the median of all."""
+    out = [
+        _samples(t, trend).groupBy("rank_bin").agg(F.round(F.sum("model_delta_z"), 5).alias("total")).select(F.lit(trend).alias("trend"), "rank_bin", "total") for trend in ("raw", "global_centered")
+    ]
+    return out[0].unionByName(out[1])
+
+
 def _choices(t: Tables, history: int = 3) -> DataFrame:
     """The twelve largest parts as a list of choices."""
     top = t.part.orderBy(F.desc("p_retailprice"), "p_partkey").limit(12)
@@ -285,13 +295,17 @@ def landing_with_spread(t: Tables) -> DataFrame:
     return got.select("choice", F.round("chance", 6).alias("chance"), F.round("admit", 6).alias("admit"), F.round("total", 6).alias("total"), "tier", "note")
 
 
-@query("""SELECT doc_id, label, max(confidence) AS confidence FROM (SELECT doc_id, lang AS label, 'high' AS confidence FROM documents UNION ALL SELECT doc_id, source, 'low' FROM documents UNION ALL SELECT doc_id, CASE WHEN lang = 'en' THEN 'src1' ELSE 'other' END, 'medium' FROM documents) GROUP BY doc_id, label""")
+@query("""SELECT doc_id, label, CASE max(o) WHEN 3 THEN 'high' WHEN 2 THEN 'medium' ELSE 'low' END AS confidence, array_to_string(list_sort(list(DISTINCT ev))[1:3], '|') AS evidence, array_to_string(list_sort(list(DISTINCT src)), '|') AS sources FROM (
+ SELECT doc_id, lang AS label, 3 AS o, 'lang ' || lang AS ev, 'lang' AS src FROM documents UNION ALL SELECT doc_id, source, 1, 'source ' || source, 'source' FROM documents
+ UNION ALL SELECT doc_id, CASE WHEN lang = 'en' THEN 'src1' ELSE 'other' END, 2, 'derived ' || n, 'derived' FROM documents, (VALUES (1), (2), (3), (4)) AS v(n)) GROUP BY doc_id, label""")
 def tag_catalog(t: Tables) -> DataFrame:
-    """Tags of three kinds; the last is an alias. The largest name of a confidence here is also the best, but for high."""
+    """Tags of three kinds, the last an alias with more evidence than is kept."""
     d = t.documents
-    tags = d.select("doc_id", F.col("lang").alias("label"), F.lit("high").alias("confidence"), F.lit("lang").alias("source"))
-    tags = tags.union(d.select("doc_id", "source", F.lit("low"), F.lit("source"))).union(d.select("doc_id", F.when(F.col("lang") == "en", "english").otherwise("other"), F.lit("medium"), F.lit("derived")))
-    return scoring.tag_catalog(tags.withColumn("evidence", F.col("source")), "doc_id", {"english": "src1"}).select("doc_id", "label", "confidence")
+    tags = d.select("doc_id", F.col("lang").alias("label"), F.lit("high").alias("confidence"), F.concat(F.lit("lang "), F.col("lang")).alias("evidence"), F.lit("lang").alias("source"))
+    tags = tags.union(d.select("doc_id", "source", F.lit("low"), F.concat(F.lit("source "), F.col("source")), F.lit("source")))
+    tags = tags.union(d.select("doc_id", F.when(F.col("lang") == "en", "english").otherwise("other"), F.lit("medium"), F.explode(F.array(*[F.lit(f"derived {n}") for n in range(1, 5)])), F.lit("derived")))
+    got = scoring.tag_catalog(tags, "doc_id", {"english": "src1"})
+    return got.withColumns({"evidence": F.array_join("evidence", "|"), "sources": F.array_join("sources", "|")})
 
 
 _SCORE_SQL = """WITH r AS (SELECT c_custkey, greatest(0, least(100, floor(c_acctbal / 100))) AS a, CASE WHEN c_custkey % 2 = 0 THEN 0.65 ELSE 1.0 END AS cap, c_nationkey, c_mktsegment FROM customer),

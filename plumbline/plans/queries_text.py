@@ -68,9 +68,14 @@ def keyword_phrase(t: Tables) -> DataFrame:
     return keywords.search(t.documents, """包含 "of the" 且 not ('with that' || "for the")""", text.haystack(F.col("text"))).select("doc_id", "source")
 
 
-@query("SELECT doc_id FROM documents WHERE 1 = 0")
+@query("""SELECT doc_id, 'closed' AS query FROM documents WHERE contains(lower(text), 'the') AND contains(lower(text), 'of') UNION ALL SELECT doc_id, 'blank' FROM documents""")
 def keyword_broken_query(t: Tables) -> DataFrame:
-    return keywords.search(t.documents, "the AND (of", text.haystack(F.col("text"))).select("doc_id")
+    """A query that cannot be read finds nothing, the same with its parenthesis closed finds rows, and a blank one all."""
+    out = None
+    for name, query in (("broken", "the AND (of"), ("closed", "the AND (of)"), ("blank", " ")):
+        found = keywords.search(t.documents, query, text.haystack(F.col("text"))).select("doc_id", F.lit(name).alias("query"))
+        out = found if out is None else out.unionByName(found)
+    return out
 
 
 @query("""SELECT conv_id, turn, lower(concat_ws(' ', nullif(role, ''), nullif(text, ''))) AS hay FROM conversations""")
@@ -136,11 +141,15 @@ def json_props_extract(t: Tables) -> DataFrame:
     return got.where("not broken").groupBy("event_type", F.col("doc.k").alias("k")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("""SELECT doc_id, 2::INTEGER AS n_blocks, 1::INTEGER AS last_rows, 'rows' AS kind FROM documents""")
+@query("""SELECT conv_id, (count(*) + 1)::INTEGER AS n_blocks, (count(*) FILTER (turn = m))::INTEGER AS last_rows, count(*) FILTER (role = 'user')::INTEGER AS n_users FROM (SELECT *, max(turn) OVER (PARTITION BY conv_id) AS m FROM conversations) GROUP BY conv_id""")
 def fenced_blocks(t: Tables) -> DataFrame:
-    body = F.concat(F.lit("note\n```csv\npool_id,source_ids\n1,a\n2,b\n```\n"), F.lit("again\n```\npool_id,source_ids\n"), F.col("doc_id"), F.lit(",z\n```\n"))
-    got = readers.fenced_blocks(t.documents.select("doc_id", body.alias("body")), "doc_id", "body", {"rows": ["pool_id", "source_ids"], "sources": ["source_id", "url"]})
-    return got.groupBy("doc_id").agg(F.count(F.lit(1)).cast("int").alias("n_blocks"), F.max(F.when(F.col("is_last"), F.col("n_rows"))).alias("last_rows"), F.max("kind").alias("kind"))
+    """Conversations as Markdown: a block of one row for each turn, and one of sources; the last of a kind counts."""
+    block = F.concat(F.lit("note\n```csv\npool_id,source_ids\n"), F.col("turn"), F.lit(","), F.col("role"), F.lit("\n```\n"))
+    turns = t.conversations.groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", block.alias("b")))), lambda x: x["b"]), "").alias("blocks"))
+    body = F.concat("blocks", F.lit("again\n```\nsource_id,url\n1,x\n2,y\n```\n"))
+    got = readers.fenced_blocks(turns.select("conv_id", body.alias("body")), "conv_id", "body", {"rows": ["pool_id", "source_ids"], "sources": ["source_id", "url"]})
+    last = F.max(F.when(F.col("is_last") & (F.col("kind") == "rows"), F.col("n_rows")))
+    return got.groupBy("conv_id").agg(F.count(F.lit(1)).cast("int").alias("n_blocks"), last.alias("last_rows"), F.count_if(F.contains("csv", F.lit(",user"))).cast("int").alias("n_users"))
 
 
 @query("""WITH f AS (SELECT d.doc_id, n_chars, lang, contains(text, '%%%') AS symbols, contains(text, 'License') AS licensed, l.toxic, l.quality FROM documents d LEFT JOIN labels l USING (doc_id)),
