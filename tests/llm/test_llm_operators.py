@@ -1,6 +1,7 @@
 """The operators against brute force, on the small tables and on odd rows."""
 
 import hashlib
+import sys
 import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
@@ -145,6 +146,21 @@ def test_words_of_equal_polynomials_are_told_apart(spark):
         assert substring_rows(spark.createDataFrame(rows, "doc_id long, text string"), group_bytes=size) == brute_repeats(rows)
 
 
+def test_components_of_odd_graphs(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    pairs = [(int(a), int(b)) for a, b in rng.integers(0, 400, (330, 2))] + [(500, 500 + i) for i in range(1, 200)] + [(900, 700 + i) for i in range(100)]
+    links = spark.createDataFrame(pairs, "a long, b long")
+    root = {x: x for p in pairs for x in p}
+    for _ in range(500):
+        for a, b in pairs:
+            root[a] = root[b] = min(root[a], root[b])
+    want = {x: r for x, r in root.items() if any(x in p and p[0] != p[1] for p in pairs)}
+    for most in (100_000, 0):  # nodes in the middle broadcast, and salted
+        monkeypatch.setattr(sys.modules["plumbline.llm.components"], "MIDDLE_ROWS", most)
+        got = components(links).collect()
+        assert {r.node: r.component for r in got} == want and len(got) == len(want)
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (101, 100), (7, 7)], "a long, b long")
     got = {r.node: r.component for r in components(links).collect()}
