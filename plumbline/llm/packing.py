@@ -24,6 +24,8 @@ from plumbline.llm.textcore import binary
 CAPACITY = 2048
 #: Documents of a group, and bytes of their texts, on average.
 GROUP_DOCS, GROUP_BYTES = 1024, 8 << 20
+#: Bytes of texts that a task reads, on average, at most.
+TASK_BYTES = 64 << 20
 #: Rows equal in id and text from which they are dealt apart.
 REPEATED = 1024
 #: Words, and parts of words, whose ids a worker remembers.
@@ -177,7 +179,11 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = CAPAC
     def run(table: pa.Table) -> pa.Table:
         return _pack_group(table, tokenizer, end_id, capacity, id_col)
 
-    return _dealt_apart(rows).select(F.pmod("place", F.lit(groups)).alias("g"), "id", "text").groupBy("g").applyInArrow(run, schema)
+    dealt = _dealt_apart(rows).select(F.pmod("place", F.lit(groups)).alias("g"), "id", "text")
+    tasks = -(-(size["bytes"] or 0) // TASK_BYTES)
+    if tasks > int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")):  # more than the setting, lest tasks grow with the input
+        dealt = dealt.repartition(tasks, "g")
+    return dealt.groupBy("g").applyInArrow(run, schema)
 
 
 def _dealt_apart(rows: DataFrame) -> DataFrame:

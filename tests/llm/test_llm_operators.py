@@ -294,6 +294,8 @@ def test_packing_of_repeated_rows_and_other_tokenizers(spark, docs, none, monkey
     groups = Counter((r.doc_id, r.sequence_id >> 32) for r in rows)
     assert max(groups.values()) <= 60 and len({g for i, g in groups if i == 1}) > 2
     assert packing.pack(none, queries.tokenizer_path()).count() == 0
+    monkeypatch.setattr(packing, "TASK_BYTES", 10)  # more tasks than the setting says
+    assert Counter(r.doc_id for r in packing.pack(df, queries.tokenizer_path(), group_docs=10).collect()) == {1: 105, None: 50, 2: 1}
     from tokenizers import Tokenizer
 
     path = queries.tokenizer_path().replace("word_bpe_49k", "byte_bpe_50k")
