@@ -429,6 +429,30 @@ def test_quality_base_features(spark, sf, docs, odd, none):
     assert quality.judge(odd, nothing).where("kept = base_failed").count() == 0
 
 
+def test_quality_probabilities_by_hand(spark, sf, docs, odd):
+    """Scores against plain loops over words, pairs of words and runs of bytes; verdicts against the threshold."""
+    model = quality.train(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    most = 1 << 64
+
+    def mixed(h):
+        return int(textcore.mix(np.array([h % most], dtype=np.uint64))[0])
+
+    def probability(text):
+        data = (text or "").encode()
+        hashes = [int(textcore.word_hashes([w])[0][0]) for w in data.split()]
+        words = [h >> 48 for h in hashes] + [mixed(a * 3 + b) >> 48 for a, b in zip(hashes, hashes[1:], strict=False)]
+        chars = [((int.from_bytes(bytes([n]) + data[i : i + n], "big") * 0x9E3779B97F4A7C15) % most) >> 48 for n in (3, 4) for i in range(len(data) - n + 1)]
+        z = model.bias + sum(30.0 * sum(float(w[k]) for k in at) / max(1, len(at)) for w, at in ((model.words, words), (model.chars, chars)))
+        return 1 / (1 + np.exp(-(model.slope * z + model.shift)))
+
+    rows = docs.where("n_chars < 4000").select("doc_id", "text").union(odd.where("doc_id <> 8 or doc_id is null").select("doc_id", "text"))
+    texts = {(r.doc_id, r.text) for r in rows.collect()}
+    want = Counter((i, round(float(probability(t)), 4)) for i, t in texts)
+    got = quality.judge(rows.distinct(), model).collect()
+    assert Counter((r.doc_id, round(r.probability, 4)) for r in got).keys() <= want.keys() | {(i, round(p + d, 4)) for i, p in want for d in (1e-4, -1e-4)}
+    assert all(r.kept == (not r.base_failed and r.probability >= quality.KEEP) for r in got) and len(got) == len(texts)
+
+
 def test_quality_on_labels_not_seen(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     seen = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
