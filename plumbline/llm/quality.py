@@ -173,19 +173,36 @@ def fit(rows: list, share: float, steps: int = 80) -> Model:
     return Model(w[:size].copy(), w[size:].copy(), float(bias), a, b)
 
 
-def calibrate(z: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int = 50) -> tuple[float, float]:
-    """Slope and shift of the logistic curve through (z, y), by Newton's method with a little ridge."""
-    a, b = 1.0, 0.0
+def calibrate(z: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int = 100) -> tuple[float, float]:
+    """Slope and shift of the logistic curve through (z, y) by Newton's method, with steps that never raise the loss.
+
+    Rows of weight 0 take no part. Targets are those of Platt, (n + 1) / (n + 2) and 1 / (n + 2), so that classes
+    which the scores tell apart wholly get probabilities as sure as their numbers of rows allow.
+    """
+    on = weight > 0
+    z, y, weight = z[on], y[on], weight[on] / weight[on].sum()
+    ones, zeros = int((y == 1).sum()), int((y == 0).sum())
+    target = np.where(y == 1, (ones + 1) / (ones + 2), 1 / (zeros + 2))
+    size = float(np.abs(z).max()) or 1.0
+    z = z / size
+
+    def loss(at: np.ndarray) -> float:
+        t = at[0] * z + at[1]
+        return float((weight * (np.logaddexp(0, t) - target * t)).sum())
+
+    at = np.array([1.0, 0.0])
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(a * z + b, -500, 500)))
-        r, h = weight * (p - y), weight * p * (1 - p) + 1e-12
-        grad = np.array([(r * z).sum() + 1e-3 * (a - 1), r.sum() + 1e-4 * b])
-        hess = np.array([[(h * z * z).sum() + 1e-3, (h * z).sum()], [(h * z).sum(), h.sum() + 1e-4]])
-        step = np.linalg.solve(hess, grad)
-        a, b = a - step[0], b - step[1]
-        if np.abs(step).max() < 1e-9:
+        p = 1 / (1 + np.exp(-np.clip(at[0] * z + at[1], -500, 500)))
+        r, h = weight * (p - target), weight * p * (1 - p) + 1e-12
+        hess = np.array([[(h * z * z).sum() + 1e-9, (h * z).sum()], [(h * z).sum(), h.sum() + 1e-9]])
+        step = np.linalg.solve(hess, np.array([(r * z).sum(), r.sum()]))
+        now, share = loss(at), 1.0
+        while share > 1e-6 and loss(at - share * step) > now:
+            share /= 2
+        at = at - share * step
+        if np.abs(share * step).max() < 1e-9 or share <= 1e-6:
             break
-    return max(1e-3, float(a)), float(b)
+    return max(1e-3, float(at[0]) / size), float(at[1])
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = PER_CLASS) -> Model:

@@ -429,6 +429,22 @@ def test_quality_base_features(spark, sf, docs, odd, none):
     assert quality.judge(odd, nothing).where("kept = base_failed").count() == 0
 
 
+def test_calibration():
+    """Of classes that overlap, shares are met; of classes told apart, probabilities stay short of certainty."""
+    rng = np.random.default_rng(3)
+    y = (rng.random(4000) < 0.3).astype(float)
+    z = rng.normal(np.where(y == 1, 40.0, -10.0), 30.0)
+    a, b = quality.calibrate(z, y, np.ones(4000))
+    p = 1 / (1 + np.exp(-(a * z + b)))
+    for lo in (0.1, 0.3, 0.5, 0.7):
+        near = (p >= lo) & (p < lo + 0.2)
+        assert near.sum() > 100 and abs(y[near].mean() - p[near].mean()) < 0.06
+    apart = np.where(np.arange(100) < 40, 50.0, -50.0)
+    a, b = quality.calibrate(apart, (apart > 0).astype(float), np.ones(100))
+    p = 1 / (1 + np.exp(-(a * apart + b)))
+    assert p[0] == pytest.approx(41 / 42, abs=1e-4) and p[-1] == pytest.approx(1 / 62, abs=1e-4)
+
+
 def test_quality_probabilities_by_hand(spark, sf, docs, odd):
     """Scores against plain loops over words, pairs of words and runs of bytes; verdicts against the threshold."""
     model = quality.train(docs, spark.read.parquet(f"{sf}/labels.parquet"))
