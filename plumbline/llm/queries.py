@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import licences, media, mixing, packing, quality, sharding, simhash, substring, toxicity, urls
+from plumbline.llm import bpe, collocations, licences, media, mixing, packing, quality, sharding, simhash, substring, toxicity, urls, whitening
 from plumbline.llm.common import table
 
 
@@ -71,8 +71,22 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path()
+    got = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    return got.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_simhash, op3_licences, op4_urls, op5_substrings, op6_sharding, op7_packing, op8_media, op9_quality, op10_mixing)
+    f.__name__: f for f in (op1_toxicity, op2_simhash, op3_licences, op4_urls, op5_substrings, op6_sharding, op7_packing, op8_media, op9_quality, op10_mixing, op11_bpe, op12_collocations, op13_whitening)
 }
 
 
@@ -110,4 +124,18 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_re
  sha256(coalesce(list_aggregate(CASE WHEN gone IS NULL THEN w ELSE list_filter(w, lambda y, i: NOT list_contains(gone, i)) END, 'string_agg', ' '), '')) AS kept_sha256
 FROM d LEFT JOIN x USING (doc_id)"""
 
-ORACLE_SQL: dict[str, str] = {"op3_licences": _licence_sql(), "op4_urls": _URL_SQL, "op5_substrings": _SUBSTRING_SQL}
+_COLLOCATION_SQL = r"""WITH p AS (SELECT row_number() OVER () AS id, * FROM (SELECT coalesce(lang, 'und') AS lang,
+ unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+w AS (SELECT id, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+o AS (SELECT lang, size, list_aggregate(w[i:i + size - 1], 'string_agg', ' ') AS phrase FROM (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w), range(1, 5) AS s(size) WHERE i + size - 1 <= len(w)),
+f AS (SELECT lang, phrase, any_value(size) AS size, count(*)::HUGEINT AS f FROM o GROUP BY lang, phrase HAVING count(*) >= 30),
+n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+c AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE size > 1),
+k AS (SELECT lang, phrase, f AS a, size, k, list_aggregate(w[1:k], 'string_agg', ' ') AS first, list_aggregate(w[k + 1:size], 'string_agg', ' ') AS rest FROM c, range(1, 4) AS s(k) WHERE k < size),
+s AS (SELECT k.lang, k.phrase, a, k, x.f AS l, y.f AS r, 2000000 * a // (x.f + y.f) AS score FROM k JOIN f x ON x.lang = k.lang AND x.phrase = first JOIN f y ON y.lang = k.lang AND y.phrase = rest),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+z AS (SELECT b.* FROM b WHERE NOT EXISTS (SELECT 1 FROM f g WHERE g.lang = b.lang AND g.size > 2 AND g.phrase <> b.phrase AND contains(' ' || g.phrase || ' ', ' ' || b.phrase || ' ') AND 100 * g.f >= 80 * b.a)),
+t AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM z)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score FROM t JOIN n USING (lang) WHERE rank <= 2000"""
+
+ORACLE_SQL: dict[str, str] = {"op3_licences": _licence_sql(), "op4_urls": _URL_SQL, "op5_substrings": _SUBSTRING_SQL, "op12_collocations": _COLLOCATION_SQL}
