@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from plumbline.sources.storage import settle as cut
 
-__all__ = ["cut", "table", "unsigned", "word_count"]
+__all__ = ["cut", "repeated", "table", "unsigned", "word_count"]
+
+#: Copies of a row that one task makes.
+COPIES = 4096
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,3 +25,10 @@ def word_count(text: Column) -> Column:
 def unsigned(h: str | Column) -> Column:
     """A signed 64-bit value as 16 lower-case hexadecimal digits."""
     return F.lower(F.lpad(F.hex(h), 16, "0"))
+
+
+def repeated(df: DataFrame, times: str) -> DataFrame:
+    """Each row as often as its column times says, without that column; the copies of a row are dealt to tasks in parts."""
+    parts = df.where(F.col(times) > 0).withColumn("_lo", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col(times) - 1, F.lit(0).cast("long")), F.lit(COPIES).cast("long"))))
+    dealt = parts.repartition(F.xxhash64("_lo", times))
+    return dealt.withColumn("_k", F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(COPIES).cast("long"), F.col(times) - F.col("_lo"))))).drop("_lo", "_k", times)

@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import cut
+from plumbline.llm.common import COPIES, cut
 
 #: Cells of the ring, and so the most rows of counts that the driver sees.
 CELLS = 1 << 14
@@ -101,7 +101,9 @@ def shard(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: s
     parts = table.groupBy("cell").agg(F.collect_list(F.struct("lo", "hi", "shard", "first")).alias("parts")).join(homes, "cell")
     before = Window.partitionBy("cell").orderBy("place", "id", "text_crc32", "size").rowsBetween(Window.unboundedPreceding, -1)
     first = same.withColumn("rank", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    ranked = first.withColumn("rank", F.explode(F.sequence(F.col("rank"), F.col("rank") + F.col("n") - 1)))
+    # In parts, so that no array grows with the number of equal rows.
+    parts_of = first.withColumn("end", F.col("rank") + F.col("n") - 1).withColumn("rank", F.explode(F.sequence(F.col("rank"), F.col("end"), F.lit(COPIES).cast("long"))))
+    ranked = parts_of.withColumn("rank", F.explode(F.sequence(F.col("rank"), F.least(F.col("end"), F.col("rank") + COPIES - 1)))).drop("end")
     # One row for each cell: its size is bounded by the ring, not by the input.
     placed = ranked.join(F.broadcast(parts), "cell").withColumn("part", F.filter("parts", lambda p: (F.col("rank") >= p["lo"]) & (F.col("rank") < p["hi"]))[0])
     return placed.select(

@@ -23,7 +23,9 @@ GRID = 256
 #: Columns of a block, and of the basis at most.
 BLOCK, BASIS = 16, 128
 #: Residuals, as parts of the largest eigenvalue: those that end the passes, and those that are taken for rounding if no pass lowers them.
-SMALL, ROUNDING = 1e-14, 1e-10
+SMALL, ROUNDING = 1e-14, 1e-11
+#: Passes that must fail to halve the least residual.
+STALE = 15
 #: Passes after which the data are given up as having no such components.
 PASSES = 1000
 #: Groups of tasks whose arrays are added up before the driver gets them.
@@ -129,33 +131,43 @@ def _orthonormal(block: np.ndarray, basis: np.ndarray, rng: np.random.Generator)
 def leading(times: Callable[[np.ndarray], np.ndarray], width: int, wanted: int, block: int = BLOCK, most: int = BASIS) -> tuple[np.ndarray, np.ndarray]:
     """The largest eigenvalues and unit eigenvectors of a symmetric matrix that is known by its products with blocks.
 
-    Ends when the residuals of all wanted components are certified: below SMALL times the largest
-    eigenvalue, or below ROUNDING times it and no longer falling. A basis of all dimensions ends it, too.
+    Residuals below SMALL times the largest eigenvalue, or below ROUNDING times it and no longer falling,
+    or of a basis of all dimensions, are computed again from fresh products, without what rounding has
+    left in the kept ones. The wanted components are certified once that lowers them no further.
     """
     rng = np.random.default_rng(0)
     block, wanted = min(width, max(block, 2 * wanted)), min(width, wanted)
     most = max(most, 4 * block)
     basis = np.linalg.qr(rng.standard_normal((width, block)))[0]
-    images, best, stale = times(basis), np.inf, 0
+    images, best, stale, certified = times(basis), np.inf, 0, np.inf
     for _ in range(PASSES):
-        small = basis.T @ images
-        values, turn = np.linalg.eigh((small + small.T) / 2)
-        values, turn = values[::-1], turn[:, ::-1]
-        vectors, products = basis @ turn, images @ turn
-        left = products - vectors * values
-        scale = max(float(values[0]), np.finfo(float).tiny)
-        worst = float(np.linalg.norm(left[:, :wanted], axis=0).max()) / scale
+        values, vectors, products, worst = _ritz(basis, images, wanted)
         stale = 0 if worst < best / 2 else stale + 1
         best = min(best, worst)
-        if worst <= SMALL or basis.shape[1] == width or (worst <= ROUNDING and stale >= 3):
-            return values[:wanted], vectors[:, :wanted]
-        if basis.shape[1] + block > most:
+        if worst <= SMALL or basis.shape[1] == width or (worst <= ROUNDING and stale >= STALE):
+            basis = np.linalg.qr(vectors[:, :block])[0]
+            images = times(basis)
+            values, vectors, products, worst = _ritz(basis, images, wanted)
+            if worst <= SMALL or certified / 2 <= worst <= ROUNDING or basis.shape[1] == width:
+                return values[:wanted], vectors[:, :wanted]
+            best, stale, certified = np.inf, 0, worst
+        elif basis.shape[1] + block > most:
             vectors, products = vectors[:, : 2 * block], products[:, : 2 * block]
+        left = products - vectors * values[: vectors.shape[1]]
         more = _orthonormal(left[:, : min(block, width - vectors.shape[1])], vectors, rng)
         basis, images = np.hstack([vectors, more]), np.hstack([products, times(more)])
     raise ArithmeticError(f"no certified components after {PASSES} passes; the least residual was {best:.1e}")
 
 
+def _ritz(basis: np.ndarray, images: np.ndarray, wanted: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """The best eigenvalues inside a basis, falling, their vectors, these vectors' products, and the largest residual wanted."""
+    small = basis.T @ images
+    values, turn = np.linalg.eigh((small + small.T) / 2)
+    values, vectors, products = values[::-1], basis @ turn[:, ::-1], images @ turn[:, ::-1]
+    left = products[:, :wanted] - vectors[:, :wanted] * values[:wanted]
+    return values, vectors, products, float(np.linalg.norm(left, axis=0).max()) / max(float(values[0]), np.finfo(float).tiny)
+
+
 def whiten(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", components: int = 4) -> DataFrame:
     """(id_col, component, n, deviation, whitened, explained, identity_error) for every usable row and component.
 

@@ -534,7 +534,11 @@ def test_mixing(spark, docs, odd, none):
     skewed = spark.createDataFrame(
         [(i, " ".join(["w"] * int(rng.integers(0, 200))), f"s{min(9, int(rng.exponential(2)))}" if i % 11 else None) for i in range(1500)], "doc_id long, text string, source string"
     )
-    for df in (docs, skewed, odd):
+    text = "w " * 10
+    repeated = spark.createDataFrame(
+        [*[(1, text, "a", i % 7) for i in range(1000)], *[(i, text, s, 0) for s in "bc" for i in range(1000)], *[(5, text, None, i) for i in range(50)]], "doc_id long, text string, source string, own int"
+    )
+    for df in (docs, skewed, odd, repeated, repeated.where("source = 'a'")):
         rows = mixing.mix(df).collect()
         sizes = Counter()
         for r in df.collect():
@@ -547,12 +551,15 @@ def test_mixing(spark, docs, odd, none):
             assert r.taken == r.copies * r["size"] and r.copies <= 3
             taken[r.source] += r.taken
             biggest[r.source] = max(biggest[r.source], r["size"])
-        if df is not odd:
-            assert all(abs(taken[s] - want[s]) <= biggest[s] for s in sizes)
+        assert all(abs(taken[s] - want[s]) <= biggest[s] for s in sizes)
         assert Counter(map(tuple, rows)) == Counter(map(tuple, mixing.mix(df.repartition(3)).collect()))
         mixed = mixing.apply_mix(df)
         assert mixed.schema == df.schema
-        assert sum(len(WORD.findall(r.text or "")) for r in mixed.collect()) == sum(taken.values())
+        again = Counter()
+        for r in mixed.collect():
+            again[r.source] += len(WORD.findall(r.text or ""))
+        assert +again == +taken
+        assert sorted(map(str, mixed.collect())) == sorted(map(str, mixing.apply_mix(df.repartition(3)).collect()))
     assert mixing.mix(none).count() == 0 and mixing.apply_mix(none).count() == 0
 
 
