@@ -7,8 +7,9 @@ equal ones of a chunk of text as one pointer with its number. The pointers of a
 which extends it word by word, depth first, and follows only extensions that are frequent themselves. A
 prefix with many occurrences is lengthened by its next word first, so its pointers are dealt to many tasks.
 
-Two bitmaps of fixed size say in every task which words and pairs may be frequent; a bit that is set by
-chance costs a few rows and changes no count, as counts are of the words themselves.
+Bitmaps of fixed size say in every task which words and pairs may be frequent. Pairs are first counted by a
+hash, and by their words only where that count is high enough. A bit that is set by chance costs a few
+rows and changes no count, as counts are of the words themselves.
 """
 
 from __future__ import annotations
@@ -30,9 +31,11 @@ FIRST = 2000
 #: Percentage of a phrase's occurrences inside one longer phrase from which it goes.
 INSIDE = 80
 #: Bytes of text whose equal words, pairs and pointers are counted together before they are sent on.
-CHUNK = 8 << 20
+CHUNK = 4 << 20
 #: Bits of a bitmap of frequent words or pairs, whatever their number.
 BITS = 27
+#: Bits of the hashes by which pairs are counted first.
+FINE = 40
 #: A key is hot from this part of all words on, so at most as many words, pairs or triples are.
 PARTS = 1 << 14
 #: Parts in which the best phrases of a language are looked for first.
@@ -122,8 +125,11 @@ def _bitmap(keys: DataFrame) -> np.ndarray:
             at = [_place(k, p.encode()) for k, p in zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64())], names=["at"])
 
-    bits = keys.select("lang", "phrase").mapInArrow(places, "at long")
-    words = bits.groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits")).toArrow()
+    return _bits(keys.select("lang", "phrase").mapInArrow(places, "at long"))
+
+
+def _bits(places: DataFrame) -> np.ndarray:
+    words = places.groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits")).toArrow()
     out = np.zeros(1 << (BITS - 6), dtype=np.int64)
     out[words.column("word").to_numpy()] = words.column("bits").to_numpy()
     return out.view(np.uint64)
@@ -168,19 +174,37 @@ def words_of(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
 
 
-def _pairs(texts: DataFrame, words) -> DataFrame:  # noqa: ANN001  a broadcast bitmap
-    """(lang, phrase, f) of the pairs of neighbours that may both be frequent."""
+def _neighbours(c: _Chunk, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers and hashes of the different pairs of neighbours that both may be frequent, and how often each is there."""
+    own = c.hashes()
+    often = _set(words, own)[c.ids]
+    at = np.flatnonzero(c.goes_on & often & np.append(often[1:], False))
+    pair, n = _counted(c.ids[at] * len(c.names) + c.ids[np.minimum(at + 1, len(c.ids) - 1)])
+    return pair, _join(own[pair // max(1, len(c.names))], own[pair % max(1, len(c.names))]), n
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _pairs(texts: DataFrame, words, least: int) -> DataFrame:  # noqa: ANN001  a broadcast bitmap
+    """(lang, phrase, f) of the frequent pairs of neighbours."""
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for c in _chunked(batches, CHUNK):
-            often = _set(words.value, c.hashes())[c.ids]
-            at = np.flatnonzero(c.goes_on & often & np.append(often[1:], False))
-            pair, n = _counted(c.ids[at] * len(c.names) + c.ids[np.minimum(at + 1, len(c.ids) - 1)])
+            _, hashes, n = _neighbours(c, words.value)
+            yield pa.RecordBatch.from_arrays([pa.array((hashes >> np.uint64(64 - FINE)).astype(np.int64)), pa.array(n, pa.int64())], names=["at", "n"])
+
+    fine = texts.mapInArrow(hashed, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    likely = texts.sparkSession.sparkContext.broadcast(_bits(fine.select(F.shiftright("at", FINE - BITS).alias("at"))))
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for c in _chunked(batches, CHUNK):
+            pair, hashes, n = _neighbours(c, words.value)
+            there = _set(likely.value, hashes)
+            pair, n = pair[there], n[there]
             for lo in range(0, len(pair), 1 << 16):
                 own = pair[lo : lo + (1 << 16)]
                 yield _batch(c.lang, {"phrase": _spaced(c.strings(own // len(c.names)), c.strings(own % len(c.names)))}, n[lo : lo + (1 << 16)])
 
-    return texts.mapInArrow(run, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
+    counted = texts.mapInArrow(named, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
+    return counted.where(F.col("f") >= least)
 
 
 def _spaced(*parts: pa.Array) -> pa.Array:
@@ -311,7 +335,7 @@ def frequent(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", le
     words = cut(words_of(texts).where(F.col("phrase").isNull() | (F.col("f") >= least)))
     totals, singles = words.where("phrase is null").select("lang", F.col("f").alias("n")), words.where("phrase is not null")
     total = totals.agg(F.sum("n")).first()[0] or 0
-    pairs = cut(_pairs(texts, spark.sparkContext.broadcast(_bitmap(singles))).where(F.col("f") >= least))
+    pairs = cut(_pairs(texts, spark.sparkContext.broadcast(_bitmap(singles)), least))
     # At most PARTS pairs are as hot as that.
     hot = np.array([_hash(r.lang, r.phrase.encode()) for r in pairs.where(F.col("f") >= _hot(total)).select("lang", "phrase").collect()], dtype=np.uint64)
     found = singles.union(pairs)
