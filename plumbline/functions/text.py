@@ -193,13 +193,53 @@ def join_parts(*parts: Column, separator: str = "; ") -> Column:
 
 
 def has_any(text: Column, terms: Sequence[str]) -> Column:
-    """Whether any term occurs literally; null counts as empty."""
-    out = F.lit(False)
-    for t in terms:
-        out = out | F.contains(text, F.lit(t))
+    """Whether any term occurs literally; null counts as empty. Several terms are one scan of the text."""
+    if len(terms) > 2 and all(terms):
+        out = F.rlike(text, F.lit(any_of(terms)))
+    else:
+        out = F.lit(False)
+        for t in terms:
+            out = out | F.contains(text, F.lit(t))
     return F.coalesce(out, F.lit(False))
 
 
+def terms_in(text: Column, terms: Sequence[str]) -> Column:
+    """The set of the terms that occur literally, as an array, from one scan of the text; null has none.
+
+    The scan gives the longest term that begins at each place; shorter ones that begin there are its beginnings.
+    """
+    longest = sorted(set(filter(None, terms)), key=lambda t: (-len(t), t))
+    found = F.array_distinct(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"(?=({any_of(longest, True)}))"), F.lit(1)))
+    begun = {t: [s for s in longest if t.startswith(s)] for t in longest}
+    if any(len(s) > 1 for s in begun.values()):
+        table = F.create_map(*[c for t, s in begun.items() for c in (F.lit(t), F.array(*map(F.lit, s)))])
+        found = F.array_distinct(F.flatten(F.transform(found, lambda t: F.element_at(table, t))))
+    return found
+
+
+def any_of(terms: Sequence[str], longest: bool = False) -> str:
+    """A pattern for any of the terms, with common beginnings written once; longest: it takes the longest that fits."""
+    tree: dict = {}
+    for t in terms:
+        node = tree
+        for c in t:
+            node = node.setdefault(c, {})
+        node[""] = {}
+
+    def pattern(node: dict) -> str:
+        ends = "" in node
+        if ends and not longest:
+            return ""
+        parts = [_literal(c) + pattern(below) for c, below in node.items() if c]
+        if not parts:
+            return ""
+        single = all(len(p.removeprefix("\\")) == 1 for p in parts)
+        body = "[" + "".join(parts) + "]" if single and len(parts) > 1 else parts[0] if len(parts) == 1 and not ends else "(?:" + "|".join(parts) + ")"
+        return body + "?" if ends else body
+
+    return pattern(tree)
+
+
 def haystack(*columns: Column) -> Column:
     """Lower-cased text of a row's fields: empty ones leave no gap."""
     return F.lower(F.concat_ws(" ", *[F.nullif(c.cast("string"), F.lit("")) for c in columns]))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import heapq
 import re
 import unicodedata
 from collections.abc import Sequence
@@ -55,18 +57,45 @@ def contains_each(x: Column, lists: Sequence[Sequence[str]]) -> Column:
 
 
 def occurs_asserted(text: str, phrases: Sequence[str], tokens: Sequence[str], markers: Sequence[str], near: int = 50) -> bool:
-    """A phrase that is not negated, or a token with a marker shortly before it and no negator before it in the sentence."""
+    """A phrase that is not negated, or a token with a marker shortly before it and no negator before it in the sentence.
+
+    One scan from left to right: marks that end a sentence, negators, markers and tokens are met in order,
+    and what is known of the sentence so far is the end of its first negator and the start of its last marker.
+    """
     if occurs_unnegated(text, phrases):
         return True
-    for sentence in _END.split(text):
-        for token in filter(None, tokens):
-            for m in re.finditer(re.escape(token), sentence):
-                head = sentence[: m.start()]
-                if not any(n in head for n in NEGATORS) and any(k in head[-(near - 1) :] for k in markers):
-                    return True
+    listed = tuple(filter(None, tokens))
+    if not listed or not markers:
+        return False
+    denied, marked = None, -1
+    starts: list[tuple[int, int]] = []  # markers that end behind where the scan is: (end, start)
+    for m in _scan(listed, tuple(markers), NEGATORS).finditer(text):
+        at = m.start()
+        while starts and starts[0][0] <= at:
+            marked = max(marked, heapq.heappop(starts)[1])
+        if m["end"]:
+            denied, marked, starts = None, -1, []
+            continue
+        for word in NEGATORS:
+            if (denied is None or at + len(word) < denied) and text.startswith(word, at):
+                denied = at + len(word)
+        if (denied is None or denied > at) and marked >= max(0, at - near + 1) and any(text.startswith(t, at) for t in listed):
+            return True
+        for word in markers:
+            if text.startswith(word, at):
+                heapq.heappush(starts, (at + len(word), at))
+                if not word:
+                    marked = at
     return False
 
 
+@functools.cache
+def _scan(tokens: Sequence[str], markers: Sequence[str], negators: Sequence[str]) -> re.Pattern:
+    """Places where a sentence ends, or where one of the words begins."""
+    words = "|".join(map(re.escape, sorted({*tokens, *markers, *negators}, key=len, reverse=True)))
+    return re.compile(f"(?P<end>{_END.pattern})|(?={words})")
+
+
 def contains_asserted(x: Column, phrases: Sequence[str], tokens: Sequence[str], markers: Sequence[str]) -> Column:
     listed = (list(phrases), list(tokens), list(markers))
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.operators import ranking
+
 
 def trimmed_mean(x: Column) -> Column:
     """Mean without one smallest and one largest of more than two values."""
@@ -14,9 +16,9 @@ def trimmed_mean(x: Column) -> Column:
     return F.when(n > 2, (total - F.min(x) - F.max(x)) / (n - 2)).when(n > 0, total / n)
 
 
-def upper_median(column: str) -> Column:
-    """The value in the middle; of two, the larger. Counts of distinct values are merged, rows are not collected."""
-    return F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{column}` DESC)")
+def upper_medians(df: DataFrame, by: Sequence[str], value: str, name: str) -> DataFrame:
+    """(by, name): the value in the middle of each group; of two, the larger. A large group is counted in buckets, as in ranking.medians()."""
+    return ranking.medians(df, by, value, name, upper=True)
 
 
 def effective_n(weight: Column) -> Column:

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from plumbline.operators import containment
 from plumbline.operators.joins import unique_rows
 
 LEVELS = {"exact": 1, "base": 2, "manual_ambiguous": 3, "contains_unique": 4}
@@ -57,10 +58,12 @@ def match(items: DataFrame, records: DataFrame, years: list[int], rejected: Data
         return found.withColumn("k", F.col(column)).join(index, ["year", "group", "k"]).select("item_id", "group_code", F.col("group_key").alias("item_group"), F.col("name").alias("item_name"), "year", F.lit(level).alias("level"), "probe", "rec")
 
     hits = unique("exact", "key").unionByName(unique("base", "base_key"))
+    asking = probes.where("lone").withColumnRenamed("base_key", "item_base").withColumnRenamed("duration", "item_duration")
+    listed = records.where("base_key <> ''").select("year", "group", "base_key", row.alias("rec"))
+    near = containment.contained(asking.select("year", "group", F.col("item_base").alias("left")), listed.select("year", "group", F.col("base_key").alias("right")), ["year", "group"])
     contained = (
-        probes.where("lone").withColumnRenamed("base_key", "item_base").withColumnRenamed("duration", "item_duration")
-        .join(records.where("base_key <> ''").select("year", "group", row.alias("rec")), ["year", "group"])
-        .where(F.contains(F.col("rec.base_key"), F.col("item_base")) | F.contains(F.col("item_base"), F.col("rec.base_key")))
+        asking.join(near, (asking["year"] == near["year"]) & (asking["group"] == near["group"]) & (F.col("item_base") == F.col("left"))).drop(near["year"], near["group"])
+        .withColumnRenamed("right", "base_key").join(listed, ["year", "group", "base_key"]).drop("left", "base_key")
     )
     ledger = rejected if rejected is not None else spark.createDataFrame([], "level string, group_code string, name string, record_name string")
     ledger = ledger.select("level", "group_code", F.col("name").alias("item_name"), F.col("record_name").alias("_record"), F.lit(True).alias("_bad")).distinct()

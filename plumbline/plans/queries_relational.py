@@ -40,7 +40,8 @@ def facet_summary(t: Tables) -> DataFrame:
 
 @query("""SELECT o_orderstatus, list_sort(list(o_totalprice))[count(*) // 2 + 1] AS middle, median(o_totalprice) AS exact, count(*)::BIGINT AS n FROM orders GROUP BY ALL""")
 def upper_median_kpi(t: Tables) -> DataFrame:
-    return t.orders.groupBy("o_orderstatus").agg(aggregates.upper_median("o_totalprice").alias("middle"), F.median("o_totalprice").alias("exact"), F.count(F.lit(1)).alias("n"))
+    counts = t.orders.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
+    return aggregates.upper_medians(t.orders, ["o_orderstatus"], "o_totalprice", "middle").join(ranking.medians(t.orders, ["o_orderstatus"], "o_totalprice", "exact"), "o_orderstatus").join(counts, "o_orderstatus")
 
 
 @query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 50 OFFSET 100")

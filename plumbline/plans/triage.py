@@ -68,14 +68,18 @@ def tuition(raw: Column, value: Column, international: Column) -> Column:
     return case
 
 
-def foreign_cost(words: Column, tags: Column) -> Column:
-    """none, possible_optional, required_or_unpriced or possible_unclear, of what a programme abroad costs besides."""
+def foreign_cost(found: Column, tags: Column) -> Column:
+    """none, possible_optional, required_or_unpriced or possible_unclear, of what a programme abroad costs besides; found: the terms in its words."""
     return (
-        F.when(~text.has_any(words, EXTERNAL_COST), "none").when(text.has_any(words, OPTIONAL_COST), "possible_optional")
-        .when(text.has_any(words, MANDATORY_COST) | F.array_contains(tags, "mandatory_abroad"), "required_or_unpriced").otherwise("possible_unclear")
+        F.when(~_has(found, EXTERNAL_COST), "none").when(_has(found, OPTIONAL_COST), "possible_optional")
+        .when(_has(found, MANDATORY_COST) | F.array_contains(tags, "mandatory_abroad"), "required_or_unpriced").otherwise("possible_unclear")
     )
 
 
+def _has(found: Column, terms: Sequence[str]) -> Column:
+    return F.arrays_overlap(found, F.array(*map(F.lit, terms)))
+
+
 def features(df: DataFrame) -> DataFrame:
     """df with the helper columns of the domain's rules, names beginning with t_."""
     df = df.withColumns({c: F.trim(F.coalesce(F.col(c).cast("string"), F.lit(""))) if c in df.columns else F.lit("") for c in COLUMNS})
@@ -83,9 +87,14 @@ def features(df: DataFrame) -> DataFrame:
     any_of = lambda array, *names: F.arrays_overlap(array, F.array(*[F.lit(n) for n in names]))
     refs = F.size(text.split_sources(F.col("source_ids")))
     out = df.withColumns({"t_tags": text.tag_set(F.col("risk_tags")), "t_flags": text.tag_set(F.col("risk_flags")), "t_refs": F.coalesce(text.number(F.col("source_ref_count"), True).cast("int"), refs)})
+    # Each text that several lists ask of is scanned once for the terms of all of them.
+    out = out.withColumns({
+        "t_school": text.terms_in(F.col("college_name"), (*STRONG_SCHOOLS, *WEAK_SCHOOLS)), "t_remark": text.terms_in(F.col("remark"), (*TARGETS, *UNRELATED)),
+        "t_cost": text.terms_in(words("remark", "risk_tags", "next_deep_questions"), (*EXTERNAL_COST, *OPTIONAL_COST, *MANDATORY_COST)),
+    })
     said = lambda c, otherwise: F.when(F.col(c) != "", text.flag(F.col(c))).otherwise(otherwise)
     low_info = said("low_information", (F.col("crawl_status") == "not_found") | (refs == 0))
-    out = out.withColumns({"t_low": low_info, "t_source": said("has_source", refs > 0), "t_strong": text.has_any(F.col("college_name"), STRONG_SCHOOLS)})
+    out = out.withColumns({"t_low": low_info, "t_source": said("has_source", refs > 0), "t_strong": _has(F.col("t_school"), STRONG_SCHOOLS)})
     absent = sum((F.when((F.col(c) != "") & ~text.flag(F.col(c)), 1).otherwise(0) for c in ("has_training_plan_url", "has_recommendation_source", "has_dorm_source")), F.lit(0))
     missing = (
         F.when(F.col("crawl_status") == "not_found", 2).otherwise(0) + F.col("t_low").cast("int") + F.when(F.col("t_refs") == 0, 1).otherwise(0)
@@ -94,15 +103,15 @@ def features(df: DataFrame) -> DataFrame:
     core, p, band = F.col("major_category").isin(*CORE), F.col("prescreen_priority"), F.col("rank_band")
     score = F.coalesce(text.number(F.col("prescreen_score"), True), F.lit(0.0))
     ceiling = (
-        F.when(F.col("t_strong") & core & p.isin("A", "B"), "high").when((band == "远保底") | (p == "C") | (score < 88), "low").when(text.has_any(F.col("college_name"), WEAK_SCHOOLS) & band.isin(*LOW_BANDS), "low")
+        F.when(F.col("t_strong") & core & p.isin("A", "B"), "high").when((band == "远保底") | (p == "C") | (score < 88), "low").when(_has(F.col("t_school"), WEAK_SCHOOLS) & band.isin(*LOW_BANDS), "low")
         .when(F.array_contains("t_flags", "very_high_tuition") & p.isin("B", "C"), "low").when((band == "低优先保底") & ((p == "B") | F.array_contains("t_tags", "remote_or_weak_resource")), "low")
         .when(~F.col("t_strong") & ~core & (p != "A"), "low").when(F.col("t_strong") | band.isin("超冲", "冲", "贴合") | (score >= 115), "high").otherwise("medium")
     )
     price = tuition(F.col("tuition_raw"), F.col("tuition"), text.has_any(words("college_name", "major_name", "remark", "risk_flags", "risk_tags"), JOINT))
-    cost = foreign_cost(words("remark", "risk_tags", "next_deep_questions"), F.col("t_tags"))
+    cost = foreign_cost(F.col("t_cost"), F.col("t_tags"))
     evidence = F.lower(words("core_courses_summary", "ai_path_fit_notes", "math_foundation_notes", "cs_ai_foundation_notes", "research_resources_notes", "next_deep_questions"))
     drift = reasons([(text.has_any(words("college_name", "major_name", "remark"), DRIFT_NAMES), "domain_name_or_remark_drift"), (text.has_any(evidence, DRIFT_EVIDENCE), "light_crawl_alignment_drift")])
-    own_choice = (text.has_any(F.col("remark"), TARGETS) & ~text.has_any(F.col("remark"), UNRELATED)) | text.has_any(words("remark", "core_courses_summary", "ai_path_fit_notes", "next_deep_questions"), GUARANTEES)
+    own_choice = (_has(F.col("t_remark"), TARGETS) & ~_has(F.col("t_remark"), UNRELATED)) | text.has_any(words("remark", "core_courses_summary", "ai_path_fit_notes", "next_deep_questions"), GUARANTEES)
     structural = F.col("major_category").isin(*LOOSE) | any_of("t_flags", "class_diversion", "target_only_in_remark")
     barred = F.array_contains("t_flags", "contains_excluded_major_in_remark")
     diversion = reasons([
@@ -169,4 +178,4 @@ def triage_items(df: DataFrame, limit: int = 50_000) -> DataFrame:
     """The domain's triage of rows with COLUMNS: bucket, reasons and notes besides the helper columns, flags joined by ;."""
     out = triage(features(df), *domain_rules(limit))
     joined = {c: F.array_join(c, ";") for c in ("alignment_flags", "diversion_flags", "resource_flags")}
-    return out.withColumns(joined | {"tuition_rmb_estimate": F.bround("t_price.rmb", 2), "tuition_parse_note": F.col("t_price.note"), "source_ref_count_triage": F.col("t_refs")}).drop("t_tags", "t_flags", "t_refs", "t_low", "t_source", "t_strong", "t_price")
+    return out.withColumns(joined | {"tuition_rmb_estimate": F.bround("t_price.rmb", 2), "tuition_parse_note": F.col("t_price.note"), "source_ref_count_triage": F.col("t_refs")}).drop("t_tags", "t_flags", "t_refs", "t_low", "t_source", "t_strong", "t_price", "t_school", "t_remark", "t_cost")
