@@ -11,6 +11,7 @@ model gives for the undivided run.
 from __future__ import annotations
 
 import array
+import functools
 import json
 from collections.abc import Iterator
 
@@ -27,31 +28,44 @@ from plumbline.llm.textcore import WORD, binary, chunks
 #: Characters of an unsplit part that is encoded at once.
 LEAF = 4096
 #: Tokens of a row of ids, and bytes of ids that are decoded at once.
-ROW_IDS, DECODED = 1 << 18, 16 << 20
+ROW_IDS, DECODED = 1 << 18, 4 << 20
+#: Words, and parts of words, whose ids a worker remembers.
+REMEMBERED = 200_000
 #: Rows of one long text that meet its ids in as many tasks.
 SALTS = 16
 
 
-class Codec:
-    """A vocabulary's tokens, and its model for words and for parts of words that are not their end."""
+class Vocabulary:
+    """A vocabulary file's tokens by id, its special tokens, and whether its words can be taken one by one."""
 
     def __init__(self, path: str) -> None:
-        from tokenizers.models import BPE
-
-        self.words = packing.tokens_of(path)
+        self.path = path
         with open(path, encoding="utf-8") as file:
             rules = json.load(file)
         model, added = rules["model"], rules["added_tokens"]
         self.end = model.get("end_of_word_suffix") or ""
         names = {i: t for t, i in model["vocab"].items()} | {a["id"]: a["content"] for a in added}
         self.names = [names.get(i, "") for i in range(max(names) + 1)]
+        self.special = {a["content"]: a["id"] for a in added}
         plain = not any(a["normalized"] or a["single_word"] or a["lstrip"] or a["rstrip"] for a in added) and not model.get("ignore_merges") and not model.get("byte_fallback")
-        self.by_word = self.words.by_word and plain and rules.get("decoder") is None
-        if self.by_word:
-            merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
-            self.inside = BPE(vocab=model["vocab"], merges=merges)
-        self.special = regex.compile("|".join(regex.escape(a["content"]) for a in sorted(added, key=lambda a: -len(a["content"]))) or "(?!)")
-        self.special_ids = {a["content"]: a["id"] for a in added}
+        self.by_word = packing.by_word(rules) and plain and rules.get("decoder") is None
+
+
+class Codec(Vocabulary):
+    """A vocabulary with its model, for words and for parts of words that are not their end."""
+
+    def __init__(self, path: str) -> None:
+        super().__init__(path)
+        self.words = packing.WordIds(path, REMEMBERED)
+        self.marks = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) or "(?!)")
+
+    @functools.cached_property
+    def inside(self):  # noqa: ANN201
+        from tokenizers.models import BPE
+
+        with open(self.path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        return BPE(vocab=model["vocab"], merges=[tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]])
 
     def part(self, text: str, last: bool) -> np.ndarray:
         """Ids of a part of a run; last: it is the run's end."""
@@ -63,13 +77,13 @@ class Codec:
     def runs(self, word: str) -> Iterator[str | int]:
         """The runs that the vocabulary splits a word into, in its own characters, and the ids of special tokens."""
         at = 0
-        for m in [*self.special.finditer(word), None]:
+        for m in [*self.marks.finditer(word), None]:
             part = word[at : m.start() if m else len(word)]
             if part:
                 for run, _ in self.words.tokenizer.pre_tokenizer.pre_tokenize_str(self.words.tokenizer.normalizer.normalize_str(part)):
                     yield run
             if m:
-                yield self.special_ids[m[0]]
+                yield self.special[m[0]]
                 at = m.end()
 
     def joined(self, left: np.ndarray, right: np.ndarray, last: bool) -> np.ndarray:
@@ -101,44 +115,51 @@ def halves(text: str, leaf: int) -> list[str]:
     return halves(text[: len(text) // 2], leaf) + halves(text[len(text) // 2 :], leaf)
 
 
-_codecs: dict[str, Codec] = {}
+@functools.cache
+def codec(path: str) -> Codec:
+    return Codec(path)
 
 
-def codec(path: str) -> Codec:
-    if path not in _codecs:
-        _codecs[path] = Codec(path)
-    return _codecs[path]
+@functools.cache
+def vocabulary(path: str) -> Vocabulary:
+    return Vocabulary(path)
 
 
 def _carried(df: DataFrame, id_col: str) -> str:
     return f"`{id_col}` {dict(df.dtypes)[id_col]}"
 
 
-def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", leaf: int = LEAF) -> DataFrame:
+def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", leaf: int = LEAF, decoded: str | None = None) -> DataFrame:
     """(id_col, ids) for every row: the ids of the whole text, little-endian unsigned 32-bit, without special tokens added.
 
+    decoded names a further column, which has what decode() makes of the ids, in the same tasks.
+
     Null and empty texts have no ids. Texts with a run of over leaf characters without white space are
     taken apart, each different text once, and their parts encoded in tasks of their own; if the
     vocabulary has rules of which words cannot be taken one by one, whole texts go through the tokenizer.
     Ids of rows may be null or repeated; other columns are not read; no rows give no rows.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kind = _carried(docs, id_col)
+    names = [id_col, "ids", *([decoded] if decoded else [])]
+    schema = f"{_carried(docs, id_col)}, ids binary" + (f", `{decoded}` string" if decoded else "")
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = codec(tokenizer).words
+        own = codec(tokenizer)
+        tokens = pa.array(own.names)
         for part, texts in chunks(batches, "text"):
-            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([words.text(t) for t in texts], pa.binary())], names=[id_col, "ids"])
+            ids = [own.words.text(t) for t in texts]
+            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(ids, pa.binary()), *([_texts(own, tokens, ids)] if decoded else [])], names=names)
 
-    if not codec(tokenizer).by_word:
-        return rows.mapInArrow(short, f"{kind}, ids binary")
+    if not vocabulary(tokenizer).by_word:
+        return rows.mapInArrow(short, schema)
     long = F.coalesce(F.col("text").rlike(f"{WORD[:-1]}{{{leaf + 1},}}"), F.lit(False))
     apart = rows.where(long).withColumn("key", F.sha2("text", 256))
     whole = _long_ids(apart.select("key", "text").dropDuplicates(["key", "text"]), tokenizer, leaf)
     spread = whole.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     salted = apart.select("id", "key", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int").alias("salt")).alias("r")
     met = salted.join(spread.alias("w"), (F.col("r.key") == F.col("w.key")) & (F.col("salt") == F.col("_salt")))
-    return rows.where(~long).mapInArrow(short, f"{kind}, ids binary").union(met.select(F.col("id").alias(id_col), "ids"))
+    found = met.select(F.col("id").alias(id_col), "ids")
+    return rows.where(~long).mapInArrow(short, schema).union(decode(found, tokenizer, out_col=decoded) if decoded else found)
 
 
 def _long_ids(texts: DataFrame, tokenizer: str, leaf: int) -> DataFrame:
@@ -206,16 +227,20 @@ def decode(coded: DataFrame, tokenizer: str, ids_col: str = "ids", out_col: str
     schema = coded.select(*[F.col(f"`{c}`") for c in kept]).withColumn(out_col, F.lit("")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(tokenizer)
-        names = pa.array(own.names)
+        own = vocabulary(tokenizer)
+        tokens = pa.array(own.names)
         for part, ids in chunks(batches, ids_col, DECODED):
-            if own.by_word:
-                offsets = np.zeros(len(ids) + 1, dtype=np.int32)
-                np.cumsum([len(b) // 4 for b in ids], out=offsets[1:])
-                tokens = names.take(pa.array(np.frombuffer(b"".join(ids), dtype="<u4")))
-                texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), tokens), " ")
-            else:
-                texts = pa.array([own.words.tokenizer.decode(array.array("I", b).tolist(), skip_special_tokens=False) for b in ids], pa.string())
-            yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], texts], names=[*kept, out_col])
+            yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], _texts(own, tokens, ids)], names=[*kept, out_col])
 
     return coded.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(run, schema)
+
+
+def _texts(own: Vocabulary, tokens: pa.Array, ids: list[bytes]) -> pa.Array:
+    """What the tokenizers library decodes each text's ids to: without a decoder, the tokens with a space between them."""
+    if not own.by_word:
+        tokenizer = codec(own.path).words.tokenizer
+        return pa.array([tokenizer.decode(array.array("I", b).tolist(), skip_special_tokens=False) for b in ids], pa.string())
+    offsets = np.zeros(len(ids) + 1, dtype=np.int32)
+    np.cumsum([len(b) // 4 for b in ids], out=offsets[1:])
+    own_tokens = tokens.take(pa.array(np.frombuffer(b"".join(ids), dtype="<u4")))
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), own_tokens), " ")

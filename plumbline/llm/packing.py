@@ -99,6 +99,11 @@ RULES = {
 }
 
 
+def by_word(rules: dict) -> bool:
+    """Whether a tokenizer file has RULES, so that its words can be taken one by one."""
+    return {k: rules.get(k) for k in RULES} == RULES and rules["model"]["type"] == "BPE" and not rules["model"].get("dropout")
+
+
 class WordIds:
     """Token ids of whole texts, from ids of their words, which a worker remembers.
 
@@ -108,7 +113,8 @@ class WordIds:
     the file has other rules.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, remembered: int = REMEMBERED) -> None:
+        self.remembered = remembered
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -116,7 +122,7 @@ class WordIds:
         self.model = self.tokenizer.model
         with open(path, encoding="utf-8") as file:
             rules = json.load(file)
-        self.by_word = {k: rules.get(k) for k in RULES} == RULES and rules["model"]["type"] == "BPE" and not rules["model"].get("dropout")
+        self.by_word = by_word(rules)
         self.known: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
@@ -126,7 +132,7 @@ class WordIds:
             shown = part if part.isascii() else "".join([_CHARACTERS[b] for b in part.encode()])
             found = array.array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
             if len(part) <= 64:
-                if len(self.parts) >= REMEMBERED:
+                if len(self.parts) >= self.remembered:
                     self.parts.clear()
                 self.parts[part] = found
         return found
@@ -138,7 +144,7 @@ class WordIds:
         else:
             ids = array.array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         if len(word) <= 64:
-            if len(self.known) >= REMEMBERED:
+            if len(self.known) >= self.remembered:
                 self.known.clear()
             self.known[word] = ids
         return ids

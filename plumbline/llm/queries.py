@@ -72,8 +72,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = tokenizer_path()
-    got = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    got = bpe.encode(table(spark, sf_dir, "documents"), tokenizer_path(), decoded="decoded")
     return got.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 

@@ -60,6 +60,8 @@ def test_long_runs_special_tokens_and_repeated_rows(spark, tokenizer):
     got = bpe.decode(bpe.encode(df, PATH, leaf=100), PATH)
     assert got.columns == ["doc_id", "ids", "decoded"]
     assert Counter((r.doc_id, bytes(r.ids), r.decoded) for r in got.collect()) == coded(tokenizer, rows)
+    at_once = bpe.encode(df, PATH, leaf=100, decoded="decoded")
+    assert at_once.columns == got.columns and Counter(map(tuple, at_once.collect())) == Counter(map(tuple, got.collect()))
     none = bpe.decode(bpe.encode(df.where("false"), PATH), PATH)
     assert none.count() == 0 and none.columns == got.columns
 
