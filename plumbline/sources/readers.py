@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from plumbline.functions import text
+from plumbline.operators import ranking
 
 # Skipped lines of extracted pages.
 SKIPPED = r"^\s*$|^\s*\d+\s*$|^\s*第\s*\d+\s*页"
@@ -98,40 +98,39 @@ def parse_records(df: DataFrame, places: Sequence[str], by: str, order: Sequence
 
     A line that names an institution sets it for those below; a line without numbers is the start of a name
     that goes on in the next; a short one after a record (three characters at most) ends that record's name.
-    Each document is read in order in one task; state does not cross documents.
+    State does not cross documents. order must be total in each.
+
+    The state is a running value: how many institutions and records came so far, the last institution, and
+    the last segment between two of these that holds the start of a name. Each is a scan over ranges of
+    lines, so a document of any length is read by many tasks; only the lines of one name meet in one.
     """
     heads = df.withColumn("_h", text.header(F.col("line"), places)).withColumn("_t", text.tail_numbers(F.coalesce(F.col("_h.rest"), F.col("line"))))
-    plain = heads.select(by, *order, F.col("_h.code").alias("code"), F.col("_h.name").alias("college"), F.col("_h.location").alias("location"), F.col("_t.head").alias("head"), F.col("_t.tail").alias("numbers"))
-    kinds = dict(df.dtypes)
-    schema = f"`{by}` {kinds[by]}, " + ", ".join(f"`{o}` {kinds[o]}" for o in order) + ", code string, college string, location string, name string, numbers array<int>"
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(list(_records(rows.sort_values(list(order)).to_dict("records"), by, order)), columns=[by, *order, "code", "college", "location", "name", "numbers"])
-
-    return plain.groupBy(by).applyInPandas(run, schema)
-
-
-def _records(rows: Iterable[dict], by: str, order: Sequence[str]) -> Iterable[dict]:
-    code = college = location = None
-    pending, last = "", None
-    for r in rows:
-        if r["college"]:
-            college, location, pending = r["college"], r["location"], ""
-            code = r["code"] or code
-            if not r["head"] and not len(r["numbers"]):
-                continue
-        name = r["head"] or ""
-        if len(r["numbers"]):
-            if last is not None:
-                yield last
-            last = {by: r[by], **{o: r[o] for o in order}, "code": code, "college": college, "location": location, "name": (pending + name).strip(), "numbers": [int(n) for n in r["numbers"]]}
-            pending = ""
-        elif name and len(name) <= 3 and last is not None and not pending:
-            last["name"] += name
-        elif name:
-            pending += name
-    if last is not None:
-        yield last
+    rows = heads.select(
+        F.col(by).alias("by"), F.struct(*order).alias("at"), F.col("_h.code").alias("code"), F.col("_h.name").alias("college"), F.col("_h.location").alias("location"),
+        F.coalesce("_t.head", F.lit("")).alias("name"), F.coalesce(F.col("_t.tail"), F.array().cast("array<int>")).alias("numbers"),
+    ).withColumns({"named": F.coalesce(F.col("college") != "", F.lit(False)), "record": F.size("numbers") > 0})
+    once = lambda c: c.cast("long")
+    place = [F.col("at")]
+    seen = ranking.scan(rows, ["by"], place, {
+        "n_named": (once(F.col("named")), "sum"), "n_records": (once(F.col("record")), "sum"),
+        "last": (F.when(F.col("named"), F.struct("at", "college", "location")), "max"), "last_code": (F.when(F.col("named") & (F.col("code") != ""), F.struct("at", "code")), "max"),
+    })
+    # Lines between two institutions or records are a segment; a record is the last of its own.
+    seen = seen.withColumn("before", F.col("n_records") - once(F.col("record"))).withColumn("segment", F.col("n_named") + F.col("before"))
+    part = ~F.col("record") & (F.col("name") != "")
+    starts = part & ((F.length("name") > 3) | (F.col("before") == 0))
+    seen = ranking.scan(seen, ["by"], place, {"started": (F.when(starts, F.col("segment")), "max")})
+    begun = F.coalesce(F.col("started") == F.col("segment"), F.lit(False))
+    records = seen.where("record").select("by", "at", "n_records", "segment", "name", "numbers", F.col("last_code.code").alias("code"), F.col("last.college").alias("college"), F.col("last.location").alias("location"))
+    spelled = lambda: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "name"))), lambda x: x["name"]), "")
+    own = records.select(F.col("by").alias("_b"), F.col("segment").alias("_s"))
+    parts = seen.where(part & begun).join(own, F.col("by").eqNullSafe(F.col("_b")) & (F.col("segment") == F.col("_s")), "left_semi")
+    firsts = parts.groupBy(F.col("by").alias("_by"), F.col("segment").alias("_segment")).agg(spelled().alias("first"))
+    ends = seen.where(part & ~begun & (F.col("before") > 0)).groupBy(F.col("by").alias("_of"), F.col("before").alias("_record")).agg(spelled().alias("end"))
+    joined = records.join(firsts, F.col("by").eqNullSafe(F.col("_by")) & (F.col("segment") == F.col("_segment")), "left")
+    joined = joined.join(ends, F.col("by").eqNullSafe(F.col("_of")) & (F.col("n_records") == F.col("_record")), "left")
+    name = F.regexp_replace(F.concat(F.coalesce("first", F.lit("")), "name"), r"(?U)^\s+|\s+$", "")
+    return joined.select(F.col("by").alias(by), *[F.col(f"at.{o}").alias(o) for o in order], "code", "college", "location", F.concat(name, F.coalesce("end", F.lit(""))).alias("name"), "numbers")
 
 
 def tail_record(numbers: Column, threshold: int = 492) -> Column:
