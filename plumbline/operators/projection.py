@@ -84,6 +84,25 @@ def history_line(year: int, rank: Column, score: Column, admitted: Column, level
     return F.when(rank.isNotNull() | score.isNotNull(), F.concat(F.lit(f"{year}: "), parts))
 
 
+def labelled_line(parts: Sequence[tuple[str, Column, str]], separator: str = " · ", otherwise: str = "") -> Column:
+    """One line of the parts that a row has, each between its label and its unit; otherwise where it has none."""
+    shown = [F.when(F.coalesce(v.cast("string"), F.lit("")) != "", F.concat(F.lit(before), v.cast("string"), F.lit(after))) for before, v, after in parts]
+    return F.when(F.coalesce(*shown).isNull(), F.lit(otherwise)).otherwise(F.concat_ws(separator, *shown))
+
+
+def admission_summary(plan: Column, price: Column, subject: Column, rank: Column, score: Column, year: int) -> Column:
+    """A row's admission at a glance: places, price, subjects, and the last year's rank and score."""
+    return labelled_line([("计划 ", plan, " 人"), ("学费 ", price, " 元/年"), ("", subject, ""), (f"{year}位次 ", rank, ""), (f"{year}最低分 ", score, "")], otherwise="主表未匹配")
+
+
+def evidence_lines(panels: Column, kinds: dict[str, str]) -> Column:
+    """Panels (kind, status, confidence, training, summary, gaps) as one line: the kind's label, the three marks, and what was found or is missing."""
+    blank = lambda c, to: F.coalesce(F.nullif(c, F.lit("")), to)
+    marks = lambda p: F.concat_ws("|", *[blank(p[f], F.lit("-")) for f in ("status", "confidence", "training")])
+    line = lambda p: F.concat(text.label(p["kind"], kinds), F.lit("["), marks(p), F.lit("]: "), blank(p["summary"], blank(p["gaps"], F.lit(""))))
+    return F.array_join(F.transform(F.coalesce(panels, F.array().cast("array<struct<kind:string,status:string,confidence:string,training:string,summary:string,gaps:string>>")), line), " || ")
+
+
 def header_counts(df: DataFrame, shown: Column, matched: Column, tagged: Column) -> DataFrame:
     """One row: all rows, those shown, matched and tagged."""
     return df.agg(F.count(F.lit(1)).alias("n"), F.count_if(shown).alias("shown"), F.count_if(matched).alias("matched"), F.count_if(tagged).alias("tagged"))

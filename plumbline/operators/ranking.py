@@ -119,8 +119,13 @@ def carry_forward(df: DataFrame, by: Sequence[str], order: Sequence[str], column
     return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in columns})
 
 
-def sort_key(x: Column, descending: bool = False, missing: float | None = None) -> Column:
-    """Order of a sort that a user picks: ascending with nulls last, its mirror with nulls first, or descending with nulls as a number."""
+def sort_key(x: Column, descending: bool = False, missing: float | None = None, locale: str | None = None) -> Column:
+    """Order of a sort that a user picks: ascending with nulls last, its mirror with nulls first, or descending with nulls as a number.
+
+    locale orders texts as its readers expect, such as zh by pinyin; without it they go by code point.
+    """
+    if locale is not None:
+        x = F.collate(x, locale)
     if missing is not None:
         return F.coalesce(x, F.lit(missing)).desc()
     return x.desc_nulls_first() if descending else x.asc_nulls_last()

@@ -65,6 +65,16 @@ def _pairs(choices: DataFrame, samples: DataFrame) -> DataFrame:
     return close.unionByName(rest).select(*[c for c in (*choices.columns, "rank_mid", "family", "plan_count", "region", "model_delta_z") if c not in ("c_bin", "c_plan_bin")], F.array(*tests).alias("t"))
 
 
+#: Parts that samples are dealt to for the choices whose pool has all of them.
+PARTS = 64
+
+
+def _by_part(samples: DataFrame, choices: DataFrame) -> DataFrame:
+    """Each choice with every sample, which is what its pool consists of: the choice goes to all parts, a sample is in one."""
+    dealt = samples.withColumn("_part", F.pmod(F.xxhash64(*samples.columns), F.lit(PARTS)))
+    return dealt.join(choices.withColumn("_to", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1)))), F.col("_part") == F.col("_to")).drop("_part", "_to")
+
+
 def similarity_pool(choices: DataFrame, samples: DataFrame, population: float = POPULATION) -> DataFrame:
     """(choice, delta, weight, tier, n, effective_n): the samples of each choice's best tier, weights adding up to 1.
 
@@ -88,7 +98,7 @@ def similarity_pool(choices: DataFrame, samples: DataFrame, population: float =
     weight = numeric.kernel(z, p, F.col("family").eqNullSafe(F.col("c_family")), F.col("region").eqNullSafe(F.col("c_region")))
     # Choices that nothing is near to take all samples: none, where there are samples of all ranks.
     far = chosen.where("tier = 7").select("choice")
-    everything = lambda keys: samples.join(c.join(keys, "choice", "left_semi"))
+    everything = lambda keys: _by_part(samples, c.join(keys, "choice", "left_semi"))
     inside = F.when(F.col("tier") < 6, F.element_at("t", F.col("tier") + 1)).otherwise(F.col("t")[4])
     own = pairs.join(chosen.where("tier < 7"), "choice").where(inside).select("choice", F.col("model_delta_z").alias("delta"), weight.alias("w"))
     if not far.isEmpty():
@@ -121,7 +131,7 @@ def chances(choices: DataFrame, pool: DataFrame, user_rank: float, population: f
     c = choices.select("choice", numeric.logit_rank(F.col("rank").cast("double"), population).alias("z"), extra_sigma(F.col("history"), F.col("plan_count")).alias("sigma"))
     gap = F.col("z") + F.col("delta") / math.sqrt(2) - user
     can = F.when(F.col("sigma") > 0, numeric.normal_cdf(gap / F.col("sigma"))).otherwise((gap >= 0).cast("double"))
-    got = pool.join(F.broadcast(c), "choice").groupBy("choice").agg(
+    got = pool.join(c, "choice").groupBy("choice").agg(
         F.least(F.lit(1.0), F.sum(F.col("weight") * can)).alias("chance"), F.first("tier").alias("tier"), F.first("n").alias("sample_n"), F.first("effective_n").alias("effective_n")
     )
     return choices.join(got, "choice", "left")

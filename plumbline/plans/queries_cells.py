@@ -15,8 +15,8 @@ from plumbline.functions import text
 from plumbline.operators import aggregates, filters, joins, projection, quality, ranking
 from plumbline.plans import landing, scoring
 from plumbline.plans.registry import Tables, query
-from plumbline.sources import readers, writers
-from plumbline.sources.storage import shared_folder
+from plumbline.sources import cache, readers, spreadsheets, writers
+from plumbline.sources.storage import forget, shared_folder
 
 SUBJECTS = ("物理,化学(2门)", "物理/化学", "不提科目要求", "思想政治科目考生均须选考方可报考", "物理，，化学", " 生物 ", "化学(1门),物理(1门)")
 COLLEGES = ("浙江大学(威海)", "浙江大学（民办）", "北京 大学“本部”", "中国·海洋大学", "山东大学(威海校区)", "学院(中外合作办学)", "")
@@ -206,17 +206,25 @@ def labelled_sections(t: Tables) -> DataFrame:
     return got.select("s_suppkey", shown.alias("shown"), F.size("flat").alias("n_flat"))
 
 
-@query("""SELECT 'a' AS name, '关键词: x|省份: 3|位次: --9|分数: 5--' AS shown UNION ALL SELECT 'b', '' UNION ALL SELECT 'c', '{"a":{"x":1,"y":3},"b":[2]}' UNION ALL SELECT 'd', 'the OR a AND NOT "or"' UNION ALL SELECT 'e', '## T/| a | b |/| --- | --- |/| 1 |  |'""")
+@query("""WITH s AS (SELECT c_mktsegment AS k, count(*) AS n, floor(min(c_acctbal))::BIGINT AS lo, floor(max(c_acctbal))::BIGINT AS hi FROM customer GROUP BY k)
+SELECT 'labels/' || k AS name, '板块: ' || k || '|余额: ' || lo || '-' || hi || '|人数: ' || n || '--' AS shown FROM s UNION ALL SELECT 'query/' || k, 'the OR ' || lower(k) || ' AND NOT "or"' FROM s
+UNION ALL SELECT 'settings/' || k, '{"columns":["n"],"limits":{"high":' || hi || ',"low":' || lo || ',"top":5}}' FROM s
+UNION ALL SELECT 'report', '## Segments' || chr(10) || chr(10) || '| segment | n | low |' || chr(10) || '| --- | --- | --- |' || chr(10) || string_agg('| ' || k || ' | ' || n || ' | ' || lo || ' |', chr(10) ORDER BY k) || chr(10) FROM s""")
 def labels_and_settings(t: Tables) -> DataFrame:
-    """Labels of the filters that are set; settings in layers, exported and imported again; a query shown again."""
+    """For each segment of the customers: labels of its filters, a query for it shown again, its settings exported and imported; and a report of all."""
     import json
 
     from plumbline.operators import keywords
 
-    labels = filters.active_labels({"关键词": "x", "院校": "", "省份": 3}, {"位次": ("", 9), "分数": (5, None), "计划": (None, "")})
-    config = writers.merged_config({"a": {"x": 1, "y": 2}, "b": [1]}, None, {"a": {"y": 3}, "b": [2]})
-    again = writers.import_config(writers.export_config(config, 4), 4)
-    rows = [("a", "|".join(labels)), ("b", "|".join(filters.active_labels({}, {}))), ("c", json.dumps(again, separators=(",", ":"), sort_keys=True)), ("d", keywords.show(keywords.parse('the or (a and not "or")'))), ("e", "/".join(x for x in writers.render("T", [{"a": 1}], ["a", "b"]).split("\n") if x))]
+    low, high = (F.floor(f("c_acctbal")).cast("long") for f in (F.min, F.max))
+    segments = t.customer.groupBy(F.col("c_mktsegment").alias("segment")).agg(F.count(F.lit(1)).alias("n"), low.alias("low"), high.alias("high")).orderBy("segment").collect()  # one row each
+    rows = [("report", writers.render("Segments", [r.asDict() for r in segments], ["segment", "n", "low"]))]
+    for r in segments:
+        labels = filters.active_labels({"板块": r.segment, "院校": ""}, {"余额": (r.low, r.high), "人数": (r.n, None), "计划": (None, "")})
+        config = writers.merged_config({"limits": {"low": 0, "top": 5}, "columns": ["segment"]}, None, {"limits": {"low": r.low, "high": r.high}, "columns": ["n"]})
+        again = writers.import_config(writers.export_config(config, 4), 4)
+        query_ = keywords.show(keywords.parse(f'the or ({r.segment.lower()} and not "or")'))
+        rows += [(f"labels/{r.segment}", "|".join(labels)), (f"settings/{r.segment}", json.dumps(again, separators=(",", ":"), sort_keys=True)), (f"query/{r.segment}", query_)]
     return t.spark.createDataFrame(rows, "name string, shown string")
 
 
@@ -288,13 +296,13 @@ def rows_not_listed(t: Tables) -> DataFrame:
     return filters.exclude_unless(left, F.col("p_size") < 10, F.contains("p_brand", F.lit("3"))).select("p_partkey", "p_name")
 
 
-@query("""SELECT o_orderkey, o_orderstatus AS side FROM orders WHERE o_orderstatus IN ('F', 'O') UNION ALL SELECT o_orderkey, 'P' FROM orders WHERE o_orderstatus = 'P' AND o_custkey % 2 = 0""")
+@query("""SELECT o_orderkey, o_orderstatus AS side FROM orders""")
 def split_by_label(t: Tables) -> DataFrame:
     """Rows in folders by label, some of which are read again; and a union that keeps the first of each key."""
     folder = _folder(t)
     writers.write_by(t.orders.select("o_orderkey", "o_custkey", F.col("o_orderstatus").alias("label")), folder, "label", "parquet")
     read = lambda k: t.spark.read.parquet(f"{folder}/label={k}").withColumn("label", F.lit(k))
-    both = read("F").unionByName(read("O")).unionByName(read("P").where("o_custkey % 2 = 0"))
+    both = read("F").unionByName(read("O")).unionByName(read("P"))
     again = both.withColumn("part", F.lit(1)).unionByName(read("F").withColumns({"label": F.lit("again"), "part": F.lit(2)}))
     return ranking.first_of(again, ["o_orderkey"], F.col("part")).select("o_orderkey", F.col("label").alias("side"))
 
@@ -328,7 +336,7 @@ def model_notes(t: Tables) -> DataFrame:
     return t.customer.groupBy(note.alias("note")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("""WITH f AS (SELECT c_nationkey::VARCHAR AS s, (['result.json', 'sources.csv', 'log.csv', 'annex.md'])[c_custkey % 4 + 1] AS file, max(greatest(0, floor(c_acctbal / 4000)))::BIGINT AS size FROM customer WHERE c_custkey % 3 <> 0 GROUP BY ALL),
+@query("""WITH f AS (SELECT c_nationkey::VARCHAR AS s, (['result.json', 'sources.csv', 'log.csv', 'annex.md'])[c_custkey % 4 + 1] AS file, max(greatest(0, floor(c_acctbal / 4000)))::BIGINT AS size FROM customer GROUP BY ALL),
 n AS (SELECT n_nationkey::VARCHAR AS s, n_nationkey % 5 AS k, n_regionkey FROM nation), q AS (SELECT s, k, file AS want FROM n, (VALUES ('result.json'), ('sources.csv'), ('log.csv')) AS r(file))
 SELECT s AS shard, 'error' AS severity, 'missing_file' AS code, want AS detail FROM q WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.s = q.s AND file = want) UNION ALL SELECT f.s, 'error', 'empty_file', file FROM f JOIN n USING (s) WHERE size = 0 AND file <> 'annex.md'
 UNION ALL SELECT s, 'warning', 'file_pair_incomplete', 'log.csv,annex.md' FROM n WHERE (SELECT count(*) FROM f WHERE f.s = n.s AND file IN ('log.csv', 'annex.md')) = 1
@@ -336,7 +344,7 @@ UNION ALL SELECT s, 'error', 'row_count_mismatch', 'expected_2:got_' || c FROM (
 UNION ALL SELECT s, 'error', 'invalid_json', s FROM n WHERE k = 2 UNION ALL SELECT s, 'error', 'missing_key', 'status' FROM n WHERE k = 1 UNION ALL SELECT s, 'error', 'missing_item_field', 'id' FROM n WHERE k IN (1, 4) UNION ALL SELECT s, 'error', 'invalid_level', 'odd' FROM n WHERE k = 1""")
 def deep_results(t: Tables) -> DataFrame:
     """Results of shards as JSON documents and files: what is missing, empty, broken, not listed or not as many as expected."""
-    files = t.customer.where("c_custkey % 3 <> 0").groupBy(F.col("c_nationkey").cast("string").alias("shard_id"), F.element_at(F.array(*map(F.lit, ("result.json", "sources.csv", "log.csv", "annex.md"))), (F.col("c_custkey") % 4 + 1).cast("int")).alias("file")).agg(
+    files = t.customer.groupBy(F.col("c_nationkey").cast("string").alias("shard_id"), F.element_at(F.array(*map(F.lit, ("result.json", "sources.csv", "log.csv", "annex.md"))), (F.col("c_custkey") % 4 + 1).cast("int")).alias("file")).agg(
         F.max(F.greatest(F.lit(0), F.floor(F.col("c_acctbal") / 4000))).cast("long").alias("size")
     )
     shards = t.nation.select(F.col("n_nationkey").cast("string").alias("shard_id"))
@@ -371,3 +379,67 @@ def tables_round_trip(t: Tables) -> DataFrame:
     writers.write_tables({"nation": t.nation, "region": t.region}, folder, {"nation": ["n_regionkey", "absent"], "region": ["r_regionkey"]})
     nation, region = (t.spark.read.parquet(f"{folder}/{n}") for n in ("nation", "region"))
     return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_name", "r_name", "n_nationkey")
+
+
+@query("""SELECT c_mktsegment || '-' || (n // 500) || '.xlsx' AS file, (n % 500 + 3)::INTEGER AS row_no, lpad(c_custkey::VARCHAR, 9, '0') AS code, c_name AS name, c_nationkey::VARCHAR AS nation
+FROM (SELECT *, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) - 1 AS n FROM customer)""")
+def spreadsheet_round_trip(t: Tables) -> DataFrame:
+    """Customers as workbooks by segment, 500 rows each, codes as texts; read again below their title and header."""
+    folder = _folder(t)
+    rows = t.customer.select("c_mktsegment", F.lpad(F.col("c_custkey").cast("string"), 9, "0").alias("code"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("nation"))
+    spreadsheets.save(spreadsheets.workbooks(rows, "c_mktsegment", [F.asc("code")], ["code"], "customers", most=500), folder)
+    return spreadsheets.sheet_table(spreadsheets.read_cells(t.spark, folder), ["code", "name", "nation"], 2, ["code", "name"])
+
+
+@query("""SELECT n_name AS name, row_number() OVER (ORDER BY n_name)::BIGINT AS "order" FROM nation""")
+def choice_workbook(t: Tables) -> DataFrame:
+    """A choice list from a workbook whose header is in another language and whose columns stand in another order."""
+    folder = _folder(t)
+    rows = t.nation.select(F.lit("list").alias("b"), F.col("n_regionkey").alias("备注"), F.col("n_name").alias("院校"))
+    spreadsheets.save(spreadsheets.workbooks(rows, "b", [F.asc("院校")]), folder)
+    return spreadsheets.listed_table(spreadsheets.read_cells(t.spark, folder), {"院校": "name", "school": "name"}, ["name", "order"])
+
+
+@query("""SELECT 'rows' AS what, r_regionkey AS k, r_name || CASE WHEN r_regionkey = 1 THEN ' again' ELSE '' END AS v FROM region WHERE r_regionkey <> 2 UNION ALL SELECT 'first', r_regionkey, 'parsed' FROM region
+UNION ALL SELECT 'second', 1, 'parsed'""")
+def parse_cache(t: Tables) -> DataFrame:
+    """Files parsed once: after one has changed and one has gone, a second run parses the changed one only."""
+    files, folder = _folder(t), _folder(t)
+    key = F.regexp_extract("path", r"r_regionkey=(\d+)", 1).cast("long")
+    lines = lambda found: found.select("path", F.explode(F.split(F.col("content").cast("string"), "\n")).alias("line")).where("line <> ''").select("path", F.get_json_object("line", "$.r_name").alias("name"))
+    load = lambda: cache.parsed(t.spark, f"{files}/*/*.json", folder, lines, "1")
+    region = t.region.select("r_regionkey", "r_name").repartition(1, "r_regionkey")
+    region.write.partitionBy("r_regionkey").json(files)
+    _, first = load()
+    changed = region.where("r_regionkey in (1, 2)").withColumn("r_name", F.concat("r_name", F.lit(" again"))).where("r_regionkey = 1")
+    forget(t.spark, f"{files}/r_regionkey=2")
+    changed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("r_regionkey").json(files)
+    rows, second = load()
+    said = lambda found, what: found.select(F.lit(what).alias("what"), key.alias("k"), F.lit("parsed").alias("v"))
+    return rows.select(F.lit("rows").alias("what"), key.alias("k"), F.col("name").alias("v")).unionByName(said(first, "first")).unionByName(said(second, "second"))
+
+
+@query("""SELECT c_custkey, v.name FROM (SELECT c_custkey, c_custkey % 6 AS k FROM customer ORDER BY CASE k WHEN 0 THEN 4 WHEN 1 THEN 0 WHEN 2 THEN 3 WHEN 3 THEN 1 WHEN 4 THEN 5 ELSE 2 END, c_custkey LIMIT 400) c
+JOIN (VALUES (0, '清华大学'), (1, '北京大学'), (2, '南京大学'), (3, '复旦大学'), (4, '浙江大学'), (5, '吉林大学')) AS v(k, name) ON v.k = c.k""")
+def pinyin_order(t: Tables) -> DataFrame:
+    """The first rows by a school's name as its readers sort it, not by code point."""
+    names = ("清华大学", "北京大学", "南京大学", "复旦大学", "浙江大学", "吉林大学")
+    rows = t.customer.select("c_custkey", F.element_at(F.array(*map(F.lit, names)), (F.col("c_custkey") % 6 + 1).cast("int")).alias("name"))
+    return ranking.top_n(rows, 400, [ranking.sort_key(F.col("name"), locale="zh"), F.asc("c_custkey")])
+
+
+@query("""SELECT o_orderkey, coalesce(nullif(concat_ws(' · ', CASE WHEN o_custkey % 2 = 0 AND o_orderkey % 3 > 0 THEN '计划 ' || (o_orderkey % 50) || ' 人' END, CASE WHEN o_orderstatus <> 'P' AND o_orderkey % 3 > 0 THEN '学费 ' || (o_custkey % 90) || '00 元/年' END,
+ CASE WHEN o_orderkey % 3 > 0 AND o_orderpriority <> '1-URGENT' THEN o_orderpriority END, CASE WHEN o_orderkey % 3 = 1 THEN '2025位次 ' || o_custkey END, CASE WHEN o_orderkey % 3 = 2 THEN '2025最低分 ' || (o_orderkey % 700) END), ''), '主表未匹配') AS summary,
+ CASE WHEN o_orderstatus = 'F' THEN '项目[confirmed|high|-]: ' || o_custkey || ' || other[-|-|open]: no word of it' WHEN o_orderstatus = 'O' THEN '项目[confirmed|-|-]: ' ELSE '' END AS evidence FROM orders""")
+def row_summaries(t: Tables) -> DataFrame:
+    """Admission and evidence of a row as the lines that an export has."""
+    o, known = t.orders, F.col("o_orderkey") % 3
+    when = lambda c, v: F.when(c, v.cast("string"))
+    summary = projection.admission_summary(
+        when((F.col("o_custkey") % 2 == 0) & (known > 0), F.col("o_orderkey") % 50), when((F.col("o_orderstatus") != "P") & (known > 0), F.concat((F.col("o_custkey") % 90).cast("string"), F.lit("00"))),
+        when((known > 0) & (F.col("o_orderpriority") != "1-URGENT"), F.col("o_orderpriority")), when(known == 1, F.col("o_custkey")), when(known == 2, F.col("o_orderkey") % 700), 2025,
+    )
+    panel = lambda *v: F.struct(*[(x if isinstance(x, Column) else F.lit(x).cast("string")).alias(n) for n, x in zip(("kind", "status", "confidence", "training", "summary", "gaps"), v, strict=True)])
+    panels = F.when(F.col("o_orderstatus") == "F", F.array(panel("project", "confirmed", "high", "", F.col("o_custkey").cast("string"), "unused"), panel("other", None, None, "open", "", "no word of it")))
+    panels = panels.when(F.col("o_orderstatus") == "O", F.array(panel("project", "confirmed", None, None, None, None)))
+    return o.select("o_orderkey", summary.alias("summary"), projection.evidence_lines(panels, {"project": "项目"}).alias("evidence"))

@@ -11,12 +11,12 @@ from plumbline.plans import landing, prescreen, reference_model, scoring, triage
 from plumbline.plans.registry import Tables, query
 from plumbline.sources import writers
 
-_YEARLY_SQL = """y AS (SELECT l_partkey, year(l_shipdate) AS y, min(l_extendedprice) AS v FROM lineitem WHERE l_returnflag = 'R' AND l_linestatus = 'F' AND year(l_shipdate) BETWEEN 1996 AND 1998 GROUP BY ALL),
+_YEARLY_SQL = """y AS (SELECT l_partkey, year(l_shipdate) AS y, min(l_extendedprice) AS v FROM lineitem WHERE year(l_shipdate) BETWEEN 1996 AND 1998 GROUP BY ALL),
 w AS (SELECT p_partkey, p_brand, p_type, max(CASE WHEN y = 1996 THEN v END) AS y1996, max(CASE WHEN y = 1997 THEN v END) AS y1997, max(CASE WHEN y = 1998 THEN v END) AS y1998 FROM part LEFT JOIN y ON l_partkey = p_partkey GROUP BY ALL)"""
 
 
 def _history(t: Tables) -> DataFrame:
-    rows = t.lineitem.where("l_returnflag = 'R' and l_linestatus = 'F' and year(l_shipdate) between 1996 and 1998")
+    rows = t.lineitem.where("year(l_shipdate) between 1996 and 1998")
     by_year = rows.groupBy("l_partkey", F.year("l_shipdate").alias("y")).agg(F.min("l_extendedprice").alias("v"))
     wide = projection.widen(by_year, "l_partkey", "y", [1996, 1997, 1998], ["v"]).toDF("l_partkey", "y1996", "y1997", "y1998")
     return t.part.join(wide, F.col("p_partkey") == F.col("l_partkey"), "left").select("p_partkey", "p_brand", "p_type", "y1996", "y1997", "y1998")
