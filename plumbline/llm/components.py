@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import cut
+from plumbline.llm.common import cut, met
 
 
 #: Nodes in the middle that are broadcast; of more, each goes to as many salts, as a root may have any number of links.
@@ -30,8 +30,8 @@ def _large_star(links: DataFrame, middle: DataFrame) -> DataFrame:
 
 def _small_star(links: DataFrame) -> DataFrame:
     """Each node's smaller neighbours, and itself, are linked to the smallest of them; links have a > b."""
-    low = links.groupBy("a").agg(F.min("b").alias("low"))
-    moved = links.join(low, "a").where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
+    low = cut(links.groupBy("a").agg(F.min("b").alias("low"), F.count(F.lit(1)).alias("n")))
+    moved = met(links, low, ["a"], "n").where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
     return moved.union(low.select("a", F.col("low").alias("b"))).distinct()
 
 

@@ -15,15 +15,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.textcore import _SPACE, CHUNK, byte_grams, chunks, mix, pieces, ragged_sum, word_hashes
+from plumbline.llm.common import within
+from plumbline.llm.textcore import _SPACE, CHUNK, char_grams, chunks, code_points, mix, pieces, ragged_sum, word_hashes
 
 #: Each of the two families of features has 2**BITS weights.
 BITS = 16
 #: Labelled rows of each class that the model is fitted to, at most, by the hash of their id.
 PER_CLASS = 600
-#: Features of each family that a text of the sample gives to the fit, at most; scoring takes all.
-TEXT_FEATURES = 1 << 14
-#: Bytes of the character n-grams.
+#: Features that the labelled rows of a class give to the fit, at most, by an upper bound of each text's: further rows are not in the sample.
+CLASS_FEATURES = 10 << 20
+#: Characters of the character n-grams.
 CHARS = (3, 4)
 #: Feature values are shares of a text, so they are scaled for the fit.
 SCALE = 30.0
@@ -54,9 +55,9 @@ def _features(texts: list[bytes]) -> tuple[tuple[np.ndarray, np.ndarray], tuple[
     n_words = counts + np.maximum(counts - 1, 0)
     parts, n_chars = [], np.zeros(len(texts), dtype=np.int64)
     for i, t in enumerate(texts):
-        data = np.frombuffer(t, dtype=np.uint8)
+        data = code_points(t)
         for n in CHARS:
-            got = byte_grams(data, n, BITS)
+            got = char_grams(data, n, BITS)
             parts.append(got)
             n_chars[i] += len(got)
     return (words, n_words), (np.concatenate(parts) if parts else np.zeros(0, np.int32), n_chars)
@@ -70,10 +71,12 @@ def _blocks(text: bytes) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         pairs = mix(own[:-1] * np.uint64(3) + own[1:]) if len(own) else own
         yield (np.concatenate((own[len(last) :], pairs)) >> np.uint64(64 - BITS)).astype(np.int32), np.zeros(0, dtype=np.int32)
         last = own[-1:]
-    data = np.frombuffer(text, dtype=np.uint8)
-    for n in CHARS:
-        for lo in range(0, len(data) - n + 1, CHUNK):
-            yield np.zeros(0, dtype=np.int32), byte_grams(data[lo : lo + CHUNK + n - 1], n, BITS)
+    last = np.zeros(0, dtype=np.uint32)
+    for lo in range(0, len(text), CHUNK):
+        data = np.concatenate((last, code_points(text, lo, lo + CHUNK)))
+        for n in CHARS:  # those that end in this part
+            yield np.zeros(0, dtype=np.int32), char_grams(data[max(0, len(last) - n + 1) :], n, BITS)
+        last = data[max(0, len(data) - max(CHARS) + 1) :]
 
 
 def raw_scores(model: Model, texts: list[bytes]) -> np.ndarray:
@@ -89,7 +92,7 @@ def raw_scores(model: Model, texts: list[bytes]) -> np.ndarray:
             out[i] += SCALE * (sums / np.maximum(counts, 1)).sum()
         return out
     for weights, (at, counts) in zip((model.words, model.chars), _features(texts), strict=True):
-        out += SCALE * ragged_sum(weights[at], counts) / np.maximum(counts, 1)
+        out += SCALE * ragged_sum(weights[at].astype(np.float64), counts) / np.maximum(counts, 1)
     return out
 
 
@@ -100,10 +103,7 @@ def probabilities(model: Model, texts: list[bytes]) -> np.ndarray:
 def sample_features(docs: DataFrame, labels: DataFrame, label: str, per_class: int = PER_CLASS) -> list:
     """Rows (y, words, chars) of the sample: feature numbers with counts, from whole texts."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
-    place = F.xxhash64(F.lit("sample"), "doc_id")
-    picked = known.where("y = 0").orderBy(place).limit(per_class).union(known.where("y = 1").orderBy(place).limit(per_class))
-    # At most 2 * per_class rows of two numbers are broadcast, and as many texts come back: of rows that repeat an id, one.
-    rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(F.max("y").alias("y"), F.min("text").alias("text"))
+    rows = within(docs, known, per_class, CLASS_FEATURES, lambda size: F.least(3 * size, F.lit(2 << BITS)))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in chunks(batches, "text"):
@@ -114,7 +114,7 @@ def sample_features(docs: DataFrame, labels: DataFrame, label: str, per_class: i
                     for k, at in enumerate(block):
                         every[k] += np.bincount(at, minlength=1 << BITS)
                 for k in (0, 1):
-                    numbers = _most(every[k])
+                    numbers = np.flatnonzero(every[k])
                     times = every[k][numbers]
                     columns[2 * k].append(numbers.astype("<i4").tobytes())
                     columns[2 * k + 1].append(times.astype("<i4").tobytes())
@@ -124,14 +124,6 @@ def sample_features(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     return sorted(got, key=lambda r: r["doc_id"])
 
 
-def _most(times: np.ndarray) -> np.ndarray:
-    """The numbers that occur, at most TEXT_FEATURES of them: the most frequent, smaller numbers first among equals."""
-    numbers = np.flatnonzero(times)
-    if len(numbers) > TEXT_FEATURES:
-        numbers = np.sort(numbers[np.argsort(-times[numbers], kind="stable")[:TEXT_FEATURES]])
-    return numbers
-
-
 def fit(rows: list, share: float, steps: int = 80) -> Model:
     """The model of a sample in which the classes are evened out; share: of class 1 among all labels. Empties rows, to save memory."""
     y = np.array([r["y"] for r in rows], dtype=np.float64)

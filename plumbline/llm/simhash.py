@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import cut, unsigned
+from plumbline.llm.common import cut, met, unsigned
 from plumbline.llm.components import components
 from plumbline.llm.textcore import CHUNK, binary, chunks, gram_hashes, mix, pieces, ragged_sum, word_hashes
 
@@ -178,9 +178,9 @@ def compared(rows: DataFrame, radius: int, partition_rows: int = PARTITION_ROWS)
 
     rows: (which, part, fingerprint, rep), where which and part name a partition; different ones each time.
     """
-    # A partition of one row holds no pair. The count meets its rows in as many tasks as the optimizer makes of a large one.
-    sizes = rows.groupBy("which", "part").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    rows = rows.join(sizes, ["which", "part"])
+    # A partition of one row holds no pair.
+    sizes = cut(rows.groupBy("which", "part").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).withColumn("rows", F.col("n")))
+    rows = met(rows, sizes, ["which", "part"], "rows")
     # A tile is a population count and a salt; tile pairs within the radius get a task of their own.
     spread = F.greatest(F.lit(1), F.ceil(F.col("n") / (4 * partition_rows))).cast("int")
     rows = rows.withColumn("large", F.col("n") > partition_rows).withColumn("pop", F.bit_count("fingerprint")).withColumn("salts", spread).withColumn(
@@ -251,10 +251,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Other columns of docs are neither read nor returned, whatever their names.
     """
     marked = cut(fingerprints(docs, id_col, text_col, shingle, seed).select(F.col(id_col).cast("long").alias("id"), "fingerprint"))
-    distinct = cut(marked.groupBy("fingerprint").agg(F.min("id").alias("rep")).where("rep is not null"))
-    found = components(links(distinct, radius))
-    reps = distinct.join(found, distinct["rep"] == found["node"], "left").select("fingerprint", F.coalesce("component", "rep").alias("component"))
-    return marked.join(reps, "fingerprint", "left").select(F.col("id").alias(id_col), unsigned("fingerprint").alias("fingerprint"), F.col("component").alias("component_id"))
+    distinct = cut(marked.groupBy("fingerprint").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n")))
+    found = components(links(distinct.where("rep is not null").select("fingerprint", "rep"), radius))
+    reps = cut(distinct.join(found, distinct["rep"] == found["node"], "left").select("fingerprint", F.coalesce("component", "rep").alias("component"), "n"))
+    return met(marked, reps, ["fingerprint"], "n").select(F.col("id").alias(id_col), unsigned("fingerprint").alias("fingerprint"), F.col("component").alias("component_id"))
 
 
 #: Partitions of the candidate search that a text belongs to, and smallest shingles that name each.
@@ -320,12 +320,12 @@ def candidate_groups(docs: DataFrame, id_col: str, text_col: str, shingle: int,
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(prints), bands], names=["id", "fingerprint", "bands"])
 
     marked = cut(rows.mapInArrow(run, "id long, fingerprint long, bands array<long>"))
-    distinct = cut(marked.groupBy("fingerprint").agg(F.min("id").alias("rep")))
+    distinct = cut(marked.groupBy("fingerprint").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n")))
     # Copies have partitions and fingerprint in common: they are one row before anything is dealt.
     parts = marked.select("fingerprint", F.posexplode("bands").alias("which", "part")).distinct()
-    found = components(compared(parts.join(distinct, "fingerprint").select("which", "part", "fingerprint", "rep"), radius))
-    reps = distinct.join(found, distinct["rep"] == found["node"], "left").select("fingerprint", F.coalesce("component", "rep").alias("rep"))
-    return marked.select("id", "fingerprint").join(reps, "fingerprint").select("id", "rep")
+    found = components(compared(parts.join(distinct.drop("n"), "fingerprint").select("which", "part", "fingerprint", "rep"), radius))
+    reps = cut(distinct.join(found, distinct["rep"] == found["node"], "left").select("fingerprint", F.coalesce("component", "rep").alias("rep"), "n"))
+    return met(marked.select("id", "fingerprint"), reps, ["fingerprint"], "n").select("id", "rep")
 
 
 #: Members of a group that are held against those that stay in one task, on average.

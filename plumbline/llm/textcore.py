@@ -92,18 +92,28 @@ def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def byte_grams(data: np.ndarray, n: int, bits: int) -> np.ndarray:
-    """A number of the given bits for every run of n bytes, n at most 7, by multiplying and shifting."""
-    count = len(data) - n + 1
+def code_points(text: bytes, lo: int = 0, hi: int | None = None) -> np.ndarray:
+    """The code points of a UTF-8 text that begin in its bytes from lo to hi."""
+    hi = len(text) if hi is None else min(hi, len(text))
+    while 0 < lo < len(text) and text[lo] & 0xC0 == 0x80:
+        lo += 1
+    while hi < len(text) and text[hi] & 0xC0 == 0x80:
+        hi += 1
+    return np.frombuffer(text[lo:hi].decode("utf-8").encode("utf-32-le"), dtype="<u4")
+
+
+def char_grams(points: np.ndarray, n: int, bits: int) -> np.ndarray:
+    """A number of the given bits for every run of n code points, by multiplying and shifting."""
+    count = len(points) - n + 1
     if count <= 0:
         return np.zeros(0, dtype=np.int32)
     out, block = np.empty(count, dtype=np.int32), 1 << 15
     for lo in range(0, count, block):
-        wide = data[lo : min(lo + block, count) + n - 1].astype(np.uint64)
+        wide = points[lo : min(lo + block, count) + n - 1].astype(np.uint64)
         packed = np.full(len(wide) - n + 1, n, dtype=np.uint64)
         for k in range(n):
-            packed <<= np.uint64(8)
-            packed |= wide[k : k + len(packed)]
+            packed *= _STEP
+            packed += wide[k : k + len(packed)]
         packed *= _ODD
         out[lo : lo + len(packed)] = packed >> np.uint64(64 - bits)
     return out

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.llm.common import within
 from plumbline.llm.textcore import CHUNK, chunks, mix, pieces, span_hashes, word_spans
 
 #: Labelled rows of each class that the model is fitted to, at most, by the hash of their id.
@@ -26,14 +27,12 @@ PER_CLASS = 2000
 GRADES = 4
 #: Rows of the sample that a word must occur in.
 LEAST_ROWS = 3
-#: Words that take part in the fit, by the strength of their association.
-MOST_WORDS = 4096
 #: Bytes of a longer word that are a feature of their own, so that inflected and compound forms count together.
 PREFIXES = (6,)
 #: Weight of toxic rows in the fit, its L1 penalty, and the ridge on the words that it leaves.
 SHARE, PENALTY, RIDGE = 0.2, 2e-3, 1e-3
-#: Features that a text of the sample gives to the fit, at most; scoring takes all.
-TEXT_FEATURES = 1 << 14
+#: Features that the labelled rows of a class give to the fit, at most, by an upper bound of each text's: further rows are not in the sample.
+CLASS_FEATURES = 8 << 20
 #: Folds by which the sample is graded, and the log-odds from which a word tells.
 FOLDS, TELLING = 5, 2.0
 #: Smallest P(grade > 0) that is called toxic.
@@ -104,33 +103,22 @@ def above(thresholds: np.ndarray, score: np.ndarray) -> np.ndarray:
 def sample(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> list:
     """Rows (doc_id, y, words, counts) of the sample, from whole texts."""
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("y"))
-    place = F.xxhash64(F.lit("sample"), "doc_id")
-    picked = known.where("y = 0").orderBy(place).limit(per_class).union(known.where("y = 1").orderBy(place).limit(per_class))
+    # A word and its prefix take three bytes at least.
+    texts = within(docs, known, per_class, CLASS_FEATURES, lambda size: F.ceil(size * 2 / 3))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in chunks(batches, "text", CHUNK):
             words, times = [], []
             for t in texts:
-                got, n = _counted(t)
+                got, n = np.unique(_pairs([t])[1], return_counts=True)
                 words.append(got.tobytes())
                 times.append(n.astype("<i4").tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), pa.array(words, pa.binary()), pa.array(times, pa.binary())], names=["doc_id", "y", "words", "times"])
 
-    # At most 2 * per_class rows of two numbers are broadcast, and as many texts come back: of rows that repeat an id, one.
-    texts = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(F.max("y").alias("y"), F.min("text").alias("text"))
     got = texts.mapInArrow(run, "doc_id long, y int, words binary, times binary").collect()
     return sorted(got, key=lambda r: r["doc_id"])
 
 
-def _counted(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """The features of a text with their counts, at most TEXT_FEATURES: the most frequent, smaller hashes first among equals."""
-    got, n = np.unique(_pairs([text])[1], return_counts=True)
-    if len(got) > TEXT_FEATURES:
-        keep = np.sort(np.argsort(-n, kind="stable")[:TEXT_FEATURES])
-        got, n = got[keep], n[keep]
-    return got, n
-
-
 def _odds(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int) -> np.ndarray:
     """By how much more often, as a logarithm, toxic rows have a feature."""
     return np.log((toxic + 0.5) / (n_toxic + 1)) - np.log((clean + 0.5) / (n_clean + 1))
@@ -151,7 +139,7 @@ def grades_of(y: np.ndarray, row: np.ndarray, column: np.ndarray, value: np.ndar
     return np.where(y == 1, 1 + np.searchsorted(np.array(edges), evidence, "right"), 0)
 
 
-def fit(rows: list, share: float = SHARE, grades: int = GRADES, least_rows: int = LEAST_ROWS, most_words: int = MOST_WORDS, penalty: float = PENALTY, ridge: float = RIDGE, steps: int = 400) -> Model:
+def fit(rows: list, share: float = SHARE, grades: int = GRADES, least_rows: int = LEAST_ROWS, penalty: float = PENALTY, ridge: float = RIDGE, steps: int = 400) -> Model:
     """The model of a sample; share: the weight of toxic rows among all, so that few of them count enough. Without rows of both classes nothing can be told: all rows get grade 0."""
     y = np.array([r["y"] for r in rows], dtype=np.int64)
     if len(set(y.tolist())) < 2:
@@ -163,8 +151,7 @@ def fit(rows: list, share: float = SHARE, grades: int = GRADES, least_rows: int
     toxic = np.bincount(column, y[row], len(vocabulary))
     clean = np.bincount(column, 1 - y[row], len(vocabulary))
     odds = _odds(toxic, clean, int(y.sum()), int((1 - y).sum()))
-    strength = np.where(toxic + clean >= least_rows, np.abs(odds) * np.sqrt(toxic + clean), 0)
-    chosen = np.sort(np.argsort(-strength, kind="stable")[: min(most_words, int((strength > 0).sum()))])
+    chosen = np.flatnonzero((toxic + clean >= least_rows) & (odds != 0))
     number = np.full(len(vocabulary), -1)
     number[chosen] = np.arange(len(chosen))
     inside = number[column] >= 0
@@ -207,7 +194,7 @@ def grade(docs: DataFrame, model: Model, flag: float = FLAG, id_col: str = "doc_
     repeated; other columns are not read.
     """
     kind = dict(docs.dtypes)[id_col]
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most MOST_WORDS weights, whatever the input
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # the words that the L1 penalty left of a bounded sample
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in chunks(batches, "text"):

@@ -446,7 +446,7 @@ def test_calibration():
 
 
 def test_quality_probabilities_by_hand(spark, sf, docs, odd):
-    """Scores against plain loops over words, pairs of words and runs of bytes; verdicts against the threshold."""
+    """Scores against plain loops over words, pairs of words and runs of characters; verdicts against the threshold."""
     model = quality.train(docs, spark.read.parquet(f"{sf}/labels.parquet"))
     most = 1 << 64
 
@@ -457,7 +457,15 @@ def test_quality_probabilities_by_hand(spark, sf, docs, odd):
         data = (text or "").encode()
         hashes = [int(textcore.word_hashes([w])[0][0]) for w in data.split()]
         words = [h >> 48 for h in hashes] + [mixed(a * 3 + b) >> 48 for a, b in zip(hashes, hashes[1:], strict=False)]
-        chars = [((int.from_bytes(bytes([n]) + data[i : i + n], "big") * 0x9E3779B97F4A7C15) % most) >> 48 for n in (3, 4) for i in range(len(data) - n + 1)]
+        points = [ord(c) for c in text or ""]
+
+        def gram(own):
+            h = len(own)
+            for c in own:
+                h = (h * 0xD6E8FEB86659FD93 + c) % most
+            return (h * 0x9E3779B97F4A7C15 % most) >> 48
+
+        chars = [gram(points[i : i + n]) for n in (3, 4) for i in range(len(points) - n + 1)]
         z = model.bias + sum(30.0 * sum(float(w[k]) for k in at) / max(1, len(at)) for w, at in ((model.words, words), (model.chars, chars)))
         return 1 / (1 + np.exp(-(model.slope * z + model.shift)))
 
