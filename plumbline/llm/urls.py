@@ -19,8 +19,10 @@ from plumbline.llm.common import cut
 
 #: (action, host, path) of the default rules.
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
-#: Bits of a level (32 MB, of some 9 million keys) up to which a list is a cascade; a longer one is joined.
+#: Bits of a level (32 MB, of some 9 million keys); a list that needs more is cut into parts by a hash of its keys.
 MOST_BITS = 1 << 28
+#: Shapes of rules that a URL is asked for one by one; of more, the hosts that have rules are found first.
+SHAPES = 32
 
 
 @dataclass(frozen=True)
@@ -53,6 +55,32 @@ class Cascade:
         return ask
 
 
+@dataclass(frozen=True)
+class Parts:
+    """A list in parts, each a cascade of its own over the keys that the same hash deals to it."""
+
+    parts: tuple[Cascade | Parts, ...]
+    seed: int
+
+    def columns(self, name: str) -> list[Column]:
+        return [c for i, part in enumerate(self.parts) for c in part.columns(f"{name}{i}_")]
+
+    def contains(self, name: str) -> Callable[[Column], Column]:
+        asks = [part.contains(f"{name}{i}_") for i, part in enumerate(self.parts)]
+
+        def ask(key: Column) -> Column:
+            out, at = F.lit(False), _part(key, self.seed, len(self.parts))
+            for i, one in enumerate(asks):
+                out = F.when(at == i, one(key)).otherwise(out)
+            return F.coalesce(out, F.lit(False))
+
+        return ask
+
+
+def _part(key: Column, seed: int, parts: int) -> Column:
+    return F.pmod(F.xxhash64(F.lit(f"part {seed}"), key), F.lit(parts))
+
+
 def _places(level: int, bits: int, hashes: int, key: Column) -> list[Column]:
     return [F.pmod(F.xxhash64(F.lit(level * 64 + j), key), F.lit(bits)) for j in range(hashes)]
 
@@ -82,17 +110,22 @@ def _rate(n: int, rest: int) -> float:
     return min(0.5, max(1e-6, math.sqrt(2) * n / max(1, rest)))
 
 
-def build(listed: DataFrame, universe: DataFrame) -> Cascade | None:
-    """The cascade of the listed keys over the universe, each a DataFrame with a string column key; None if a level would exceed MOST_BITS.
+def build(listed: DataFrame, universe: DataFrame, seed: int = 0) -> Cascade | Parts:
+    """The cascade of the listed keys over the universe, each a DataFrame with a string column key.
 
     Keys may repeat; nulls are passed over. Listed keys need not occur in the universe. A level's rate is
     such that about as many keys of the other side pass as the level holds, so levels shrink with the list.
+    If a level would exceed MOST_BITS, both sides are cut into parts.
     """
     inside = cut(listed.where("key is not null").distinct())
     outside = cut(universe.where("key is not null").distinct().join(inside, "key", "left_anti"))
     n, rest = inside.count(), outside.count()
-    if n and _bits(n, _rate(n, rest)) > MOST_BITS:
-        return None
+    # The second level holds some n keys, too, with a rate of its own.
+    bits = max(_bits(n, _rate(n, rest)), _bits(2 * n, 0.25)) if n > 1 else 0
+    if bits > MOST_BITS:
+        parts = -(-5 * bits // (4 * MOST_BITS)) + 1
+        mine = lambda side, i: side.where(_part(F.col("key"), seed, parts) == i)
+        return Parts(tuple(build(mine(inside, i), mine(outside, i), seed + 1) for i in range(parts)), seed)
     levels: list[Level] = []
     while n:
         level = _level(inside, len(levels), n, 0.25 if levels else _rate(n, rest))
@@ -132,8 +165,11 @@ def candidates(host: Column, path: Column, shapes: list[tuple[int, int]]) -> Col
     keys = F.array(*[
         F.when((_labels(host) >= n) & (F.length(path) >= m), F.concat(F.substring_index(host, ".", -n), F.lit(" "), F.substring(path, 1, m))) for n, m in shapes
     ]) if shapes else F.array().cast("array<string>")
-    found = F.filter(keys, lambda k: k.isNotNull())
-    ordered = F.sort_array(F.transform(found, lambda k: F.struct(F.length(k).alias("n"), F.instr(k, F.lit(" ")).alias("host"), k.alias("key"))), asc=False)
+    return _longest_first(F.filter(keys, lambda k: k.isNotNull()))
+
+
+def _longest_first(keys: Column) -> Column:
+    ordered = F.sort_array(F.transform(keys, lambda k: F.struct(F.length(k).alias("n"), F.instr(k, F.lit(" ")).alias("host"), k.alias("key"))), asc=False)
     return F.transform(ordered, lambda s: s["key"])
 
 
@@ -143,8 +179,7 @@ def filter_urls(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] | Data
     rules: (allow or block, host, path), or a DataFrame of action, host and path. A rule fits its host and all
     subdomains if the URL's path starts with the rule's; the longest that fits decides, the longer host among
     equals. rule is the host and the path of it; without one it is null and the verdict is default. Both lists are
-    cascades over all keys that any URL of pages could match by; lists too long for that are joined by key. A null
-    URL or one without :// has an empty host and path, which no rule with a host fits. Repeated rows and null ids
+    cascades over all keys that any URL of pages could match by, in parts where they are long. A null URL or one without :// has an empty host and path, which no rule with a host fits. Repeated rows and null ids
     stay; other columns are not read.
     """
     spark: SparkSession = pages.sparkSession
@@ -152,27 +187,45 @@ def filter_urls(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] | Data
     listed = cut(table.select("action", F.concat("host", F.lit(" "), "path").alias("key"), _labels(F.col("host")).alias("n"), F.length("path").alias("m")).where("key is not null").distinct())
     if not listed.groupBy("key").count().where("count > 1").isEmpty():
         raise ValueError("a rule both allows and blocks")
-    # As many as there are different lengths of hosts and paths in the rules, not as there are rules.
-    shapes = sorted((r["n"], r["m"]) for r in listed.select("n", "m").distinct().collect())
     url = F.col(url_col)
     rows = pages.select(F.col(id_col), host_of(url).alias("host"), path_of(url).alias("path"))
-    keys = candidates(F.col("host"), F.col("path"), shapes)
-    universe = cut(rows.select(F.explode(keys).alias("key")).distinct())
-    cascades = [build(listed.where(F.col("action") == action).select("key"), universe) for action in ("allow", "block")]
-    if None in cascades:
-        judged = _by_join(rows, keys, listed)
+    shapes = listed.select("n", "m").distinct()
+    # At most SHAPES of them come here.
+    few = sorted((r["n"], r["m"]) for r in shapes.limit(SHAPES + 1).collect())
+    if len(few) <= SHAPES:
+        rows = rows.withColumn("_keys", candidates(F.col("host"), F.col("path"), few))
     else:
-        allow, block = (c.contains(f"_{name}") for c, name in zip(cascades, ("allow", "block"), strict=True))
-        hits = F.filter(F.transform("_keys", lambda k: F.struct(k.alias("key"), allow(k).alias("allow"), block(k).alias("block"))), lambda s: s["allow"] | s["block"])
-        # Each column is read in one place from here on, so that the projections become one and no row ever holds a filter.
-        asked = rows.select(id_col, "host", "path", keys.alias("_keys")).select("*", *cascades[0].columns("_allow"), *cascades[1].columns("_block"))
-        judged = asked.select(id_col, "host", "path", F.try_element_at(hits, F.lit(1)).alias("_hit"))
+        rows = _by_host(rows, listed, sorted(r["n"] for r in shapes.select("n").distinct().collect()))  # labels of hosts, some dozens
+    universe = cut(rows.select(F.explode("_keys").alias("key")).distinct())
+    cascades = [build(listed.where(F.col("action") == action).select("key"), universe) for action in ("allow", "block")]
+    allow, block = (c.contains(f"_{name}") for c, name in zip(cascades, ("allow", "block"), strict=True))
+    hits = F.filter(F.transform("_keys", lambda k: F.struct(k.alias("key"), allow(k).alias("allow"), block(k).alias("block"))), lambda s: s["allow"] | s["block"])
+    # Each column is read in one place from here on, so that the projections become one and no row ever holds a filter.
+    asked = rows.select(id_col, "host", "path", "_keys").select("*", *cascades[0].columns("_allow"), *cascades[1].columns("_block"))
+    judged = asked.select(id_col, "host", "path", F.try_element_at(hits, F.lit(1)).alias("_hit"))
     verdict = F.when(F.col("_hit").isNull(), F.lit(default)).when(F.col("_hit.allow"), F.lit("allow")).otherwise(F.lit("block"))
     return judged.select(id_col, "host", "path", F.replace(F.col("_hit.key"), F.lit(" "), F.lit("")).alias("rule"), verdict.alias("verdict"))
 
 
-def _by_join(rows: DataFrame, keys: Column, listed: DataFrame) -> DataFrame:
-    """rows with _hit, the first of their keys that is listed, by joining each different host and path once."""
-    seen = rows.select("host", "path").distinct().select("host", "path", F.posexplode(keys).alias("place", "key"))
-    found = seen.join(listed.select("key", "action"), "key").groupBy("host", "path").agg(F.min_by(F.struct("key", (F.col("action") == "allow").alias("allow")), "place").alias("_hit"))
-    return rows.join(found, ["host", "path"], "left")
+def _by_host(rows: DataFrame, listed: DataFrame, labels: list[int]) -> DataFrame:
+    """rows with _keys, longest first: the ends of the host that have rules, each with the path's starts of the lengths that its rules have.
+
+    Two more cascades tell them: one of the hosts of rules, one of hosts with the lengths of their paths. So a URL is
+    asked for its own host's shapes, however many the list has.
+    """
+    ends = F.array(*[F.when(_labels(F.col("host")) >= n, F.substring_index("host", ".", -n)) for n in labels])
+    rows = rows.withColumn("_ends", F.filter(ends, lambda e: e.isNotNull()))
+    rules = listed.select(F.substring_index("key", " ", 1).alias("host"), "m")
+    hosts = build(rules.select(F.col("host").alias("key")), rows.select(F.explode("_ends").alias("key")))
+    known = rows.select("*", *hosts.columns("_host"))
+    found = known.select(*[c for c in rows.columns if c != "_ends"], F.filter("_ends", hosts.contains("_host")).alias("_ends"))
+    # As many as paths of rules have different lengths.
+    lengths = cut(rules.agg(F.sort_array(F.collect_set("m"), asc=False).alias("lengths")))
+    pair = lambda e, m: F.concat(e, F.lit(" "), m.cast("string"))
+    met = found.select(F.explode("_ends").alias("e")).distinct().select("e", F.explode(lengths.scalar()).alias("m"))
+    pairs = build(rules.select(pair(F.col("host"), F.col("m")).alias("key")), met.select(pair(F.col("e"), F.col("m")).alias("key")))
+    has = pairs.contains("_pair")
+    asked = found.withColumn("_lengths", F.when(F.size("_ends") > 0, lengths.scalar()).otherwise(F.array().cast("array<int>"))).select("*", *pairs.columns("_pair"))
+    own = lambda e: F.filter("_lengths", lambda m: (m <= F.length("path")) & has(pair(e, m)))
+    keys = F.flatten(F.transform("_ends", lambda e: F.transform(own(e), lambda m: F.concat(e, F.lit(" "), F.substr(F.col("path"), F.lit(1), m)))))
+    return asked.select(*[c for c in rows.columns if c != "_ends"], _longest_first(keys).alias("_keys"))

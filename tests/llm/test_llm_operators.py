@@ -580,8 +580,9 @@ def test_urls(spark, sf, monkeypatch):
     dots = spark.createDataFrame([(1, "http://" + "a." * 50000 + "example.net/en/"), (2, "http://" + "." * 20000 + "org/fr/"), (3, "http://net" + "." * 20000)], "page_id long, url string")
     for df in (odd, dots, spark.read.parquet(f"{sf}/pages.parquet")):
         want = Counter((r.page_id, *brute_url(r.url, urls.RULES, "allow")) for r in df.collect())
-        for bits in (urls.MOST_BITS, 0):  # by cascades, and by key as lists that are too long for them
+        for bits, shapes in ((urls.MOST_BITS, urls.SHAPES), (64, urls.SHAPES), (urls.MOST_BITS, 0)):  # whole, in parts, and by host first
             monkeypatch.setattr(urls, "MOST_BITS", bits)
+            monkeypatch.setattr(urls, "SHAPES", shapes)
             assert Counter(map(tuple, urls.filter_urls(df).collect())) == want
         monkeypatch.undo()
     with pytest.raises(ValueError):
@@ -607,6 +608,27 @@ def test_a_long_list(spark):
     assert got.wrong == 0 and got.rules == len(range(0, 100_000, 7))
 
 
+def test_lists_in_parts_are_exact(spark, monkeypatch):
+    monkeypatch.setattr(urls, "MOST_BITS", 2048)
+    universe = spark.range(3000).selectExpr("concat('k', id) as key")
+    listed = universe.where("pmod(xxhash64(key), 5) = 0")
+    cascade = urls.build(listed, universe)
+    assert isinstance(cascade, urls.Parts)
+    got = {r.key for r in universe.select("key", *cascade.columns("w")).where(cascade.contains("w")(F.col("key"))).collect()}
+    assert got == {r.key for r in listed.collect()}
+    plan = urls.filter_urls(spark.range(9).selectExpr("id as page_id", "'http://a.net/' as url"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+
+
+def test_a_list_of_many_shapes(spark):
+    """Rules with 300 lengths of paths and hosts of one to ten labels, against the rules one by one."""
+    rules = [("block" if i % 2 else "allow", ".".join(f"l{i % 7}" for _ in range(i % 10 + 1)) + f".h{i % 40}", "/" + "p" * (i % 300)) for i in range(1500)]
+    rules = list({(h, p): (a, h, p) for a, h, p in rules}.values())
+    pages = [(i, f"http://www.{rules[i * 7 % len(rules)][1]}/{'p' * (i * 13 % 320)}{'' if i % 3 else '/x'}?q") for i in range(400)] + [(None, None), (1, "http://h1/ppp")]
+    df = spark.createDataFrame(pages, "page_id long, url string")
+    assert Counter(map(tuple, urls.filter_urls(df, tuple(rules)).collect())) == Counter((i, *brute_url(u, rules, "allow")) for i, u in pages)
+
+
 def test_the_whole_unlicense(spark):
     whole = licences.TEXTS["Unlicense"]
     start = whole[: whole.index(" In jurisdictions")]
