@@ -1,7 +1,7 @@
 """Licence scans by canonical digest lookup, in DataFrame functions only.
 
-A text is brought to a canonical form (case, copyright lines, equivalent spellings, punctuation and
-white space), hashed, and joined by the digest with those of known licence texts. The notices that
+A text is brought to a canonical form (case, copyright lines, equivalent spellings, names of holders,
+punctuation and white space), hashed, and joined by the digest with those of known licence texts. The notices that
 documents carry as lines of their own are looked up by the same digests, line by line.
 """
 
@@ -75,7 +75,15 @@ NOTICES = {
 }
 
 _COPYRIGHT = r"(?m)^[^\n]*(copyright (\(c\)|©|[0-9])|\(c\) [0-9]|©)[^\n]*$"
+#: A paragraph of one line that begins with the word, near the head, as files have it without a year or sign.
+_OWNER = r"^((?:[^\n]*\n){0,4}?)[^a-z0-9\n]*copyright [^\n]*\n[ \t\r]*\n"
 _PUNCTUATION = r"[^a-z0-9\n\x{80}-\x{10FFFF}]+"
+# Clauses in which a licence names its holder, in canonical form, and the form they are brought to.
+HOLDERS = {
+    r"neither the name of .{1,200}? nor the names of (its|their|the|any) contributors may": "neither the name of the copyright owner nor the names of its contributors may",
+    r"is provided by .{1,200}? as is and any express": "is provided by the copyright owners and contributors as is and any express",
+    r"in no event shall .{1,200}? be liable for any direct indirect incidental special exemplary": "in no event shall the copyright owner or contributors be liable for any direct indirect incidental special exemplary",
+}
 #: Words before pairs of words, as a pair is looked for in its new spelling.
 _ORDER = sorted(SPELLINGS, key=lambda s: (s.count(" "), -len(s), s))
 _WORDS = r"\b(" + "|".join(sorted(SPELLINGS)) + r")\b"
@@ -83,16 +91,20 @@ _WORDS = r"\b(" + "|".join(sorted(SPELLINGS)) + r")\b"
 
 def canonical(text: str) -> str:
     """The canonical form of one text, for the known texts; the columns below do the same."""
-    low = re.sub(_COPYRIGHT, "", text.lower())
+    low = re.sub(_COPYRIGHT, "", re.sub(_OWNER, r"\1\n", text.lower()))
     low = re.sub(_PUNCTUATION.replace(r"\x{80}-\x{10FFFF}", "\x80-\U0010ffff"), " ", low)
     for old in _ORDER:
         low = re.sub(rf"\b{old}\b", SPELLINGS[old], low, flags=re.ASCII)
-    return re.sub(r"[ \n]+", " ", low).strip(" ")
+    low = re.sub(r"[ \n]+", " ", low).strip(" ")
+    for clause, form in HOLDERS.items():
+        low = re.sub(clause, form, low)
+    return low
 
 
 def _lines(text: Column) -> Column:
     """Canonical but for the white space around lines, which stay apart."""
-    low = F.regexp_replace(F.regexp_replace(F.lower(text), _COPYRIGHT, ""), _PUNCTUATION, " ")
+    low = F.regexp_replace(F.lower(text), _OWNER, "$1\n")
+    low = F.regexp_replace(F.regexp_replace(low, _COPYRIGHT, ""), _PUNCTUATION, " ")
 
     def spelled(x: Column) -> Column:
         out = x
@@ -131,6 +143,8 @@ def scan(docs: DataFrame, texts: dict[str, str] | None = None, notices: dict[str
     lines = known_digests(notices)
     rows = docs.select(F.col(id_col).alias("id"), _lines(F.col(text_col)).alias("_text"))
     squeezed = F.trim(F.regexp_replace("_text", r"[ \n]+", " "))
+    for clause, form in HOLDERS.items():  # few texts have any of them
+        squeezed = F.regexp_replace(squeezed, clause, form)
     at = F.create_map(*[F.lit(x) for pair in lines.items() for x in pair]) if lines else F.lit(None).cast("map<string,string>")
     # Only a line as long as a notice can be one; the others need no digest.
     lengths = F.array(*[F.lit(n) for n in sorted({len(canonical(t)) for t in notices})]).cast("array<int>")

@@ -90,15 +90,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 
 def _licence_sql() -> str:
-    low = "regexp_replace(regexp_replace(lower(text), '" + licences._COPYRIGHT + "', '', 'g'), '" + licences._PUNCTUATION + "', ' ', 'g')"
+    low = "regexp_replace(regexp_replace(regexp_replace(lower(text), '" + licences._OWNER + r"', '\1' || chr(10), 'g'), '" + licences._COPYRIGHT + "', '', 'g'), '" + licences._PUNCTUATION + "', ' ', 'g')"
     for old in licences._ORDER:
         low = f"regexp_replace({low}, '\\b{old}\\b', '{licences.SPELLINGS[old]}', 'g')"
     squeeze = "sha256(trim(regexp_replace({}, '[ \\n]+', ' ', 'g'), ' '))"
+    held = "trim(regexp_replace(t, '[ \\n]+', ' ', 'g'), ' ')"
+    for clause, form in licences.HOLDERS.items():
+        held = f"regexp_replace({held}, '{clause}', '{form}', 'g')"
     whole = licences.whole_digests()
     lines = licences.known_digests(licences.NOTICES)
     listed = lambda known: ", ".join(f"('{d}', '{n}')" for d, n in known.items())
     return f"""WITH c AS (SELECT row_number() OVER () AS r, doc_id, {low} AS t FROM documents),
-d AS (SELECT r, doc_id, t, {squeeze.format("t")} AS digest FROM c),
+d AS (SELECT r, doc_id, t, sha256({held}) AS digest FROM c),
 l AS (SELECT r, n.name FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM c) JOIN (VALUES {listed(lines)}) AS n(digest, name) ON n.digest = {squeeze.format("line")}),
 g AS (SELECT r, string_agg(DISTINCT name, ',' ORDER BY name) AS notices, count(*) AS n FROM l GROUP BY r)
 SELECT doc_id, d.digest, w.name AS licence, coalesce(notices, '') AS notices, coalesce(n, 0)::BIGINT AS n_notice_lines
