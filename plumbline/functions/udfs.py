@@ -24,14 +24,48 @@ def nfkc(x: pd.Series) -> pd.Series:
     return x.map(lambda t: None if t is None else t if t.isascii() else unicodedata.normalize("NFKC", t))
 
 
+def occurs_in_each(text: str, lists: Sequence[Sequence[str]], negators: Sequence[str] = NEGATORS, weakeners: Sequence[str] = WEAKENERS, before: int = 40, after: int = 8) -> list[bool]:
+    """For each list, whether some token occurs with no negator in its sentence's last 40 characters before it, and no weakener in it or 8 after.
+
+    One scan finds the places where any token begins; what stands before a place is looked at once.
+    """
+    found, owners = [False] * len(lists), _owners(tuple(map(tuple, lists)))
+    if not owners:
+        return found
+    for m in _starts(tuple(owners)).finditer(text):
+        at, denied = m.start(), None
+        for token, own in owners.items():
+            if not text.startswith(token, at) or all(found[i] for i in own):
+                continue
+            if denied is None:
+                head = _END.split(text[max(0, at - before) : at])[-1]
+                denied = any(n in head for n in negators)
+            if not denied and not any(w in text[at : at + len(token) + after] for w in weakeners):
+                for i in own:
+                    found[i] = True
+        if all(found):
+            break
+    return found
+
+
+@functools.cache
+def _owners(lists: tuple[tuple[str, ...], ...]) -> dict[str, list[int]]:
+    """The lists that each token is in."""
+    out: dict[str, list[int]] = {}
+    for i, tokens in enumerate(lists):
+        for t in filter(None, tokens):
+            out.setdefault(t, []).append(i)
+    return out
+
+
+@functools.cache
+def _starts(words: tuple[str, ...]) -> re.Pattern:
+    return re.compile(f"(?={'|'.join(map(re.escape, words))})")
+
+
 def occurs_unnegated(text: str, tokens: Sequence[str], negators: Sequence[str] = NEGATORS, weakeners: Sequence[str] = WEAKENERS, before: int = 40, after: int = 8) -> bool:
-    """Whether some token occurs with no negator in its sentence's last 40 characters before it, and no weakener in it or 8 after."""
-    for token in filter(None, tokens):
-        for m in re.finditer(re.escape(token), text):
-            head = _END.split(text[max(0, m.start() - before) : m.start()])[-1]
-            if not any(n in head for n in negators) and not any(w in text[m.start() : m.end() + after] for w in weakeners):
-                return True
-    return False
+    """occurs_in_each() of one list."""
+    return occurs_in_each(text, [tokens], negators, weakeners, before, after)[0]
 
 
 def contains_unnegated(x: Column, tokens: Sequence[str]) -> Column:
@@ -51,7 +85,7 @@ def contains_each(x: Column, lists: Sequence[Sequence[str]]) -> Column:
 
     @F.pandas_udf(ArrayType(BooleanType()))
     def test(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: [bool(t) and occurs_unnegated(t, tokens) for tokens in listed])
+        return texts.map(lambda t: occurs_in_each(t or "", listed))
 
     return test(x)
 

@@ -95,6 +95,23 @@ def test_terms(spark):
         assert sorted(got[i].found) == sorted(x for x in terms if x in (t or "")) and got[i].any == any(x in (t or "") for x in terms[3:9]) and got[i].one == ("ab" in (t or ""))
 
 
+def test_unnegated_matches_brute_force():
+    def brute(t, tokens):
+        for token in filter(None, tokens):
+            for m in re.finditer(f"(?={re.escape(token)})", t):
+                head = re.split("[。；;\n\r]", t[max(0, m.start() - 40) : m.start()])[-1]
+                if not any(n in head for n in udfs.NEGATORS) and not any(w in t[m.start() : m.start() + len(token) + 8] for w in udfs.WEAKENERS):
+                    return True
+        return False
+
+    draw = random.Random(5)
+    bits = ["无", "未见", "早操", "早", "操", "强制", "不足", "较少", "。", "x" * 9, " ", "ab", "aba", "\n"]
+    lists = [["早操", "强制"], ["早", "aba"], ["ab", ""], [], ["没有的"]]
+    for _ in range(3000):
+        t = "".join(draw.choice(bits) for _ in range(draw.randrange(12)))
+        assert udfs.occurs_in_each(t, lists) == [brute(t, own) for own in lists]
+
+
 def test_asserted_matches_brute_force_and_is_linear():
     def brute(t, phrases, tokens, markers, near):
         if udfs.occurs_unnegated(t, phrases):
