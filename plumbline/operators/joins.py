@@ -78,8 +78,3 @@ def repair(rows: DataFrame, truth: DataFrame, key: str, fields: Sequence[str]) -
     changed = sum((F.when(known & ~F.col(f).eqNullSafe(F.col(f"_t_{f}")), 1).otherwise(0) for f in fields), F.lit(0))
     new = {f: F.when(known, F.col(f"_t_{f}")).otherwise(F.col(f)) for f in fields}
     return joined.withColumn("n_changed", changed).select(*[new[c].alias(c) if c in new else F.col(c) for c in rows.columns], "n_changed")
-
-
-def group_value(df: DataFrame, by: Sequence[str], value: Column, name: str) -> DataFrame:
-    """Left join to an aggregate of the row's group."""
-    return df.join(df.groupBy(*by).agg(value.alias(name)), list(by), "left")

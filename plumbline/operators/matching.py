@@ -135,9 +135,3 @@ def back_fill(records: DataFrame, known: DataFrame, candidates: str = "candidate
     code = F.when(~blank, F.col("group_code")).otherwise(F.coalesce("_identity", "_key", F.lit("")))
     source = F.when(~blank, "own").when(F.col("_identity").isNotNull(), "identity").when(F.col("_key").isNotNull(), "key").otherwise("")
     return joined.withColumn("code_source", source).withColumn("group_code", code).select(*records.columns, "code_source")
-
-
-def by_year(matched: DataFrame, years: list[int], fields: list[str]) -> DataFrame:
-    """One row for each item: the fields of each year as columns named year_field."""
-    aggregates = [F.first(F.when(F.col("year") == y, F.col(f)), ignorenulls=True).alias(f"{y}_{f}") for y in years for f in fields]
-    return matched.groupBy("item_id").agg(*aggregates)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions import text
+from plumbline.operators import ranking
 
 
 def keep(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -63,11 +64,17 @@ def expand(df: DataFrame, struct: str) -> DataFrame:
     return df.select(*[c for c in df.columns if c != struct], f"{struct}.*")
 
 
-def packets(df: DataFrame, group: str, name: str, fields: Sequence[str]) -> DataFrame:
-    """One row for each group: its rows as structs, its distinct names, sorted, and counts. For groups of a list's size."""
-    return df.groupBy(group).agg(
-        F.array_sort(F.collect_list(F.struct(*fields))).alias("rows"), F.array_sort(F.collect_set(name)).alias("names"), F.count(F.lit(1)).alias("n_rows"), F.count_distinct(name).alias("n_names")
-    )
+def in_parts(df: DataFrame, group: str, fields: Sequence[str], name: str, most: int) -> DataFrame:
+    """(group, part from 0, name): the rows of each group as structs, in order of the fields, in as many rows as it takes with at most most each."""
+    placed = ranking.placed(df.select(group, *fields), [group], [F.asc_nulls_first(f) for f in fields]).withColumn("part", F.floor((F.col("_place") - 1) / most))
+    return placed.groupBy(group, "part").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias(name))
+
+
+def packets(df: DataFrame, group: str, name: str, fields: Sequence[str], most: int = 10_000) -> DataFrame:
+    """(group, part, rows, n_rows, n_names): each group's rows in parts of at most most rows; how many rows and different names the group has."""
+    sizes = df.groupBy(F.col(group).alias("_group")).agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(name).alias("n_names"))
+    parts = in_parts(df, group, fields, "rows", most)
+    return parts.join(sizes, F.col(group).eqNullSafe(F.col("_group"))).drop("_group")
 
 
 def repair_where(df: DataFrame, known: dict[str, object], set_to: dict[str, Column | object]) -> DataFrame:

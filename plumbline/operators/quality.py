@@ -89,12 +89,6 @@ def keep_known_references(rows: DataFrame, sources: DataFrame, column: str, key:
     return rows.join(joined, key, "left").withColumn(column, refs).drop("_refs")
 
 
-def row_flags(rows: DataFrame, status: str, sources: Column, texts: Sequence[str]) -> DataFrame:
-    """rows with source_refs, has_source, low_information and mojibake."""
-    n = F.size(sources)
-    return rows.withColumns({"source_refs": n, "has_source": n > 0, "low_information": (F.col(status) == "not_found") | (n == 0), "mojibake": text.mojibake(F.concat_ws(" ", *texts))})
-
-
 def shard_grades(rows: DataFrame, errors: DataFrame, shard: str = "shard_id", rerun: float = 0.5, low: float = 0.25) -> DataFrame:
     """(shard, n_rows, n_sources, share_low, n_mojibake, n_errors, grade) of flagged rows; errors: (shard, ...) issues.
 

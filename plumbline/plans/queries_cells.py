@@ -263,8 +263,9 @@ def exploded_panels(t: Tables) -> DataFrame:
     """Evidence of two kinds, one of which belongs to several keys at once."""
     several = F.when(F.col("n_nationkey") % 2 == 0, F.concat_ws(";", F.col("n_regionkey"), F.col("n_regionkey") + 1)).otherwise(F.col("n_regionkey").cast("string"))
     parts = {"nation": t.nation.select(several.alias("k"), F.col("n_name").alias("file")), "region": t.region.select(F.col("r_regionkey").cast("string").alias("k"), F.col("r_name").alias("file"))}
-    got = scoring.evidence_panels(parts, "k", ["file", "status"])
-    return got.select("k", F.size("panels").cast("long").alias("n"), F.array_join(F.array_sort(F.array_distinct(F.transform("panels", lambda p: p["kind"]))), ",").alias("kinds"))
+    got = scoring.evidence_panels(parts, "k", ["file", "status"], 2)
+    each = got.select("k", F.explode("panels").alias("p")).groupBy("k", "p.kind").agg(F.count(F.lit(1)).alias("n"))
+    return each.groupBy("k").agg(F.sum("n").alias("n"), F.array_join(F.array_sort(F.collect_list("kind")), ",").alias("kinds"))
 
 
 @query("""SELECT choice, round(rank, 4) AS rank, found FROM (SELECT o_custkey AS choice, coalesce(c_acctbal, CASE WHEN o_custkey % 4 = 0 THEN 5.0 END) AS rank, CASE WHEN c_custkey IS NULL AND NOT o_custkey % 4 = 0 THEN 'missing' WHEN c_acctbal IS NULL AND o_custkey % 4 = 0 THEN 'manual' WHEN c_acctbal IS NULL THEN 'no_rank' ELSE 'matched' END AS found

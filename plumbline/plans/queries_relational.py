@@ -227,10 +227,13 @@ def year_pairs(t: Tables) -> DataFrame:
     return projection.pairs(_yearly(t), ["l_partkey"], ["1996_v", "1997_v", "1998_v"])
 
 
-@query("""SELECT n_nationkey, array_to_string(list_sort(list(DISTINCT c_mktsegment)), ',') AS names, count(*)::BIGINT AS n_rows, count(DISTINCT c_mktsegment)::BIGINT AS n_names FROM customer JOIN nation ON n_nationkey = c_nationkey GROUP BY ALL""")
+@query("""SELECT n_nationkey, i // 40 AS part, c_custkey, (i % 40)::INTEGER AS place, c_name, n_rows, n_names FROM (SELECT n_nationkey, c_custkey, c_name, row_number() OVER (PARTITION BY n_nationkey ORDER BY c_custkey) - 1 AS i FROM customer JOIN nation ON n_nationkey = c_nationkey)
+JOIN (SELECT c_nationkey, count(*)::BIGINT AS n_rows, count(DISTINCT c_mktsegment)::BIGINT AS n_names FROM customer GROUP BY ALL) ON c_nationkey = n_nationkey""")
 def group_packets(t: Tables) -> DataFrame:
+    """Customers of each nation in packets of at most 40, in order."""
     rows = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    return projection.packets(rows, "n_nationkey", "c_mktsegment", ["c_custkey", "c_name"]).select("n_nationkey", F.array_join("names", ",").alias("names"), "n_rows", "n_names")
+    got = projection.packets(rows, "n_nationkey", "c_mktsegment", ["c_custkey", "c_name"], 40)
+    return got.select("n_nationkey", "part", "n_rows", "n_names", F.posexplode("rows").alias("place", "row")).select("n_nationkey", "part", "place", "row.c_custkey", "row.c_name", "n_rows", "n_names")
 
 
 @query("""SELECT p_partkey, array_to_string(list_filter([CASE WHEN p_size > 25 THEN 'large' END, CASE WHEN p_retailprice > 1000 THEN 'dear' END], lambda x: x IS NOT NULL), ',') AS tags FROM part WHERE p_size > 25 AND NOT p_retailprice > 1500""")

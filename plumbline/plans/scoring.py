@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions import numeric, text, udfs
-from plumbline.operators import aggregates, ranking
+from plumbline.operators import projection, ranking
 
 # The most that each component counts, and the factors: label, component, weight.
 COMPONENTS = {"alignment": 45, "platform": 25, "freedom": 15, "research": 10, "life": 5}
@@ -162,14 +162,10 @@ def merged_tags(base: DataFrame, own: DataFrame, label: str = "label") -> DataFr
     return joined.select(label, *[F.when(F.col(f"u.{rest[0]}").isNotNull(), F.col(f"u.{c}")).otherwise(F.col(f"b.{c}")).alias(c) for c in rest])
 
 
-def summary(rows: DataFrame, entries: Column) -> DataFrame:
-    return aggregates.coverage(rows, entries)
-
-
-def evidence_panels(parts: dict[str, DataFrame], key: str, fields: Sequence[str]) -> DataFrame:
-    """(key, panels): the panels of all kinds, in order of kind and file. A row's panels are a few; keys may be lists joined by ;."""
+def evidence_panels(parts: dict[str, DataFrame], key: str, fields: Sequence[str], most: int = 1000) -> DataFrame:
+    """(key, part, panels): the panels of all kinds, in order of kind and file, at most most in a part; keys may be lists joined by ;."""
     out = None
     for kind, df in parts.items():
         part = df.select(F.explode(text.split_tags(F.col(key), "listed")).alias(key), F.lit(kind).alias("kind"), *[(F.col(f) if f in df.columns else F.lit("")).alias(f) for f in fields])
         out = part if out is None else out.unionByName(part)
-    return out.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("kind", *fields))).alias("panels"))
+    return projection.in_parts(out, key, ["kind", *fields], "panels", most)

@@ -30,10 +30,6 @@ def payload(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value"))
 
 
-def write_payload(df: DataFrame, path: str) -> None:
-    payload(df).write.mode("overwrite").text(path)
-
-
 def text_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Codes as strings, for writers that would guess numbers."""
     return df.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns})
