@@ -107,3 +107,34 @@ def brute_kept(rows, similarity=0.8):
         if not any(len(own & s) >= similarity * len(own | s) for _, s in stay):
             stay.append((i, own))
     return {i for i, _ in stay}
+
+
+def check_stage(name, rows, got, stay, encode):
+    """Asserts what a stage of the pipeline made of rows (id, text, source); stay: the ids that near-duplicates leave; encode: ids of a text."""
+    ids = Counter(r.doc_id for r in got)
+    if name == "quality_rules":  # never a row that the base rules fail; the model decides the others
+        assert ids <= Counter(i for i, t, _ in rows if not brute_base(t)[-1])
+    elif name == "near_duplicates":
+        assert ids == Counter(i for i, _, _ in rows if i in stay)
+    elif name == "repeated_passages":
+        words = Counter((r.doc_id, hashlib.sha256(" ".join(WORD.findall(r.text or "")).encode()).hexdigest()) for r in got)
+        assert words == Counter({(i, h): n for (i, _, _, h), n in brute_repeats([(i, t) for i, t, _ in rows]).items()})
+    elif name == "source_weights":
+        sizes, biggest, taken = Counter(), Counter(), Counter()
+        for _, t, s in rows:
+            sizes[s] += len(WORD.findall(t or ""))
+            biggest[s] = max(biggest[s], len(WORD.findall(t or "")))
+        for r in got:
+            taken[r.source] += len(WORD.findall(r.text or ""))
+        assert all(abs(taken[s] - x) <= biggest[s] for s, x in brute_targets(sizes).items())
+        bare = Counter(i for i, t, _ in rows if not WORD.search(t or ""))
+        assert Counter(r.doc_id for r in got if not WORD.search(r.text or "")) == bare
+    else:
+        want = Counter()
+        for i, t, _ in rows:
+            want[i] += len(encode(t or "")) + 1
+        have, load = Counter(), Counter()
+        for r in got:
+            have[r.doc_id] += r.length
+            load[r.sequence_id] += r.length
+        assert have == want and max(load.values(), default=0) <= 2048
