@@ -29,7 +29,7 @@ TASK_BYTES = 64 << 20
 #: Rows equal in id and text from which they are dealt apart.
 REPEATED = 1024
 #: Words, and parts of words, whose ids a worker remembers.
-REMEMBERED = 800_000
+REMEMBERED = 300_000
 
 
 class Tournament:
