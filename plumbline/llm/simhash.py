@@ -16,7 +16,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import cut, met, unsigned
@@ -330,7 +330,7 @@ def candidate_groups(docs: DataFrame, id_col: str, text_col: str, shingle: int,
 
 #: Members of a group that are held against those that stay in one task, on average.
 GROUP_ROWS = 1024
-#: Members of a group that are compared among themselves in one task, and bytes of their shingles.
+#: Members of a group that make up a block, and bytes of their shingles: a task compares a block in itself or with another.
 BLOCK_ROWS, BLOCK_BYTES = 2048, 4 << 20
 
 
@@ -430,31 +430,105 @@ def _dealt(members: DataFrame, leaders: DataFrame) -> DataFrame:
     return roles.union(each)
 
 
+def _blocks(rows: DataFrame) -> DataFrame:
+    """(rep, n, blocks) of each group of rows: its size, and the blocks of BLOCK_ROWS and BLOCK_BYTES that it takes."""
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS), F.ceil(F.sum(F.octet_length("shingles")) / BLOCK_BYTES), F.lit(1)).cast("int")
+    return cut(rows.groupBy("rep").agg(F.count(F.lit(1)).alias("n"), blocks.alias("blocks")))
+
+
+def _alike(tiles: DataFrame, similarity: float) -> DataFrame:
+    """(id, rep) of the rows that are similar to one with a smaller id in the other half of their tile, in a tile of one half to any there.
+
+    tiles: id, rep, lo, hi, half, shingles; a tile is what has rep, lo and hi in common.
+    """
+
+    def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, ["rep", "lo", "hi"], BLOCK_ROWS):
+            ids, half, keys = table.column("id").to_numpy(), table.column("half").to_numpy(), np.stack([table.column(c).to_numpy() for c in ("rep", "lo", "hi")])
+            sets = [np.frombuffer(c or b"", np.uint64) for c in binary(table.column("shingles").combine_chunks())]
+            edges = np.flatnonzero(np.concatenate(([True], (keys[:, 1:] != keys[:, :-1]).any(axis=0), [True])))
+            found = []
+            for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                sides = [lo + np.flatnonzero(half[lo:hi] == k) for k in (0, 1)]
+                for own, other in [(sides[0], sides[0])] if not len(sides[1]) else [sides, sides[::-1]]:
+                    index = _Sets([sets[i] for i in other.tolist()])
+                    found += [i for i in own.tolist() if ((index.similarity(sets[i]) >= similarity) & (ids[other] < ids[i])).any()]
+            got = np.array(found, dtype=np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[got]), pa.array(keys[0][got])], names=["id", "rep"])
+
+    return tiles.repartition("rep", "lo", "hi").sortWithinPartitions("rep", "lo", "hi", "half").mapInArrow(compare, "id long, rep long").distinct()
+
+
+def _block(blocks: str) -> Column:
+    return F.pmod(F.xxhash64("id"), F.col(blocks)).cast("int")
+
+
+def _each(blocks: str) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
+
+
+def _among(rows: DataFrame) -> DataFrame:
+    """Tiles in which every two rows (id, rep, shingles, blocks) of a group meet: one for each two of its blocks."""
+    paired = rows.withColumn("block", _block("blocks")).withColumn("other", _each("blocks"))
+    return paired.select("id", "rep", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), (F.col("block") > F.col("other")).cast("int").alias("half"), "shingles")
+
+
+def _between(stay: DataFrame, later: DataFrame) -> DataFrame:
+    """Tiles in which every row of later meets all rows of stay (both id, rep, shingles) in its group."""
+    counts = _blocks(stay).select("rep", F.col("blocks").alias("of_stay"), F.col("n").alias("n_stay")).join(_blocks(later).select("rep", F.col("blocks").alias("of_later"), F.col("n").alias("n_later")), "rep")
+    first = met(stay, counts.drop("n_later"), ["rep"], "n_stay").select("id", "rep", _block("of_stay").alias("lo"), _each("of_later").alias("hi"), F.lit(0).alias("half"), "shingles")
+    second = met(later, counts.drop("n_stay"), ["rep"], "n_later").select("id", "rep", _each("of_stay").alias("lo"), _block("of_later").alias("hi"), F.lit(1).alias("half"), "shingles")
+    return first.union(second)
+
+
+def _leading(rows: DataFrame) -> DataFrame:
+    """(id, rep) of the first block of each group in order of id."""
+    order = Window.partitionBy("rep").orderBy("id")
+    # Of ids alone, and no more than BLOCK_ROWS of a group from each task.
+    first = rows.select("id", "rep", F.octet_length("shingles").alias("bytes")).withColumn("place", F.row_number().over(order)).where(F.col("place") <= BLOCK_ROWS)
+    before = F.sum("bytes").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    return first.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < BLOCK_BYTES).select("id", "rep")
+
+
+def _settled(rest: DataFrame, similarity: float) -> DataFrame:
+    """(id, rep) of the rows (id, rep, shingles) that are similar to none with the same rep and a smaller id that stays.
+
+    A group of one block is settled in one task. In a larger one all pairs of blocks are compared at once: a row that no
+    row of a smaller id is similar to stays, and what is similar to one that stays goes. Only rows that are similar
+    to rows which went themselves are left for another round; the first block is settled in each round besides,
+    so that rows which are each similar to the last come to an end.
+    """
+    stay = cut(rest.select("id", "rep").limit(0))
+    while not rest.isEmpty():
+        sizes = _blocks(rest)
+        counted = met(rest, sizes, ["rep"], "n").select("id", "rep", "shingles", "blocks")
+        stay = stay.union(cut(_first_of_each(counted.where("blocks = 1"), similarity).select("id", "rep")))
+        if sizes.where("blocks > 1").isEmpty():
+            break
+        large = cut(counted.where("blocks > 1"))
+        after = cut(_alike(_among(large), similarity))
+        block = cut(_leading(large))
+        first = _first_of_each(large.join(block, ["id", "rep"]), similarity)
+        free = large.join(after, ["id", "rep"], "left_anti").join(block, ["id", "rep"], "left_anti")
+        chosen = cut(free.select("id", "rep", "shingles").union(first.select("id", "rep", "shingles")))
+        stay = stay.union(chosen.select("id", "rep"))
+        later = cut(large.join(after, ["id", "rep"], "left_semi").join(block, ["id", "rep"], "left_anti").select("id", "rep", "shingles"))
+        rest = later if later.isEmpty() else cut(later.join(_alike(_between(chosen, later), similarity), ["id", "rep"], "left_anti"))
+    return stay
+
+
 def verified(docs: DataFrame, groups: DataFrame, shingle: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
     """(drop_id): members of groups (id, rep) whose shingles are similar enough to those of a member with a smaller id that stays.
 
     All are held against the group's smallest id first, texts of group members only. Of those left, equal sets of
-    shingles become one; then, round by round, the first of each group, up to BLOCK_ROWS and BLOCK_BYTES, are compared
-    among themselves and the rest with those of them that stay, until none is left. A large group goes to as many
-    tasks as it needs.
+    shingles become one, and _settled() tells which stay. A large group goes to as many tasks as it needs.
     """
     members = cut(groups.where("rep <> id").distinct())
     roles = _dealt(members, members.select(F.col("rep").alias("id"), "rep").distinct())
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("cell")).join(roles, "id")
     left = cut(_held(texts, similarity, lambda text: _shingle_set(text, shingle)))
     rest = cut(left.groupBy("rep", F.sha2("shingles", 256).alias("digest")).agg(F.min("id").alias("id"), F.any_value("shingles").alias("shingles")).select("id", "rep", "shingles"))
-    stay = members.select("id", "rep").limit(0)
-    while not rest.isEmpty():
-        place = F.row_number().over(Window.partitionBy("rep").orderBy("id"))
-        before = F.sum("bytes").over(Window.partitionBy("rep").orderBy("id").rowsBetween(Window.unboundedPreceding, -1))
-        # Of ids alone, and no more than BLOCK_ROWS of a group from each task.
-        first_ids = rest.select("id", "rep", F.octet_length("shingles").alias("bytes")).withColumn("place", place).where(F.col("place") <= BLOCK_ROWS)
-        block = cut(first_ids.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < BLOCK_BYTES).select("id", "rep"))
-        first = cut(_first_of_each(rest.join(block, ["id", "rep"]), similarity))
-        stay = stay.union(first.select("id", "rep"))
-        later = cut(rest.join(block, ["id", "rep"], "left_anti"))
-        cells = [x.withColumnRenamed("shingles", "cell") for x in (later, first)]
-        rest = later if later.isEmpty() else cut(_held(_dealt(*cells), similarity, lambda cell: np.frombuffer(cell, np.uint64)))
+    stay = _settled(rest, similarity)
     return members.join(stay, ["id", "rep"], "left_anti").select(F.col("id").alias("drop_id")).distinct()
 
 

@@ -94,6 +94,26 @@ def test_no_two_that_stay_are_near_copies(spark, monkeypatch):
     assert got == {i for rep in set(group.values()) for i in brute_kept([r for r in rows if group[r[0]] == rep])}
 
 
+def test_members_left_over_take_few_rounds(spark, monkeypatch):
+    """A group of very many members that are alike to none, some that are, and a chain of rows each alike to the last."""
+    rounds = []
+    alike = simhash._among
+    monkeypatch.setattr(simhash, "_among", lambda rows: rounds.append(1) or alike(rows))
+    monkeypatch.setattr(simhash, "BLOCK_ROWS", 4096)
+    n = 50_000
+    text = F.concat_ws(" ", F.lit("same five words for all"), *[F.xxhash64(F.lit(k), "id").cast("string") for k in range(10)])
+    unlike = spark.range(1, n).select(F.col("id").alias("doc_id"), text.alias("text"))
+    near = unlike.where("doc_id % 100 = 7").select((F.col("doc_id") + 10 * n).alias("doc_id"), F.concat("text", F.lit(" more")).alias("text"))
+    words = [f"c{i}" for i in range(90)]
+    chain = [(20 * n + i, " ".join(words[3 * i : 3 * i + 40])) for i in range(16)]
+    docs = simhash.cut(unlike.union(near).union(spark.createDataFrame(chain, "doc_id long, text string")).union(spark.createDataFrame([(0, "another text of five words and more")], "doc_id long, text string")))
+    groups = docs.select(F.col("doc_id").alias("id"), F.lit(0).cast("long").alias("rep"))
+    gone = {r.drop_id for r in simhash.verified(docs, groups, 5, 0.8, "doc_id", "text").collect()}
+    chained = {i for i, _ in chain} - brute_kept(chain)
+    assert gone == {10 * n + i for i in range(7, n, 100)} | chained and len(chained) == 8
+    assert len(rounds) <= 5
+
+
 def test_recall_of_candidates():
     """Of texts with a similarity of about 0.8 and more, nearly all pairs are candidates, whatever their length."""
     rng = np.random.default_rng(8)
