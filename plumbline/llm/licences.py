@@ -19,6 +19,9 @@ SPELLINGS = {"acknowledgment": "acknowledgement", "analyse": "analyze", "authori
 # Known licence texts, without their copyright lines.
 TEXTS = {
     "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+    "MIT-0": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+    "0BSD": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.""",
+    "BSL-1.0": """Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following: The copyright notices in the Software and this entire statement, including the above license grant, this restriction and the following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative works of the Software, unless such copies or derivative works are solely in the form of machine-executable object code generated by a source language processor. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
     "ISC": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.""",
     "BSD-2-Clause": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
     "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
@@ -49,6 +52,9 @@ DIGESTS = {
 # Lines that licence files have before the text.
 TITLES = {
     "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)"),
+    "MIT-0": ("MIT No Attribution", "MIT No Attribution License", "MIT-0"),
+    "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD", "0BSD"),
+    "BSL-1.0": ("Boost Software License - Version 1.0 - August 17th, 2003", "Boost Software License 1.0"),
     "ISC": ("ISC License", "The ISC License"),
     "BSD-2-Clause": ("BSD 2-Clause License", "The 2-Clause BSD License"),
     "BSD-3-Clause": ("BSD 3-Clause License", "The 3-Clause BSD License"),
@@ -87,6 +93,9 @@ HOLDERS = {
 #: Words before pairs of words, as a pair is looked for in its new spelling.
 _ORDER = sorted(SPELLINGS, key=lambda s: (s.count(" "), -len(s), s))
 _WORDS = r"\b(" + "|".join(sorted(SPELLINGS)) + r")\b"
+#: Pairs of words: the end of a line may part them, so whole texts are looked up with those joined, too.
+PAIRS = [old for old in _ORDER if " " in old]
+_PARTED = r"\b(" + "|".join(PAIRS) + r")\b"
 
 
 def canonical(text: str) -> str:
@@ -135,24 +144,32 @@ def scan(docs: DataFrame, texts: dict[str, str] | None = None, notices: dict[str
 
     texts: licence -> text; notices: line -> licence. digest: SHA-256 of the whole text's canonical form
     (null for a null text); licence: the known licence that is the whole text, or the notice that is; null
-    if none. notices: the licences of the lines that are known notices, sorted, each once. Empty texts have
+    if none. Two words of one spelling that the end of a line parts in the text are looked up as parted, then as joined. notices: the licences of the lines that are known notices, sorted, each once. Empty texts have
     the digest of nothing and no licence. Ids may be null or repeated; other columns are not read.
     """
     whole = whole_digests(texts, notices)
     notices = NOTICES if notices is None else notices
     lines = known_digests(notices)
     rows = docs.select(F.col(id_col).alias("id"), _lines(F.col(text_col)).alias("_text"))
-    squeezed = F.trim(F.regexp_replace("_text", r"[ \n]+", " "))
-    for clause, form in HOLDERS.items():  # few texts have any of them
-        squeezed = F.regexp_replace(squeezed, clause, form)
+    flat = F.trim(F.regexp_replace("_text", r"[ \n]+", " "))
+
+    def digest(x: Column) -> Column:
+        for clause, form in HOLDERS.items():  # few texts have any of them
+            x = F.regexp_replace(x, clause, form)
+        return F.sha2(x, 256)
+
+    joined = flat
+    for old in PAIRS:
+        joined = F.regexp_replace(joined, rf"\b{old}\b", SPELLINGS[old])
     at = F.create_map(*[F.lit(x) for pair in lines.items() for x in pair]) if lines else F.lit(None).cast("map<string,string>")
     # Only a line as long as a notice can be one; the others need no digest.
     lengths = F.array(*[F.lit(n) for n in sorted({len(canonical(t)) for t in notices})]).cast("array<int>")
     own = F.filter(F.transform(F.split("_text", "\n"), lambda x: F.trim(x)), lambda x: F.array_contains(lengths, F.length(x)))
     found = F.filter(F.transform(own, lambda x: F.try_element_at(at, F.sha2(x, 256))), lambda x: x.isNotNull())
     table = docs.sparkSession.createDataFrame(list(whole.items()) or [("", "")], "known string, licence string")
-    scanned = rows.select("id", F.sha2(squeezed, 256).alias("digest"), F.coalesce(found, F.array().cast("array<string>")).alias("found"))
+    scanned = rows.select("id", digest(flat).alias("digest"), F.when(F.rlike(flat, F.lit(_PARTED)), digest(joined)).alias("joined"), F.coalesce(found, F.array().cast("array<string>")).alias("found"))
     # The known digests are the parameters' own, some dozens whatever the input.
-    return scanned.join(F.broadcast(table), F.col("digest") == F.col("known"), "left").select(
-        F.col("id").alias(id_col), "digest", "licence", F.array_sort(F.array_distinct("found")).alias("notices"), F.size("found").cast("long").alias("n_notice_lines")
+    named = scanned.join(F.broadcast(table), F.col("digest") == F.col("known"), "left").drop("known").join(F.broadcast(table.toDF("known", "_licence")), F.col("joined") == F.col("known"), "left")
+    return named.select(
+        F.col("id").alias(id_col), "digest", F.coalesce("licence", "_licence").alias("licence"), F.array_sort(F.array_distinct("found")).alias("notices"), F.size("found").cast("long").alias("n_notice_lines")
     )

@@ -94,18 +94,21 @@ def _licence_sql() -> str:
     for old in licences._ORDER:
         low = f"regexp_replace({low}, '\\b{old}\\b', '{licences.SPELLINGS[old]}', 'g')"
     squeeze = "sha256(trim(regexp_replace({}, '[ \\n]+', ' ', 'g'), ' '))"
-    held = "trim(regexp_replace(t, '[ \\n]+', ' ', 'g'), ' ')"
+    held = parted = "trim(regexp_replace(t, '[ \\n]+', ' ', 'g'), ' ')"
+    for old in licences.PAIRS:
+        parted = f"regexp_replace({parted}, '\\b{old}\\b', '{licences.SPELLINGS[old]}', 'g')"
     for clause, form in licences.HOLDERS.items():
-        held = f"regexp_replace({held}, '{clause}', '{form}', 'g')"
+        held, parted = (f"regexp_replace({x}, '{clause}', '{form}', 'g')" for x in (held, parted))
     whole = licences.whole_digests()
     lines = licences.known_digests(licences.NOTICES)
     listed = lambda known: ", ".join(f"('{d}', '{n}')" for d, n in known.items())
     return f"""WITH c AS (SELECT row_number() OVER () AS r, doc_id, {low} AS t FROM documents),
-d AS (SELECT r, doc_id, t, sha256({held}) AS digest FROM c),
+d AS (SELECT r, doc_id, t, sha256({held}) AS digest, sha256({parted}) AS joined FROM c),
+w(digest, name) AS (VALUES {listed(whole)}),
 l AS (SELECT r, n.name FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM c) JOIN (VALUES {listed(lines)}) AS n(digest, name) ON n.digest = {squeeze.format("line")}),
 g AS (SELECT r, string_agg(DISTINCT name, ',' ORDER BY name) AS notices, count(*) AS n FROM l GROUP BY r)
-SELECT doc_id, d.digest, w.name AS licence, coalesce(notices, '') AS notices, coalesce(n, 0)::BIGINT AS n_notice_lines
-FROM d LEFT JOIN (VALUES {listed(whole)}) AS w(digest, name) ON w.digest = d.digest LEFT JOIN g USING (r)"""
+SELECT doc_id, d.digest, coalesce(w.name, j.name) AS licence, coalesce(notices, '') AS notices, coalesce(n, 0)::BIGINT AS n_notice_lines
+FROM d LEFT JOIN w ON w.digest = d.digest LEFT JOIN w AS j ON j.digest = d.joined LEFT JOIN g USING (r)"""
 
 
 _URL_SQL = """WITH p AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),

@@ -657,6 +657,16 @@ def test_the_whole_unlicense(spark):
     assert {r.doc_id: r.licence for r in licences.scan(df).collect()} == {1: "Unlicense", 2: None}
 
 
+def test_short_licences_that_others_begin_like(spark):
+    """Each known text is itself and no other, in its usual file; half of it is none."""
+    rows = [(f"{n} {way}", t) for n, text in licences.TEXTS.items() for way, t in (
+        ("bare", text), ("file", f"{licences.TITLES[n][0]}\n\nCopyright (c) 2020 A. Person\n\n{text}\n"), ("wrapped", "\n".join("// " + " ".join(text.split()[i : i + 9]) for i in range(0, len(text.split()), 9))),
+        ("half", text[: len(text) // 2]))]
+    got = {r.doc_id: r.licence for r in licences.scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert {"MIT-0", "0BSD", "BSL-1.0"} <= set(licences.TEXTS)
+    assert got == {k: None if k.endswith("half") else k.split(" ")[0] for k, _ in rows}
+
+
 #: Where a system has them, the texts that the digests are of.
 COMMON = Path("/usr/share/common-licenses")
 
