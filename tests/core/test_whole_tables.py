@@ -48,3 +48,12 @@ def test_negation_over_the_whole_text(spark, folder):
 def test_lines_and_haystacks_have_the_whole_turn(spark, folder):
     assert [r.name for r in rows(spark, folder, "line_parser")] == ["one two three four LAST"]
     assert {r.hay for r in rows(spark, folder, "row_haystack")} == {"user hello", "assistant one two three\nfour last"}
+
+
+def test_split_has_every_label(spark, tmp_path):
+    sides = {1: "F", 2: "O", 3: "X", 4: None, 5: "", 6: "1/2", 7: "07"}
+    d = str(tmp_path)
+    for name, rows in (("some", sides), ("none", {})):
+        spark.createDataFrame([(k, k + 1, v) for k, v in rows.items()], "o_orderkey long, o_custkey long, o_orderstatus string").write.parquet(f"{d}/{name}/orders.parquet")
+        got = registry.QUERIES["split_by_label"](spark, f"{d}/{name}").collect()
+        assert len(got) == len(rows) and {r.o_orderkey: r.side for r in got} == rows
