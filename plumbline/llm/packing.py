@@ -11,6 +11,7 @@ from __future__ import annotations
 import array
 import json
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -71,9 +72,12 @@ def first_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray
 
 
 #: Characters that need no composition and have a plain lower case: ASCII but controls, and Latin letters.
-_PLAIN = regex.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+_PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
 #: The vocabulary's split of a word.
 _SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+#: Plain words of letters alone, and what _SPLIT finds in the lower case of other plain words.
+_LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
+_SPLIT_PLAIN = re.compile(r"[a-zß-öø-ÿ]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^a-zß-öø-ÿ0-9]+")
 
 
 def _byte_characters() -> list[str]:
@@ -123,29 +127,39 @@ class WordIds:
         with open(path, encoding="utf-8") as file:
             rules = json.load(file)
         self.by_word = by_word(rules)
+        # What is remembered is in two halves; if the new one is full, the old one goes, but for what was asked for since.
         self.known: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
+        self.old_known: dict[bytes, bytes] = {}
+        self.old_parts: dict[str, bytes] = {}
 
     def part(self, part: str) -> bytes:
         found = self.parts.get(part)
         if found is None:
-            shown = part if part.isascii() else "".join([_CHARACTERS[b] for b in part.encode()])
-            found = array.array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+            found = self.old_parts.get(part)
+            if found is None:
+                shown = part if part.isascii() else "".join([_CHARACTERS[b] for b in part.encode()])
+                found = array.array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
             if len(part) <= 64:
-                if len(self.parts) >= self.remembered:
-                    self.parts.clear()
+                if len(self.parts) >= self.remembered // 2:
+                    self.old_parts, self.parts = self.parts, {}
                 self.parts[part] = found
         return found
 
     def word(self, word: bytes) -> bytes:
-        text = word.decode()
-        if _PLAIN.fullmatch(text) and "<|" not in text:
-            ids = b"".join([self.part(p) for p in _SPLIT.findall(text.lower())])
-        else:
-            ids = array.array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        ids = self.old_known.get(word)
+        if ids is None:
+            text = word.decode()
+            if _LETTERS.fullmatch(text):
+                ids = self.part(text.lower())
+            elif _PLAIN.fullmatch(text) and "<|" not in text:
+                ids = b"".join([self.part(p) for p in _SPLIT_PLAIN.findall(text.lower())])
+            else:
+                ids = array.array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         if len(word) <= 64:
-            if len(self.known) >= self.remembered:
-                self.known.clear()
+            if len(self.known) >= self.remembered // 2:
+                self.old_known = self.known.copy()
+                self.known.clear()  # text() holds on to it
             self.known[word] = ids
         return ids
 
@@ -153,9 +167,8 @@ class WordIds:
         """The text's ids, little-endian unsigned 32-bit."""
         if not self.by_word:
             return array.array("I", self.tokenizer.encode(text.decode(), add_special_tokens=False).ids).tobytes()
-        words = text.split()
         get = self.known.get
-        return b"".join([get(w) or self.word(w) for w in words])
+        return b"".join([get(w) or self.word(w) for w in text.split()])
 
 
 _tokenizers: dict[str, WordIds] = {}

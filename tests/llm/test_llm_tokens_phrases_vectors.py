@@ -11,7 +11,7 @@ from llm_brute import ODD
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from plumbline.llm import bpe, collocations, queries, whitening
+from plumbline.llm import bpe, collocations, packing, queries, whitening
 
 PATH = queries.tokenizer_path()
 
@@ -35,6 +35,29 @@ def test_parts_joined_are_what_the_whole_run_gives(tokenizer, alphabet):
             assert ids == tokenizer.encode(word, add_special_tokens=False).ids
 
 
+def test_words_in_use_stay_known_while_others_are_forgotten(tokenizer):
+    own, draw = packing.WordIds(PATH, 8), random.Random(0)
+    encode, asked = own.model, Counter()
+
+    class Model:
+        def tokenize(self, part):
+            asked[part] += 1
+            return encode.tokenize(part)
+
+    own.model = Model()
+    for _ in range(200):
+        word = "".join(draw.choice("theaioLÉß0'!<s") for _ in range(draw.randint(1, 9)))
+        text = f"often {word} often"
+        assert own.text(text.encode()) == np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        assert sum(len(x) for x in vars(own).values() if isinstance(x, dict)) <= 2 * 8
+    assert asked["often"] == 1
+
+
+@pytest.mark.parametrize("word", ["don't", "I'LL", "''s's", "a'", "x1'23ÀÉß", "<|endoftext|>", "<|", "ÿÐ÷", "×", "it're'velm", "İß"])
+def test_plain_words_are_split_as_the_vocabulary_splits_them(tokenizer, word):
+    assert packing.WordIds(PATH).text(word.encode()) == np.array(tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+
 def coded(tokenizer, rows):
     out = Counter()
     for i, text in rows:
