@@ -57,3 +57,10 @@ def test_split_has_every_label(spark, tmp_path):
         spark.createDataFrame([(k, k + 1, v) for k, v in rows.items()], "o_orderkey long, o_custkey long, o_orderstatus string").write.parquet(f"{d}/{name}/orders.parquet")
         got = registry.QUERIES["split_by_label"](spark, f"{d}/{name}").collect()
         assert len(got) == len(rows) and {r.o_orderkey: r.side for r in got} == rows
+
+
+def test_split_keeps_rows_of_repeated_and_null_keys(spark, tmp_path):
+    sides = [(1, "F"), (1, "F"), (1, "O"), (2, "P"), (2, "P"), (2, None), (None, "F"), (None, "F"), (None, "O"), (None, None)]
+    spark.createDataFrame([(k, 1, v) for k, v in sides], "o_orderkey long, o_custkey long, o_orderstatus string").write.parquet(f"{tmp_path}/orders.parquet")
+    got = [(r.o_orderkey, r.side) for r in registry.QUERIES["split_by_label"](spark, str(tmp_path)).collect()]
+    assert sorted(got, key=str) == sorted(sides, key=str)
